@@ -2,42 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import dropped, shared_dir, stored
+
+__all__ = ["LOWER", "UPPER", "ascii_lower", "dropped", "held_out", "shared_dir", "stored", "table"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Where a session without spark.checkpoint.dir (tests, local use) keeps its shared tables.
-_LOCAL: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir of the session, or, only where that is unset, a temporary folder of this machine."""
-    if found := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir"):
-        return found.rstrip("/")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="lodestone-"))
-        spark.sparkContext.setCheckpointDir(_LOCAL[0])
-    return f"file://{_LOCAL[0]}"
-
-
-def stored(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
-    """Writes a table into the shared folder and reads it back: this cuts the lineage, and a lost executor loses nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    out = df.write.option("compression", "zstd")
-    (out.partitionBy(*by) if by else out).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def dropped(df: DataFrame) -> None:
-    """Removes the files of a table made by stored() which nothing reads any more."""
-    spark = df.sparkSession
-    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        if path.startswith(shared_dir(spark).replace("file:///", "file:/").rstrip("/")) or path.startswith(shared_dir(spark)):
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def ascii_lower(text: Column) -> Column:
