@@ -21,6 +21,8 @@ from .common import ascii_lower, stored
 
 #: What separates words, once A-Z are lower-cased; all other code points, non-ASCII ones included, belong to words.
 GAPS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: The same before A-Z are lower-cased, and its complement.
+GAPS_ANY = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 #: Most words of a benchmark whose n-grams are broadcast (16 bytes a gram: 64 MB).
 BROADCAST_WORDS = 4_000_000
@@ -65,7 +67,7 @@ def find_windows(documents: DataFrame, benchmark: DataFrame, n: int = 13) -> tup
         found = hit if found is None else found.unionByName(hit)
     if found is None:
         none = rows.select("id", "k").where(F.lit(False))
-        return rows.withColumn("n_words", F.regexp_count("text", F.lit(WORD))), none.withColumns({"p": F.lit(1), "w": F.lit(1)}), none.join(benchmark.select("item_id").limit(0))
+        return rows.withColumn("n_words", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), GAPS_ANY), lambda w: w != ""))), none.withColumns({"p": F.lit(1), "w": F.lit(1)}), none.join(benchmark.select("item_id").limit(0))
     keys = stored(found.distinct(), "suspects")
     suspects = rows.join(keys, ["id", "k"], "left_semi").dropDuplicates(["id", "k"]).select("id", "k", words(ascii_lower(F.col("text"))).alias("ws"))
     suspects = stored(suspects, "suspect-words")
@@ -80,7 +82,7 @@ def find_windows(documents: DataFrame, benchmark: DataFrame, n: int = 13) -> tup
     sure = stored(sure.select("id", "k", "hit.p", "hit.w", "hit.win"), "hits")
     spans = sure.select("id", "k", "p", "w").distinct()
     items = sure.select("id", "k", "win").distinct().join(_small(wins.select("item_id", "win"), small), "win").select("id", "k", "item_id").distinct()
-    return rows.withColumn("n_words", F.regexp_count("text", F.lit(WORD))), spans, items
+    return rows.withColumn("n_words", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), GAPS_ANY), lambda w: w != ""))), spans, items
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
