@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from . import ann, chat_format, decontaminate, packing, quality, simhash, url_filter, wavelet
+from . import ann, chat_format, decontaminate, packing, quality, simhash, toxicity, url_filter, wavelet
 from .common import held_out, table
 
 #: (verdict, host, start of path)
@@ -57,6 +57,12 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -75,4 +81,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (op1_url_filter, op3_wavelet_shards, op4_quality, op5_simhash, op6_nearest_neighbours, op7_chat_format, op9_decontaminate, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (op1_url_filter, op3_wavelet_shards, op4_quality, op5_simhash, op6_nearest_neighbours, op7_chat_format, op8_toxicity, op9_decontaminate, op10_best_fit_packing)}
