@@ -162,8 +162,8 @@ class Network:
         np.add.at(g["char"], keys, np.repeat(dv[:, SIZE:] / sizes[:, None].astype(np.float32), sizes, axis=0))
         return loss, g
 
-    def fit(self, windows: list[tuple[int, float, list[bytes]]], epochs: int = 5, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Network:
-        """windows: (text number, its label, words). Each epoch learns from all windows of clean texts and, of a toxic text, from the one that looks worst."""
+    def fit(self, windows: list[tuple[int, float, list[bytes]]], epochs: int = 5, least_steps: int = 400, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Network:
+        """windows: (text number, its label, words). At least ``epochs`` rounds and about ``least_steps`` steps. Each epoch learns from all windows of clean texts and, of a toxic text, from the one that looks worst."""
         counts = Counter(w for _, _, ws in windows for w in set(ws))
         self.vocabulary = {w: i + 1 for i, (w, n) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]) if n >= 3}
         if not windows:
@@ -177,7 +177,7 @@ class Network:
         self._start(words, at, doc, y)
         rng = np.random.default_rng(seed)
         m, v, step = {k: np.zeros_like(p) for k, p in self.p.items()}, {k: np.zeros_like(p) for k, p in self.p.items()}, 0
-        for epoch in range(epochs):
+        for epoch in range(epochs := max(epochs, -(-least_steps // max(1, int((y == 0).sum()) // batch)))):
             looks = self.windows(self.gates(words), at)
             worst = np.lexsort((-looks, doc))
             worst = worst[np.concatenate([[True], doc[worst][1:] != doc[worst][:-1]])]
@@ -221,14 +221,22 @@ class Network:
 
     def _calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """Platt scaling by Newton's method; a little ridge keeps separable data finite."""
+        x = x.astype(np.float64)
+
+        def loss(a: float, b: float) -> float:
+            return float(np.sum(np.logaddexp(0, a * x + b) - y * (a * x + b)) + 0.005 * ((a - 1) ** 2 + b * b))
+
         a, b = 1.0, 0.0
-        for _ in range(30):
+        for _ in range(50):
             p = _sigmoid(a * x + b)
-            e, w = p - y, np.maximum(p * (1 - p), 1e-6)
+            e, w = p - y, np.maximum(p * (1 - p), 1e-9)
             grad = np.array([(e * x).sum() + 0.01 * (a - 1), e.sum() + 0.01 * b])
             hess = np.array([[(w * x * x).sum() + 0.01, (w * x).sum()], [(w * x).sum(), w.sum() + 0.01]])
             da, db = np.linalg.solve(hess, grad)
-            a, b = float(np.clip(a - da, 0.05, 5)), float(np.clip(b - db, -8, 8))
+            size = 1.0
+            while size > 1e-6 and loss(a - size * da, b - size * db) > loss(a, b):
+                size /= 2
+            a, b = float(max(a - size * da, 0.05)), float(b - size * db)
         self.slope, self.shift = a, b
 
     def windows(self, table: np.ndarray, at: np.ndarray, batch: int = 1024) -> np.ndarray:
