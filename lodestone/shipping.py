@@ -8,11 +8,14 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Most bytes of rows that go to a Python worker at once: rows may hold long texts.
+BATCH_BYTES = "16m"
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends the package's source to all executors, once for each application; where it is installed there already, nothing changes."""
+    """Sends the package's source to all executors, once for each application; where it is installed there already, nothing changes. Also bounds the bytes of an Arrow batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
