@@ -38,24 +38,27 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
-        planes, zeros = [], []
+        planes, zeros, n, spare = [], [], len(ids), np.empty(len(ids), ids.dtype)
+        ids = ids.copy()
         for k in range(bits - 1, -1, -1):
-            ones = (ids >> ids.dtype.type(k)).astype(np.uint8) & 1
+            ones = (ids & ids.dtype.type(1 << k)) != 0
             planes.append(np.packbits(ones, bitorder="little"))
-            mask = ones.view(bool)
-            low = ids[~mask]
-            zeros.append(len(low))
-            ids = np.concatenate([low, ids[mask]])
-        return cls(len(ids), planes, zeros)
+            none = ~ones
+            nz = int(np.count_nonzero(none))
+            zeros.append(nz)
+            np.compress(none, ids, out=spare[:nz])
+            np.compress(ones, ids, out=spare[nz:])
+            ids, spare = spare, ids
+        return cls(n, planes, zeros)
 
     def decode(self, dtype: type = np.uint32) -> np.ndarray:
         """All ids: the deals undone from the lowest plane up."""
         ids = np.zeros(self.n, dtype)
         for k, (plane, nz) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
-            mask = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
+            ones = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
+            ids[nz:] |= dtype(1 << k)
             out = np.empty(self.n, dtype)
-            out[~mask] = ids[:nz]
-            out[mask] = ids[nz:] | dtype(1 << k)
+            out[np.concatenate([np.flatnonzero(~ones), np.flatnonzero(ones)])] = ids
             ids = out
         return ids
 
@@ -138,7 +141,7 @@ class ShardFile:
 SHARD = "part int, seq int, n_docs long, n_tokens long, payload binary"
 
 
-def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_bytes: int = 16 << 20, shard_tokens: int = 8 << 20) -> DataFrame:
+def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_bytes: int = 16 << 20, shard_tokens: int = 1 << 20) -> DataFrame:
     """(doc_id, text) -> the table of shard files, in ascending order of doc_id by (part, seq); see SHARD.
 
     Each whole text is encoded (null and empty ones have no ids) and ``end_id`` is appended. Rows with equal or null
