@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from . import ann, chat_format, decontaminate, packing, quality, simhash, toxicity, url_filter, wavelet
+from . import ann, chat_format, decontaminate, packing, quality, simhash, suffix_dedup, toxicity, url_filter, wavelet
 from .common import held_out, table
 
 #: (verdict, host, start of path)
@@ -21,11 +21,16 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenizer() -> str:
+    """Where the tokenizer's file lies."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(wavelet.save(table(spark, sf_dir, "documents"), tokenizer()))
 
@@ -81,4 +86,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (op1_url_filter, op3_wavelet_shards, op4_quality, op5_simhash, op6_nearest_neighbours, op7_chat_format, op8_toxicity, op9_decontaminate, op10_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (op1_url_filter, op2_suffix_dedup, op3_wavelet_shards, op4_quality, op5_simhash, op6_nearest_neighbours, op7_chat_format, op8_toxicity, op9_decontaminate, op10_best_fit_packing)}
