@@ -8,7 +8,8 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
@@ -44,17 +45,21 @@ def fingerprint(text: str | None, size: int = 4, seed: int = 42) -> int:
 
 
 def with_fingerprints(docs: DataFrame, size: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, text) -> doc_id, fp (the 64 bits as a signed long), of every row's whole text."""
+    """(doc_id, text) -> doc_id, k (a hash of id and text), fp (the 64 bits as a signed long), of every row's whole text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fps = np.fromiter((fingerprint(t, size, seed) for t in b["text"]), np.uint64, len(b))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": fps.view(np.int64)})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "k": b["k"], "fp": fps.view(np.int64)})
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long")
+    return docs.select("doc_id", _key().alias("k"), "text").mapInPandas(run, "doc_id long, k long, fp long")
 
 
-def hex_digits(fp):
+def _key() -> Column:
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
+
+
+def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
@@ -93,7 +98,7 @@ def links(fps: DataFrame, most: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
-    """(doc_id, text) -> doc_id, fp, component_id (smallest doc_id that links reach, itself included): one row per document row.
+    """(doc_id, text) -> doc_id, k, fp, root (of the component, a fingerprint), component_id (smallest doc_id that links reach, itself included): one row per document row.
 
     Copies share a fingerprint and are one node of the search, so a group of them costs one row, however large. Null
     and empty texts have fingerprint zero and are linked like any other. Rows with a null doc_id take part; they get
@@ -105,5 +110,19 @@ def near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
     roots = stored(connected_components(links(nodes.select("fp"), most), "a", "b"), "roots")
     linked = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = linked.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "k", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, most: int = 4) -> DataFrame:
+    """The documents, with all their columns, but of each component only the row with the smallest doc_id.
+
+    Rows without an id stay only where a component has no other; of rows that agree in id and text one stays.
+    """
+    found = near_duplicates(docs, most)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k")).alias("first"))
+    first = first.select(F.coalesce("first.doc_id", F.lit(-(2**63))).alias("__id"), F.col("first.k").alias("__k")).distinct()
+    rows = docs.withColumns({"__id": F.coalesce(F.col("doc_id"), F.lit(-(2**63))), "__k": _key()}).join(first, ["__id", "__k"], "left_semi")
+    rest = [F.col(f"`{c}`") for c, kind in docs.dtypes if c not in ("doc_id", "text") and not kind.startswith(("map", "variant"))]
+    order = W.partitionBy("__id", "__k").orderBy(*(rest or ["__k"]))
+    return rows.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(*[f"`{c}`" for c in docs.columns])
