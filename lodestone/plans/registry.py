@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shipping import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -13,7 +16,12 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = shipped
         if sql:
             ORACLES[f.__name__] = sql
         return f
