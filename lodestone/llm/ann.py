@@ -140,7 +140,7 @@ def _best(query: np.ndarray, own: int, ids: np.ndarray, codes: np.ndarray, x: np
         at = np.concatenate([sure, ties[: rerank - len(sure)]])
     else:
         at = np.flatnonzero(keep)
-    d = np.sqrt(((x[at].astype(np.float64) - query) ** 2).sum(1))
+    d = np.sqrt(np.cumsum((x[at].astype(np.float64) - query) ** 2, axis=1)[:, -1])  # added up from the first number to the last
     order = np.lexsort((ids[at], d))[:k]
     return d[order], ids[at][order]
 

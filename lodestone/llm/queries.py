@@ -87,3 +87,27 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (op1_url_filter, op2_suffix_dedup, op3_wavelet_shards, op4_quality, op5_simhash, op6_nearest_neighbours, op7_chat_format, op8_toxicity, op9_decontaminate, op10_best_fit_packing)}
+
+_ESCAPED = "replace(replace(replace({c}, '\\', '\\e'), '>', '\\g'), '<', '\\l')"
+ORACLES: dict[str, str] = {
+    "op7_chat_format": f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+n AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM t),
+p AS (SELECT *, length({_ESCAPED.format(c="text")}) + CASE WHEN before IS NOT NULL AND before = role THEN 5 ELSE 5 + length({_ESCAPED.format(c="role")}) + 8 END AS size FROM n)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars FROM p GROUP BY conv_id""",
+    "op9_decontaminate": """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
+wins AS (SELECT DISTINCT item_id, least(len(ws), 13) AS n, array_to_string(ws[i:i + least(len(ws), 13) - 1], ' ') AS win FROM b, unnest(generate_series(1, len(ws) - least(len(ws), 13) + 1)) t(i) WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM wins),
+spots AS (SELECT doc_id, n, i, array_to_string(ws[i:i + n - 1], ' ') AS win FROM w, sizes, unnest(generate_series(1, len(ws) - n + 1)) t(i) WHERE len(ws) >= n),
+hit AS (SELECT doc_id, item_id, i, s.n FROM spots s JOIN wins ON wins.win = s.win AND wins.n = s.n),
+words AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hit, unnest(generate_series(0, n - 1)) t(k) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated FROM w LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op6_nearest_neighbours": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings WHERE embedding IS NOT NULL),
+d AS (SELECT q.vec_id AS query_id, v.vec_id, sqrt(list_reduce(list_transform(generate_series(1, len(q.e)), lambda i: (v.e[i] - q.e[i]) * (v.e[i] - q.e[i])), lambda s, x: s + x)) AS score FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d) WHERE rank <= 10""",
+}
