@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 #: Most bytes of rows that go to a Python worker at once: rows may hold long texts.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "8m"
 _SHIPPED: set[str] = set()
 
 
