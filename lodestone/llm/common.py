@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.shared import dropped, shared_dir, stored
 
-__all__ = ["LOWER", "UPPER", "ascii_lower", "dropped", "held_out", "shared_dir", "stored", "table"]
+__all__ = ["LOWER", "UPPER", "ascii_lower", "dropped", "held_out", "shared_dir", "stored", "table", "tidy"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -24,3 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """The rows from which nothing is learnt: crc32 of the id as text, modulo 4, is 2. A null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+try:
+    _TRIM = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # another C library
+    _TRIM = None
+
+
+def tidy() -> None:
+    """Gives memory that a Python worker no longer uses back to the system; workers live on from task to task, and several share an executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, tidy
 from .tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary, shard int, place long"
@@ -53,11 +53,13 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2)
                     seen[to - at] += 1
                     held += to - at
                     at = to
-                if held > 1 << 21:
+                if held > 1 << 19:
                     yield frame(rows)
                     rows, held = [], 0
             if rows:
                 yield frame(rows)
+            rows = []
+            tidy()
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
         out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", "shard", "place"])

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, tidy
 
 #: Labelled rows that a model is fitted on at most: those with the smallest hashes of their ids.
 FIT_ROWS = 20_000
@@ -124,6 +124,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "stats": [statistics(t) for t in b["text"]]})
+            tidy()
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, stats array<double>")
 
@@ -154,6 +155,7 @@ def score(docs: DataFrame, model: BoostedTrees, column: str = "score") -> DataFr
     @F.pandas_udf("double")
     def judged(texts: pd.Series) -> pd.Series:
         x = np.array([statistics(t) for t in texts], np.float64).reshape(len(texts), len(NAMES))
+        tidy()
         return pd.Series(np.concatenate([model.predict(x[i : i + 1024]) for i in range(0, len(x), 1024)]) if len(x) else np.zeros(0))
 
     return docs.withColumn(column, judged("text"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import segments
-from .common import dropped, stored
+from .common import dropped, stored, tidy
 from .suffixes import repeated
 
 #: Bytes of segments that a shard aims at.
@@ -52,6 +52,7 @@ def _anchors(rows: DataFrame, length: int) -> DataFrame:
             found = [segments(np.frombuffer(_encoded(t), np.uint8), length)[3] for t in b["text"]]
             anchor, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
             yield pd.DataFrame({"anchor": anchor.view(np.int64), "n": n})
+            tidy()
 
     return rows.select("text").mapInPandas(run, "anchor long, n long")
 
@@ -72,6 +73,8 @@ def _segments(rows: DataFrame, length: int) -> DataFrame:
                     out, held = [], 0
             if out:
                 yield frame(out)
+            del out
+            tidy()
 
     def frame(parts: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame(dict(zip(("id", "k", "first", "n", "anchor", "content"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
@@ -105,6 +108,7 @@ def _sorted_shards(pieces: DataFrame, length: int, shards: int) -> DataFrame:
                 out += [(anchor, content, int(a), int(b)) for a, b in zip(edges[::2], edges[1::2], strict=True)]
             for i in range(0, len(out), 100_000):
                 yield pd.DataFrame(out[i : i + 100_000], columns=["anchor", "content", "a", "b"])
+        tidy()
 
     placed = pieces.repartition(shards, "anchor").sortWithinPartitions("anchor", "content")
     return placed.mapInPandas(run, "anchor long, content long, a int, b int")
@@ -136,6 +140,8 @@ def find_spans(docs: DataFrame, length: int = 200) -> DataFrame:
                     out, held = [], 0
             if out:
                 yield pd.DataFrame(out, columns=["anchor", "content", "m", "n", "bytes"])
+            del out
+            tidy()
 
     pieces = rows.join(asked, ["id", "k"]).select("text", "asked").mapInPandas(sliced, "anchor long, content long, m long, n int, bytes binary")
     found = stored(_sorted_shards(pieces, length, max(1, -(-size // SHARD_BYTES))).unionByName(alone), "found")

@@ -41,7 +41,7 @@ _UNPLAIN = bytes([*range(0x1C, 0x20), 0x27, *range(0xC0, 0xC3), *range(0xCA, 0x1
 _SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SHOWN = {b: b if b in _SEEN else 256 + sum(x not in _SEEN for x in range(b)) for b in range(256)}
 #: Distinct pieces to remember before dropping the rare ones (about 100 MB), and characters to encode at a time.
-REMEMBERED, AT_ONCE = 500_000, 3_000_000
+REMEMBERED, AT_ONCE = 500_000, 1_500_000
 
 
 class TextEncoder:

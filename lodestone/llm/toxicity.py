@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
 from .quality import labelled
 
 #: Labelled rows fitted on at most, windows taken of each, words of a window, words between two windows' starts.
@@ -347,5 +348,6 @@ def score(docs: DataFrame, network: Network, column: str = "score") -> DataFrame
         scorer = Scorer(network)
         for texts in batches:
             yield pd.Series(scorer.scores(list(texts)), dtype="float64")
+            tidy()
 
     return docs.withColumn(column, judged("text"))

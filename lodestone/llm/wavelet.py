@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, tidy
 from .tokens import checksum, encoder
 
 MAGIC = b"WVLT1\0"
@@ -174,6 +174,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_bytes:
                 if held >= shard_tokens:
                     yield close()
                     ids, names, lens, held, seq = [], [], [], 0, seq + 1
+                    tidy()
         if names:
             yield close()
 
