@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
-from .common import LOWER, UPPER, stored
+from .common import LOWER, UPPER, stored, tidy
 
 _LOWER = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: Widths of the five segments of a fingerprint, from the lowest bits up.
@@ -51,6 +51,7 @@ def with_fingerprints(docs: DataFrame, size: int = 4, seed: int = 42) -> DataFra
         for b in batches:
             fps = np.fromiter((fingerprint(t, size, seed) for t in b["text"]), np.uint64, len(b))
             yield pd.DataFrame({"doc_id": b["doc_id"], "k": b["k"], "fp": fps.view(np.int64)})
+            tidy()
 
     return docs.select("doc_id", _key().alias("k"), "text").mapInPandas(run, "doc_id long, k long, fp long")
 
@@ -94,7 +95,8 @@ def links(fps: DataFrame, most: int = 4) -> DataFrame:
         signed = lambda m: m - (1 << 64) if m >> 63 else m
         chain = F.when(at == i, (F.bit_count(diff.bitwiseAND(F.lit(signed(mask(3))))) <= 2) & (F.bit_count(diff.bitwiseAND(F.lit(signed(mask(4))))) <= 3)).otherwise(chain)
     asked = asked.withColumnRenamed("key", "asked")
-    return filed.join(asked, (F.col("key") == F.col("asked")) & (F.col("a") < F.col("b")) & chain & (F.bit_count(diff) <= most)).select("a", "b")
+    # The planner takes exploded rows for as few as they came from and would broadcast them; both sides are shuffled instead.
+    return filed.hint("merge").join(asked.hint("merge"), (F.col("key") == F.col("asked")) & (F.col("a") < F.col("b")) & chain & (F.bit_count(diff) <= most)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
