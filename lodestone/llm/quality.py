@@ -59,7 +59,7 @@ class BoostedTrees:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> BoostedTrees:
         n, width = x.shape
-        self.edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, self.bins + 1)[1:-1])) for f in range(width)]
+        self.edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, self.bins + 1)[1:-1])) if n else np.zeros(0) for f in range(width)]
         binned = np.stack([np.searchsorted(e, x[:, f], side="left") for f, e in enumerate(self.edges)], 1)
         p = np.clip(y.mean() if n else 0.5, 1e-3, 1 - 1e-3)
         self.base = float(np.log(p / (1 - p)))
