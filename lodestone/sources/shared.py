@@ -21,11 +21,10 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_LOCAL[0]}"
 
 
-def stored(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Writes a table into the shared folder and reads it back: this cuts the lineage, and a lost executor loses nothing."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    out = df.write.option("compression", "zstd")
-    (out.partitionBy(*by) if by else out).parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
