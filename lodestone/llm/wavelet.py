@@ -174,9 +174,9 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_bytes:
                 if held >= shard_tokens:
                     yield close()
                     ids, names, lens, held, seq = [], [], [], 0, seq + 1
-                    tidy()
         if names:
             yield close()
+        tidy()
 
     return rows.select("doc_id", "text").mapInPandas(run, SHARD)
 
@@ -203,4 +203,4 @@ def read_shards(shards: DataFrame) -> DataFrame:
 
 def save(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
     """write_shards() into the shared folder; the table of the files."""
-    return stored(write_shards(docs, tokenizer, end_id), "shards")
+    return stored(write_shards(docs, tokenizer, end_id), "shards", "uncompressed")  # the files are compressed
