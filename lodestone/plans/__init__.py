@@ -1,6 +1,6 @@
 """All queries of the library; importing this module registers them."""
 
-from . import checks, core, evidence, people, streams, walks
+from . import checks, core, evidence, people, serving, streams, walks
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "checks", "core", "evidence", "people", "streams", "walks"]
+__all__ = ["ORACLES", "QUERIES", "checks", "core", "evidence", "people", "serving", "streams", "walks"]
