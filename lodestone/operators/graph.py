@@ -36,7 +36,7 @@ def closure(edges: DataFrame, max_hops: int = 3) -> DataFrame:
     step = edges.groupBy("src", "dst").agg(F.max("weight").alias("w")).where("src != dst")
     level = stored(step.select("src", "dst", F.lit(1).alias("hops"), F.col("w").alias("weight"), F.array("src", "dst").alias("path")), "closure")
     levels = [level]
-    onward = step.select(F.col("src").alias("via"), F.col("dst").alias("to"), "w")
+    onward = level.select(F.col("src").alias("via"), F.col("dst").alias("to"), F.col("weight").alias("w"))  # the stored step, not made again
     for hop in range(2, max_hops + 1):
         longer = level.join(onward, level["dst"] == onward["via"]).where(~F.array_contains("path", F.col("to")))
         best = longer.groupBy("src", "to").agg(F.min(F.struct((-F.col("weight") * F.col("w")).alias("least"), F.concat("path", F.array("to")).alias("path"))).alias("b"))
@@ -54,17 +54,18 @@ def expand(closed: DataFrame, seeds: DataFrame, nodes: DataFrame, hops: int = 2,
     return rows.join(hidden, ["src", "dst"], "left_anti").orderBy("hops", F.desc("weight"), "src", "dst").limit(limit)
 
 
-def traverse(edges: DataFrame, seeds: DataFrame, nodes: DataFrame, max_hops: int = 4, tier: int = 3, types: list[str] | None = None, limit: int | None = 500) -> DataFrame:
-    """All simple paths out of seeds: seed, node, hops, total_weight (sum), path; nodes above the tier are never entered."""
+def traverse(edges: DataFrame, seeds: DataFrame, nodes: DataFrame, max_hops: int = 4, tier: int = 3, types: list[str] | None = None, limit: int | None = 500, product: bool = False) -> DataFrame:
+    """All simple paths out of seeds: seed, node, hops, total_weight (sum or product), path; nodes above the tier are never entered."""
     seen = nodes.where(F.col("masking_tier") <= tier).select(F.col("node_id").alias("to"))
     step = edges.where(F.col("edge_type").isin(types)) if types else edges
-    step = step.select(F.col("src").alias("via"), F.col("dst").alias("to"), "weight").join(seen, "to", "left_semi")
+    step = stored(step.select(F.col("src").alias("via"), F.col("dst").alias("to"), F.coalesce("weight", F.lit(1.0)).alias("weight")).join(seen, "to", "left_semi"), "step")
+    total = F.col("total_weight") * F.col("weight") if product else F.col("total_weight") + F.col("weight")
     start = seeds.select("node_id").join(seen, F.col("node_id") == F.col("to"), "left_semi")
-    level = start.select(F.col("node_id").alias("seed"), F.col("node_id").alias("node"), F.lit(0).alias("hops"), F.lit(0.0).alias("total_weight"), F.array("node_id").alias("path"))
+    level = start.select(F.col("node_id").alias("seed"), F.col("node_id").alias("node"), F.lit(0).alias("hops"), F.lit(1.0 if product else 0.0).alias("total_weight"), F.array("node_id").alias("path"))
     found = None
     for _ in range(max_hops):
         level = level.join(step, level["node"] == step["via"]).where(~F.array_contains("path", F.col("to")))
-        level = stored(level.select("seed", F.col("to").alias("node"), (F.col("hops") + 1).alias("hops"), (F.col("total_weight") + F.col("weight")).alias("total_weight"), F.concat("path", F.array("to")).alias("path")), "walk")
+        level = stored(level.select("seed", F.col("to").alias("node"), (F.col("hops") + 1).alias("hops"), total.alias("total_weight"), F.concat("path", F.array("to")).alias("path")), "walk")
         found = level if found is None else found.unionByName(level)
     found = found if found is not None else level.where(F.lit(False))
     return found.orderBy("hops", F.desc("total_weight"), F.array_join("path", ">")).limit(limit) if limit else found
@@ -78,7 +79,7 @@ def both_ways(edges: DataFrame) -> DataFrame:
 
 def levels(edges: DataFrame, seeds: DataFrame, hops: int, directed: bool = False) -> DataFrame:
     """node_id, level: how many edges lead from the nearest seed (level 0); frontier by frontier, visited nodes never again."""
-    step = edges.select("src", "dst").distinct() if directed else both_ways(edges)
+    step = stored(edges.select("src", "dst").distinct() if directed else both_ways(edges), "step")
     visited = stored(seeds.select("node_id", F.lit(0).alias("level")).distinct(), "visited")
     frontier = visited
     for level in range(1, hops + 1):
@@ -94,7 +95,7 @@ def shortest_path(edges: DataFrame, a: str, b: str, nodes: DataFrame, max_hops:
     """hops, path of the shortest path; of equals the first in the order of the ids. Depth is bounded, hidden nodes are no way through."""
     spark = edges.sparkSession
     seen = nodes.where(F.col("masking_tier") <= tier).select(F.col("node_id").alias("dst"))
-    step = (edges.select("src", "dst").distinct() if directed else both_ways(edges)).join(seen, "dst", "left_semi")
+    step = stored((edges.select("src", "dst").distinct() if directed else both_ways(edges)).join(seen, "dst", "left_semi"), "step")
     start = spark.range(1).select(F.lit(a).alias("node"), F.array(F.lit(a)).alias("path"))
     visited = frontier = stored(start.join(seen, F.col("node") == F.col("dst"), "left_semi"), "frontier")
     for _ in range(max_hops):

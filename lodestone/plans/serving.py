@@ -125,14 +125,8 @@ def chunk_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deep_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Walks with the product of their weights."""
     edges, nodes = _hot(spark, sf_dir)
-    step = edges.select(F.col("src").alias("via"), F.col("dst").alias("to"), F.coalesce("weight", F.lit(1.0)).alias("w"))
-    level = _seeds(nodes).select(F.col("node_id").alias("seed"), F.col("node_id").alias("node"), F.lit(0).alias("hops"), F.lit(1.0).alias("weight"), F.array("node_id").alias("path"))
-    found = None
-    for _ in range(3):
-        level = level.join(step, level["node"] == step["via"]).where(~F.array_contains("path", F.col("to")))
-        level = level.select("seed", F.col("to").alias("node"), (F.col("hops") + 1).alias("hops"), (F.col("weight") * F.col("w")).alias("weight"), F.concat("path", F.array("to")).alias("path"))
-        found = level if found is None else found.unionByName(level)
-    return found.withColumn("path", F.array_join("path", ">")).orderBy("hops", F.desc("weight"), "path").limit(500)
+    walks = graph.traverse(edges, _seeds(nodes), nodes, 3, 3, None, 500, product=True)
+    return walks.select("seed", "node", "hops", F.col("total_weight").alias("weight"), F.array_join("path", ">").alias("path"))
 
 
 @query(NODES + " SELECT node_id, name || ' (' || node_type || ')' || CASE WHEN properties = '' THEN '' ELSE ': ' || replace(properties, ';', '; ') END AS text FROM nodes")
