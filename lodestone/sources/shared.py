@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Where a session without spark.checkpoint.dir (tests, local use) keeps its shared tables.
 _LOCAL: list[str] = []
+_OPENED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -21,9 +22,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_LOCAL[0]}"
 
 
+def workspace(spark: SparkSession) -> str:
+    """This application's own folder in the shared one. The driver's JVM removes it when it ends; until then whatever a query has returned can be read."""
+    at = f"{shared_dir(spark)}/lodestone-{spark.sparkContext.applicationId}"
+    if at not in _OPENED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(at)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _OPENED.add(at)
+    return at
+
+
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Writes a table into the shared folder and reads it back: this cuts the lineage, and a lost executor loses nothing."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{workspace(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -7,11 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import shared_dir
+from .shared import workspace
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{workspace(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def overwrite(rows: DataFrame, path: str) -> None:

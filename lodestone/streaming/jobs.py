@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_dir
+from ..sources.shared import workspace
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,20 +22,20 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drained(stream: DataFrame, sink: Callable[[DataFrame, int], None], mode: str) -> None:
     """Runs a stream over all that is there."""
-    at = f"{shared_dir(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+    at = f"{workspace(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
     stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", at).trigger(availableNow=True).start().awaitTermination()
 
 
 def kept(spark: SparkSession, stream: DataFrame) -> DataFrame:
     """The complete result of an aggregating stream, as of its last batch."""
-    at = f"{shared_dir(spark)}/result-{uuid.uuid4().hex}"
+    at = f"{workspace(spark)}/result-{uuid.uuid4().hex}"
     drained(stream, lambda df, i: df.write.mode("overwrite").parquet(f"{at}/{i}") if not df.isEmpty() else None, "complete")
     return spark.read.schema(stream.schema).option("recursiveFileLookup", "true").parquet(_last(spark, at))
 
 
 def appended(spark: SparkSession, stream: DataFrame) -> DataFrame:
     """All rows that a stream lets through, each batch under its own number, so that one that is run again replaces itself."""
-    at = f"{shared_dir(spark)}/rows-{uuid.uuid4().hex}"
+    at = f"{workspace(spark)}/rows-{uuid.uuid4().hex}"
     drained(stream, lambda df, i: df.write.mode("overwrite").parquet(f"{at}/batch={i}"), "append")
     return spark.read.schema(stream.schema).parquet(at)
 
@@ -48,7 +48,7 @@ def _last(spark: SparkSession, at: str) -> str:
 
 def upserted(spark: SparkSession, stream: DataFrame, key: str, order: str) -> DataFrame:
     """The latest row of each key over all batches: each batch is reduced, merged with the last table and written as the next one."""
-    at, names = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}", [c for c in stream.columns if c != key]
+    at, names = f"{workspace(spark)}/upsert-{uuid.uuid4().hex}", [c for c in stream.columns if c != key]
     latest = lambda rows: rows.groupBy(key).agg(F.max_by(F.struct(*names), order).alias("last")).select(key, "last.*")
     written: list[str] = []
 
