@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, packing, quality, simhash, suffix_dedup
-from lodestone.llm.common import shared_dir, table
+from lodestone.llm.common import table, workspace
 from lodestone.llm.queries import tokenizer
 from lodestone.shipping import ship
 
@@ -60,7 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
-        path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}-{i}"
+        path = f"{workspace(spark)}/pipeline-{uuid.uuid4().hex}-{i}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

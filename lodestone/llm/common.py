@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import dropped, shared_dir, stored
+from ..sources.shared import dropped, stored, workspace
 
-__all__ = ["LOWER", "UPPER", "ascii_lower", "dropped", "held_out", "shared_dir", "stored", "table", "tidy"]
+__all__ = ["LOWER", "UPPER", "ascii_lower", "dropped", "held_out", "stored", "table", "tidy", "workspace"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
