@@ -5,12 +5,14 @@
    Each window lies in one segment, so no stretch is ever compared with itself.
 2. Segments that are copies of each other are counted and represented by one: each of their windows repeats.
 3. The different segments of an anchor meet in a shard, whose suffixes are put in order by external induced sorting
-   with common prefixes (see suffixes.py). A window repeats if its suffix shares 200 bytes with a neighbour.
+   with common prefixes (see suffixes.py). A window repeats if its suffix shares 200 bytes with a neighbour. Where an
+   anchor has very many different segments, these are first cut by the place of the anchor in the window into parts.
+   All windows of a part have most of their bytes in common places, and those bytes' hash deals the parts out: equal
+   windows still meet, and the crowd is spread.
 4. What was found goes back to all copies; windows become spans of bytes, and spans that touch or overlap become one.
 
 Heaps of copies are thinned by partial counts before they are shuffled, and their segments reach a shard once. Shards are
-cut by bytes; one that is larger because a single anchor has very many different segments is sorted on disk like any
-other.
+cut by bytes; whatever their size, they are sorted on disk.
 """
 
 from __future__ import annotations
@@ -26,12 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import segments
+from .anchors import GRAM, segments
 from .common import dropped, stored, tidy
 from .suffixes import repeated
 
-#: Bytes of segments that a shard aims at.
-SHARD_BYTES = 4 << 20
+#: Bytes of segments that a shard aims at; different segments of an anchor from which on they are dealt out further; parts that they are cut into.
+SHARD_BYTES, CROWD, PARTS = 4 << 20, 256, 8
 SEGMENT = "id long, k long, first int, n int, anchor long, content long"
 
 
@@ -82,19 +84,37 @@ def _segments(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInPandas(run, SEGMENT)
 
 
+def _parts(data: bytes, first: int, n: int, anchor: int, length: int, parts: int) -> list[tuple[int, int, int]]:
+    """(place, windows before, windows) of a segment's parts, by how far into the window the anchor stands.
+
+    The windows whose anchor stands ``lo`` to ``hi`` bytes in all hold the bytes from ``lo`` before the anchor to
+    ``length - hi`` behind its start. Segments of an anchor agree on the parts' bounds, not on which of them they fill.
+    """
+    at = int(segments(np.frombuffer(data[first : first + n + length - 1], np.uint8), length)[2][0])  # from the segment's start
+    width, out = length - GRAM + 1, []
+    step = -(-width // parts)
+    for lo in range(0, width, step):
+        hi = min(lo + step, width) - 1
+        a, b = max(0, at - hi), min(n - 1, at - lo)  # the windows that start hi to lo bytes before the anchor
+        if a <= b:
+            core = data[first + at - lo : first + at + length - hi]
+            out.append((xxhash.xxh3_64_intdigest(core, seed=lo + 1) - (1 << 63), a, b - a + 1))
+    return out
+
+
 def _sorted_shards(pieces: DataFrame, length: int, shards: int) -> DataFrame:
-    """(anchor, content, m, n, bytes) -> anchor, content, ranges of its windows that repeat (from, to)."""
+    """(place, anchor, content, m, skip, n, bytes) -> anchor, content, ranges of its windows that repeat (from, to). place says what must meet; skip counts the segment's windows before these."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with tempfile.TemporaryDirectory() as d:  # scratch of this task alone
             path, rows, at, before = Path(d) / "text", [], 0, None
             with path.open("wb") as f:
                 for b in batches:
-                    for anchor, content, m, n, data in zip(b["anchor"], b["content"], b["m"], b["n"], b["bytes"], strict=True):
-                        if (anchor, content) == before:
+                    for anchor, content, m, skip, n, data in zip(b["anchor"], b["content"], b["m"], b["skip"], b["n"], b["bytes"], strict=True):
+                        if (anchor, content, skip) == before:
                             continue  # a row of documents that repeats
-                        before = anchor, content
-                        rows.append((anchor, content, m, n, at))
+                        before = anchor, content, skip
+                        rows.append((anchor, content, m, skip, n, at))
                         f.write((np.frombuffer(data, np.uint8) + np.uint8(2)).tobytes() + b"\1")
                         at += len(data) + 1
                 f.write(b"\0")
@@ -102,15 +122,15 @@ def _sorted_shards(pieces: DataFrame, length: int, shards: int) -> DataFrame:
                 return
             flags = repeated(np.memmap(path, np.uint8, "r"), length, Path(d))
             out: list[tuple] = []
-            for anchor, content, m, n, start in rows:
+            for anchor, content, m, skip, n, start in rows:
                 own = np.ones(n, bool) if m > 1 else flags[start : start + n]
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]]).astype(np.int8)))
-                out += [(anchor, content, int(a), int(b)) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+                out += [(anchor, content, skip + int(a), skip + int(b)) for a, b in zip(edges[::2], edges[1::2], strict=True)]
             for i in range(0, len(out), 100_000):
                 yield pd.DataFrame(out[i : i + 100_000], columns=["anchor", "content", "a", "b"])
         tidy()
 
-    placed = pieces.repartition(shards, "anchor").sortWithinPartitions("anchor", "content")
+    placed = pieces.repartition(shards, "place").sortWithinPartitions("place", "anchor", "content", "skip")
     return placed.mapInPandas(run, "anchor long, content long, a int, b int")
 
 
@@ -123,27 +143,31 @@ def find_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     contents = stored(contents.join(contents.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor"), "contents")
     alone = contents.where("kinds = 1 AND m > 1").select("anchor", "content", F.lit(0).alias("a"), F.col("one.n").alias("b"))
     several = contents.where("kinds > 1")
-    size = several.agg(F.sum(F.col("one.n") + length)).collect()[0][0] or 0
-    asked = several.groupBy("one.id", "one.k").agg(F.collect_list(F.struct("one.first", "one.n", "anchor", "content", "m")).alias("asked"))
+    size = several.agg(F.sum((F.col("one.n") + length) * F.when(F.col("kinds") > CROWD, PARTS).otherwise(1))).collect()[0][0] or 0
+    asked = several.groupBy("one.id", "one.k").agg(F.collect_list(F.struct("one.first", "one.n", "anchor", "content", "m", "kinds")).alias("asked"))
+    crowd, parts = CROWD, PARTS  # for the workers
 
     def sliced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["place", "anchor", "content", "m", "skip", "n", "bytes"]
         for b in batches:
             out: list[tuple] = []
             held = 0
             for text, wanted in zip(b["text"], b["asked"], strict=True):
                 data = _encoded(text)
                 for w in wanted:
-                    out.append((w["anchor"], w["content"], w["m"], w["n"], data[w["first"] : w["first"] + w["n"] + length - 1]))
-                    held += w["n"] + length
+                    first, n, anchor = w["first"], w["n"], w["anchor"]
+                    for place, skip, count in _parts(data, first, n, anchor, length, parts) if w["kinds"] > crowd else [(anchor, 0, n)]:
+                        out.append((place, anchor, w["content"], w["m"], skip, count, data[first + skip : first + skip + count + length - 1]))
+                        held += count + length
                 if held > 4 << 20:
-                    yield pd.DataFrame(out, columns=["anchor", "content", "m", "n", "bytes"])
+                    yield pd.DataFrame(out, columns=columns)
                     out, held = [], 0
             if out:
-                yield pd.DataFrame(out, columns=["anchor", "content", "m", "n", "bytes"])
+                yield pd.DataFrame(out, columns=columns)
             del out
             tidy()
 
-    pieces = rows.join(asked, ["id", "k"]).select("text", "asked").mapInPandas(sliced, "anchor long, content long, m long, n int, bytes binary")
+    pieces = rows.join(asked, ["id", "k"]).select("text", "asked").mapInPandas(sliced, "place long, anchor long, content long, m long, skip int, n int, bytes binary")
     found = stored(_sorted_shards(pieces, length, max(1, -(-size // SHARD_BYTES))).unionByName(alone), "found")
     at = live.join(found, ["anchor", "content"]).select("id", "k", (F.col("first") + F.col("a")).alias("start"), (F.col("first") + F.col("b") + F.lit(length - 1)).alias("stop"))
     spans = at.groupBy("id", "k").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
