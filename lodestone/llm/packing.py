@@ -43,7 +43,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2)
         for b in batches:
             rows: list[tuple] = []
             held = 0
-            for d, x in zip(b["doc_id"].astype(object), enc.encode(b["text"]), strict=True):
+            for d, x in zip(b["doc_id"], enc.encode(b["text"]), strict=True):
                 ids = np.concatenate([x.astype("<u4"), end])
                 first = len(ids) % capacity or capacity
                 at = 0
@@ -62,10 +62,11 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2)
             tidy()
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", "shard", "place"])
-        return out.astype({"doc_id": "Int64"})
+        ids, *rest = zip(*rows, strict=True)
+        return pd.DataFrame({"doc_id": pd.array(ids, "Int64")} | dict(zip(["piece", "start", "length", "ids", "shard", "place"], rest, strict=True)))
 
-    return docs.select("doc_id", "text").mapInPandas(run, PIECES)
+    # pandas would turn ids beside a null into floats; as text they stay exact.
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, PIECES)
 
 
 class Bins:
@@ -136,7 +137,14 @@ class Bins:
             if y and at >= 0 and sums[at] - y > best:
                 best, step = sums[at] - y, ([pairs[at][1], pairs[at][2]], [y])
             if best == room:
-                break
+                return step
+        # One out of a for two out of b: of b's pairs that are small enough, for each piece of a the largest room they leave is met best.
+        twos = sorted({(x + y, x, y) for i, x in enumerate(b) for y in b[i + 1 :]}) if len(b) <= 40 else []
+        sums = [p[0] for p in twos]
+        for x in ones:
+            at = bisect_left(sums, x - room)
+            if at < len(sums) and best < x - sums[at]:
+                best, step = x - sums[at], ([x], [twos[at][1], twos[at][2]])
         return step
 
     def search(self, most: int = SEARCH) -> None:

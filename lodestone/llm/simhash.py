@@ -53,7 +53,9 @@ def with_fingerprints(docs: DataFrame, size: int = 4, seed: int = 42) -> DataFra
             yield pd.DataFrame({"doc_id": b["doc_id"], "k": b["k"], "fp": fps.view(np.int64)})
             tidy()
 
-    return docs.select("doc_id", _key().alias("k"), "text").mapInPandas(run, "doc_id long, k long, fp long")
+    # pandas would turn ids beside a null into floats; as text they stay exact.
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), _key().alias("k"), "text").mapInPandas(run, "doc_id string, k long, fp long")
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _key() -> Column:

@@ -165,7 +165,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_bytes:
             return pd.DataFrame({"part": [part], "seq": [seq], "n_docs": [len(names)], "n_tokens": [held], "payload": [pack_file(names, lengths, np.concatenate(ids), bits)]})
 
         for b in batches:
-            names_in = [None if pd.isna(d) else int(d) for d in b["doc_id"].astype(object)]
+            names_in = [None if pd.isna(d) else int(d) for d in b["doc_id"]]
             for d, x in zip(names_in, enc.encode(b["text"]), strict=True):
                 ids += [x.astype(dtype, copy=False), end]
                 names.append(d)
@@ -178,7 +178,8 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_bytes:
             yield close()
         tidy()
 
-    return rows.select("doc_id", "text").mapInPandas(run, SHARD)
+    # pandas would turn ids beside a null into floats; as text they stay exact.
+    return rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SHARD)
 
 
 def read_shards(shards: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def test_near_duplicates_and_keeping_one(spark):
         if i % 3:
             words[random.randrange(len(words))] = "new"
         rows.append((100 - i, " ".join(words)))
-    rows += [(7, None), (8, ""), (9, " \n"), (None, base[0]), (None, "lonely text of no one else here"), (41, rows[0][1]), (41, rows[0][1]), (41, rows[0][1])]
+    rows += [(7, None), (8, ""), (9, " \n"), (None, base[0]), (None, "lonely text of no one else here"), (2**60 + 1, "another lonely text"), (41, rows[0][1]), (41, rows[0][1]), (41, rows[0][1])]
     df = spark.createDataFrame([(d, t, "s", 1) for d, t in rows], "doc_id long, text string, fp string, root int")
     fps, parent = [plain_fingerprint(t) for _, t in rows], list(range(len(rows)))
 
@@ -122,7 +123,9 @@ def removed(texts, length=200):
     return out
 
 
-def test_suffix_dedup_against_brute_force(spark):
+@pytest.mark.parametrize("crowd", [256, 1])
+def test_suffix_dedup_against_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
     random.seed(11)
     letters = "abcdé \n"
     make = lambda n: "".join(random.choice(letters) for _ in range(n))
@@ -151,7 +154,7 @@ def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
         before = {r.doc_id: r.text for r in docs.collect()}
-        path = corpus_pipeline.shared_dir(spark) + f"/stage-{random.random()}"
+        path = corpus_pipeline.workspace(spark) + f"/stage-{i}"
         stage(spark, docs, sf).write.parquet(path)
         out = spark.read.parquet(path)
         if i < 4:

@@ -47,7 +47,7 @@ def test_wavelet_matrix():
 
 
 def table(spark, some):
-    rows = [(len(some) - i, t, "x") for i, t in enumerate(some)] + [(None, "no id", "x"), (3, "again", "x"), (3, "again", "x")]
+    rows = [(len(some) - i, t, "x") for i, t in enumerate(some)] + [(None, "no id", "x"), (2**60 + 1, "long id", "x"), (3, "again", "x"), (3, "again", "x")]
     return rows, spark.createDataFrame(rows, "doc_id long, text string, ids string")
 
 
