@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import chunk_id, node_id
+from ..sources.shared import stored
 from .ontology import RULES, rules
 
 HEADING = re.compile(r"^(\d+(\.\d+)*\s+.+|[A-Z][A-Z0-9 ,\-()]{6,})$")
@@ -101,6 +102,7 @@ def parse(payloads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     bare = F.regexp_replace("raw_json", r"(?s)^\s*```(?:json)?\s*|\s*```\s*$", "")
     rows = payloads.select("chunk_id", F.from_json(bare, PAYLOAD, {"mode": "PERMISSIVE"}).alias("p"), F.trim(bare).startswith("{").alias("object"))
     rows = rows.withColumn("bad", (~F.col("object") | (F.col("p.entities").isNull() & F.col("p.relations").isNull())).cast("long"))
+    rows = stored(rows, "payloads")  # read five times below, parsed once
     found = rows.select("chunk_id", F.posexplode("p.entities").alias("at", "e")).select("chunk_id", "at", "e.type", "e.name", F.coalesce("e.key", "e.name").alias("key"))
     good = found.where(F.col("type").isin(known) & F.col("name").isNotNull())
     nodes = good.groupBy("chunk_id", "key").agg(F.max_by(F.struct("type", "name"), "at").alias("e")).select("chunk_id", "key", "e.type", "e.name").withColumn("node_id", node_id(F.col("type"), F.col("key")))

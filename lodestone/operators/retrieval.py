@@ -20,6 +20,12 @@ def postings(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
     return rows.groupBy("doc_id", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
 
 
+def lengths(docs: DataFrame) -> tuple[int, float]:
+    """How many texts there are, those without terms included, and how many terms they have on average."""
+    n, total = docs.agg(F.count("*"), F.sum(F.size(terms("text")))).first()
+    return n, (total or 0) / n if n else 1.0
+
+
 def bm25(index: DataFrame, queries: DataFrame, n_docs: int, mean_length: float, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """query_id, doc_id, score. queries: (query_id, text). Terms of the queries alone are counted and joined."""
     asked = queries.select("query_id", F.explode(F.array_distinct(terms("text"))).alias("term"))

@@ -34,10 +34,9 @@ def _asked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = retrieval.postings(table(spark, sf_dir, "documents"))
-    n, mean = index.select("doc_id", "length").distinct().agg(F.count("*"), F.sum("length") / F.count("*")).first()
-    empty = table(spark, sf_dir, "documents").count() - n  # documents without terms count, too
-    hits = retrieval.bm25(index, _asked(spark, sf_dir), n + empty, mean * n / (n + empty) if n else 1.0)
+    docs = table(spark, sf_dir, "documents")
+    n, mean = retrieval.lengths(docs)
+    hits = retrieval.bm25(retrieval.postings(docs), _asked(spark, sf_dir), n, mean)
     return retrieval.top(hits.withColumn("score", F.round("score", 6)), "score", 20)
 
 

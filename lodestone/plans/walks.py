@@ -28,7 +28,12 @@ SEEDS = f", seeds AS (SELECT node_id FROM nodes WHERE canonical_key IN ('S1', 'S
 
 def _hot(spark: SparkSession, sf_dir: str, cap: int = 5000) -> tuple[DataFrame, DataFrame]:
     nodes = builders.nodes(spark, sf_dir)
-    return graph.hot_edges(builders.edges(spark, sf_dir), nodes, TYPES, cap, DAY), nodes
+    specs = tuple(s for s in builders.EDGES if s.src[0] in TYPES and s.dst[0] in TYPES)  # no other edge can be hot
+    return graph.hot_edges(builders.edges(spark, sf_dir, specs), nodes, TYPES, cap, DAY), nodes
+
+
+def _structure() -> tuple:
+    return tuple(s for s in builders.EDGES if s.edge_type in ("LOCATED_IN", "ROLLS_UP_TO"))
 
 
 def _seeds(nodes: DataFrame) -> DataFrame:
@@ -86,7 +91,7 @@ reach AS (SELECT {start} AS node_id, 0 AS level UNION SELECT dst, level + 1 FROM
 
 
 def _around(spark: SparkSession, sf_dir: str, key: str, hops: int) -> DataFrame:
-    edges = builders.edges(spark, sf_dir).where("edge_type IN ('LOCATED_IN', 'ROLLS_UP_TO')")
+    edges = builders.edges(spark, sf_dir, _structure())
     return graph.levels(edges, spark.range(1).select(node_id(F.lit("Jurisdiction"), F.lit(key)).alias("node_id")), hops)
 
 
@@ -172,5 +177,5 @@ r0 AS (SELECT src AS node_id, 1.0::DOUBLE / count(*) OVER () AS rank FROM (SELEC
 
 @query(_rank_sql(20))
 def pagerank_20it(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = builders.edges(spark, sf_dir).where("edge_type IN ('ROLLS_UP_TO', 'LOCATED_IN')")
+    edges = builders.edges(spark, sf_dir, _structure())
     return graph.pagerank(edges, 20).select("node_id", F.round("rank", 9).alias("rank"))
