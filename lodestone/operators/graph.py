@@ -25,6 +25,7 @@ def hot_edges(edges: DataFrame, nodes: DataFrame, types: tuple[str, ...], degree
     rows = rows.where(holds(day)) if day else rows
     warm = nodes.where(F.col("node_type").isin(*types)).select("node_id")
     rows = rows.join(warm.withColumnRenamed("node_id", "src"), "src", "left_semi").join(warm.withColumnRenamed("node_id", "dst"), "dst", "left_semi")
+    rows = stored(rows, "hot")  # needed twice: for the degrees and for the edges
     return rows.join(degrees(rows).where(F.col("degree") > degree_cap).select("src"), "src", "left_anti")
 
 
