@@ -41,7 +41,7 @@ def top(rows: DataFrame, by: str, k: int, group: str | None = "query_id", tie: s
     if group is None:
         return rows.orderBy(F.desc(by), tie).limit(k)
     w = W.partitionBy(group).orderBy(F.desc(by), tie)
-    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return rows.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k)
 
 
 def term_overlap(docs: DataFrame, queries: DataFrame, least: int = 3) -> DataFrame:

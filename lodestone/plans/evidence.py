@@ -130,9 +130,9 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'c_' || event_id AS chunk_id, CASE WHEN event_id % 11 = 0 THEN 0 WHEN event_type = 'error' THEN 1 ELSE 2 END AS n_nodes,
-  CASE WHEN event_id % 11 <> 0 AND event_type NOT IN ('error', 'click', 'view') THEN 1 ELSE 0 END AS n_edges,
-  CASE WHEN event_id % 11 = 0 THEN 1 WHEN event_type = 'error' THEN 2 WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END AS n_rejected FROM events"""
+    """SELECT 'c_' || event_id AS chunk_id, (CASE WHEN event_id % 11 = 0 THEN 0 WHEN event_type = 'error' THEN 1 ELSE 2 END)::BIGINT AS n_nodes,
+  (CASE WHEN event_id % 11 <> 0 AND event_type NOT IN ('error', 'click', 'view') THEN 1 ELSE 0 END)::BIGINT AS n_edges,
+  (CASE WHEN event_id % 11 = 0 THEN 1 WHEN event_type = 'error' THEN 2 WHEN event_type IN ('click', 'view') THEN 1 ELSE 0 END)::BIGINT AS n_rejected FROM events"""
 )
 def extract_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.parse(_payloads(spark, sf_dir))[2]
