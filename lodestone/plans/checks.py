@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
-from ..operators import communities, gates
+from ..operators import communities, gates, temporal
 from ..operators.retrieval import top
 from ..sources import builders
 from .core import PROPOSED_SQL, _proposed, _versions
 from .evidence import KNN, _vectors
 from .registry import GRAPH, VERSIONS, query, table
+from .walks import DAY
 
 
 @query(GRAPH + PROPOSED_SQL + " SELECT edge_type, src, dst FROM typed WHERE src_type IS NULL OR dst_type IS NULL")
@@ -68,19 +69,14 @@ def recall_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.recall_at_k(truth, near.select("query_id", F.col("vec_id").alias("id"), "rank"), 10)
 
 
-def _trade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations joined by the customers and suppliers that deal with each other: a small weighted graph."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    pairs = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_suppkey", "o_custkey").agg(F.sum("l_quantity").alias("weight"))
-    named = pairs.join(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-    rows = named.groupBy(F.concat(F.lit("N"), "s_nationkey").alias("src"), F.concat(F.lit("N"), "c_nationkey").alias("dst")).agg(F.sum("weight").alias("weight"))
-    return rows.where("src != dst AND pmod(hash(src, dst), 4) = 0")
+def _exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All edges on which risk travels, as of a day."""
+    return temporal.as_of(builders.edges(spark, sf_dir), DAY).where(F.col("edge_type").isin("EXPOSED_TO", "FUNDS", "PARENT_OF"))
 
 
 @query()
 def community_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return communities.community_labels(_trade(spark, sf_dir))
+    return communities.community_labels(_exposures(spark, sf_dir))
 
 
 @query(
@@ -93,14 +89,14 @@ def community_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def fiedler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return communities.spectral_features(_trade(spark, sf_dir)).select("node_id", "spectral_gap", "fiedler_coord")
+    return communities.spectral_features(_exposures(spark, sf_dir)).select("node_id", "spectral_gap", "fiedler_coord")
 
 
 @query()
 def magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return communities.spectral_features(_trade(spark, sf_dir)).select("node_id", "magnitude")
+    return communities.spectral_features(_exposures(spark, sf_dir)).select("node_id", "magnitude")
 
 
 @query()
 def betweenness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return communities.spectral_features(_trade(spark, sf_dir)).select("node_id", "betweenness")
+    return communities.spectral_features(_exposures(spark, sf_dir)).select("node_id", "betweenness")
