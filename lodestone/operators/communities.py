@@ -1,7 +1,6 @@
 """Communities and spectral measures, one connected component at a time.
 
-A component is worked on by one task in numpy; components above ``LARGEST`` nodes are not, and keep the component as their
-community (see community_labels) or null measures.
+A component of any size is worked on whole, by one task in numpy: its nodes and edges have to fit into that task's memory.
 """
 
 from __future__ import annotations
@@ -15,8 +14,10 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 
-#: Nodes of a component that one task takes in, and those for which dense matrices are built.
-LARGEST, DENSE = 50_000, 2_000
+#: Nodes up to which matrices are dense; neighbours from which the rest of an elimination is done by a dense matrix.
+DENSE, CROWDED = 2_000, 60
+#: exp(-FAR) is nothing beside the rounding of numbers about 1, even as a sum over many nodes.
+FAR = 50.0
 
 
 def louvain(n: int, links: dict[tuple[int, int], float], resolution: float = 1.0) -> list[int]:
@@ -113,21 +114,103 @@ def community_labels(edges: DataFrame, levels: int = 3) -> DataFrame:
         return pd.DataFrame(out, columns=["node_id", "level", "community_id", "parent_id"])
 
     schema = "node_id string, level int, community_id string, parent_id string"
-    small = rows.where(F.col("nodes") <= LARGEST).select("component", "src", "dst", "weight").groupBy("component").applyInPandas(run, schema)
-    large = rows.where(F.col("nodes") > LARGEST).select("component", F.explode(F.array("src", "dst")).alias("node_id")).distinct()
-    return small.unionByName(large.select("node_id", F.lit(0).alias("level"), F.concat("component", F.lit("_L0_0")).alias("community_id"), F.lit(None).cast("string").alias("parent_id")))
+    return rows.select("component", "src", "dst", "weight").groupBy("component").applyInPandas(run, schema)
 
 
 def fiedler(n: int, links: dict[tuple[int, int], float]) -> tuple[float, np.ndarray]:
     """(second smallest eigenvalue, its vector) of the normalised Laplacian; the vector's first number that is not zero is positive."""
+    value, v = _fiedler_dense(n, links) if n <= DENSE or min(links.values()) <= 0 else _fiedler_sparse(n, links)
+    big = np.flatnonzero(np.abs(v) > 1e-9)
+    return value, v * (np.sign(v[big[0]]) if len(big) else 1.0)
+
+
+def _fiedler_dense(n: int, links: dict[tuple[int, int], float]) -> tuple[float, np.ndarray]:
     a = np.zeros((n, n))
     for (i, j), w in links.items():
         a[i, j] = a[j, i] = w
     d = 1 / np.sqrt(np.maximum(a.sum(1), 1e-12))
     values, vectors = np.linalg.eigh(np.eye(n) - d[:, None] * a * d)
-    v = vectors[:, 1]
-    big = np.flatnonzero(np.abs(v) > 1e-9)
-    return float(values[1]), v * (np.sign(v[big[0]]) if len(big) else 1.0)
+    return float(values[1]), vectors[:, 1]
+
+
+class Laplacian:
+    """Solves L x = b for the Laplacian of a connected graph and any b that adds up to zero.
+
+    The node of fewest neighbours is taken out, which joins its neighbours with each other (all terms are positive, so
+    nothing cancels); once all have more than CROWDED neighbours, the rest is solved as a dense matrix.
+    """
+
+    def __init__(self, n: int, links: dict[tuple[int, int], float]) -> None:
+        near: list[dict[int, float]] = [{} for _ in range(n)]
+        for (a, b), w in links.items():
+            near[a][b] = near[b][a] = w
+        heap, self.out = [(len(x), i) for i, x in enumerate(near)], []
+        heapq.heapify(heap)
+        gone = [False] * n
+        while heap:
+            size, v = heapq.heappop(heap)
+            if gone[v] or size != len(near[v]):
+                continue
+            if size > CROWDED or len(self.out) == n - 1:
+                break
+            ties = list(near[v].items())
+            total, gone[v] = sum(w for _, w in ties), True
+            self.out.append((v, np.array([a for a, _ in ties]), np.array([w / total for _, w in ties]), total))
+            for k, (a, w) in enumerate(ties):
+                del near[a][v]
+                for b, u in ties[:k]:
+                    near[a][b] = near[b][a] = near[a].get(b, 0.0) + w * u / total
+            for a, _ in ties:
+                heapq.heappush(heap, (len(near[a]), a))
+        self.core = [v for v in range(n) if not gone[v]]
+        at, m = {v: i for i, v in enumerate(self.core)}, len(self.core) - 1
+        full = np.zeros((m + 1, m + 1))
+        for v in self.core:
+            for a, w in near[v].items():
+                full[at[v], at[a]] = -w
+            full[at[v], at[v]] = sum(near[v].values())
+        self.inverse = np.linalg.inv(full[:m, :m])  # the last node is held at zero
+
+    def solve(self, b: np.ndarray) -> np.ndarray:
+        b, x = b.copy(), np.zeros(len(b))
+        for v, near, share, _ in self.out:
+            b[near] += share * b[v]
+        x[self.core[:-1]] = self.inverse @ b[self.core[:-1]]
+        for v, near, share, total in reversed(self.out):
+            x[v] = b[v] / total + share @ x[near]
+        return x
+
+
+def _fiedler_sparse(n: int, links: dict[tuple[int, int], float], most: int = 300) -> tuple[float, np.ndarray]:
+    """As _fiedler_dense for a connected graph, by Lanczos steps on the inverse, until the eigenvector stands to nine digits."""
+    laplacian = Laplacian(n, links)
+    i, j, w = np.array([k[0] for k in links]), np.array([k[1] for k in links]), np.array(list(links.values()))
+    root = np.sqrt(np.bincount(i, w, n) + np.bincount(j, w, n))
+    null = root / np.linalg.norm(root)
+    basis, images = [], []
+    q = np.random.default_rng(7).standard_normal(n)
+    for step in range(min(most, n - 1)):
+        for _ in range(2):
+            q = q - null * (null @ q)
+            for u in basis:
+                q = q - u * (u @ q)
+        size = np.linalg.norm(q)
+        if step and size < 1e-13 * np.linalg.norm(images[-1]):
+            break
+        basis.append(q / size)
+        b = root * basis[-1]
+        q = root * laplacian.solve(b - root * root * (b.sum() / (root @ root)))
+        q = q - null * (null @ q)
+        images.append(q)
+        small = np.array(basis) @ np.array(images).T
+        values, vectors = np.linalg.eigh((small + small.T) / 2)
+        if np.linalg.norm(vectors[:, -1] @ np.array(images) - values[-1] * (vectors[:, -1] @ np.array(basis))) <= 1e-10 * values[-1]:
+            break
+    else:
+        if step + 1 < n - 1:
+            raise ArithmeticError(f"no eigenvector of {n} nodes after {most} steps")
+    v = vectors[:, -1] @ np.array(basis)
+    return float(1 / values[-1]), v / np.linalg.norm(v)
 
 
 def distances(n: int, links: dict[tuple[int, int], float]) -> np.ndarray:
@@ -159,6 +242,76 @@ def magnitude(d: np.ndarray, t: float = 1.0) -> np.ndarray:
         return np.zeros(len(d))
 
 
+def magnitude_of(n: int, links: dict[tuple[int, int], float], t: float = 1.0) -> np.ndarray:
+    """magnitude(distances(n, links), t), without the pairs that are farther apart than FAR / t.
+
+    A path that counts has short edges only: nodes that no such path joins don't touch each other's share, so each
+    group of joined nodes is solved by itself; small groups as dense matrices, others by conjugate residuals.
+    """
+    if n <= DENSE:
+        return magnitude(distances(n, links), t)
+    near: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+    for (a, b), w in links.items():
+        if t * w <= FAR:
+            near[a].append((b, w))
+            near[b].append((a, w))
+    out, seen = np.zeros(n), [False] * n
+    for s in range(n):
+        if seen[s]:
+            continue
+        group, seen[s] = [s], True
+        for x in group:
+            for y, _ in near[x]:
+                if not seen[y]:
+                    seen[y] = True
+                    group.append(y)
+        share = _share(group, near, t)
+        if share is None:
+            return np.zeros(n)
+        out[group] = share
+    return out
+
+
+def _share(group: list[int], near: list[list[tuple[int, float]]], t: float) -> np.ndarray | None:
+    """The shares of a group of nodes; None if its matrix can't be solved."""
+    at, m = {x: k for k, x in enumerate(group)}, len(group)
+    rows, cols, vals = [], [], []
+    for x in group:
+        far, done, heap = {x: 0.0}, set(), [(0.0, x)]
+        while heap:
+            d, y = heapq.heappop(heap)
+            if y in done:
+                continue
+            done.add(y)
+            for z, w in near[y]:
+                if t * (d + w) <= FAR and d + w < far.get(z, np.inf):
+                    far[z] = d + w
+                    heapq.heappush(heap, (d + w, z))
+        rows.append(np.full(len(far), at[x]))
+        cols.append(np.array([at[y] for y in far]))
+        vals.append(np.exp(-t * np.array(list(far.values()))))
+    i, j, z = np.concatenate(rows), np.concatenate(cols), np.concatenate(vals)
+    if m > DENSE:
+        times = lambda v: np.bincount(i, z * v[j], m)
+        x, r = np.zeros(m), np.ones(m)
+        p, zr = r.copy(), times(r)
+        zp = zr.copy()
+        for _ in range(m):
+            if np.linalg.norm(r) <= 1e-12 * m**0.5:
+                return x
+            bend = r @ zr
+            step = bend / (zp @ zp)
+            x, r = x + step * p, r - step * zp
+            zr = times(r)
+            p, zp = r + (r @ zr) / bend * p, zr + (r @ zr) / bend * zp
+    full = np.zeros((m, m))
+    full[i, j] = z
+    try:
+        return np.linalg.solve(full, np.ones(m))
+    except np.linalg.LinAlgError:
+        return None
+
+
 def betweenness(n: int, links: dict[tuple[int, int], float], pivots: int = 200, seed: int = 7) -> np.ndarray:
     """Brandes over weights as distances, from all nodes or, above ``pivots``, from a fixed sample scaled up; normalised for undirected graphs."""
     near: list[list[tuple[int, float]]] = [[] for _ in range(n)]
@@ -194,16 +347,13 @@ def betweenness(n: int, links: dict[tuple[int, int], float], pivots: int = 200,
 
 
 def spectral_features(edges: DataFrame, t: float = 1.0) -> DataFrame:
-    """node_id, spectral_gap, fiedler_coord, magnitude, betweenness of components of 3 to LARGEST nodes; the dense ones up to DENSE nodes only."""
-    rows = by_component(edges).where(F.col("nodes").between(3, LARGEST)).select("component", "src", "dst", "weight")
+    """node_id, spectral_gap, fiedler_coord, magnitude, betweenness of each node of a component of three nodes or more; two nodes have nothing to measure."""
+    rows = by_component(edges).where("nodes >= 3").select("component", "src", "dst", "weight")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         names, links = _graph(pdf)
         n = len(names)
-        gap, coord, share = None, [None] * n, [None] * n
-        if n <= DENSE:
-            gap, v = fiedler(n, links)
-            coord, share = v, magnitude(distances(n, links), t)
-        return pd.DataFrame({"node_id": names, "spectral_gap": gap, "fiedler_coord": coord, "magnitude": share, "betweenness": betweenness(n, links)})
+        gap, coord = fiedler(n, links)
+        return pd.DataFrame({"node_id": names, "spectral_gap": gap, "fiedler_coord": coord, "magnitude": magnitude_of(n, links, t), "betweenness": betweenness(n, links)})
 
     return rows.groupBy("component").applyInPandas(run, "node_id string, spectral_gap double, fiedler_coord double, magnitude double, betweenness double")
