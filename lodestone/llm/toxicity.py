@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import tidy
 from .quality import labelled
 
-#: Labelled rows fitted on at most, windows taken of each, words of a window, words between two windows' starts.
+#: Labelled rows fitted on at most, windows learnt from of each (so many evenly spread and so many that look worst), words of a window, words between two windows' starts.
 FIT_ROWS, FIT_WINDOWS, WINDOW, STRIDE = 4_000, 10, 48, 32
 #: Embedded words, buckets of character n-grams, sizes of either embedding, of a direction's state and of the attention.
 VOCABULARY, BUCKETS, SIZE, STATE, ATTENTION = 4_096, 1 << 15, 8, 8, 8
@@ -275,8 +275,17 @@ class Scorer:
                 self.filled += len(part)
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
+    def looks(self, words: list[bytes], starts: np.ndarray) -> np.ndarray:
+        """Logits of some windows of a text of at least WINDOW words."""
+        ids = self._numbers(words)
+        return self.network.windows(self.table, ids[starts[:, None] + np.arange(WINDOW)])
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        """Probability of toxicity of each text; at about 2 million characters at a time."""
+        """Probability of toxicity of each text."""
+        return _sigmoid(self.network.slope * self.worst(texts) + self.network.shift)
+
+    def worst(self, texts: list[str | None]) -> np.ndarray:
+        """Logit of each text's worst window; at about 2 million characters at a time."""
         out: list[np.ndarray] = []
         some: list[list[bytes]] = []
         held = 0
@@ -313,27 +322,61 @@ class Scorer:
             for k, (_, s, n) in enumerate(part):
                 at[k, :n] = ids[s : s + n]
             worst[[x[0] for x in part]] = self.network.forward(self.table, at)[0]
-        return _sigmoid(self.network.slope * worst.astype(np.float64) + self.network.shift)
+        return worst.astype(np.float64)
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Network:
-    """A network fitted on at most ``most`` labelled rows (labels.toxic), never held-out ones, of each at most FIT_WINDOWS windows, evenly spread; without labelled rows it is left untrained."""
-    learn = labelled(docs, labels, "toxic", most)
+def chosen_windows(learn: DataFrame, network: Network | None = None) -> list[tuple[int, int, bytes, int]]:
+    """(doc_id, start, words, label) of FIT_WINDOWS windows of each text, evenly spread; with a network also of the FIT_WINDOWS that look worst to it among all windows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = network and Scorer(network)
         for b in batches:
             rows = []
             for d, y, t in zip(b["doc_id"], b["y"], b["text"], strict=True):
                 ws = tokens(t)
                 starts = cut(len(ws))
-                for s in starts[np.unique(np.linspace(0, len(starts) - 1, FIT_WINDOWS).astype(int))].tolist():
+                use = np.unique(np.linspace(0, len(starts) - 1, FIT_WINDOWS).astype(int))
+                if scorer and len(starts) > len(use):
+                    use = np.union1d(use, np.argsort(-scorer.looks(ws, starts), kind="stable")[:FIT_WINDOWS])
+                for s in starts[use].tolist():
                     rows.append((d, s, y, b" ".join(ws[s : s + WINDOW])))
             yield pd.DataFrame(rows, columns=["doc_id", "at", "y", "words"])
+            tidy()
 
     taken = learn.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, at long, y int, words binary").distinct().collect()
-    taken = sorted((r["doc_id"], r["at"], bytes(r["words"]), r["y"]) for r in taken)
-    number = {d: i for i, d in enumerate(dict.fromkeys(r[0] for r in taken))}
-    return Network().fit([(number[d], float(y), w.split()) for d, _, w, y in taken])
+    return sorted((r["doc_id"], r["at"], bytes(r["words"]), r["y"]) for r in taken)
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Network:
+    """A network fitted on at most ``most`` labelled rows (labels.toxic), never held-out ones; without labelled rows it is left untrained.
+
+    A first network learns from evenly spread windows and looks at all windows of the rows; if any text has more than
+    were taken, the network is fitted anew with those that look worst. It is calibrated on the worst of all windows of
+    each text, which is what scoring takes.
+    """
+    learn = labelled(docs, labels, "toxic", most)
+
+    def fitted(taken: list[tuple[int, int, bytes, int]]) -> Network:
+        number = {d: i for i, d in enumerate(dict.fromkeys(r[0] for r in taken))}
+        return Network().fit([(number[d], float(y), w.split()) for d, _, w, y in taken])
+
+    taken = chosen_windows(learn)
+    network = fitted(taken)
+    if not taken or max(Counter(r[0] for r in taken).values()) < FIT_WINDOWS:
+        return network  # all windows of all texts were taken
+    more = chosen_windows(learn, network)
+    if more != taken:
+        network = fitted(more)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(network)
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "look": scorer.worst(list(b["text"]))})
+            tidy()
+
+    rows = learn.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, y int, look double").groupBy("doc_id", "y").agg(F.max("look").alias("look")).orderBy("doc_id").collect()
+    network._calibrate(np.array([r["look"] for r in rows]), np.array([float(r["y"]) for r in rows]))
+    return network
 
 
 def score(docs: DataFrame, network: Network, column: str = "score") -> DataFrame:

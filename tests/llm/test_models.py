@@ -76,6 +76,35 @@ def test_toxicity_on_held_out_rows(spark):
     toxicity.fit(docs, labels.limit(0))
 
 
+def test_toxicity_learns_from_all_windows_of_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity.Network.fit, "__defaults__", (5, 100, 64, 0.01, 5))  # fewer and smaller steps
+    rng = random.Random(3)
+    plain = lambda n: [rng.choice("river stone cloud paper garden window letter music bread table".split()) for _ in range(n)]
+    starts = toxicity.cut(3000)
+    taken = starts[np.unique(np.linspace(0, len(starts) - 1, toxicity.FIT_WINDOWS).astype(int))]
+    free = next(int(s) for s in starts if all(abs(s - t) > toxicity.WINDOW for t in taken))
+    rows = []
+    for i in range(64):
+        ws = plain(30 if i % 8 == 0 else 3000)
+        toxic = i % 8 in (0, 1)
+        if toxic:
+            at = 5 if i % 8 == 0 else free + 20
+            ws[at : at + 4] = "vile scum hateful filth".split()
+        rows.append((i, " ".join(ws), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    network = toxicity.fit(df, df)
+    learn = quality.labelled(df, df, "toxic", 4000)
+    hidden = {r[0] for r in toxicity.chosen_windows(learn, network) if b"scum" in r[2]}
+    learnt = {r.doc_id for r in learn.where("y = 1").collect()}
+    assert hidden == learnt
+    p = {r.doc_id: r.score for r in toxicity.score(df, network).collect()}
+    assert min(p[i] for i, _, y in rows if y) > 0.5 > max(p[i] for i, _, y in rows if not y)
+    used = [r for r in rows if r[0] in {x.doc_id for x in learn.select("doc_id").collect()}]
+    again = toxicity.Network()
+    again._calibrate(toxicity.Scorer(network).worst([t for _, t, _ in used]), np.array([float(y) for _, _, y in used]))
+    assert abs(again.slope - network.slope) < 1e-3 and abs(again.shift - network.shift) < 1e-3
+
+
 def test_gradients():
     network = toxicity.Network(seed=3)
     for k, v in network.p.items():
