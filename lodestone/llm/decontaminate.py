@@ -59,9 +59,9 @@ def find_windows(documents: DataFrame, benchmark: DataFrame, n: int = 13) -> tup
     for w in sorted(facts):
         j = w // 2 + 1
         k = w - j + 1
-        # Step 1 lower-cases all letters, which is faster and merges only more: equal windows stay equal, and no word breaks or joins.
-        grams = wins.where(F.col("w") == w).select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(w - j + 1)), lambda i: F.xxhash64(F.transform(F.slice("win", i, j), F.lower)))).alias("g")).distinct()
-        ws = rows.select("id", "k", words(F.lower("text")).alias("ws")).where(F.size("ws") >= w)
+        # A-Z only, as in the windows: the lower form of other letters may depend on those around the word.
+        grams = wins.where(F.col("w") == w).select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(w - j + 1)), lambda i: F.xxhash64(F.slice("win", i, j)))).alias("g")).distinct()
+        ws = rows.select("id", "k", words(ascii_lower(F.col("text"))).alias("ws")).where(F.size("ws") >= w)
         at = ws.select("id", "k", F.explode(F.transform(F.sequence(F.lit(1), F.size("ws") - j + 1, F.lit(k)), lambda i: F.xxhash64(F.slice("ws", i, j)))).alias("g"))
         hit = at.join(_small(grams, small), "g", "left_semi").select("id", "k")
         found = hit if found is None else found.unionByName(hit)

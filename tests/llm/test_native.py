@@ -119,3 +119,10 @@ def test_large_benchmarks_need_no_broadcast(spark, monkeypatch):
     got = decontaminate.digest(decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")))
     assert sorted(tuple(r) for r in got.collect()) == sorted(contaminated(docs, bench))
     assert F is not None
+
+
+def test_contamination_with_capital_sigmas(spark):
+    text = " ".join(f"\u0391{i}.\u03a3" for i in range(13))
+    docs = spark.createDataFrame([(1, text), (2, "other words here")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, text)], "item_id long, text string")
+    assert {r.doc_id: r.contaminated for r in decontaminate.contamination(docs, items).collect()} == {1: True, 2: False}
