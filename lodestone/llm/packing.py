@@ -2,8 +2,10 @@
 
 Pieces of one length are interchangeable, so the packing is worked out on the histogram of lengths: at most ``capacity``
 numbers, whatever the corpus' size. Bins with the same contents are one pattern with a count. Best fit, longest lengths
-first, gives the start; local search then improves it: documents move or are exchanged, one for one or two for one,
-between underfull bins wherever the sum of the squared fills rises, until bins run empty or nothing rises any more.
+first, gives the start; local search then improves it: documents move or are exchanged, one for one, two for one or one
+for two, from an emptier to a fuller underfull bin. Each step raises the sum of the squared fills; the search ends where
+no step is left that does, or where fewer bins can't be had. What each pattern could give away is indexed, so that a look
+at a bin costs the same however many there are.
 The pieces then take the places of their length by rank. Ranks come from counts per shard and length, so that no group
 of pieces ever meets in one task.
 """
@@ -13,6 +15,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -21,15 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored, tidy
-from .tokens import encoder
+from .common import fresh, stored, tidy, totals_before
+from .tokens import Tokenizers, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary, shard int, place long"
-#: Most pairs of patterns that the local search looks at.
-SEARCH = 400_000
+#: Shards up to which their counts (8 bytes for each length up to the capacity: 8 kB, so 34 MB) are broadcast; more are joined by a shuffle.
+BROADCAST_SHARDS = 4_096
 
 
-def cut(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2) -> DataFrame:
+def cut(docs: DataFrame, tokenizer: Tokenizers, capacity: int = 1024, end_id: int = 2) -> DataFrame:
     """(doc_id, text) -> pieces: doc_id, piece, start, length, ids (little-endian unsigned 32-bit), and shard, place.
 
     A document's ids end with ``end_id``. Only documents longer than ``capacity`` are cut, into pieces of that length,
@@ -111,71 +114,121 @@ class Bins:
         for c in by_room.values():
             self.count.update(c)
 
-    def _put(self, items: list[int], n: int) -> None:
-        if items:
-            self.count[tuple(sorted(items, reverse=True))] += n
-
     def _take(self, items: tuple, n: int) -> None:
         self.count[items] -= n
         if not self.count[items]:
             del self.count[items]
 
-    def exchange(self, a: tuple, b: tuple) -> tuple[list[int], list[int]] | None:
-        """The best step from the emptier bin a to the fuller bin b: (out of a, out of b), or None if the squares can't rise.
-
-        What b gains, a loses; with b the fuller one the sum of squares rises with any gain, and most with the largest.
+    @staticmethod
+    def _pairs(items: tuple) -> dict[int, tuple[int, int]]:
+        """Sums of two pieces of a bin, each with such a pair."""
+        kinds, many = sorted(set(items)), Counter(items)
+        return {x + y: (x, y) for i, x in enumerate(kinds) for y in kinds[i:] if x != y or many[x] > 1}
+
+    def _parts(self, items: tuple) -> Iterator[tuple[int, int]]:
+        """(1, length) of each kind of piece and (2, sum) of each kind of pair that a bin can give away."""
+        yield from ((1, x) for x in set(items))
+        yield from ((2, x) for x in self._pairs(items))
+
+    def _offer(self, items: tuple) -> None:
+        """Files an underfull pattern under everything that it can give away."""
+        fill = sum(items)
+        for kind, size in self._parts(items):
+            heappush(self.offers.setdefault((kind, size), []), (fill, items))
+            self.least[kind][size] = min(self.least[kind][size], fill)
+
+    def _emptiest(self, kind: int, size: int, but: tuple | None = None) -> tuple | None:
+        """The emptiest pattern that can give such a part, other than ``but``."""
+        heap = self.offers.get((kind, size), [])
+        while heap and not self.count.get(heap[0][1]):
+            heappop(heap)
+        if not heap or heap[0][1] != but:
+            return heap[0][1] if heap else None
+        own = heappop(heap)
+        found = self._emptiest(kind, size, but)
+        heappush(heap, own)
+        return found
+
+    def _refresh(self, items: tuple, but: tuple | None = None) -> None:
+        for kind, size in self._parts(items):
+            found = self._emptiest(kind, size, but)
+            self.least[kind][size] = self.capacity if found is None else sum(found)
+
+    def step(self, b: tuple) -> tuple[tuple, list[int], list[int]] | None:
+        """The step that adds most to bin b: (a bin a that is no fuller, out of a, out of b), or None if no such step adds anything.
+
+        Steps are moves, and exchanges of one for one, two for one and one for two. What b gains, a loses; as b is the fuller
+        one, the sum of squares rises with any gain.
         """
-        room, best, step = self.capacity - sum(b), 0, None
-        ones = sorted(set(a))
-        pairs = sorted({(x + y, x, y) for i, x in enumerate(a) for y in a[i + 1 :]}) if len(a) <= 40 else []
-        sums = [p[0] for p in pairs]
-        for y in (0, *sorted(set(b))):
-            at = bisect_left(ones, room + y + 1) - 1
-            if at >= 0 and ones[at] - y > best:
-                best, step = ones[at] - y, ([ones[at]], [y] if y else [])
-            at = bisect_left(sums, room + y + 1) - 1
-            if y and at >= 0 and sums[at] - y > best:
-                best, step = sums[at] - y, ([pairs[at][1], pairs[at][2]], [y])
-            if best == room:
-                return step
-        # One out of a for two out of b: of b's pairs that are small enough, for each piece of a the largest room they leave is met best.
-        twos = sorted({(x + y, x, y) for i, x in enumerate(b) for y in b[i + 1 :]}) if len(b) <= 40 else []
-        sums = [p[0] for p in twos]
-        for x in ones:
-            at = bisect_left(sums, x - room)
-            if at < len(sums) and best < x - sums[at]:
-                best, step = x - sums[at], ([x], [twos[at][1], twos[at][2]])
+        fill, alone = sum(b), self.count[b] < 2
+        room = self.capacity - fill
+        if alone:
+            self._refresh(b, b)  # a bin gives nothing to itself
+        last = {k: np.maximum.accumulate(np.where(least <= fill, np.arange(self.capacity + 1), 0)) for k, least in self.least.items()}
+        singles, pairs = sorted(set(b)), self._pairs(b)
+        best, found = 0, None
+        for kind, back, of in ((1, [0, *singles], 1), (1, list(pairs), 2), (2, singles, 1)):
+            y = np.array(back, np.int64)
+            gain = last[kind][np.minimum(y + room, self.capacity)] - y
+            if len(y) and gain.max() > best:
+                at = int(gain.argmax())
+                best, found = int(gain[at]), (kind, int(gain[at]) + back[at], back[at], of)
+        step = None
+        if found:
+            kind, size, y, of = found
+            a = self._emptiest(kind, size, b if alone else None)
+            step = a, [size] if kind == 1 else list(self._pairs(a)[size]), list(pairs[y]) if of == 2 else [y] if y else []
+        if alone:
+            self._refresh(b)
         return step
 
-    def search(self, most: int = SEARCH) -> None:
-        """Empties the emptiest bins into the fuller ones, step by step; ends where no step raises the squared fills, or after ``most`` looks."""
-        looks = 0
+    def search(self) -> int:
+        """Makes steps until none is left that raises the squared fills, or no packing can have fewer bins; returns how many were made.
+
+        Like bins make a step together. The fullest bins are filled first, from the emptiest that have what they want.
+        The sum of the squares rises with each step and is bounded, so the search ends by itself.
+        """
+        self.offers: dict[tuple[int, int], list] = {}
+        self.least = {k: np.full(self.capacity + 1, self.capacity, np.int64) for k in (1, 2)}
+        bins, fewest, steps = sum(self.count.values()), -(-sum(sum(x) * n for x, n in self.count.items()) // self.capacity), 0
+        for items in [x for x in self.count if sum(x) < self.capacity]:
+            self._offer(items)
         rising = True
-        while rising and looks < most:
+        while rising and bins > fewest:
             rising = False
-            open_bins = sorted((x for x in self.count if sum(x) < self.capacity), key=lambda x: (sum(x), x))
-            for i, a in enumerate(open_bins):
-                for b in reversed(open_bins[i:]):
-                    n = min(self.count.get(a, 0), self.count.get(b, 0)) if a != b else self.count.get(a, 0) // 2
-                    if not n or looks >= most:
+            todo = [(-sum(x), x) for x in self.count if sum(x) < self.capacity]
+            heapify(todo)
+            while todo and bins > fewest:
+                b = heappop(todo)[1]
+                if not self.count.get(b) or not (step := self.step(b)):
+                    continue
+                a, out_a, out_b = step
+                n = min(self.count[a], self.count[b]) if a != b else self.count[a] // 2
+                left, right = list(a), list(b)
+                for x in out_a:
+                    left.remove(x)
+                for x in out_b:
+                    right.remove(x)
+                for items in (a, b):
+                    self._take(items, n)
+                for items in {a, b}:
+                    if not self.count.get(items):
+                        self._refresh(items)
+                for items in (left + out_b, right + out_a):
+                    items = tuple(sorted(items, reverse=True))
+                    if not items:
+                        bins -= n
                         continue
-                    looks += 1
-                    if step := self.exchange(a, b):
-                        out_a, out_b = step
-                        left, right = list(a), list(b)
-                        for x in out_a:
-                            left.remove(x)
-                        for x in out_b:
-                            right.remove(x)
-                        self._take(a, n)
-                        self._take(b, n)
-                        self._put(left + out_b, n)
-                        self._put(right + out_a, n)
-                        rising = True
-                        if not self.count.get(a):
-                            break
-                if rising and i > 64:
-                    break  # sort the changed bins in again
+                    new = not self.count.get(items)
+                    self.count[items] += n
+                    if sum(items) < self.capacity:
+                        if new:
+                            self._offer(items)
+                        heappush(todo, (-sum(items), items))
+                if self.count.get(b):
+                    heappush(todo, (-sum(b), b))
+                rising, steps = True, steps + 1
+        return steps
 
 
 def plan(histogram: dict[int, int], capacity: int = 1024) -> Counter:
@@ -189,12 +242,15 @@ def plan(histogram: dict[int, int], capacity: int = 1024) -> Counter:
 def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     """Pieces (with any further columns) -> the same with sequence_id and offset in place of shard and place.
 
-    Sequences are numbered from 0 and filled without gaps from offset 0. Pieces longer than ``capacity`` are refused. An
-    empty table gives no rows.
+    Sequences are numbered from 0 and filled without gaps from offset 0. Pieces longer than ``capacity`` are refused.
+    Pieces that repeat are packed each, null doc_ids like others. Further columns may be called anything; sequence_id and
+    offset are replaced. An empty table gives no rows.
     """
+    shard, place, length = "shard", "place", "length"
+    shard_first, rank, to = fresh(pieces.columns, "firsts", "rank", "to")
     kept = stored(pieces, "pieces")
-    per_shard = stored(kept.groupBy("shard", "length").agg(F.count("*").alias("n")), "counts")
-    histogram = {int(r["length"]): int(r["n"]) for r in per_shard.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
+    per_shard = stored(kept.groupBy(shard, length).agg(F.count("*").alias("n")), "counts")
+    histogram = {int(r["length"]): int(r["n"]) for r in per_shard.groupBy(length).agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
     if max(histogram, default=0) > capacity:
         raise ValueError("a piece is longer than a sequence")
     # The places of each length, in runs of like bins: (length, first rank) -> (first sequence, offset).
@@ -210,18 +266,20 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     table = np.array(runs, np.int64).reshape(-1, 4)
     span = int(max(ranks.values(), default=0)) + 1
     keys = table[:, 0] * span + table[:, 1]
-    firsts = F.sum("n").over(W.partitionBy("length").orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
-    firsts = per_shard.withColumn("first", F.coalesce(firsts, F.lit(0))).drop("n")
-    ranked = kept.join(firsts, ["shard", "length"]).withColumn("__rank", F.col("first") + F.col("place"))
+    # One row a shard: how many pieces of each length lie before it.
+    entries = totals_before(per_shard, ["length"], "shard", "n", "first").groupBy(shard).agg(F.map_from_entries(F.collect_list(F.struct("length", "first"))).alias("at"))
+    firsts = entries.select(shard, F.transform(F.sequence(F.lit(0), F.lit(capacity)), lambda i: F.coalesce(F.col("at")[i.cast("long")], F.lit(0))).alias(shard_first))
+    few = per_shard.select(shard).distinct().count() <= BROADCAST_SHARDS
+    ranked = kept.join(F.broadcast(firsts) if few else firsts.hint("merge"), shard).withColumn(rank, F.element_at(shard_first, (F.col(length) + 1).cast("int")) + F.col(place))
 
     @F.pandas_udf("sequence_id long, offset long")
     def placed(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
         at = np.searchsorted(keys, length.to_numpy() * span + rank.to_numpy(), side="right") - 1
         return pd.DataFrame({"sequence_id": table[at, 2] + rank.to_numpy() - table[at, 1], "offset": table[at, 3]})
 
-    ranked = ranked.withColumn("__to", placed("length", "__rank"))
-    own = [c for c in pieces.columns if c not in ("shard", "place")]
-    return ranked.select(*own, F.col("__to.sequence_id").alias("sequence_id"), F.col("__to.offset").alias("offset"))
+    ranked = ranked.withColumn(to, placed(length, rank))
+    own = [f"`{c}`" for c in pieces.columns if c not in ("shard", "place", "sequence_id", "offset")]
+    return ranked.select(*own, F.col(to)["sequence_id"].alias("sequence_id"), F.col(to)["offset"].alias("offset"))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

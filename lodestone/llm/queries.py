@@ -21,7 +21,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenizer() -> str:
-    """Where the tokenizer's file lies."""
+    """Where the tokenizer's file lies on the machine that asks."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -32,7 +32,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return wavelet.read_shards(wavelet.save(table(spark, sf_dir, "documents"), tokenizer()))
+    return wavelet.read_shards(wavelet.save(table(spark, sf_dir, "documents"), tokenizer))
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +82,7 @@ def _shipped(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.cut(table(spark, sf_dir, "documents"), tokenizer())
+    pieces = packing.cut(table(spark, sf_dir, "documents"), tokenizer)
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 

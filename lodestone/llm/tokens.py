@@ -12,7 +12,7 @@ import json
 import os
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -44,14 +44,19 @@ _SHOWN = {b: b if b in _SEEN else 256 + sum(x not in _SEEN for x in range(b)) fo
 REMEMBERED, AT_ONCE = 500_000, 3_000_000
 
 
+#: Where a tokenizer's file lies, or what says so when called on the machine that reads it.
+Tokenizers = str | Callable[[], str]
+
+
 class TextEncoder:
-    """ids of texts, special tokens' strings taken as ordinary text."""
+    """ids of texts, as the library's ``encode`` gives them; ``plain`` takes special tokens' strings as ordinary text."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, plain: bool = False) -> None:
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
+        self.lib.encode_special_tokens = plain
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
+        self.special = [] if plain else [t["content"] for t in made.get("added_tokens") or []]
         pre = made.get("pre_tokenizer") or {}
         self.simple = (
             pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not made.get("normalizer")
@@ -150,6 +155,10 @@ class TextEncoder:
         return out
 
     def _few(self, texts: list[str]) -> list[np.ndarray]:
+        if self.special and any(x in t for t in texts for x in self.special):
+            holds = [any(x in t for x in self.special) for t in texts]
+            rest = iter(self._few([t for t, h in zip(texts, holds, strict=True) if not h]))
+            return [self._whole(t) if h else next(rest) for t, h in zip(texts, holds, strict=True)]
         coded = [t.encode("utf-8", "replace") for t in texts]
         plain = [bool(t) and len(t.translate(None, _UNPLAIN)) == len(t) and b"\xc3\x97" not in t and b"\xc3\xb7" not in t for t in coded]
         ids = {True: iter(self._plain([c for c, x in zip(coded, plain, strict=True) if x]) if any(plain) else ()), False: iter(self._other([t for t, x in zip(texts, plain, strict=True) if not x]) if not all(plain) else ())}
@@ -175,8 +184,9 @@ class TextEncoder:
 _ENCODERS: dict[str, TextEncoder] = {}
 
 
-def encoder(path: str) -> TextEncoder:
+def encoder(path: Tokenizers) -> TextEncoder:
     """One for each Python worker and file; reading the file takes a while."""
+    path = path() if callable(path) else path
     if path not in _ENCODERS:
         _ENCODERS[path] = TextEncoder(path)
     return _ENCODERS[path]

@@ -1,8 +1,10 @@
 """Token ids as wavelet matrices: one compressed file a shard, with access, counting and occurrence lookup.
 
 A wavelet matrix holds one bit-plane for each bit of an id, from the highest down. After each plane the ids are dealt
-anew, those with a zero first, the order otherwise kept. Ranks (how many ones before a place) are sampled every 512
-bits. A file holds a header, the documents' ids and lengths, and the planes, each compressed on its own.
+anew, those with a zero first, the order otherwise kept. A file holds a header, the documents' ids and lengths, and for
+each plane its bits in blocks that are compressed one by one, its ranks (how many ones lie before each block, and before
+each 512 bits of it) and samples for select (where every 4,096th one and zero lies). Looking something up reads the
+header, the directories of the planes and only those blocks that it touches.
 
 The files live in a table: one row, with the file's bytes, for each shard. Spark's writers and readers therefore carry
 them to and from any store, and what a lost executor has half written is never seen.
@@ -22,39 +24,103 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored, tidy
-from .tokens import checksum, encoder
-
-MAGIC = b"WVLT1\0"
-#: Bits between two samples of the ranks.
-BLOCK = 512
-
-
-class WaveletMatrix:
-    def __init__(self, n: int, planes: list[np.ndarray], zeros: list[int]) -> None:
-        """planes: packed bits (little bit order), highest plane first; zeros: how many zeros each plane has."""
-        self.n, self.planes, self.zeros = n, planes, zeros
-        self.samples: list[np.ndarray] | None = None
-
-    @classmethod
-    def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
-        planes, zeros, n, spare = [], [], len(ids), np.empty(len(ids), ids.dtype)
-        ids = ids.copy()
-        for k in range(bits - 1, -1, -1):
-            ones = (ids & ids.dtype.type(1 << k)) != 0
-            planes.append(np.packbits(ones, bitorder="little"))
-            none = ~ones
-            nz = int(np.count_nonzero(none))
-            zeros.append(nz)
-            np.compress(none, ids, out=spare[:nz])
-            np.compress(ones, ids, out=spare[nz:])
-            ids, spare = spare, ids
-        return cls(n, planes, zeros)
+from .common import stored, tidy, totals_before
+from .tokens import Tokenizers, checksum, encoder
+
+MAGIC = b"WVLT2\0"
+#: Bits of a block and of a part of it that has its own rank; ones (and zeros) from one sample for select to the next; decompressed blocks that a reader keeps.
+BLOCK, PART, SAMPLE, KEPT = 1 << 16, 512, 4_096, 64
+
+
+def planes_of(ids: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, int]]:
+    """(bits packed in little order, how many are zero) of each plane, the highest first."""
+    ids, spare = ids.copy(), np.empty(len(ids), ids.dtype)
+    for k in range(bits - 1, -1, -1):
+        ones = (ids & ids.dtype.type(1 << k)) != 0
+        none = ~ones
+        nz = int(np.count_nonzero(none))
+        yield np.packbits(ones, bitorder="little"), nz
+        np.compress(none, ids, out=spare[:nz])
+        np.compress(ones, ids, out=spare[nz:])
+        ids, spare = spare, ids
+
+
+def directory(plane: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(ones before each block, ones of the block before each part, part of every SAMPLE-th one, part of every SAMPLE-th zero) of a plane of n bits."""
+    parts = -(-len(plane) // (PART // 8))
+    full = np.zeros(parts * (PART // 8), np.uint8)
+    full[: len(plane)] = plane
+    before = np.concatenate([[0], np.cumsum(np.bitwise_count(full.view("<u8")).reshape(parts, -1).sum(1, dtype=np.int64))]) if parts else np.zeros(1, np.int64)
+    step = BLOCK // PART
+    zeros = np.minimum(np.arange(parts + 1) * PART, n) - before
+    places = [np.searchsorted(c, np.arange(0, int(c[-1]), SAMPLE), side="right") - 1 for c in (before, zeros)]
+    return before[:-1:step], before[:-1] - np.repeat(before[:-1:step], step)[:parts], *places
+
+
+def pack_file(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, bits: int) -> bytes:
+    z, zeros, parts = zstandard.ZstdCompressor(level=1), [], []
+    put = lambda x, kind: parts.append(z.compress(x.astype(kind).tobytes()))
+    put(np.array([-(2**63) if d is None else d for d in doc_ids], "<i8"), "<i8")
+    put(lengths, "<i8")
+    for plane, nz in planes_of(ids, bits):
+        zeros.append(nz)
+        for x, kind in zip(directory(plane, len(ids)), ("<u8", "<u2", "<u4", "<u4"), strict=True):
+            put(x, kind)
+        parts += [z.compress(plane[i : i + BLOCK // 8].tobytes()) for i in range(0, len(plane), BLOCK // 8)]
+    head = json.dumps({"n": len(ids), "bits": bits, "docs": len(doc_ids), "zeros": zeros, "nulls": [i for i, d in enumerate(doc_ids) if d is None], "parts": list(map(len, parts))}).encode()
+    return b"".join([MAGIC, struct.pack("<I", len(head)), head, *parts])
+
+
+class ShardFile:
+    """A shard file, read where it is asked: doc_ids, lengths, and the ids through their wavelet matrix."""
+
+    def __init__(self, data: bytes) -> None:
+        if data[: len(MAGIC)] != MAGIC:
+            raise ValueError("no shard file")
+        (size,) = struct.unpack_from("<I", data, len(MAGIC))
+        at = len(MAGIC) + 4 + size
+        head = json.loads(data[at - size : at])
+        self.n, self.bits, self.zeros, self._nulls = head["n"], head["bits"], head["zeros"], set(head["nulls"])
+        self._data, self._z = memoryview(data), zstandard.ZstdDecompressor()
+        self._ends = at + np.cumsum(head["parts"])
+        self._starts = self._ends - np.array(head["parts"])
+        self._blocks = -(-self.n // BLOCK)
+        self._directories: dict[int, tuple] = {}
+        self._cache: dict[tuple[int, int], np.ndarray] = {}
+        self.read = 0  # blocks of planes decompressed so far
+
+    def _part(self, i: int, kind: str) -> np.ndarray:
+        return np.frombuffer(self._z.decompress(self._data[self._starts[i] : self._ends[i]]), kind)
+
+    @property
+    def doc_ids(self) -> list[int | None]:
+        return [None if i in self._nulls else d for i, d in enumerate(self._part(0, "<i8").tolist())]
+
+    @property
+    def lengths(self) -> np.ndarray:
+        return self._part(1, "<i8")
+
+    def _directory(self, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        if level not in self._directories:
+            first = 2 + level * (4 + self._blocks)
+            self._directories[level] = tuple(self._part(first + i, kind).astype(np.int64) for i, kind in enumerate(("<u8", "<u2", "<u4", "<u4")))
+        return self._directories[level]
+
+    def _block(self, level: int, i: int) -> np.ndarray:
+        if (level, i) not in self._cache:
+            if len(self._cache) >= KEPT:
+                del self._cache[next(iter(self._cache))]
+            self._cache[level, i] = self._part(2 + level * (4 + self._blocks) + 4 + i, "u1")
+            self.read += 1
+        return self._cache[level, i]
 
     def decode(self, dtype: type = np.uint32) -> np.ndarray:
         """All ids: the deals undone from the lowest plane up."""
         ids = np.zeros(self.n, dtype)
-        for k, (plane, nz) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
+        for k in range(self.bits):
+            level, nz = self.bits - 1 - k, self.zeros[self.bits - 1 - k]
+            first = 2 + level * (4 + self._blocks) + 4
+            plane = np.concatenate([self._part(first + i, "u1") for i in range(self._blocks)]) if self._blocks else np.zeros(0, np.uint8)
             ones = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
             ids[nz:] |= dtype(1 << k)
             out = np.empty(self.n, dtype)
@@ -63,16 +129,31 @@ class WaveletMatrix:
         return ids
 
     def _rank(self, level: int, i: int) -> int:
-        """Ones before place i of a plane."""
-        if self.samples is None:
-            self.samples = [np.concatenate([[0], np.cumsum(np.add.reduceat(np.bitwise_count(p).astype(np.int64), np.arange(0, len(p), BLOCK // 8)))]) if len(p) else np.zeros(1, np.int64) for p in self.planes]
-        b, p = i // BLOCK, self.planes[level]
-        whole, rest = i // 8, i % 8
-        count = int(self.samples[level][b]) + int(np.bitwise_count(p[b * BLOCK // 8 : whole]).sum())
-        return count + (int(p[whole] & ((1 << rest) - 1)).bit_count() if rest else 0)
-
-    def _bit(self, level: int, i: int) -> int:
-        return int(self.planes[level][i // 8]) >> (i % 8) & 1
+        """Ones before place i (0 to n) of a plane."""
+        if i >= self.n:
+            return self.n - self.zeros[level]
+        blocks, parts, _, _ = self._directory(level)
+        inside = i % BLOCK
+        bits = self._block(level, i // BLOCK)[inside // PART * (PART // 8) : -(-inside // 8)]
+        count = int(np.bitwise_count(bits).sum())
+        if inside % 8 and len(bits):
+            count -= (int(bits[-1]) >> (inside % 8)).bit_count()
+        return int(blocks[i // BLOCK] + parts[i // PART]) + count
+
+    def _select(self, level: int, bit: int, k: int) -> int:
+        """The place of the k-th bit (from 0) of a kind in a plane: from its sample to its part by the ranks, then within the part."""
+        blocks, parts, *samples = self._directory(level)
+        places = samples[1 - bit]
+        lo = int(places[k // SAMPLE])
+        hi = int(places[k // SAMPLE + 1]) if k // SAMPLE + 1 < len(places) else len(parts) - 1
+        at = np.arange(lo, hi + 1)
+        before = blocks[at // (BLOCK // PART)] + parts[at]
+        before = before if bit else at * PART - before
+        j = int(np.searchsorted(before, k, side="right")) - 1
+        part = lo + j
+        start = part % (BLOCK // PART) * (PART // 8)
+        bits = np.unpackbits(self._block(level, part // (BLOCK // PART))[start : start + PART // 8], count=min(PART, self.n - part * PART), bitorder="little")
+        return part * PART + int(np.flatnonzero(bits == bit)[k - int(before[j])])
 
     def access(self, i: int) -> int:
         """The id at place i."""
@@ -80,68 +161,55 @@ class WaveletMatrix:
             raise IndexError(i)
         value = 0
         for level, nz in enumerate(self.zeros):
-            bit, r = self._bit(level, i), self._rank(level, i)
+            r = self._rank(level, i)
+            bit = int(self._block(level, i // BLOCK)[i % BLOCK // 8]) >> (i % 8) & 1
             value = value << 1 | bit
             i = nz + r if bit else i - r
         return value
 
-    def rank(self, token: int, i: int) -> int:
-        """How often a token stands before place i."""
-        if token >> len(self.planes):
-            return 0
+    def _range(self, token: int, i: int) -> tuple[int, int]:
+        """Where, below the lowest plane, the occurrences of a token before place i lie."""
         lo, hi = 0, min(max(i, 0), self.n)
+        if token < 0 or token >> self.bits:
+            return 0, 0
         for level, nz in enumerate(self.zeros):
+            if lo == hi:
+                break
             a, b = self._rank(level, lo), self._rank(level, hi)
-            lo, hi = (nz + a, nz + b) if token >> (len(self.planes) - 1 - level) & 1 else (lo - a, hi - b)
+            lo, hi = (nz + a, nz + b) if token >> (self.bits - 1 - level) & 1 else (lo - a, hi - b)
+        return lo, hi
+
+    def rank(self, token: int, i: int) -> int:
+        """How often a token stands before place i."""
+        lo, hi = self._range(token, i)
         return hi - lo
 
     def count(self, token: int) -> int:
         return self.rank(token, self.n)
 
     def select(self, token: int, k: int) -> int:
-        """The place of the k-th occurrence (from 0): binary search over the ranks."""
-        if not 0 <= k < self.count(token):
+        """The place of the k-th occurrence (from 0): down to the token's range, then up again plane by plane."""
+        lo, hi = self._range(token, self.n)
+        if not 0 <= k < hi - lo:
             raise IndexError(k)
-        lo, hi = 0, self.n - 1
-        while lo < hi:
-            mid = (lo + hi) // 2
-            lo, hi = (lo, mid) if self.rank(token, mid + 1) > k else (mid + 1, hi)
-        return lo
+        return self._up(token, lo + k)
+
+    def _up(self, token: int, p: int) -> int:
+        for level in range(self.bits - 1, -1, -1):
+            bit = token >> (self.bits - 1 - level) & 1
+            p = self._select(level, bit, p - self.zeros[level] if bit else p)
+        return p
 
     def locate(self, token: int) -> list[int]:
         """All places of a token, in order."""
-        return [self.select(token, k) for k in range(self.count(token))]
-
-
-def pack_file(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, bits: int) -> bytes:
-    m, z = WaveletMatrix.build(ids, bits), zstandard.ZstdCompressor(level=1)
-    parts = [z.compress(np.array([-(2**63) if d is None else d for d in doc_ids], "<i8").tobytes()), z.compress(lengths.astype("<i8").tobytes()), *[z.compress(p.tobytes()) for p in m.planes]]
-    head = json.dumps({"n": m.n, "bits": bits, "docs": len(doc_ids), "zeros": m.zeros, "nulls": [i for i, d in enumerate(doc_ids) if d is None], "parts": list(map(len, parts))}).encode()
-    return b"".join([MAGIC, struct.pack("<I", len(head)), head, *parts])
-
-
-class ShardFile:
-    """A shard read back: doc_ids, lengths, and the wavelet matrix."""
-
-    def __init__(self, data: bytes) -> None:
-        if data[: len(MAGIC)] != MAGIC:
-            raise ValueError("no shard file")
-        (size,) = struct.unpack_from("<I", data, len(MAGIC))
-        at = len(MAGIC) + 4 + size
-        head, z, parts = json.loads(data[at - size : at]), zstandard.ZstdDecompressor(), []
-        for n in head["parts"]:
-            parts.append(z.decompress(data[at : at + n]))
-            at += n
-        nulls = set(head["nulls"])
-        self.doc_ids = [None if i in nulls else d for i, d in enumerate(np.frombuffer(parts[0], "<i8").tolist())]
-        self.lengths = np.frombuffer(parts[1], "<i8")
-        self.tokens = WaveletMatrix(head["n"], [np.frombuffer(p, np.uint8) for p in parts[2:]], head["zeros"])
+        lo, hi = self._range(token, self.n)
+        return [self._up(token, p) for p in range(lo, hi)]
 
 
 SHARD = "part int, seq int, n_docs long, n_tokens long, payload binary"
 
 
-def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_bytes: int = 16 << 20, shard_tokens: int = 1 << 20) -> DataFrame:
+def write_shards(docs: DataFrame, tokenizer: Tokenizers, end_id: int = 0, shard_bytes: int = 16 << 20, shard_tokens: int = 1 << 20) -> DataFrame:
     """(doc_id, text) -> the table of shard files, in ascending order of doc_id by (part, seq); see SHARD.
 
     Each whole text is encoded (null and empty ones have no ids) and ``end_id`` is appended. Rows with equal or null
@@ -182,26 +250,56 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 0, shard_bytes:
     return rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SHARD)
 
 
+def _placed(shards: DataFrame) -> DataFrame:
+    """(first, payload) of each file: how many ids all files before it hold. The payloads are shuffled at most, the sums are narrow."""
+    parts = totals_before(shards.groupBy("part").agg(F.sum("n_tokens").alias("n")), [], "part", "n", "base").select("part", "base")
+    before = F.sum("n_tokens").over(W.partitionBy("part").orderBy("seq").rowsBetween(W.unboundedPreceding, -1))  # the files of one part
+    sizes = shards.select("part", "seq", F.coalesce(before, F.lit(0)).alias("within")).join(parts, "part")
+    return shards.select("part", "seq", "payload").join(sizes.select("part", "seq", (F.col("base") + F.col("within")).alias("first")), ["part", "seq"]).select("first", "payload")
+
+
+def occurrences(shards: DataFrame, tokens: list[int]) -> DataFrame:
+    """token, place (among the ids of all files): every occurrence of some tokens, found in the files' directories and blocks."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for first, data in zip(b["first"], b["payload"], strict=True):
+                f = ShardFile(data)
+                for t in tokens:
+                    yield pd.DataFrame({"token": t, "place": first + np.array(f.locate(t), np.int64)})
+
+    return _placed(shards).mapInPandas(run, "token long, place long")
+
+
+def counts(shards: DataFrame, tokens: list[int]) -> DataFrame:
+    """token, n: how often each of some tokens occurs."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for data in b["payload"]:
+                f = ShardFile(data)
+                yield pd.DataFrame({"token": tokens, "n": [f.count(t) for t in tokens]})
+
+    return shards.select("payload").mapInPandas(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+
+
 def read_shards(shards: DataFrame) -> DataFrame:
     """The files read back: doc_id, start (ids of all documents before it), n_tokens, ids_crc32, in the files' order."""
-    before = F.sum("n_tokens").over(W.orderBy("part", "seq").rowsBetween(W.unboundedPreceding, -1))  # one small row a file
-    sizes = shards.select("part", "seq", F.coalesce(before, F.lit(0)).alias("first"))
-    at = shards.select("part", "seq", "payload").join(sizes, ["part", "seq"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for first, data in zip(b["first"], b["payload"], strict=True):
                 f = ShardFile(data)
-                ids = f.tokens.decode(np.uint16 if len(f.tokens.planes) <= 16 else np.uint32)
-                ends = np.cumsum(f.lengths)
+                ids, lengths = f.decode(np.uint16 if f.bits <= 16 else np.uint32), f.lengths
+                ends = np.cumsum(lengths)
                 yield pd.DataFrame({
-                    "doc_id": pd.array(f.doc_ids, "Int64"), "start": first + ends - f.lengths, "n_tokens": f.lengths,
-                    "ids_crc32": [checksum(ids[e - n : e]) for e, n in zip(ends.tolist(), f.lengths.tolist(), strict=True)],
+                    "doc_id": pd.array(f.doc_ids, "Int64"), "start": first + ends - lengths, "n_tokens": lengths,
+                    "ids_crc32": [checksum(ids[e - n : e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)],
                 })
 
-    return at.select("first", "payload").mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _placed(shards).mapInPandas(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def save(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
+def save(docs: DataFrame, tokenizer: Tokenizers, end_id: int = 0) -> DataFrame:
     """write_shards() into the shared folder; the table of the files."""
     return stored(write_shards(docs, tokenizer, end_id), "shards", "uncompressed")  # the files are compressed
