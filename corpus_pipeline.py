@@ -42,7 +42,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 1024: one row a piece, with its ids and its place."""
     ship(spark)
-    return packing.pack(packing.cut(docs, tokenizer()))
+    return packing.pack(packing.cut(docs, tokenizer))
 
 
 STAGES = [
