@@ -3,12 +3,14 @@
 The nearest vectors by Euclidean distance are those with the largest ``q.x - |x|^2 / 2``. The norm is kept as it is; for the
 inner product, vectors are cut into subspaces of two dimensions with 16 centres each. A vector that matters to a query
 points the query's way, so error along the vector does more harm than error across it: both the centres and the codes
-minimise ``|r|^2 + (eta - 1) (r.x / |x|)^2`` for the residual r. Scanning adds up one table entry for each pair of codes; the
-best of each block are then measured exactly, on the original vectors, in double precision.
+minimise ``|r|^2 + (eta - 1) (r.x / |x|)^2`` for the residual r. Scanning reads codes and norms only and adds up one table
+entry for each pair of codes; the best are then looked up by id and measured exactly, on the original vectors, in double
+precision.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Vectors that the centres are fitted on at most (those with the smallest hashes of their ids); rows of an index block; queries of a pass.
-FIT_ROWS, BLOCK_ROWS, PASS_QUERIES = 10_000, 16_384, 2_048
+#: Vectors that the centres are fitted on at most (those with the smallest hashes of their ids); rows of an index block; queries of a block.
+FIT_ROWS, BLOCK_ROWS, QUERY_ROWS = 10_000, 16_384, 1_024
 SUB = 2
 
 
@@ -101,7 +103,7 @@ def _matrix(column: pd.Series, dtype: str) -> np.ndarray:
 
 
 def build_index(vectors: DataFrame) -> tuple[DataFrame, Quantizer] | None:
-    """Every usable row in blocks of packed codes and original vectors, in a stored table, and the quantiser; None for no rows.
+    """Every usable row in blocks (ids, packed codes, half the squared norms), in a stored table, and the quantiser; None for no rows.
 
     The dimension is that of most rows of the fitted sample; rows of another one take no part.
     """
@@ -112,78 +114,114 @@ def build_index(vectors: DataFrame) -> tuple[DataFrame, Quantizer] | None:
     dims = [len(x) for x in sample]
     dim = max(sorted(set(dims)), key=dims.count)
     quantizer = Quantizer(np.array([x for x in sample if len(x) == dim], np.float64))
-    kind = "<f4" if "float" in vectors.schema["embedding"].dataType.simpleString() else "<f8"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for at in range(0, len(b), BLOCK_ROWS):
                 part = b.iloc[at : at + BLOCK_ROWS].sort_values("vec_id", kind="stable")
-                x = _matrix(part["embedding"], kind)
-                codes = quantizer.encode(x)
-                yield pd.DataFrame({"ids": [part["vec_id"].to_numpy("<i8").tobytes()], "codes": [codes.tobytes()], "vectors": [x.tobytes()]})
+                x = _matrix(part["embedding"], "<f8")
+                yield pd.DataFrame({"ids": [part["vec_id"].to_numpy("<i8").tobytes()], "codes": [quantizer.encode(x).tobytes()], "half": [((x**2).sum(1) / 2).astype("<f4").tobytes()]})
 
-    blocks = rows.where(F.size("embedding") == dim).mapInPandas(run, "ids binary, codes binary, vectors binary")
-    return stored(blocks, "vectors"), quantizer
+    return stored(rows.where(F.size("embedding") == dim).mapInPandas(run, "ids binary, codes binary, half binary"), "codes"), quantizer
 
 
-def _best(query: np.ndarray, own: int, ids: np.ndarray, codes: np.ndarray, x: np.ndarray, half: np.ndarray, quantizer: Quantizer, k: int, rerank: int) -> tuple[np.ndarray, np.ndarray]:
-    """(distances, ids) of the k nearest rows of a block, which is in the order of ids; of equal scores the smaller ids go on."""
-    tables = quantizer.tables(query)
+def _in_blocks(queries: DataFrame) -> DataFrame:
+    """(vec_id, embedding) -> a stored table of blocks of up to QUERY_ROWS queries (ids, vectors as doubles)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), QUERY_ROWS):
+                part = b.iloc[at : at + QUERY_ROWS]
+                yield pd.DataFrame({"own": [part["vec_id"].to_numpy("<i8").tobytes()], "asked": [_matrix(part["embedding"], "<f8").tobytes()]})
+
+    return stored(queries.select("vec_id", "embedding").mapInPandas(run, "own binary, asked binary"), "queries")
+
+
+def best_of_block(table: np.ndarray, own: int, ids: np.ndarray, codes: np.ndarray, half: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, ids) of the ``most`` best rows of a block by the table scan, not in order; of equal scores the smaller ids (the block is in their order)."""
     score = -half
     for j in range(codes.shape[1]):
-        score = score + tables[j][codes[:, j]]
+        score = score + table[j][codes[:, j]]
     keep = ids != own
-    if rerank < len(ids):
-        score = np.where(keep, score, -np.inf)
-        least = np.partition(score, len(score) - rerank)[len(score) - rerank]
-        sure, ties = np.flatnonzero(score > least), np.flatnonzero((score == least) & keep)
-        at = np.concatenate([sure, ties[: rerank - len(sure)]])
-    else:
-        at = np.flatnonzero(keep)
-    d = np.sqrt(np.cumsum((x[at].astype(np.float64) - query) ** 2, axis=1)[:, -1])  # added up from the first number to the last
-    order = np.lexsort((ids[at], d))[:k]
-    return d[order], ids[at][order]
+    if most >= len(ids):
+        return score[keep], ids[keep]
+    score = np.where(keep, score, -np.inf)
+    least = np.partition(score, len(score) - most)[len(score) - most]
+    sure, ties = np.flatnonzero(score > least), np.flatnonzero((score == least) & keep)
+    at = np.concatenate([sure, ties[: most - len(sure)]])
+    return score[at], ids[at]
+
+
+def scan(index: DataFrame, queries: DataFrame, quantizer: Quantizer, most: int) -> DataFrame:
+    """query_id, vec_id, score: the ``most`` best rows of each query by the table scan (a larger score is nearer).
+
+    Each task takes a block of queries over a share of the index's blocks, and keeps ``most`` rows a query. There are as
+    many shares as the cluster has room for tasks beside the query blocks, so what is shuffled doesn't grow with the index.
+    """
+    spark = index.sparkSession
+    blocks = queries.count()
+    shares = max(1, -(-2 * spark.sparkContext.defaultParallelism // max(1, blocks)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        before, own, tables = None, np.zeros(0, np.int64), []
+        for b in batches:
+            for ids, codes, half, name, asked in zip(b["ids"], b["codes"], b["half"], b["own"], b["asked"], strict=True):
+                if name != before:
+                    before, own = name, np.frombuffer(name, "<i8")
+                    tables = [quantizer.tables(q) for q in np.frombuffer(asked, "<f8").reshape(len(own), -1)]
+                ids, half = np.frombuffer(ids, "<i8"), np.frombuffer(half, "<f4")
+                codes = np.asfortranarray(np.frombuffer(codes, np.uint8).reshape(len(ids), -1))
+                for q, table in zip(own.tolist(), tables, strict=True):
+                    score, found = best_of_block(table, q, ids, codes, half, most)
+                    if q in best:
+                        score, found = np.concatenate([best[q][0], score]), np.concatenate([best[q][1], found])
+                        if len(score) > most:
+                            order = np.lexsort((found, -score))[:most]
+                            score, found = score[order], found[order]
+                    best[q] = score, found
+        for q, (score, found) in best.items():
+            if len(found):
+                yield pd.DataFrame({"query_id": q, "vec_id": found, "score": score.astype(np.float64)})
+
+    # The stated query set against all rows, block by block: pairs of blocks, never pairs of rows.
+    pairs = index.coalesce(shares).crossJoin(queries.repartition(max(1, blocks)).hint("shuffle_replicate_nl"))
+    found = pairs.mapInPandas(run, "query_id long, vec_id long, score double")
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).select("query_id", "vec_id", "score")
+
+
+def reranked(rows: int, least: int = 200) -> int:
+    """How many rows a query measures exactly: ``least`` for one block of the index, growing with the square root of the rows."""
+    return math.ceil(least * max(1.0, rows / BLOCK_ROWS) ** 0.5)
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, rerank: int = 200) -> DataFrame:
     """(vec_id, embedding) of all rows and of the queries -> query_id, rank (from 1), vec_id, score (Euclidean distance).
 
-    Every usable row is indexed; each block's best ``rerank`` by the table scan are measured exactly and each query's k
-    nearest of those returned, ties by smaller vec_id. A query never finds rows with its own id; a query id that
-    repeats counts once, with its smallest vector. Rows that repeat are candidates each. Null, zero and non-finite
-    vectors take no part; an empty table gives no rows. Queries go over the index in passes of bounded size, whatever
-    their number; a pass needs no row of the index in any one place, and heaps of copies are spread like other rows.
+    Every usable row is indexed. The codes alone are scanned; the best ``reranked(rows, rerank)`` of each query are then
+    looked up among the vectors and measured exactly, and the k nearest returned, ties by smaller vec_id. A query never
+    finds rows with its own id; a query id that repeats counts once, with its smallest vector. Rows that repeat are
+    candidates each. Null, zero and non-finite vectors take no part; an empty table gives no rows; other columns are not
+    looked at. Queries are a table of blocks: none of them reaches the driver, and the plan is the same for any number.
     """
-    spark = vectors.sparkSession
-    found, made = None, build_index(vectors)
-    if made is not None:
-        index, quantizer = made
-        asked = usable(queries).where(F.size("embedding") == quantizer.dim).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-        passes = -(-asked.count() // PASS_QUERIES)
-        asked = asked.withColumn("pass", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, passes))))
-        kind = "<f4" if "float" in vectors.schema["embedding"].dataType.simpleString() else "<f8"
-        for p in range(passes):
-            some = asked.where(F.col("pass") == p).collect()  # about PASS_QUERIES vectors
-            own, qs = [r["vec_id"] for r in some], np.array([r["embedding"] for r in some], np.float64)
-
-            def run(batches: Iterator[pd.DataFrame], own: list = own, qs: np.ndarray = qs) -> Iterator[pd.DataFrame]:
-                best: list = [(np.zeros(0), np.zeros(0, np.int64))] * len(own)
-                for b in batches:
-                    for ids, codes, data in zip(b["ids"], b["codes"], b["vectors"], strict=True):
-                        ids = np.frombuffer(ids, "<i8")
-                        codes, x = np.frombuffer(codes, np.uint8).reshape(len(ids), -1), np.frombuffer(data, kind).reshape(len(ids), -1)
-                        half = ((x.astype(np.float64) ** 2).sum(1) / 2).astype(np.float32)
-                        codes = np.asfortranarray(codes)
-                        for i, q in enumerate(qs):
-                            d, v = (np.concatenate(z) for z in zip(best[i], _best(q, own[i], ids, codes, x, half, quantizer, k, rerank), strict=True))
-                            order = np.lexsort((v, d))[:k]
-                            best[i] = d[order], v[order]
-                if own and sum(len(v) for _, v in best):
-                    yield pd.DataFrame({"query_id": np.repeat(own, [len(v) for _, v in best]), "vec_id": np.concatenate([v for _, v in best]), "score": np.concatenate([d for d, _ in best])})
-
-            part = index.mapInPandas(run, "query_id long, vec_id long, score double")
-            found = part if found is None else found.unionByName(part)
-    if found is None:
+    spark, made = vectors.sparkSession, build_index(vectors)
+    if made is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    ranked = found.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id")))
+    index, quantizer = made
+    rows = usable(vectors).where(F.size("embedding") == quantizer.dim)
+    asked = usable(queries).where(F.size("embedding") == quantizer.dim).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    asked = stored(asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), "asked")
+    total = index.agg(F.sum(F.octet_length("ids"))).first()[0] // 8
+    blocks = _in_blocks(asked.select(F.col("query_id").alias("vec_id"), F.col("query").alias("embedding")))
+    near = stored(scan(index, blocks, quantizer, reranked(total, rerank)).select("query_id", "vec_id").distinct(), "near")
+    # Vectors that very many queries come near to (at most 1,000, as each is in a thousandth of all rows) are sent to where their rows are.
+    crowd = max(10_000, near.count() // 1_000)
+    heavy = stored(near.groupBy("vec_id").count().where(F.col("count") > crowd).select("vec_id"), "crowded")
+    spread = stored(rows.join(F.broadcast(heavy), "vec_id", "left_semi"), "spread")
+    spread = F.broadcast(spread) if spread.count() <= 20_000 else spread.hint("merge")  # an id may repeat, too
+    found = near.join(F.broadcast(heavy), "vec_id", "left_anti").join(rows, "vec_id").unionByName(near.join(spread, "vec_id"))
+    apart = F.zip_with("embedding", "query", lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
+    measured = found.join(asked, "query_id").select("query_id", "vec_id", F.sqrt(F.aggregate(apart, F.lit(0.0), lambda s, x: s + x)).alias("score"))
+    ranked = measured.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.joins import heavy_keys, spread_join
 from ..sources.shared import dropped, stored, workspace
 
-__all__ = ["LOWER", "UPPER", "ascii_lower", "dropped", "fresh", "held_out", "row_keys", "spread_join", "stored", "table", "tidy", "totals_before", "workspace"]
+__all__ = ["LOWER", "UPPER", "ascii_lower", "dropped", "fresh", "heavy_keys", "held_out", "row_keys", "spread_join", "stored", "table", "tidy", "totals_before", "workspace"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -62,16 +63,6 @@ def totals_before(rows: DataFrame, by: list[str], order: str, value: str, name:
     return rows.withColumn(name, F.col(sums) + upto(value, W.partitionBy(*by, at).orderBy(order))).drop(at, sums)
 
 
-def spread_join(rows: DataFrame, facts: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
-    """rows join facts on ``key``, of which facts has one row each. heavy: the keys (a proven few) that very many rows share.
-
-    What the heavy keys need is broadcast, so their rows stay where they are; all other rows are shuffled.
-    """
-    heavy = F.broadcast(heavy.select(key))
-    many = rows.join(F.broadcast(facts.join(heavy, key, "left_semi")), key)
-    return many.unionByName(rows.join(heavy, key, "left_anti").join(facts, key))
-
-
 try:
     _TRIM = ctypes.CDLL("libc.so.6").malloc_trim
 except (OSError, AttributeError):  # another C library

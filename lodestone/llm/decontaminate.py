@@ -8,8 +8,8 @@ Spark expressions only. Three steps:
 2. Candidates only: each of their windows is hashed and looked up among the benchmark's windows.
 3. Verification: the words at each hit are compared with the window's own words, so that hash collisions count for nothing.
 
-The sets are broadcast only if the benchmark's own word count, which is measured first, proves them small; a larger
-benchmark goes through shuffled joins and gives the same rows.
+Broadcast are hashes and numbers only, and only if their count, which is measured first, proves them small; a larger
+benchmark goes through shuffled joins and gives the same rows. Each text is split once for all lengths of windows.
 """
 
 from __future__ import annotations
@@ -17,23 +17,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stored
+from .common import ascii_lower, fresh, heavy_keys, row_keys, spread_join, stored
 
 #: What separates words, once A-Z are lower-cased; all other code points, non-ASCII ones included, belong to words.
 GAPS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 #: The same before A-Z are lower-cased, and its complement.
 GAPS_ANY = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-#: Most words of a benchmark whose n-grams are broadcast (16 bytes a gram: 64 MB).
-BROADCAST_WORDS = 4_000_000
+#: Most rows of hashes or of (window, item) numbers that are broadcast: one or two longs each, so up to 32 MB, and about 64 MB once they are hashed.
+BROADCAST_ROWS = 2_000_000
 
 
 def words(lowered: Column) -> Column:
     return F.filter(F.split(F.coalesce(lowered, F.lit("")), GAPS), lambda w: w != "")
 
 
-def _small(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+def _small(df: DataFrame) -> DataFrame:
+    """A stored table of numbers, to be broadcast if it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df.hint("merge")
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = 13) -> DataFrame:
@@ -51,38 +52,47 @@ def find_windows(documents: DataFrame, benchmark: DataFrame, n: int = 13) -> tup
 
     ``p`` counts words from 1. Rows that repeat share a key, and so their spans.
     """
-    rows = documents.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("id"), F.xxhash64("doc_id", F.col("doc_id").isNull(), "text").alias("k"), "text")
+    own, key = row_keys()
+    rows = documents.select("doc_id", own.alias("id"), key.alias("k"), "text")
     wins = stored(benchmark_windows(benchmark, n), "windows")
-    facts = {r["w"]: r["n"] for r in wins.groupBy("w").agg(F.count("*").alias("n")).collect()}  # at most n rows
-    small = sum(facts.values()) <= BROADCAST_WORDS
-    found = None
-    for w in sorted(facts):
-        j = w // 2 + 1
-        k = w - j + 1
-        # A-Z only, as in the windows: the lower form of other letters may depend on those around the word.
-        grams = wins.where(F.col("w") == w).select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(w - j + 1)), lambda i: F.xxhash64(F.slice("win", i, j)))).alias("g")).distinct()
-        ws = rows.select("id", "k", words(ascii_lower(F.col("text"))).alias("ws")).where(F.size("ws") >= w)
-        at = ws.select("id", "k", F.explode(F.transform(F.sequence(F.lit(1), F.size("ws") - j + 1, F.lit(k)), lambda i: F.xxhash64(F.slice("ws", i, j)))).alias("g"))
-        hit = at.join(_small(grams, small), "g", "left_semi").select("id", "k")
-        found = hit if found is None else found.unionByName(hit)
-    if found is None:
+    texts = wins.select("w", "win").distinct().withColumns({"no": F.monotonically_increasing_id(), "h": F.xxhash64("w", "win")})
+    texts = stored(texts, "window-texts")
+    lengths = sorted(r["w"] for r in wins.select("w").distinct().collect())  # at most n
+    steps = {w: (w // 2 + 1, w - w // 2) for w in lengths}  # words of a gram, and how many starts lie in a window
+
+    def hashes(ws: str, w: int, size: int, step: int) -> Column:
+        """Hashes of all runs of ``size`` words that start at multiples of ``step``, with the window length that they are for."""
+        return F.when(F.size(ws) >= w, F.transform(F.sequence(F.lit(1), F.size(ws) - size + 1, F.lit(step)), lambda i: F.struct(i.alias("p"), F.lit(w).alias("w"), F.xxhash64(F.lit(w), F.slice(ws, i, size)).alias("h")))).otherwise(F.array())
+
+    def everywhere(ws: str, coarse: bool) -> Column:
+        each = [hashes(ws, w, steps[w][0] if coarse else w, steps[w][1] if coarse else 1) for w in lengths]
+        return each[0] if len(each) == 1 else F.concat(*each)
+
+    counted = rows.withColumn("n_words", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), GAPS_ANY), lambda w: w != "")))
+    if not lengths:
         none = rows.select("id", "k").where(F.lit(False))
-        return rows.withColumn("n_words", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), GAPS_ANY), lambda w: w != ""))), none.withColumns({"p": F.lit(1), "w": F.lit(1)}), none.join(benchmark.select("item_id").limit(0))
-    keys = stored(found.distinct(), "suspects")
+        return counted, none.withColumns({"p": F.lit(1), "w": F.lit(1)}), none.join(benchmark.select("item_id").limit(0))
+    grams = None
+    for w in lengths:
+        some = texts.where(F.col("w") == w).select(F.explode(hashes("win", w, steps[w][0], 1)["h"]).alias("h"))
+        grams = some if grams is None else grams.unionByName(some)
+    grams = stored(grams.distinct(), "grams")
+    # A-Z only, as in the windows: the lower form of other letters may depend on those around the word.
+    at = rows.select("id", "k", words(ascii_lower(F.col("text"))).alias("ws")).select("id", "k", F.explode(everywhere("ws", True)["h"]).alias("h"))
+    keys = stored(at.join(_small(grams), "h", "left_semi").select("id", "k").distinct(), "suspects")
     suspects = rows.join(keys, ["id", "k"], "left_semi").dropDuplicates(["id", "k"]).select("id", "k", words(ascii_lower(F.col("text"))).alias("ws"))
     suspects = stored(suspects, "suspect-words")
-    texts = wins.select("w", "win", F.xxhash64("win").alias("h")).distinct()
-    hits = None
-    for w in sorted(facts):
-        at = suspects.where(F.size("ws") >= w).select("id", "k", F.posexplode(F.transform(F.sequence(F.lit(1), F.size("ws") - w + 1), lambda i: F.xxhash64(F.slice("ws", i, w)))).alias("p", "h"))
-        hit = at.join(_small(texts.where(F.col("w") == w), small), "h").select("id", "k", (F.col("p") + 1).alias("p"), "w", "win")
-        hits = hit if hits is None else hits.unionByName(hit)
-    hits = hits.groupBy("id", "k").agg(F.collect_list(F.struct("p", "w", "win")).alias("hits"))
+    at = suspects.select("id", "k", F.explode(everywhere("ws", False)).alias("x")).select("id", "k", "x.*")
+    found = stored(at.join(_small(stored(texts.select("h").distinct(), "hashes")), "h", "left_semi"), "found")
+    # A window that very many documents hold is sent to them; all others meet their texts by a shuffle.
+    hits = spread_join(found.select("id", "k", "p", "h"), texts, "h", stored(heavy_keys(found, "h"), "heavy"))
+    hits = hits.groupBy("id", "k").agg(F.collect_list(F.struct("p", "w", "win", "no")).alias("hits"))
     sure = suspects.join(hits, ["id", "k"]).select("id", "k", F.explode(F.filter("hits", lambda x: F.slice("ws", x["p"], x["w"]) == x["win"])).alias("hit"))
-    sure = stored(sure.select("id", "k", "hit.p", "hit.w", "hit.win"), "hits")
+    sure = stored(sure.select("id", "k", "hit.p", "hit.w", "hit.no"), "hits")
     spans = sure.select("id", "k", "p", "w").distinct()
-    items = sure.select("id", "k", "win").distinct().join(_small(wins.select("item_id", "win"), small), "win").select("id", "k", "item_id").distinct()
-    return rows.withColumn("n_words", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), GAPS_ANY), lambda w: w != ""))), spans, items
+    named = stored(wins.join(texts, ["w", "win"]).select("item_id", "no"), "named")
+    items = sure.select("id", "k", "no").distinct().join(_small(named), "no").select("id", "k", "item_id").distinct()
+    return counted, spans, items
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
@@ -90,7 +100,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = 13, share
 
     A word inside any occurrence of a window is hit; a document is contaminated if any word is and at least one in
     ``share`` is. Null and empty texts have no words and are clean. Repeated rows are judged alike, each on its own row;
-    null ids are ids like any other. Columns beside doc_id and text are not looked at. An empty benchmark hits nothing.
+    a null doc_id is an id like any other. An item without an id hits words, but has no id to be counted or named by.
+    Very long texts are scanned whole. Columns beside doc_id and text are not looked at. An empty benchmark hits nothing.
     """
     rows, spans, items = find_windows(documents, benchmark, n)
     hit = spans.select("id", "k", F.explode(F.sequence(F.col("p"), F.col("p") + F.col("w") - 1)).alias("p")).groupBy("id", "k").agg(F.array_sort(F.collect_set("p")).alias("hits"))
@@ -103,20 +114,29 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = 13, share
 
 
 def remove_documents(documents: DataFrame, benchmark: DataFrame, n: int = 13, share: int = 20) -> DataFrame:
-    """The documents that are not contaminated, with all their columns."""
-    bad = contamination(documents, benchmark, n, share).where("contaminated").select("id", "k").distinct()
-    keyed = documents.withColumns({"__id": F.coalesce(F.col("doc_id"), F.lit(-(2**63))), "__k": F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")})
-    return keyed.join(bad.select(F.col("id").alias("__id"), F.col("k").alias("__k")), ["__id", "__k"], "left_anti").drop("__id", "__k")
+    """The documents that are not contaminated, with all their columns, whatever these are called.
+
+    Null and empty texts stay; rows that repeat stay or go together; empty tables and benchmarks remove nothing.
+    """
+    i, k = fresh(documents.columns, "id", "key")
+    bad = contamination(documents, benchmark, n, share).where("contaminated").select(F.col("id").alias(i), F.col("k").alias(k)).distinct()
+    own, key = row_keys()
+    return documents.withColumns({i: own, k: key}).join(bad, [i, k], "left_anti").drop(i, k)
 
 
 def remove_spans(documents: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
-    """All documents, without the words that are hit; what stands between words stays. Other columns are kept as they are."""
-    report = contamination(documents, benchmark, n).where("n_hit > 0").select(F.col("id").alias("__id"), F.col("k").alias("__k"), F.col("hits").alias("__hits")).dropDuplicates(["__id", "__k"])
-    keyed = documents.withColumns({"__id": F.coalesce(F.col("doc_id"), F.lit(-(2**63))), "__k": F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")}).join(report, ["__id", "__k"], "left")
+    """All documents, without the words that are hit; what stands between words stays. Other columns are kept, whatever they are called.
+
+    Null and empty texts stay as they are; rows that repeat are cut alike; empty tables and benchmarks change nothing.
+    """
+    i, k, at = fresh(documents.columns, "id", "key", "hits")
+    report = contamination(documents, benchmark, n).where("n_hit > 0").select(F.col("id").alias(i), F.col("k").alias(k), F.col("hits").alias(at)).dropDuplicates([i, k])
+    own, key = row_keys()
+    keyed = documents.withColumns({i: own, k: key}).join(report, [i, k], "left")
     gaps, ws = F.split("text", WORD), F.expr(f"regexp_extract_all(text, r'{WORD}', 0)")
-    hit = F.map_from_arrays("__hits", F.transform("__hits", lambda h: F.lit(True)))
+    hit = F.map_from_arrays(at, F.transform(at, lambda h: F.lit(True)))
     kept = F.array_join(F.transform(F.zip_with(gaps, ws, lambda g, w: F.struct(g.alias("g"), w.alias("w"))), lambda s, i: F.concat(s["g"], F.when(F.element_at(hit, i + 1).isNull(), F.coalesce(s["w"], F.lit(""))).otherwise(F.lit("")))), "")
-    return keyed.withColumn("text", F.when(F.col("__hits").isNull(), F.col("text")).otherwise(kept)).select(*[f"`{c}`" for c in documents.columns])
+    return keyed.withColumn("text", F.when(F.col(at).isNull(), F.col("text")).otherwise(kept)).select(*[f"`{c}`" for c in documents.columns])
 
 
 def digest(report: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, tidy
+from .common import dropped, held_out, stored, tidy
 
 #: Labelled rows that a model is fitted on at most: those with the smallest hashes of their ids.
 FIT_ROWS = 20_000
@@ -119,28 +119,35 @@ class BoostedTrees:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> doc_id, stats array<double>."""
+    """(doc_id, k, y, text) -> doc_id, k, y, stats array<double>."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "stats": [statistics(t) for t in b["text"]]})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "k": b["k"], "y": b["y"], "stats": [statistics(t) for t in b["text"]]})
             tidy()
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, stats array<double>")
+    return docs.select("doc_id", "k", "y", "text").mapInPandas(run, "doc_id long, k long, y int, stats array<double>")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """At most ``most`` document rows (doc_id, text, y) that may be learnt from. The chosen ids are bounded and so broadcast."""
+    """At most ``most`` document rows (doc_id, k, y, text) that may be learnt from, stored; k is a hash of the text.
+
+    Rows of one doc_id with different texts are each a row, copies of a row one. An id with several labels takes the
+    highest. The chosen ids are at most ``most`` and so broadcast, and of their rows again at most ``most`` stay: those
+    with the smallest hashes of id and text.
+    """
     chosen = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    chosen = chosen.groupBy("doc_id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    chosen = chosen.groupBy("doc_id").agg(F.max("y").alias("y")).join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("k"), "text").join(F.broadcast(chosen), "doc_id")
+    keys = rows.select("doc_id", "k").distinct().orderBy(F.xxhash64("doc_id", "k"), "doc_id", "k").limit(most)
+    return stored(rows.join(F.broadcast(keys), ["doc_id", "k"], "left_semi").dropDuplicates(["doc_id", "k"]), "labelled")
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> BoostedTrees:
     """A model of labels.quality. Held-out rows (see common.held_out) are never learnt from; unlabelled tables give a constant one half."""
     learn = labelled(docs, labels, "quality", most)
-    stats = with_statistics(learn).groupBy("doc_id").agg(F.first("stats").alias("stats"))
-    rows = stats.join(labels.select("doc_id", F.col("quality").alias("y")).where("y is not null").groupBy("doc_id").agg(F.max("y").alias("y")), "doc_id").orderBy("doc_id").collect()
+    rows = with_statistics(learn).orderBy("doc_id", "k").collect()  # at most ``most``
+    dropped(learn)
     x = np.array([r["stats"] for r in rows], np.float64).reshape(len(rows), len(NAMES))
     return BoostedTrees().fit(x, np.array([float(r["y"]) for r in rows]))
 

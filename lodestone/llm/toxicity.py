@@ -10,7 +10,6 @@ Everything that a word contributes to the gates is worked out once for each dist
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,11 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import tidy
+from .common import dropped, stored, tidy
 from .quality import labelled
 
-#: Labelled rows fitted on at most, windows learnt from of each (so many evenly spread and so many that look worst), words of a window, words between two windows' starts.
-FIT_ROWS, FIT_WINDOWS, WINDOW, STRIDE = 4_000, 10, 48, 32
+#: Labelled rows fitted on at most, words of a window, words between two windows' starts.
+FIT_ROWS, WINDOW, STRIDE = 4_000, 48, 32
+#: Rounds of looking at all windows of these rows and learning from the ones that look worst; how many of a text a round adds.
+ROUNDS, HARDEST = 3, 6
 #: Embedded words, buckets of character n-grams, sizes of either embedding, of a direction's state and of the attention.
 VOCABULARY, BUCKETS, SIZE, STATE, ATTENTION = 4_096, 1 << 15, 8, 8, 8
 #: Distinct words whose gate inputs a worker remembers.
@@ -163,19 +164,29 @@ class Network:
         np.add.at(g["char"], keys, np.repeat(dv[:, SIZE:] / sizes[:, None].astype(np.float32), sizes, axis=0))
         return loss, g
 
+    def start(self, words: dict[bytes, np.ndarray], grams: np.ndarray, totals: np.ndarray) -> Network:
+        """First numbers of the embeddings: how much oftener toxic texts hold the word or n-gram; zero where little was seen.
+
+        words: how many (clean, toxic) texts hold each word that gets an embedding of its own; grams: the same for the words
+        of each n-gram bucket; totals: how many texts there are of either kind.
+        """
+        odds = lambda c: np.clip(np.log((c[:, 1] + 0.5) / (totals[1] + 1)) - np.log((c[:, 0] + 0.5) / (totals[0] + 1)), -3, 3) * (c.sum(1) / (c.sum(1) + 5))
+        self.vocabulary = {w: i + 1 for i, w in enumerate(words)}
+        self.p["char"][:, 0] = odds(grams)
+        if words:
+            self.p["word"][1 : len(words) + 1, 0] = odds(np.array(list(words.values()), np.float64))
+        return self
+
     def fit(self, windows: list[tuple[int, float, list[bytes]]], epochs: int = 5, least_steps: int = 400, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Network:
-        """windows: (text number, its label, words). At least ``epochs`` rounds and about ``least_steps`` steps. Each epoch learns from all windows of clean texts and, of a toxic text, from the one that looks worst."""
-        counts = Counter(w for _, _, ws in windows for w in set(ws))
-        self.vocabulary = {w: i + 1 for i, (w, n) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY]) if n >= 3}
+        """windows: (text number, its label, words). At least ``epochs`` rounds and about ``least_steps`` steps. Each epoch learns from all given windows of clean texts and, of a toxic text, from the one that looks worst."""
         if not windows:
             return self
-        words = sorted(counts)
+        words = sorted({w for _, _, ws in windows for w in ws})
         number = {w: i for i, w in enumerate(words)}
         at = np.full((len(windows), WINDOW), -1, np.int64)
         for i, (_, _, ws) in enumerate(windows):
             at[i, : len(ws)] = [number[w] for w in ws]
         doc, y = np.array([d for d, _, _ in windows]), np.array([v for _, v, _ in windows], np.float32)
-        self._start(words, at, doc, y)
         rng = np.random.default_rng(seed)
         m, v, step = {k: np.zeros_like(p) for k, p in self.p.items()}, {k: np.zeros_like(p) for k, p in self.p.items()}, 0
         for epoch in range(epochs := max(epochs, -(-least_steps // max(1, int((y == 0).sum()) // batch)))):
@@ -197,29 +208,8 @@ class Network:
                     m[k] = 0.9 * m[k] + 0.1 * g[k]
                     v[k] = 0.99 * v[k] + 0.01 * g[k] ** 2
                     p -= (lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-        looks = self.windows(self.gates(words), at)
-        order = np.lexsort((-looks, doc))
-        order = order[np.concatenate([[True], doc[order][1:] != doc[order][:-1]])]
-        self._calibrate(looks[order], y[order])
         return self
 
-    def _start(self, words: list[bytes], at: np.ndarray, doc: np.ndarray, y: np.ndarray) -> None:
-        """First numbers of the embeddings: how much oftener toxic texts hold the word or n-gram; zero where little was seen."""
-        keys, starts = ngrams(words)
-        sizes = np.diff(np.append(starts, len(keys)))
-        seen = np.unique(np.stack([np.repeat(doc, (at >= 0).sum(1)), at[at >= 0]], 1), axis=0)
-        toxic = np.zeros(doc.max() + 1, bool)
-        toxic[doc[y == 1]] = True
-        label, total = toxic[seen[:, 0]], np.array([(~toxic).sum(), toxic.sum()])
-        by_word = np.stack([np.bincount(seen[label == k, 1], minlength=len(words)) for k in (False, True)], 1).astype(np.float64)
-        own = np.repeat(np.arange(len(words)), sizes)
-        by_key = np.stack([np.bincount(keys, by_word[own, k], BUCKETS) for k in (0, 1)], 1)
-        odds = lambda c: np.clip(np.log((c[:, 1] + 0.5) / (total[1] + 1)) - np.log((c[:, 0] + 0.5) / (total[0] + 1)), -3, 3) * (c.sum(1) / (c.sum(1) + 5))
-        self.p["char"][:, 0] = odds(by_key)
-        found = [(n, by_word[i]) for i, w in enumerate(words) if (n := self.vocabulary.get(w))]
-        if found:
-            self.p["word"][[n for n, _ in found], 0] = odds(np.array([c for _, c in found]))
-
     def _calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """Platt scaling by Newton's method; a little ridge keeps separable data finite."""
         x = x.astype(np.float64)
@@ -325,57 +315,92 @@ class Scorer:
         return worst.astype(np.float64)
 
 
-def chosen_windows(learn: DataFrame, network: Network | None = None) -> list[tuple[int, int, bytes, int]]:
-    """(doc_id, start, words, label) of FIT_WINDOWS windows of each text, evenly spread; with a network also of the FIT_WINDOWS that look worst to it among all windows."""
+def lexicon(learn: DataFrame) -> tuple[dict[bytes, np.ndarray], np.ndarray, np.ndarray]:
+    """What Network.start() takes, over all words of all texts of ``learn`` (doc_id, k, y, text).
+
+    Collected are at most VOCABULARY words (those in most texts, in three or more), BUCKETS sums and two totals.
+    """
+
+    def said(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for y, t in zip(b["y"], b["text"], strict=True):
+                if ws := sorted(set(tokens(t))):
+                    yield pd.DataFrame({"w": ws, "toxic": int(y == 1)})
+            tidy()
+
+    def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((BUCKETS, 2))
+        for b in batches:
+            if len(b):
+                keys, starts = ngrams([bytes(w) for w in b["w"]])
+                own = np.repeat(np.arange(len(b)), np.diff(np.append(starts, len(keys))))
+                for i, c in enumerate(("clean", "toxic")):
+                    sums[:, i] += np.bincount(keys, b[c].to_numpy(np.float64)[own], BUCKETS)
+        at = np.flatnonzero(sums.any(1))
+        yield pd.DataFrame({"g": at, "clean": sums[at, 0], "toxic": sums[at, 1]})
+
+    rows = learn.select("y", "text").mapInPandas(said, "w binary, toxic int")
+    words = stored(rows.groupBy("w").agg(F.sum(1 - F.col("toxic")).alias("clean"), F.sum("toxic").alias("toxic")), "words")
+    top = words.where("clean + toxic >= 3").orderBy(F.desc(F.col("clean") + F.col("toxic")), "w").limit(VOCABULARY).collect()
+    found = np.zeros((BUCKETS, 2))
+    for r in words.mapInPandas(grams, "g int, clean double, toxic double").groupBy("g").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t")).collect():
+        found[r["g"]] = r["c"], r["t"]
+    dropped(words)
+    totals = {bool(r["toxic"]): r["n"] for r in learn.groupBy((F.col("y") == 1).alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    return {bytes(r["w"]): np.array([r["clean"], r["toxic"]], np.float64) for r in top}, found, np.array([totals.get(False, 0), totals.get(True, 0)])
+
+
+def hardest_windows(learn: DataFrame, network: Network, most: int = HARDEST) -> list[tuple[int, int, int, bytes, int]]:
+    """(doc_id, k, start, words, label): of each text the windows that look worst to a network among all its windows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = network and Scorer(network)
+        scorer = Scorer(network)
         for b in batches:
             rows = []
-            for d, y, t in zip(b["doc_id"], b["y"], b["text"], strict=True):
+            for d, k, y, t in zip(b["doc_id"], b["k"], b["y"], b["text"], strict=True):
                 ws = tokens(t)
                 starts = cut(len(ws))
-                use = np.unique(np.linspace(0, len(starts) - 1, FIT_WINDOWS).astype(int))
-                if scorer and len(starts) > len(use):
-                    use = np.union1d(use, np.argsort(-scorer.looks(ws, starts), kind="stable")[:FIT_WINDOWS])
-                for s in starts[use].tolist():
-                    rows.append((d, s, y, b" ".join(ws[s : s + WINDOW])))
-            yield pd.DataFrame(rows, columns=["doc_id", "at", "y", "words"])
+                if len(starts) > most:
+                    starts = np.sort(starts[np.argsort(-scorer.looks(ws, starts), kind="stable")[:most]])
+                rows += [(d, k, s, y, b" ".join(ws[s : s + WINDOW])) for s in starts.tolist()]
+            yield pd.DataFrame(rows, columns=["doc_id", "k", "at", "y", "words"])
             tidy()
 
-    taken = learn.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, at long, y int, words binary").distinct().collect()
-    return sorted((r["doc_id"], r["at"], bytes(r["words"]), r["y"]) for r in taken)
+    taken = learn.select("doc_id", "k", "y", "text").mapInPandas(run, "doc_id long, k long, at long, y int, words binary").collect()  # at most ``most`` a row
+    return [(r["doc_id"], r["k"], r["at"], bytes(r["words"]), r["y"]) for r in taken]
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, rounds: int = ROUNDS) -> Network:
     """A network fitted on at most ``most`` labelled rows (labels.toxic), never held-out ones; without labelled rows it is left untrained.
 
-    A first network learns from evenly spread windows and looks at all windows of the rows; if any text has more than
-    were taken, the network is fitted anew with those that look worst. It is calibrated on the worst of all windows of
-    each text, which is what scoring takes.
+    It starts from the counts of all words of these rows' whole texts. In each round Spark tasks look at all windows of all
+    rows with the network as it is, those that look worst in each text join the windows of the rounds before, and the
+    network learns on from all of them; so what a long text holds is found wherever it stands. At last it is calibrated on the worst of all windows of each text,
+    which is what scoring takes. Windows are collected (at most HARDEST a row and round), texts are not.
     """
     learn = labelled(docs, labels, "toxic", most)
-
-    def fitted(taken: list[tuple[int, int, bytes, int]]) -> Network:
-        number = {d: i for i, d in enumerate(dict.fromkeys(r[0] for r in taken))}
-        return Network().fit([(number[d], float(y), w.split()) for d, _, w, y in taken])
-
-    taken = chosen_windows(learn)
-    network = fitted(taken)
-    if not taken or max(Counter(r[0] for r in taken).values()) < FIT_WINDOWS:
-        return network  # all windows of all texts were taken
-    more = chosen_windows(learn, network)
-    if more != taken:
-        network = fitted(more)
+    network = Network().start(*lexicon(learn))
+    taken: set[tuple[int, int, int, bytes, int]] = set()
+    for r in range(rounds):
+        before = len(taken)
+        taken |= set(hardest_windows(learn, network))
+        if r and len(taken) == before:
+            break  # the windows that look worst have been learnt from
+        rows = sorted(taken)
+        number = {x: i for i, x in enumerate(dict.fromkeys(t[:2] for t in rows))}
+        network.fit([(number[t[:2]], float(t[4]), t[3].split()) for t in rows], *((5, 400) if not r else (2, 100)))
+    if not taken:
+        return network
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(network)
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "look": scorer.worst(list(b["text"]))})
+            yield pd.DataFrame({"doc_id": b["doc_id"], "k": b["k"], "y": b["y"], "look": scorer.worst(list(b["text"]))})
             tidy()
 
-    rows = learn.select("doc_id", "y", "text").mapInPandas(run, "doc_id long, y int, look double").groupBy("doc_id", "y").agg(F.max("look").alias("look")).orderBy("doc_id").collect()
+    rows = learn.select("doc_id", "k", "y", "text").mapInPandas(run, "doc_id long, k long, y int, look double").orderBy("doc_id", "k").collect()  # one number a row
     network._calibrate(np.array([r["look"] for r in rows]), np.array([float(r["y"]) for r in rows]))
+    dropped(learn)
     return network
 
 

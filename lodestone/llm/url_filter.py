@@ -1,25 +1,26 @@
 """URL filters: rules first, then words of host and path scored by naive Bayes.
 
 Names in hosts are often words run together. A unigram model splits them: Viterbi finds the split with the highest
-product of word probabilities. Its dictionary is a fixed list; the counts behind the probabilities are those of these
-words in the whole page table, so what is sent to the executors is bounded by the dictionary, whatever the table's size.
-Stretches that are no word stay together as one unknown word whose probability falls tenfold with each letter. The
-words of host and path then go to a multinomial naive Bayes model, fitted on a fixed list of labelled example names.
+product of word probabilities. The model is that of all words of the whole page table. Each distinct name looks up, by a
+join, the words that stand in it, so the dictionary grows with the table and is never in one place. The words then go to
+a multinomial naive Bayes model, which is learnt from the urls that the rules have judged, with a list of labelled example
+names as a prior.
 """
 
 from __future__ import annotations
 
 import math
-import re
-from functools import lru_cache
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, heavy_keys, spread_join, stored
 
-#: Example names, each with its words written apart. The dictionary is all of these words.
+#: Letters of the longest word looked up; weight of an unknown word before its letters; share of the example names' words in the unigram model.
+LONGEST, UNKNOWN, SEEDED = 24, 0.01, 0.05
+#: Example names, each with its words written apart.
 BLOCK_NAMES = (
     "casino win", "online casino", "free bets", "sports bet", "poker room", "slots jackpot", "adult x", "adult video", "sex cams", "porn tube", "xxx movies", "hot escort", "cheap pills", "viagra shop",
     "pharmacy pills", "diet pills", "spam farm", "link farm", "ads track", "ad tracker", "click ads", "banner ads", "pop ads", "payday loans", "fast loan cash", "win prize free", "lottery win", "crack warez", "keygen crack",
@@ -32,7 +33,6 @@ ALLOW_NAMES = (
 )
 #: Parts of a host that say nothing, and what may stand before it.
 ENDINGS = frozenset({"com", "net", "org", "edu", "gov", "info", "io", "co", "uk", "example"})
-WORD = re.compile("[a-z0-9]+")
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -58,17 +58,19 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
 
 
 class Segmenter:
-    """Viterbi over a unigram model: counts of dictionary words; unknown words of n letters get 10 / (N * 10 ** n)."""
+    """Viterbi over a unigram model: probabilities of words; unknown words of n letters get UNKNOWN / 10 ** n.
 
-    def __init__(self, counts: dict[str, int]) -> None:
-        self.total = sum(counts.values()) + len(counts)
-        self.cost = {w: -math.log((c + 1) / self.total) for w, c in counts.items()}
-        self.longest = max(map(len, counts), default=0)
+    Nothing here depends on how large the corpus was, so a table that is repeated splits names as before.
+    """
+
+    def __init__(self, words: dict[str, float]) -> None:
+        self.cost = {w: -math.log(p) for w, p in words.items()}
+        self.longest = max(map(len, words), default=0)
 
     def split(self, name: str) -> list[str]:
-        """O(length x longest word). Adjacent unknown letters form one word."""
-        n, rare, step = len(name), math.log(self.total / 10), math.log(10)
-        # best[i][0]: cheapest split of name[:i] that ends with a word; best[i][1]: with an unknown stretch.
+        """O(length x longest word). Adjacent unknown letters form one word; of equal splits the one with the longest last word."""
+        n, rare, step = len(name), -math.log(UNKNOWN), math.log(10)
+        # known[i]: cheapest split of name[:i] that ends with a word; other[i]: with an unknown stretch.
         known, other, back = [0.0] + [math.inf] * n, [math.inf] * (n + 1), [0] * (n + 1)
         begun = [0] * (n + 1)
         for i in range(1, n + 1):
@@ -85,52 +87,90 @@ class Segmenter:
         return words[::-1]
 
 
-class NaiveBayes:
-    """Multinomial, two classes, add-one smoothing; unknown words say nothing."""
+def word_shares(texts: DataFrame, column: str) -> DataFrame:
+    """w, p: every word of a column of pages, tags and scripts left out, and its share of all words; beside them, with SEEDED of all shares, the words of the example names."""
+    bare = F.regexp_replace(F.coalesce(column, F.lit("")), r"(?is)<(script|style)\b.*?</\1\s*>|<[^>]*>", " ")
+    counts = stored(texts.select(F.explode(F.split(ascii_lower(bare), "[^a-z0-9]+")).alias("w")).where("w != ''").groupBy("w").agg(F.count("*").alias("n")), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    seeds = Counter(w for name in (*BLOCK_NAMES, *ALLOW_NAMES) for w in name.split())
+    own = texts.sparkSession.createDataFrame([(w, n / sum(seeds.values())) for w, n in sorted(seeds.items())], "w string, s double")
+    p = (1 - SEEDED) * F.coalesce("n", F.lit(0)) / F.lit(max(total, 1)) + SEEDED * F.coalesce("s", F.lit(0.0))
+    return stored(counts.join(own, "w", "full").select("w", p.alias("p")), "shares")
 
-    def __init__(self, block: list[list[str]], allow: list[list[str]]) -> None:
-        words = {w for d in (*block, *allow) for w in d}
-        self.odds, sizes = {}, [sum(map(len, d)) + len(words) for d in (block, allow)]
-        for w in words:
-            b, a = (1 + sum(d.count(w) for d in docs) for docs in (block, allow))
-            self.odds[w] = math.log(b / sizes[0]) - math.log(a / sizes[1])
-        self.prior = math.log(len(block) / len(allow))
 
-    def score(self, words: list[str]) -> float:
-        """Log odds of block against allow."""
-        return self.prior + sum(self.odds.get(w, 0.0) for w in words)
+def segment(names: DataFrame, shares: DataFrame) -> DataFrame:
+    """(name) distinct, (w, p) -> name, words: each name split with all the words of the corpus that stand in it.
 
+    A name's pieces up to LONGEST letters look up their shares; what one name found is one row, bounded by its length. So
+    the dictionary is never in one place, however large it is.
+    """
+    at = names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("i"))
+    at = at.select("name", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("name") - F.col("i") + 1))).alias("n"))
+    pieces = stored(at.select("name", F.substring("name", F.col("i"), F.col("n")).alias("w")).distinct(), "pieces")
+    found = spread_join(pieces, shares, "w", stored(heavy_keys(pieces, "w"), "heavy"))
+    found = names.join(found.groupBy("name").agg(F.collect_list(F.struct("w", "p")).alias("known")), "name", "left")
 
-def dictionary_counts(texts: DataFrame, column: str) -> dict[str, int]:
-    """How often each dictionary word occurs in the whole column: one pass, partial sums, at most one row per dictionary word."""
-    vocabulary = sorted({w for name in (*BLOCK_NAMES, *ALLOW_NAMES) for w in name.split()})
-    found = texts.select(F.explode(F.split(F.lower(column), "[^a-z0-9]+")).alias("w")).where(F.col("w").isin(vocabulary)).groupBy("w").count()
-    return dict.fromkeys(vocabulary, 0) | {r["w"]: r["count"] for r in found.collect()}
+    @F.pandas_udf("array<string>")
+    def split(names: pd.Series, known: pd.Series) -> pd.Series:
+        return pd.Series([Segmenter({x["w"]: x["p"] for x in k} if k is not None else {}).split(n) for n, k in zip(names, known, strict=True)], dtype=object)
 
+    return found.select("name", split("name", "known").alias("words"))
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float = 0.0, counts: dict[str, int] | None = None) -> DataFrame:
-    """(page_id, url, html) -> page_id, url, host, path, rule, score, verdict: one row per page row.
 
-    The rule's verdict, where one fits; else block if the log odds of the name's words exceed ``threshold``. A null or
-    unusable url has empty host and path, no words, and so the prior's verdict, allow. Repeated rows and ids are judged
-    alike, row by row; nothing is grouped, so hot hosts cost nothing. Other columns are not looked at.
-    """
-    counts = counts if counts is not None else dictionary_counts(pages, "html")
-    host, path = split_url(F.col("url"))
+def _seed_odds() -> tuple[dict[str, tuple[float, float]], tuple[float, float], float]:
+    """({word: shares in (block, allow) example names, add-one smoothed}, shares of any other word, share of block names)."""
+    each = [Counter(w for name in names for w in name.split()) for names in (BLOCK_NAMES, ALLOW_NAMES)]
+    every = sorted(set(each[0]) | set(each[1]))
+    sizes = [sum(c.values()) + len(every) + 1 for c in each]
+    return {w: tuple((1 + c[w]) / n for c, n in zip(each, sizes, strict=True)) for w in every}, tuple(1 / n for n in sizes), len(BLOCK_NAMES) / (len(BLOCK_NAMES) + len(ALLOW_NAMES))
 
-    @F.pandas_udf("double")
-    def scored(hosts: pd.Series, paths: pd.Series) -> pd.Series:
-        cut = Segmenter(counts)
-        bayes = NaiveBayes([x.split() for x in BLOCK_NAMES], [x.split() for x in ALLOW_NAMES])
-        split = lru_cache(4096)(lambda name: tuple(cut.split(name)))
 
-        def score(host: str, path: str) -> float:
-            names = [x for part in host.split(".") if part not in ENDINGS for x in WORD.findall(part)] + [x for x in WORD.findall(path.lower()) if not x.isdigit()]
-            return bayes.score([w for x in names for w in split(x)])
+def bayes_odds(said: DataFrame) -> tuple[DataFrame, float]:
+    """(url, ruled, w) -> (w, odds: log odds of block against allow; the prior's log odds).
 
-        return pd.Series([score(h, p) for h, p in zip(hosts, paths, strict=True)], dtype="float64")
+    Multinomial naive Bayes, learnt from the urls that a rule has judged, and, with equal weight, from the example names.
+    Words that neither holds are left out and say nothing.
+    """
+    seeds, rest, share = _seed_odds()
+    ruled = said.where(F.col("ruled").isNotNull())
+    is_block = (F.col("ruled") == "block").cast("long")
+    words = ruled.groupBy("w").agg(F.sum(is_block).alias("b"), F.sum(1 - is_block).alias("a"))
+    sums = words.agg(F.sum("b"), F.sum("a")).first()
+    docs = ruled.select("url", "ruled").distinct().agg(F.sum(is_block), F.count("*")).first()
+    own = said.sparkSession.createDataFrame([(w, *q) for w, q in seeds.items()], "w string, qb double, qa double")
+    p = lambda n, total, q, other: F.coalesce(n, F.lit(0)) / F.lit(total or 1) + F.coalesce(q, F.lit(other))
+    odds = words.join(own, "w", "full").select("w", (F.log(p("b", sums[0], "qb", rest[0])) - F.log(p("a", sums[1], "qa", rest[1]))).alias("odds"))
+    block = share if not docs[1] else (docs[0] / docs[1] + share) / 2
+    return odds, math.log(block / (1 - block))
+
+
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float = 0.0) -> DataFrame:
+    """(page_id, url, html) -> page_id, url, host, path, rule, score, verdict: one row per page row.
 
-    rows = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
+    The rule's verdict, where one fits; else block if the log odds of the name's words exceed ``threshold``. The words are
+    those of the segmented names in host and path; top-level domains, other endings and mere numbers are left out. A null or
+    unusable url has empty host and path, no words, and so the prior's score. Names are split and urls judged once,
+    however many rows hold them; what very many rows share is joined by broadcast, so hot hosts and urls stay spread. Null
+    texts hold no words, repeated rows and ids are judged alike, row by row. Other columns are not looked at. An empty
+    table gives no rows.
+    """
+    host, path = split_url(F.col("url"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "ruled": verdict, "score": scored("host", "path")})
-    return rows.select("page_id", "url", "host", "path", "rule", "score", F.coalesce("ruled", F.when(F.col("score") > threshold, "block").otherwise("allow")).alias("verdict"))
+    rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("key"), "url")
+    urls = rows.groupBy("key").agg(F.count("*").alias("n")).withColumn("url", F.col("key")).select("key", "n", host.alias("host"), path.alias("path"))
+    urls = stored(urls.withColumns({"rule": rule, "ruled": verdict}), "urls")
+    parts = F.split("host", r"\.")
+    parts = F.when(F.size(parts) > 1, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)  # the last one is the top-level domain
+    in_host = F.flatten(F.transform(F.filter(parts, lambda x: ~x.isin(*sorted(ENDINGS))), lambda x: F.filter(F.split(x, "[^a-z0-9]+"), lambda w: w != "")))
+    in_path = F.filter(F.split(ascii_lower(F.col("path")), "[^a-z0-9]+"), lambda w: (w != "") & ~w.rlike("^[0-9]+$"))
+    named = stored(urls.select(F.col("key").alias("url"), "ruled", F.explode(F.concat(in_host, in_path)).alias("name")), "names")
+    split = stored(segment(named.select("name").distinct(), word_shares(pages, "html")), "split")
+    said = spread_join(named, split, "name", stored(heavy_keys(named, "name"), "heavy"))
+    said = stored(said.select("url", "ruled", F.explode("words").alias("w")), "said")
+    odds, prior = bayes_odds(said)
+    scored = spread_join(said, stored(odds, "odds"), "w", stored(heavy_keys(said, "w"), "heavy")).groupBy("url").agg(F.sum("odds").alias("odds"))
+    scored = urls.join(scored.withColumnRenamed("url", "key"), "key", "left").withColumn("score", F.round(F.lit(prior) + F.coalesce("odds", F.lit(0.0)), 9))
+    scored = stored(scored.select("key", "n", "host", "path", "rule", "ruled", "score"), "scored")
+    heavy = scored.where(F.col("n") > max(1_000, (scored.agg(F.sum("n")).first()[0] or 0) // 1_000)).select("key")  # a thousand at most
+    out = spread_join(rows, scored, "key", heavy)
+    return out.select("page_id", "url", "host", "path", "rule", "score", F.coalesce("ruled", F.when(F.col("score") > threshold, "block").otherwise("allow")).alias("verdict"))

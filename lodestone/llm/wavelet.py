@@ -32,6 +32,10 @@ MAGIC = b"WVLT2\0"
 BLOCK, PART, SAMPLE, KEPT = 1 << 16, 512, 4_096, 64
 
 
+#: Files up to which their first places are broadcast (24 bytes each); more are joined by a shuffle.
+BROADCAST_FILES = 200_000
+
+
 def planes_of(ids: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, int]]:
     """(bits packed in little order, how many are zero) of each plane, the highest first."""
     ids, spare = ids.copy(), np.empty(len(ids), ids.dtype)
@@ -251,11 +255,13 @@ def write_shards(docs: DataFrame, tokenizer: Tokenizers, end_id: int = 0, shard_
 
 
 def _placed(shards: DataFrame) -> DataFrame:
-    """(first, payload) of each file: how many ids all files before it hold. The payloads are shuffled at most, the sums are narrow."""
+    """(first, payload) of each file: how many ids all files before it hold. Sums run in two steps."""
     parts = totals_before(shards.groupBy("part").agg(F.sum("n_tokens").alias("n")), [], "part", "n", "base").select("part", "base")
     before = F.sum("n_tokens").over(W.partitionBy("part").orderBy("seq").rowsBetween(W.unboundedPreceding, -1))  # the files of one part
     sizes = shards.select("part", "seq", F.coalesce(before, F.lit(0)).alias("within")).join(parts, "part")
-    return shards.select("part", "seq", "payload").join(sizes.select("part", "seq", (F.col("base") + F.col("within")).alias("first")), ["part", "seq"]).select("first", "payload")
+    firsts = sizes.select("part", "seq", (F.col("base") + F.col("within")).alias("first"))
+    few = shards.select("part").count() <= BROADCAST_FILES
+    return shards.select("part", "seq", "payload").join(F.broadcast(firsts) if few else firsts.hint("merge"), ["part", "seq"]).select("first", "payload")
 
 
 def occurrences(shards: DataFrame, tokens: list[int]) -> DataFrame:

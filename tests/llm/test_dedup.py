@@ -45,12 +45,35 @@ def test_links_are_complete(spark):
                 x ^= 1 << b
             fps.add(x)
     signed = sorted(f - (1 << 64) if f >> 63 else f for f in fps)
-    got = {(r.a, r.b) for r in simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long")).collect()}
+    df = spark.createDataFrame([(f, f) for f in signed], "fp long, node long")
+    got = {(r.a, r.b) for r in simhash.links(df).collect()}
     exp = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4}
     assert got == exp
+    parts = lambda pairs: {frozenset(g) for g in grouped(signed, pairs).values()}
+    for crowd in (1, 8, 30):  # crowded keys go another way, to the same components
+        assert parts({(r.a, r.b) for r in simhash.links(df, crowd=crowd).collect()}) == parts(exp)
+    assert parts({(r.a, r.b) for r in simhash.by_midpoints(df).collect()}) == parts(exp)
 
 
-def test_near_duplicates_and_keeping_one(spark):
+def grouped(nodes, pairs):
+    parent = {x: x for x in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        parent[find(a)] = find(b)
+    out = {}
+    for x in nodes:
+        out.setdefault(find(x), set()).add(x)
+    return out
+
+
+@pytest.mark.parametrize("crowd", [4096, 3])
+def test_near_duplicates_and_keeping_one(spark, monkeypatch, crowd):
+    monkeypatch.setattr(simhash.links, "__defaults__", (4, crowd))
     random.seed(3)
     base = [" ".join(random.choice("abcdefghij") + str(random.randrange(50)) for _ in range(400)) for _ in range(6)]
     rows = []
@@ -59,8 +82,8 @@ def test_near_duplicates_and_keeping_one(spark):
         if i % 3:
             words[random.randrange(len(words))] = "new"
         rows.append((100 - i, " ".join(words)))
-    rows += [(7, None), (8, ""), (9, " \n"), (None, base[0]), (None, "lonely text of no one else here"), (2**60 + 1, "another lonely text"), (41, rows[0][1]), (41, rows[0][1]), (41, rows[0][1])]
-    df = spark.createDataFrame([(d, t, "s", 1) for d, t in rows], "doc_id long, text string, fp string, root int")
+    rows += [(7, None), (8, ""), (9, " \n"), (None, base[0]), (None, "lonely text of no one else here"), (2**60 + 1, "another lonely text"), (41, rows[0][1]), (41, rows[0][1]), (41, rows[0][1]), (500, "long " * 200_000)]
+    df = spark.createDataFrame([(d, t, "s", 1, 2, 3, 4) for d, t in rows], "doc_id long, text string, fp string, root int, id int, key int, n int")
     fps, parent = [plain_fingerprint(t) for _, t in rows], list(range(len(rows)))
 
     def find(x):

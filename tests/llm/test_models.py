@@ -76,33 +76,104 @@ def test_toxicity_on_held_out_rows(spark):
     toxicity.fit(docs, labels.limit(0))
 
 
-def test_toxicity_learns_from_all_windows_of_long_texts(spark, monkeypatch):
-    monkeypatch.setattr(toxicity.Network.fit, "__defaults__", (5, 100, 64, 0.01, 5))  # fewer and smaller steps
+def test_toxicity_learns_from_all_windows_of_long_texts(spark):
     rng = random.Random(3)
     plain = lambda n: [rng.choice("river stone cloud paper garden window letter music bread table".split()) for _ in range(n)]
-    starts = toxicity.cut(3000)
-    taken = starts[np.unique(np.linspace(0, len(starts) - 1, toxicity.FIT_WINDOWS).astype(int))]
-    free = next(int(s) for s in starts if all(abs(s - t) > toxicity.WINDOW for t in taken))
     rows = []
-    for i in range(64):
+    for i in range(96):
         ws = plain(30 if i % 8 == 0 else 3000)
         toxic = i % 8 in (0, 1)
         if toxic:
-            at = 5 if i % 8 == 0 else free + 20
+            at = rng.randrange(len(ws) - 4)  # anywhere
             ws[at : at + 4] = "vile scum hateful filth".split()
         rows.append((i, " ".join(ws), int(toxic)))
+    rows += [(1, "the same id with another text of river and stone", 1)] * 3
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     network = toxicity.fit(df, df)
     learn = quality.labelled(df, df, "toxic", 4000)
-    hidden = {r[0] for r in toxicity.chosen_windows(learn, network) if b"scum" in r[2]}
-    learnt = {r.doc_id for r in learn.where("y = 1").collect()}
-    assert hidden == learnt
-    p = {r.doc_id: r.score for r in toxicity.score(df, network).collect()}
-    assert min(p[i] for i, _, y in rows if y) > 0.5 > max(p[i] for i, _, y in rows if not y)
-    used = [r for r in rows if r[0] in {x.doc_id for x in learn.select("doc_id").collect()}]
+    assert learn.where("doc_id = 1").count() == (2 if learn.where("doc_id = 1").count() else 0)
+    hidden = {r[0] for r in toxicity.hardest_windows(learn, network) if b"scum" in r[3]}
+    assert hidden == {r.doc_id for r in learn.where("y = 1").collect()}
+    p = {(r.doc_id, len(r.text)): r.score for r in toxicity.score(df, network).collect()}
+    assert min(p[i, len(t)] for i, t, y in rows[:96] if y) > 0.5 > max(p[i, len(t)] for i, t, y in rows[:96] if not y)
+    used = [(r.text, r.y) for r in learn.collect()]
     again = toxicity.Network()
-    again._calibrate(toxicity.Scorer(network).worst([t for _, t, _ in used]), np.array([float(y) for _, _, y in used]))
+    again._calibrate(toxicity.Scorer(network).worst([t for t, _ in used]), np.array([float(y) for _, y in used]))
     assert abs(again.slope - network.slope) < 1e-3 and abs(again.shift - network.shift) < 1e-3
+    assert quality.labelled(df, df, "toxic", 5).count() == 5  # rows are bounded, not ids
+
+
+def test_lexicon_counts_all_words_of_whole_texts(spark):
+    rows = [(1, "aa bb aa", 1), (3, "bb cc", 0), (5, "bb dd", 0), (6, None, 1), (7, "bb", 0)]
+    df = spark.createDataFrame([(d, 0, y, t) for d, t, y in rows], "doc_id long, k long, y int, text string")
+    words, grams, totals = toxicity.lexicon(df)
+    assert {w: c.tolist() for w, c in words.items()} == {b"bb": [3.0, 1.0]} and totals.tolist() == [3, 2]
+    exp = np.zeros((toxicity.BUCKETS, 2))
+    for w, clean, toxic in ((b"aa", 0, 1), (b"bb", 3, 1), (b"cc", 1, 0), (b"dd", 1, 0)):
+        for k in toxicity.ngrams([w])[0]:
+            exp[k] += clean, toxic
+    assert np.array_equal(grams, exp)
+    assert toxicity.lexicon(df.limit(0))[0] == {}
+
+
+def test_scorer_equals_one_plain_window_at_a_time(monkeypatch):
+    rng = random.Random(5)
+    network = toxicity.Network(seed=4)
+    network.vocabulary = {b"w1": 1, b"w2": 2, b"w3": 3}
+    texts = [" ".join(f"W{rng.randrange(400)}" for _ in range(n)) for n in (1, 2, 47, 48, 49, 80, 81, 333, 2000, 5)] + [None, "", "?!", "w1 " * 48]
+    rng.shuffle(texts)
+
+    def plain(text):
+        ws = toxicity.tokens(text)
+        if not ws:
+            return network.p["base"][0]
+        starts = [*range(0, len(ws) - toxicity.WINDOW, toxicity.STRIDE), len(ws) - toxicity.WINDOW] if len(ws) > toxicity.WINDOW else [0]
+        worst = -np.inf
+        for s in starts:
+            part = ws[s : s + toxicity.WINDOW]
+            worst = max(worst, float(network.forward(network.gates(part), np.arange(len(part))[None])[0][0]))
+        return worst
+
+    exp = np.array([plain(t) for t in texts])
+    for remembered in (300_000, 60):
+        monkeypatch.setattr(toxicity, "REMEMBERED", remembered)
+        scorer = toxicity.Scorer(network)
+        assert np.allclose(scorer.worst(texts), exp, atol=1e-4)
+        assert np.allclose([scorer.worst([t])[0] for t in texts], exp, atol=1e-4)
+
+
+def plain_statistics(text):
+    """The statistics by their definitions, character by character."""
+    data = (text or "").encode("utf-8", "replace")
+    words = data.split()
+    if not words:
+        return [0.0] * len(quality.NAMES)
+    share = lambda f: sum(map(f, data)) / len(data)
+    sentence = b".,;:?'\"-()"
+    mark = lambda c: 33 <= c < 127 and c not in sentence and not chr(c).isalnum()
+    lens = [len(w) for w in words]
+    mean = sum(lens) / len(lens)
+    lines = [x for x in data.split(b"\n") if x.strip()]
+    return [
+        np.log1p(len(data)), np.log1p(len(words)), share(lambda c: 97 <= c <= 122), share(lambda c: 65 <= c <= 90), share(lambda c: 48 <= c <= 57), share(lambda c: c in b" \t\r"), share(lambda c: c == 10),
+        share(lambda c: c in sentence), share(mark), share(lambda c: c >= 128), mean, (sum((n - mean) ** 2 for n in lens) / len(lens)) ** 0.5, np.log1p(max(lens)), len(set(words)) / len(words),
+        max(words.count(w) for w in set(words)) / len(words), len(set(lines)) / len(lines), np.log1p(len(words) / len(lines)), sum(65 <= w[0] <= 90 for w in words) / len(words), sum(mark(w[-1]) for w in words) / len(words),
+        float(words[-1][-1] in sentence),
+    ]
+
+
+def test_statistics_against_plain_ones():
+    rng = random.Random(2)
+    some = ["".join(rng.choice("aB9 .,'!\n\té中_%\x0b\x00") for _ in range(rng.randrange(80))) for _ in range(200)] + [None, "", " \n", "word"]
+    for t in some:
+        assert np.allclose(quality.statistics(t), plain_statistics(t)), t
+
+
+def test_scores_are_those_of_each_text_alone(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    for r in quality.score(docs, model).collect():
+        assert r.score == pytest.approx(model.predict(np.array([plain_statistics(r.text)]))[0], abs=1e-6)
 
 
 def test_gradients():
@@ -150,7 +221,8 @@ def test_neighbours(spark, monkeypatch):
     rows = [(i, rng.normal(size=20).astype(np.float32).tolist()) for i in range(3000)] + [(5000 + i, [0.5] * 20) for i in range(400)]
     bad = [(9000, None), (9001, [0.0] * 20), (9002, [float("nan")] * 20), (9003, [1.0] * 19 + [None]), (9004, [float("inf")] * 20), (None, [1.0] * 20), (9005, [1.0] * 3)]
     df = spark.createDataFrame([(*r, 1) for r in [*rows, *bad]], "vec_id long, embedding array<float>, score int")
-    monkeypatch.setattr(ann, "PASS_QUERIES", 20)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 20)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 700)
     got = sorted(tuple(r) for r in ann.search(df, df.where("vec_id % 100 = 0"), 10, 200).collect())
     exp = sorted(brute(rows, [r for r in rows if r[0] % 100 == 0]))
     assert [r[0] for r in got] == [r[0] for r in exp]
@@ -169,8 +241,27 @@ def test_recall_by_table_scan_alone():
     ids, codes, half = np.arange(len(x)), np.asfortranarray(q.encode(x)), np.full(len(x), 0.5, np.float32)
     hits = 0
     for i in range(30):
-        found = ann._best(x[i].astype(float), i, ids, codes, x, half, q, 10, 200)[1]
+        found = ann.best_of_block(q.tables(x[i].astype(float)), i, ids, codes, half, ann.reranked(len(x)))[1]
         d = np.linalg.norm(x - x[i], axis=1)
         d[i] = np.inf
         hits += len(set(found.tolist()) & set(np.argsort(d, kind="stable")[:10].tolist()))
     assert hits >= 0.9 * 300
+
+
+def test_plan_is_the_same_for_any_number_of_queries(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(600)], "vec_id long, embedding array<float>")
+    import contextlib
+    import io
+
+    def lines(queries):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            ann.search(df, queries).explain()
+        return len(out.getvalue().splitlines())
+
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ann, "QUERY_ROWS", 5)
+        assert lines(df.where("vec_id < 6")) == lines(df)
+        got = ann.search(df, df).collect()
+    assert len(got) == 6000 and len({r.query_id for r in got}) == 600
