@@ -23,7 +23,7 @@ from .quality import labelled
 #: Labelled rows fitted on at most, words of a window, words between two windows' starts.
 FIT_ROWS, WINDOW, STRIDE = 4_000, 48, 32
 #: Rounds of looking at all windows of these rows and learning from the ones that look worst; how many of a text a round adds.
-ROUNDS, HARDEST = 3, 6
+ROUNDS, HARDEST = 2, 6
 #: Embedded words, buckets of character n-grams, sizes of either embedding, of a direction's state and of the attention.
 VOCABULARY, BUCKETS, SIZE, STATE, ATTENTION = 4_096, 1 << 15, 8, 8, 8
 #: Distinct words whose gate inputs a worker remembers.
@@ -61,6 +61,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
+def _summed(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """(n, columns): the rows of each number added up."""
+    return np.stack([np.bincount(at, column, n) for column in rows.T], 1).astype(rows.dtype)
+
+
 class Network:
     """Parameters in ``p``; fit() trains them, windows() judges windows of word numbers."""
 
@@ -76,16 +81,22 @@ class Network:
         self.p["word"][0] = 0
         self.slope, self.shift = 1.0, 0.0
 
-    def embed(self, words: list[bytes]) -> tuple[np.ndarray, tuple]:
-        """Inputs of distinct words (n, 2 * SIZE), and what backward needs."""
-        at = np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words))
+    def spelled(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(numbers in the vocabulary, all n-gram buckets word by word, how many each word has)."""
         keys, starts = ngrams(words)
-        sizes = np.diff(np.append(starts, len(keys)))
-        chars = np.add.reduceat(self.p["char"][keys], starts, axis=0) / sizes[:, None].astype(np.float32)
-        return np.concatenate([self.p["word"][at], chars], 1), (at, keys, sizes)
+        return np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words)), keys, np.diff(np.append(starts, len(keys)))
+
+    def embed(self, spelled: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        """Inputs of distinct words (n, 2 * SIZE)."""
+        at, keys, sizes = spelled
+        chars = np.add.reduceat(self.p["char"][keys], np.cumsum(sizes) - sizes, axis=0) / sizes[:, None].astype(np.float32)
+        return np.concatenate([self.p["word"][at], chars], 1)
 
     def gates(self, words: list[bytes]) -> np.ndarray:
-        return self.embed(words)[0] @ self.p["in"] + self.p["bias"]
+        return self._gates(self.spelled(words))
+
+    def _gates(self, spelled: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        return self.embed(spelled) @ self.p["in"] + self.p["bias"]
 
     @staticmethod
     def _run(x: np.ndarray, u: np.ndarray, mask: np.ndarray | None, keep: bool) -> tuple[np.ndarray, list]:
@@ -135,9 +146,10 @@ class Network:
             dh = g * z + da @ u.T
         return dx, du
 
-    def gradients(self, words: list[bytes], at: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean logistic loss of windows, and its gradient by every parameter."""
-        vectors, (word_at, keys, sizes) = self.embed(words)
+    def gradients(self, spelled: tuple[np.ndarray, np.ndarray, np.ndarray], at: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean logistic loss of windows of these words' numbers, and its gradient by every parameter."""
+        word_at, keys, sizes = spelled
+        vectors = self.embed(spelled)
         table = vectors @ self.p["in"] + self.p["bias"]
         logits, (mask, kept_f, kept_b, states, hidden, weight, pooled) = self.forward(table, at, True)
         loss = float(np.mean(np.logaddexp(0, logits) - y * logits))
@@ -154,14 +166,12 @@ class Network:
         dxb, g["bwd"] = self._back_run(dstates[::-1, :, STATE:], kept_b, self.p["bwd"], None if mask is None else mask[::-1])
         dx = np.concatenate([dxf, dxb[::-1]], 2).reshape(-1, 6 * STATE)
         flat = at.T.reshape(-1)
-        dt = np.zeros_like(table)
-        np.add.at(dt, flat[flat >= 0], dx[flat >= 0])
+        dt = _summed(flat[flat >= 0], dx[flat >= 0], len(table))
         g["bias"], g["in"] = dt.sum(0), vectors.T @ dt
         dv = dt @ self.p["in"].T
-        g["word"], g["char"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["char"])
-        np.add.at(g["word"], word_at, dv[:, :SIZE])
+        g["word"] = _summed(word_at, dv[:, :SIZE], len(self.p["word"]))
         g["word"][0] = 0
-        np.add.at(g["char"], keys, np.repeat(dv[:, SIZE:] / sizes[:, None].astype(np.float32), sizes, axis=0))
+        g["char"] = _summed(keys, np.repeat(dv[:, SIZE:] / sizes[:, None].astype(np.float32), sizes, axis=0), len(self.p["char"]))
         return loss, g
 
     def start(self, words: dict[bytes, np.ndarray], grams: np.ndarray, totals: np.ndarray) -> Network:
@@ -177,7 +187,7 @@ class Network:
             self.p["word"][1 : len(words) + 1, 0] = odds(np.array(list(words.values()), np.float64))
         return self
 
-    def fit(self, windows: list[tuple[int, float, list[bytes]]], epochs: int = 5, least_steps: int = 400, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Network:
+    def fit(self, windows: list[tuple[int, float, list[bytes]]], epochs: int = 5, least_steps: int = 300, batch: int = 256, rate: float = 0.01, seed: int = 5) -> Network:
         """windows: (text number, its label, words). At least ``epochs`` rounds and about ``least_steps`` steps. Each epoch learns from all given windows of clean texts and, of a toxic text, from the one that looks worst."""
         if not windows:
             return self
@@ -187,10 +197,12 @@ class Network:
         for i, (_, _, ws) in enumerate(windows):
             at[i, : len(ws)] = [number[w] for w in ws]
         doc, y = np.array([d for d, _, _ in windows]), np.array([v for _, v, _ in windows], np.float32)
+        word_at, keys, sizes = every = self.spelled(words)
+        starts = np.cumsum(sizes) - sizes
         rng = np.random.default_rng(seed)
         m, v, step = {k: np.zeros_like(p) for k, p in self.p.items()}, {k: np.zeros_like(p) for k, p in self.p.items()}, 0
         for epoch in range(epochs := max(epochs, -(-least_steps // max(1, int((y == 0).sum()) // batch)))):
-            looks = self.windows(self.gates(words), at)
+            looks = self.windows(self._gates(every), at)
             worst = np.lexsort((-looks, doc))
             worst = worst[np.concatenate([[True], doc[worst][1:] != doc[worst][:-1]])]
             use = np.concatenate([np.flatnonzero(y == 0), worst[y[worst] == 1]])
@@ -202,7 +214,9 @@ class Network:
                     here, inverse = here[1:], inverse - 1
                 if not len(here):
                     continue
-                _, g = self.gradients([words[i] for i in here], inverse, y[part])
+                n = sizes[here]
+                own = keys[np.repeat(starts[here] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                _, g = self.gradients((word_at[here], own, n), inverse, y[part])
                 step += 1
                 for k, p in self.p.items():
                     m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -388,7 +402,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS, rounds: int =
             break  # the windows that look worst have been learnt from
         rows = sorted(taken)
         number = {x: i for i, x in enumerate(dict.fromkeys(t[:2] for t in rows))}
-        network.fit([(number[t[:2]], float(t[4]), t[3].split()) for t in rows], *((5, 400) if not r else (2, 100)))
+        network.fit([(number[t[:2]], float(t[4]), t[3].split()) for t in rows], *((5, 300) if not r else (2, 80)))
     if not taken:
         return network
 

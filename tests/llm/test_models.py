@@ -187,7 +187,7 @@ def test_gradients():
     import unittest.mock
 
     with unittest.mock.patch.object(toxicity.np, "float32", np.float64):
-        _, g = network.gradients(words, at, y)
+        _, g = network.gradients(network.spelled(words), at, y)
         random.seed(1)
         for k, p in network.p.items():
             flat = p.reshape(-1)
@@ -195,9 +195,9 @@ def test_gradients():
             for i in random.sample(places, min(4, len(places))):
                 old, e = flat[i], 1e-5
                 flat[i] = old + e
-                up, _ = network.gradients(words, at, y)
+                up, _ = network.gradients(network.spelled(words), at, y)
                 flat[i] = old - e
-                down, _ = network.gradients(words, at, y)
+                down, _ = network.gradients(network.spelled(words), at, y)
                 flat[i] = old
                 assert g[k].reshape(-1)[i] == pytest.approx((up - down) / (2 * e), rel=2e-2, abs=1e-5), k
 
