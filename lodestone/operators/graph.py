@@ -29,15 +29,19 @@ def hot_edges(edges: DataFrame, nodes: DataFrame, types: tuple[str, ...], degree
     return rows.join(degrees(rows).where(F.col("degree") > degree_cap).select("src"), "src", "left_anti")
 
 
-def closure(edges: DataFrame, max_hops: int = 3) -> DataFrame:
+def closure(edges: DataFrame, max_hops: int = 3, seeds: DataFrame | None = None) -> DataFrame:
     """src, dst, hops, weight (product), path (array) of the best simple path of each pair: fewest hops, then most weight, then first path.
 
     A best path's beginning is itself a best path, so each level keeps one path a pair and only pairs not met before go on.
+    With seeds (node_id), only pairs that start there are made, from the first level on.
     """
     step = edges.groupBy("src", "dst").agg(F.max("weight").alias("w")).where("src != dst")
-    level = stored(step.select("src", "dst", F.lit(1).alias("hops"), F.col("w").alias("weight"), F.array("src", "dst").alias("path")), "closure")
+    step = stored(step, "step")
+    first = step if seeds is None else step.join(seeds.select(F.col("node_id").alias("src")).distinct(), "src", "left_semi")
+    level = first.select("src", "dst", F.lit(1).alias("hops"), F.col("w").alias("weight"), F.array("src", "dst").alias("path"))
+    level = level if seeds is None else stored(level, "closure")
     levels = [level]
-    onward = level.select(F.col("src").alias("via"), F.col("dst").alias("to"), F.col("weight").alias("w"))  # the stored step, not made again
+    onward = step.select(F.col("src").alias("via"), F.col("dst").alias("to"), "w")
     for hop in range(2, max_hops + 1):
         longer = level.join(onward, level["dst"] == onward["via"]).where(~F.array_contains("path", F.col("to")))
         best = longer.groupBy("src", "to").agg(F.min(F.struct((-F.col("weight") * F.col("w")).alias("least"), F.concat("path", F.array("to")).alias("path"))).alias("b"))
@@ -68,6 +72,8 @@ def traverse(edges: DataFrame, seeds: DataFrame, nodes: DataFrame, max_hops: int
         level = level.join(step, level["node"] == step["via"]).where(~F.array_contains("path", F.col("to")))
         level = stored(level.select("seed", F.col("to").alias("node"), (F.col("hops") + 1).alias("hops"), total.alias("total_weight"), F.concat("path", F.array("to")).alias("path")), "walk")
         found = level if found is None else found.unionByName(level)
+        if limit and found.count() >= limit:
+            break  # longer paths come after all of these
     found = found if found is not None else level.where(F.lit(False))
     return found.orderBy("hops", F.desc("total_weight"), F.array_join("path", ">")).limit(limit) if limit else found
 

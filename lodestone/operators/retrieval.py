@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,13 +10,17 @@ from pyspark.sql import functions as F
 
 from ..functions.text import terms, trigram_similarity, trigrams
 from ..functions.vectors import cosine
+from ..sources.shared import stored
+from .joins import spread_join
 
 
-def postings(docs: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """doc_id, term, tf, length of every text."""
+def postings(docs: DataFrame, id_column: str = "doc_id", terms_of: DataFrame | None = None) -> DataFrame:
+    """doc_id, term, tf, length of every text, stored; with ``terms_of`` (query_id, text) of the terms alone that those texts hold."""
     ts = docs.select(F.col(id_column).alias("doc_id"), terms("text").alias("ts"))
     rows = ts.select("doc_id", F.size("ts").alias("length"), F.explode("ts").alias("term"))
-    return rows.groupBy("doc_id", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length"))
+    if terms_of is not None:
+        rows = rows.join(terms_of.select(F.explode(terms("text")).alias("term")).distinct(), "term", "left_semi")
+    return stored(rows.groupBy("doc_id", "term").agg(F.count("*").alias("tf"), F.max("length").alias("length")), "postings")
 
 
 def lengths(docs: DataFrame) -> tuple[int, float]:
@@ -58,20 +61,42 @@ def rrf(lists: list[DataFrame], k: int = 60, keys: tuple[str, ...] = ("query_id"
     return every.groupBy(*keys).agg(F.sum("part").alias("score"))
 
 
-def knn(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """Exact: query_id, vec_id, score (cosine), rank. queries (query_id, query) are few; their number is checked before they are broadcast."""
-    q = queries.limit(1001).cache()
-    if q.count() > 1000:
-        raise ValueError("exact search takes up to 1000 queries at a time")
-    pairs = vectors.crossJoin(F.broadcast(q)).withColumn("score", cosine(F.col("embedding"), F.col("query")))
-    return top(pairs.select("query_id", "vec_id", "score"), "score", k, "query_id", "vec_id")
+#: Queries up to which an exact search broadcasts them; more meet the vectors part by part.
+BROADCAST_QUERIES = 1_000
+
+
+def knn(vectors: DataFrame, queries: DataFrame, k: int, own: bool = True, digits: int = 6) -> DataFrame:
+    """Exact: query_id, vec_id, score (cosine, rounded), rank. A stated set of queries (query_id, query) against all vectors.
+
+    Each task keeps the k best of a query before anything is shuffled. own: whether a query finds the row of its own id.
+    """
+    q = stored(queries.select("query_id", "query"), "asked")
+    q = F.broadcast(q) if q.count() <= BROADCAST_QUERIES else q.hint("shuffle_replicate_nl")
+    pairs = vectors.select("vec_id", "embedding").join(q, F.lit(True) if own else F.col("vec_id") != F.col("query_id"))
+    pairs = pairs.select("query_id", "vec_id", F.round(cosine(F.col("embedding"), F.col("query")), digits).alias("score"))
+    return top(pairs, "score", k, "query_id", "vec_id")
 
 
 def link_names(names: DataFrame, nodes: DataFrame, least: float = 0.3, limit: int = 5) -> DataFrame:
-    """(query_id, text) -> query_id, node_id, score: nodes whose names' trigrams are alike; pairs share a trigram at least."""
+    """(query_id, text) -> query_id, node_id, score: nodes whose names' trigrams are alike.
+
+    Of s trigrams, the s - ceil(least * s) + 1 rarest are looked up: names that are alike share one of them, and the
+    trigrams that all names share are hardly ever among them.
+    """
     q = names.select("query_id", trigrams(F.col("text")).alias("qt"))
-    n = nodes.select("node_id", trigrams(F.col("name")).alias("nt"))
-    pairs = q.select("query_id", "qt", F.explode("qt").alias("t")).join(n.select("node_id", "nt", F.explode("nt").alias("t")), "t").dropDuplicates(["query_id", "node_id"])
+    n = stored(nodes.select("node_id", trigrams(F.col("name")).alias("nt")), "trigrams")
+    often = stored(n.select(F.explode("nt").alias("t")).groupBy("t").agg(F.count("*").alias("n")), "often")
+    heavy = stored(often.orderBy(F.desc("n"), "t").limit(1_000).select("t"), "heavy")
+
+    def rare(rows: DataFrame, key: str, grams: str) -> DataFrame:
+        each = rows.select(key, F.explode(grams).alias("t"))
+        each = spread_join(each, often, "t", heavy).unionByName(each.join(often, "t", "left_anti").withColumn("n", F.lit(0).cast("long")))
+        ranked = each.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("ts"))
+        size = F.size("ts")
+        return ranked.select(key, F.explode(F.slice("ts", F.lit(1), (size - F.ceil(size * least - 1e-9) + 1).cast("int"))).alias("x")).select(key, F.col("x.t").alias("t"))
+
+    near = rare(q, "query_id", "qt").join(rare(n, "node_id", "nt"), "t").select("query_id", "node_id").distinct()
+    pairs = near.join(q, "query_id").join(n, "node_id")
     scored = pairs.select("query_id", "node_id", F.round(trigram_similarity(F.col("qt"), F.col("nt")), 6).alias("score")).where(F.col("score") >= least)
     return top(scored, "score", limit, "query_id", "node_id")
 
@@ -90,16 +115,19 @@ def rank_hits(chunks: DataFrame, edges: DataFrame, nodes: DataFrame, seeds: Data
     return one.unionByName(two).unionByName(three).withColumn("score", F.round("score", 6)).orderBy(F.desc("score"), "kind", "id").limit(k)
 
 
-def pick_mode(question: str) -> str:
-    """lineage, path, global, drift or local, by what the question says."""
-    q = question.lower()
-    if re.search(r"\b(lineage|upstream|downstream|derived|source of|feeds?)\b", q):
-        return "lineage"
-    if re.search(r"\b(path|connect(ed|ion)?|relationship between|linked to)\b", q):
-        return "path"
-    if re.search(r"\b(overall|themes?|summar\w*|trends?|across|landscape)\b", q):
-        return "drift" if len(q.split()) > 12 else "global"
-    return "local"
+#: What a question must say for a mode, tried in this order; our own choice of words.
+CUES = {
+    "lineage": ("came from", "comes from", "origin", "upstream", "downstream", "depend", "computed from"),
+    "path": ("between", "route from", "reach", "via", "how is", "how are"),
+    "global": ("in general", "big picture", "main topics", "overview", "summar", "mostly about", "patterns"),
+}
+
+
+def pick_mode(question: str, cues: dict[str, tuple[str, ...]] = CUES, broad: int = 15) -> str:
+    """lineage, path, global, drift (a global question of more than ``broad`` words) or local, by what the question says."""
+    q = f" {' '.join(question.lower().split())} "
+    mode = next((m for m, said in cues.items() if any(f" {c}" in q for c in said)), "local")
+    return "drift" if mode == "global" and len(q.split()) > broad else mode
 
 
 def plan(question: str, most: int = 12) -> dict:

@@ -10,12 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import stable_id
 
-#: Tiers that roles may see; a caller's tier is the highest of their roles'.
-TIERS = {"viewer": 1, "analyst": 2, "director": 3, "admin": 3, "auditor": 3}
-
-
-def caller_tier(roles: list[str]) -> int:
-    return max((TIERS.get(r, 0) for r in roles), default=0)
+def caller_tier(roles: list[str], tiers: dict[str, int]) -> int:
+    """The highest tier that any of a caller's roles may see; roles without one see what is open to all (tier 0)."""
+    return max((tiers.get(r, 0) for r in roles), default=0)
 
 
 def compile_facts(facts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

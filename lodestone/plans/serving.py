@@ -118,7 +118,7 @@ def chunk_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id")
     d = d.withColumns({"effective_date": F.when(F.col("doc_id") % 3 == 1, F.lit("2030-01-01")).otherwise(F.lit(None)).cast("date"), "valid_to": F.when(F.col("doc_id") % 4 == 2, F.lit("2020-01-01")).otherwise(F.lit(None)).cast("date")})
     d = d.withColumns({"entity_ids": F.array(F.concat(F.lit("e"), F.col("doc_id") % 5)), "masking_tier": F.lit(0)})
-    return serving.redact(serving.about(serving.in_force(d, "2024-01-01"), ["e0", "e2"]), serving.caller_tier(["viewer"])).select("doc_id")
+    return serving.redact(serving.about(serving.in_force(d, "2024-01-01"), ["e0", "e2"]), serving.caller_tier(["guest", "reader"], {"reader": 1, "editor": 2})).select("doc_id")
 
 
 @query(WALK.replace("0.0::DOUBLE AS total_weight", "1.0::DOUBLE AS total_weight").replace("total_weight + weight", "total_weight * weight") + " SELECT seed, node, hops, total_weight AS weight, path FROM walk WHERE hops BETWEEN 1 AND 3 ORDER BY hops, weight DESC, path LIMIT 500")

@@ -61,7 +61,7 @@ SELECT src, dst, hops, weight, path FROM closed WHERE hops <= 2 AND src IN (SELE
 )
 def expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, nodes = _hot(spark, sf_dir)
-    out = graph.expand(graph.closure(edges, 2), _seeds(nodes), nodes, 2, 0, 200)
+    out = graph.expand(graph.closure(edges, 2, _seeds(nodes)), _seeds(nodes), nodes, 2, 0, 200)
     return out.select("src", "dst", "hops", "weight", F.array_join("path", ">").alias("path"))
 
 

@@ -13,9 +13,11 @@ _OPENED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir of the session, or, only where that is unset, a temporary folder of this machine."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir of the session, or, where that is unset and the driver runs the tasks itself, a temporary folder of this machine."""
     if found := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir"):
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="lodestone-"))
         spark.sparkContext.setCheckpointDir(_LOCAL[0])

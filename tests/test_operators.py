@@ -189,8 +189,9 @@ def test_chunks():
 
 
 def test_modes_and_plans():
-    assert [retrieval.pick_mode(q) for q in ("What is upstream of the report?", "How is A linked to B?", "Summarise the overall themes", "Who owns X?")] == ["lineage", "path", "global", "local"]
-    assert "NCF" in retrieval.plan("What is the NCF of Alpha?")["seeds"]
+    assert [retrieval.pick_mode(q) for q in ("Which ledger did this figure come from, or what is it computed from?", "By what route from Oslo does the money get to Rome?", "Give me an overview of the filings", "Who owns X?")] == ["lineage", "path", "global", "local"]
+    assert retrieval.pick_mode("an overview " + "of this and that " * 5) == "drift"
+    assert "QZ" in retrieval.plan("Which QZ has Kestrel?")["seeds"]
 
 
 def test_fusion_and_metrics(spark):
