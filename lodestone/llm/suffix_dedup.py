@@ -29,11 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import GRAM, segments
-from .common import dropped, stored, tidy
+from .common import dropped, fresh, row_keys, spread_join, stored, tidy
 from .suffixes import repeated
 
 #: Bytes of segments that a shard aims at; different segments of an anchor from which on they are dealt out further; parts that they are cut into.
 SHARD_BYTES, CROWD, PARTS = 4 << 20, 256, 8
+#: Rows of one anchor, or copies of one segment, from which on what they share may be broadcast to them.
+CROWDED_ROWS = 1_000
 SEGMENT = "id long, k long, first int, n int, anchor long, content long"
 
 
@@ -139,8 +141,13 @@ def find_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     rows = keyed(docs)
     anchors = stored(_anchors(rows, length).groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "anchors")
     live = stored(_segments(rows, length).join(anchors, "anchor", "left_semi"), "segments")
-    contents = live.groupBy("anchor", "content").agg(F.count("*").alias("m"), F.min(F.struct("id", "k", "first", "n")).alias("one"))
-    contents = stored(contents.join(contents.groupBy("anchor").agg(F.count("*").alias("kinds")), "anchor"), "contents")
+    each = stored(live.groupBy("anchor", "content").agg(F.count("*").alias("m"), F.min(F.struct("id", "k", "first", "n")).alias("one")), "each")
+    kinds = stored(each.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("m").alias("all")), "kinds")
+    total = kinds.agg(F.sum("kinds"), F.sum("all")).first()
+    # What very many rows share (more than a thousandth of them: a thousand keys at most) is broadcast, so that these rows stay spread.
+    crowded = kinds.where(F.col("kinds") > max(CROWDED_ROWS, (total[0] or 0) // 1_000)).select("anchor")
+    contents = stored(spread_join(each, kinds.drop("all"), "anchor", crowded), "contents")
+    copied = contents.where(F.col("m") > max(CROWDED_ROWS, (total[1] or 0) // 1_000)).select("anchor", "content")
     alone = contents.where("kinds = 1 AND m > 1").select("anchor", "content", F.lit(0).alias("a"), F.col("one.n").alias("b"))
     several = contents.where("kinds > 1")
     size = several.agg(F.sum((F.col("one.n") + length) * F.when(F.col("kinds") > CROWD, PARTS).otherwise(1))).collect()[0][0] or 0
@@ -169,7 +176,7 @@ def find_spans(docs: DataFrame, length: int = 200) -> DataFrame:
 
     pieces = rows.join(asked, ["id", "k"]).select("text", "asked").mapInPandas(sliced, "place long, anchor long, content long, m long, skip int, n int, bytes binary")
     found = stored(_sorted_shards(pieces, length, max(1, -(-size // SHARD_BYTES))).unionByName(alone), "found")
-    at = live.join(found, ["anchor", "content"]).select("id", "k", (F.col("first") + F.col("a")).alias("start"), (F.col("first") + F.col("b") + F.lit(length - 1)).alias("stop"))
+    at = spread_join(live, found, ["anchor", "content"], copied).select("id", "k", (F.col("first") + F.col("a")).alias("start"), (F.col("first") + F.col("b") + F.lit(length - 1)).alias("stop"))
     spans = at.groupBy("id", "k").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
 
     @F.pandas_udf("array<struct<start:int,stop:int>>")
@@ -186,7 +193,7 @@ def find_spans(docs: DataFrame, length: int = 200) -> DataFrame:
         return several.map(one)
 
     out = stored(spans.select("id", "k", merged("spans").alias("spans")), "spans")
-    for t in (anchors, live, contents, found):
+    for t in (anchors, live, each, kinds, contents, found):
         dropped(t)
     return out
 
@@ -204,24 +211,24 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
 
     Matches never cross documents; a document's own repeats count; all occurrences go, the first one, too; matches are
     judged on the input. Null texts stay null and count as empty; texts shorter than ``length`` bytes stay as they are.
-    Rows that repeat are copies of one another. What is left of a code point that is cut in two becomes U+FFFD. A column
+    Rows that repeat are copies of one another; very long texts are taken whole. What is left of a code point that is cut in two becomes U+FFFD. A column
     called spans is replaced; other columns are kept. An empty table stays empty.
     """
-    spans = find_spans(docs, length)
-    own = docs.columns
+    own = [c for c in docs.columns if c != "spans"]
 
     @F.pandas_udf("string")
     def left(text: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if t is None or s is None or not len(s) else _cut(_encoded(t), s).decode("utf-8", "replace") for t, s in zip(text, spans, strict=True)], dtype=object)
 
-    joined = _with_spans(docs.drop("spans"), spans)
-    return joined.withColumn("text", left("text", "spans")).select(*[f"`{c}`" for c in own if c != "spans"], "spans")
+    joined = _with_spans(docs.drop("spans"), find_spans(docs, length))
+    return joined.withColumn("text", left("text", "spans")).select(*[f"`{c}`" for c in own], "spans")
 
 
 def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    keys = {"__id": F.coalesce(F.col("doc_id"), F.lit(-(2**63))), "__k": F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")}
-    spans = spans.select(F.col("id").alias("__id"), F.col("k").alias("__k"), "spans")
-    return docs.withColumns(keys).join(spans, ["__id", "__k"], "left").drop("__id", "__k")
+    i, k = fresh([*docs.columns, "spans"], "id", "key")
+    own, key = row_keys()
+    spans = spans.select(F.col("id").alias(i), F.col("k").alias(k), "spans")
+    return docs.withColumns({i: own, k: key}).join(spans, [i, k], "left").drop(i, k)
 
 
 def digests(docs: DataFrame, length: int = 200) -> DataFrame:

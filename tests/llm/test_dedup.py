@@ -149,6 +149,7 @@ def removed(texts, length=200):
 @pytest.mark.parametrize("crowd", [256, 1])
 def test_suffix_dedup_against_brute_force(spark, monkeypatch, crowd):
     monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    monkeypatch.setattr(suffix_dedup, "CROWDED_ROWS", 1_000 if crowd > 1 else 0)
     random.seed(11)
     letters = "abcdé \n"
     make = lambda n: "".join(random.choice(letters) for _ in range(n))
@@ -162,11 +163,11 @@ def test_suffix_dedup_against_brute_force(spark, monkeypatch, crowd):
         i = random.randrange(len(near))
         texts.append(near[:i] + "!" + near[i + 1 :])
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, passages[3]), (0, texts[0]), (0, texts[0])]
-    df = spark.createDataFrame([(d, t, 1, "y") for d, t in rows], "doc_id long, text string, spans int, k string")
+    df = spark.createDataFrame([(d, t, 1, "y", 2, 3, 4) for d, t in rows], "doc_id long, text string, spans int, k string, id int, __id int, key int")
     exp = Counter((d, *e[:4]) for (d, _), e in zip(rows, removed([t for _, t in rows]), strict=True))
     assert Counter(map(tuple, suffix_dedup.digests(df).collect())) == exp
     out = suffix_dedup.remove_repeats(df)
-    assert out.columns == ["doc_id", "text", "k", "spans"]
+    assert out.columns == ["doc_id", "text", "k", "id", "__id", "key", "spans"] and out.where("id = 2 AND __id = 3 AND key = 4").count() == len(rows)
     whole = Counter((d, None if t is None else e[4].decode("utf-8", "replace")) for (d, t), e in zip(rows, removed([t for _, t in rows]), strict=True))
     assert Counter((r.doc_id, r.text) for r in out.collect()) == whole
     assert suffix_dedup.digests(df.limit(0)).count() == 0
