@@ -1,4 +1,9 @@
-"""The corpus pipeline: one operator a stage, each written as Parquet and read again by the next."""
+"""The corpus pipeline: one operator a stage, each written as Parquet and read again by the next.
+
+In every stage null texts count as empty ones, null doc_ids are ids like others, empty and very long texts are judged
+whole, rows that repeat are judged alike (only the near-duplicate stage takes repeats out), further columns are passed on
+whatever they are called, and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def spread_join(rows: DataFrame, facts: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
-    """rows join facts on ``key``, of which facts has one row each. heavy: the keys (a proven few) that very many rows share.
+def spread_join(rows: DataFrame, facts: DataFrame, key: str | list[str], heavy: DataFrame) -> DataFrame:
+    """rows join facts on ``key``, of which facts has one row each, or a few. heavy: the keys (a proven few) that very many rows share.
 
     What the heavy keys need is broadcast, so their rows stay where they are; all other rows are shuffled. Rows without a
     key find nothing.
     """
-    heavy = F.broadcast(heavy.select(key))
+    heavy = F.broadcast(heavy.select(key).distinct())
     many = rows.join(F.broadcast(facts.join(heavy, key, "left_semi")), key)
     return many.unionByName(rows.join(heavy, key, "left_anti").join(facts, key))
 
