@@ -10,7 +10,6 @@ precision.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,9 @@ from pyspark.sql import functions as F
 from .common import stored
 
 #: Vectors that the centres are fitted on at most (those with the smallest hashes of their ids); rows of an index block; queries of a block.
-FIT_ROWS, BLOCK_ROWS, QUERY_ROWS = 10_000, 16_384, 1_024
+FIT_ROWS, BLOCK_ROWS, QUERY_ROWS = 10_000, 16_384, 128
+#: Shares of the index; each block of queries is a task with each of them.
+SHARES = 4
 SUB = 2
 
 
@@ -153,14 +154,11 @@ def best_of_block(table: np.ndarray, own: int, ids: np.ndarray, codes: np.ndarra
 
 
 def scan(index: DataFrame, queries: DataFrame, quantizer: Quantizer, most: int) -> DataFrame:
-    """query_id, vec_id, score: the ``most`` best rows of each query by the table scan (a larger score is nearer).
+    """query_id, vec_id, score: the ``most`` best rows of each query in each of SHARES shares of the index by the table scan (a larger score is nearer).
 
-    Each task takes a block of queries over a share of the index's blocks, and keeps ``most`` rows a query. There are as
-    many shares as the cluster has room for tasks beside the query blocks, so what is shuffled doesn't grow with the index.
+    Each task takes a block of queries over a share of the index's blocks, so what it finds grows with the queries alone.
     """
-    spark = index.sparkSession
     blocks = queries.count()
-    shares = max(1, -(-2 * spark.sparkContext.defaultParallelism // max(1, blocks)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -185,21 +183,14 @@ def scan(index: DataFrame, queries: DataFrame, quantizer: Quantizer, most: int)
                 yield pd.DataFrame({"query_id": q, "vec_id": found, "score": score.astype(np.float64)})
 
     # The stated query set against all rows, block by block: pairs of blocks, never pairs of rows.
-    pairs = index.coalesce(shares).crossJoin(queries.repartition(max(1, blocks)).hint("shuffle_replicate_nl"))
-    found = pairs.mapInPandas(run, "query_id long, vec_id long, score double")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= most).select("query_id", "vec_id", "score")
-
-
-def reranked(rows: int, least: int = 200) -> int:
-    """How many rows a query measures exactly: ``least`` for one block of the index, growing with the square root of the rows."""
-    return math.ceil(least * max(1.0, rows / BLOCK_ROWS) ** 0.5)
+    pairs = index.coalesce(SHARES).crossJoin(queries.repartition(max(1, blocks)).hint("shuffle_replicate_nl"))
+    return pairs.mapInPandas(run, "query_id long, vec_id long, score double")
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, rerank: int = 200) -> DataFrame:
     """(vec_id, embedding) of all rows and of the queries -> query_id, rank (from 1), vec_id, score (Euclidean distance).
 
-    Every usable row is indexed. The codes alone are scanned; the best ``reranked(rows, rerank)`` of each query are then
+    Every usable row is indexed. The codes alone are scanned; the best ``rerank`` of each query in each share of the index are then
     looked up among the vectors and measured exactly, and the k nearest returned, ties by smaller vec_id. A query never
     finds rows with its own id; a query id that repeats counts once, with its smallest vector. Rows that repeat are
     candidates each. Null, zero and non-finite vectors take no part; an empty table gives no rows; other columns are not
@@ -212,9 +203,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, rerank: int = 20
     rows = usable(vectors).where(F.size("embedding") == quantizer.dim)
     asked = usable(queries).where(F.size("embedding") == quantizer.dim).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     asked = stored(asked.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), "asked")
-    total = index.agg(F.sum(F.octet_length("ids"))).first()[0] // 8
     blocks = _in_blocks(asked.select(F.col("query_id").alias("vec_id"), F.col("query").alias("embedding")))
-    near = stored(scan(index, blocks, quantizer, reranked(total, rerank)).select("query_id", "vec_id").distinct(), "near")
+    near = stored(scan(index, blocks, quantizer, rerank).select("query_id", "vec_id").distinct(), "near")
     # Vectors that very many queries come near to (at most 1,000, as each is in a thousandth of all rows) are sent to where their rows are.
     crowd = max(10_000, near.count() // 1_000)
     heavy = stored(near.groupBy("vec_id").count().where(F.col("count") > crowd).select("vec_id"), "crowded")
