@@ -33,6 +33,12 @@ def stable_id(prefix: str, value: Column) -> Column:
     return F.concat(F.lit(prefix + "_"), F.substring(F.sha2(plain.cast("binary"), 256), 1, 24))
 
 
+def content_hash(*columns: Column) -> Column:
+    """SHA-256 of what the columns hold, each as text with its length before it, so that no two rows run together; a null is no empty text."""
+    said = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-")) for c in columns]
+    return F.sha2(F.concat_ws(",", *said).cast("binary"), 256)
+
+
 def render(properties: Column) -> Column:
     """A map as text, ``k=v`` in the order of the keys."""
     entries = F.array_sort(F.transform(F.map_entries(properties), lambda e: F.concat(e["key"], F.lit("="), e["value"])))

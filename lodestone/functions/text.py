@@ -21,6 +21,11 @@ def _sql(column: Column | str) -> str:
     raise TypeError("a column's name is asked for")
 
 
+def capitalised(text: Column) -> Column:
+    """Runs of words with a capital ASCII letter followed by small ones, in order, repeats included."""
+    return F.regexp_extract_all(text, F.lit("([A-Z][a-z]+(?: [A-Z][a-z]+)*)"), F.lit(1))
+
+
 def normalise_name(name: Column) -> Column:
     """Lower case without Latin accents, legal words and punctuation; single spaces. Letters beyond ASCII and the accents go."""
     plain = F.regexp_replace(F.translate(F.lower(name), ACCENTED, PLAIN), "[^a-z0-9]+", " ")

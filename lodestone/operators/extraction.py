@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 
@@ -82,6 +83,14 @@ def chunk(docs: DataFrame, target: int = 350, overlap: int = 40) -> DataFrame:
 PAYLOAD = "entities ARRAY<STRUCT<type: STRING, name: STRING, key: STRING>>, relations ARRAY<STRUCT<type: STRING, from_key: STRING, to_key: STRING, quote: STRING, weight: DOUBLE>>"
 
 
+def messages(chunks: DataFrame, instruction: str) -> DataFrame:
+    """chunk_id, messages (array of role, content): the instruction with the ontology's extractable edges as JSON, then the chunk's text."""
+    schema = json.dumps([{"edge": e, "from": s, "to": d} for e, s, d, _, llm in RULES if llm])
+    turn = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    text = F.coalesce("text", F.lit(""))
+    return chunks.select("chunk_id", F.array(turn("system", F.lit(f"{instruction}\n{schema}")), turn("user", text)).alias("messages"))
+
+
 def extract(chunks: DataFrame, make: Callable[[], Callable[[str], str]]) -> DataFrame:
     """chunk_id, raw_json: ``make`` builds the extractor once for each task; failures give an empty payload."""
 
@@ -123,3 +132,16 @@ def parse(payloads: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     audit = audit.join(count(found, "entities"), "chunk_id", "left").join(count(good, "good"), "chunk_id", "left").join(count(asked, "asked"), "chunk_id", "left").na.fill(0)
     audit = audit.select("chunk_id", "n_nodes", "n_edges", (F.col("bad") + F.col("entities") - F.col("good") + F.col("asked") - F.col("n_edges")).alias("n_rejected"))
     return nodes, edges.select("chunk_id", "edge_type", "src", "dst", "weight", "quote"), audit
+
+
+def documented(nodes: DataFrame, chunks: DataFrame, confidence: float = 0.75) -> tuple[DataFrame, DataFrame]:
+    """Documents as nodes and what they mention as edges, out of parse()'s nodes and their chunks (chunk_id, doc_id, masking_tier).
+
+    An edge has the highest tier of the chunks that mention the node, and how many these are; confidence is the extractor's.
+    """
+    made = chunks.groupBy("doc_id").agg(F.max("masking_tier").alias("masking_tier"))
+    named = lambda c: node_id(F.lit("Document"), c.cast("string"))
+    documents = made.select(named(F.col("doc_id")).alias("node_id"), F.lit("Document").alias("node_type"), F.col("doc_id").cast("string").alias("canonical_key"), "masking_tier", F.lit(confidence).alias("confidence"))
+    said = nodes.select("chunk_id", F.col("node_id").alias("dst")).distinct().join(chunks, "chunk_id")
+    edges = said.groupBy(named(F.col("doc_id")).alias("src"), "dst").agg(F.max("masking_tier").alias("masking_tier"), F.count("*").alias("n_chunks"))
+    return documents, edges.select("src", F.lit("MENTIONS").alias("edge_type"), "dst", "masking_tier", "n_chunks", F.lit(confidence).alias("confidence"))

@@ -29,23 +29,27 @@ def hot_edges(edges: DataFrame, nodes: DataFrame, types: tuple[str, ...], degree
     return rows.join(degrees(rows).where(F.col("degree") > degree_cap).select("src"), "src", "left_anti")
 
 
-def closure(edges: DataFrame, max_hops: int = 3, seeds: DataFrame | None = None) -> DataFrame:
+def closure(edges: DataFrame, max_hops: int = 3, seeds: DataFrame | None = None, types: bool = False) -> DataFrame:
     """src, dst, hops, weight (product), path (array) of the best simple path of each pair: fewest hops, then most weight, then first path.
 
     A best path's beginning is itself a best path, so each level keeps one path a pair and only pairs not met before go on.
-    With seeds (node_id), only pairs that start there are made, from the first level on.
+    With seeds (node_id), only pairs that start there are made, from the first level on. With types there is also
+    edge_types (array): all types of the edges between neighbours on the path, sorted.
     """
-    step = edges.groupBy("src", "dst").agg(F.max("weight").alias("w")).where("src != dst")
+    said = [F.array_sort(F.collect_set("edge_type")).alias("edge_types")] if types else []
+    step = edges.groupBy("src", "dst").agg(F.max("weight").alias("w"), *said).where("src != dst")
     step = stored(step, "step")
+    kinds = ["edge_types"] if types else []
     first = step if seeds is None else step.join(seeds.select(F.col("node_id").alias("src")).distinct(), "src", "left_semi")
-    level = first.select("src", "dst", F.lit(1).alias("hops"), F.col("w").alias("weight"), F.array("src", "dst").alias("path"))
+    level = first.select("src", "dst", F.lit(1).alias("hops"), F.col("w").alias("weight"), F.array("src", "dst").alias("path"), *kinds)
     level = level if seeds is None else stored(level, "closure")
     levels = [level]
-    onward = step.select(F.col("src").alias("via"), F.col("dst").alias("to"), "w")
+    onward = step.select(F.col("src").alias("via"), F.col("dst").alias("to"), "w", *[F.col(c).alias(f"next_{c}") for c in kinds])
     for hop in range(2, max_hops + 1):
         longer = level.join(onward, level["dst"] == onward["via"]).where(~F.array_contains("path", F.col("to")))
-        best = longer.groupBy("src", "to").agg(F.min(F.struct((-F.col("weight") * F.col("w")).alias("least"), F.concat("path", F.array("to")).alias("path"))).alias("b"))
-        best = best.select("src", F.col("to").alias("dst"), F.lit(hop).alias("hops"), (-F.col("b.least")).alias("weight"), F.col("b.path").alias("path"))
+        more = [F.array_sort(F.array_union(c, f"next_{c}")).alias(c) for c in kinds]
+        best = longer.groupBy("src", "to").agg(F.min(F.struct((-F.col("weight") * F.col("w")).alias("least"), F.concat("path", F.array("to")).alias("path"), *more)).alias("b"))
+        best = best.select("src", F.col("to").alias("dst"), F.lit(hop).alias("hops"), (-F.col("b.least")).alias("weight"), F.col("b.path").alias("path"), *[f"b.{c}" for c in kinds])
         level = stored(best.join(reduce(DataFrame.unionByName, levels).select("src", "dst"), ["src", "dst"], "left_anti"), "closure")
         levels.append(level)
     return reduce(DataFrame.unionByName, levels)
@@ -59,6 +63,15 @@ def expand(closed: DataFrame, seeds: DataFrame, nodes: DataFrame, hops: int = 2,
     return rows.join(hidden, ["src", "dst"], "left_anti").orderBy("hops", F.desc("weight"), "src", "dst").limit(limit)
 
 
+def expand_snapshot(closures: DataFrame, seeds: DataFrame, nodes: DataFrame, hops: int = 2, day: str | None = None, types: list[str] | None = None, tier: int = 0, limit: int = 200) -> DataFrame:
+    """expand() over stored closures (as_of, src, dst, hops, weight, path, edge_types), of one day or else the latest; with types, only paths with an edge of one of them."""
+    # one row, whatever the closures hold; the day then prunes partitions
+    at = day or closures.agg(F.max("as_of").cast("string")).first()[0]
+    rows = closures.where(F.col("as_of") == F.lit(at).cast("date"))
+    rows = rows.where(F.arrays_overlap("edge_types", F.array(*[F.lit(t) for t in types]))) if types else rows
+    return expand(rows, seeds, nodes, hops, tier, limit)
+
+
 def traverse(edges: DataFrame, seeds: DataFrame, nodes: DataFrame, max_hops: int = 4, tier: int = 3, types: list[str] | None = None, limit: int | None = 500, product: bool = False) -> DataFrame:
     """All simple paths out of seeds: seed, node, hops, total_weight (sum or product), path; nodes above the tier are never entered."""
     seen = nodes.where(F.col("masking_tier") <= tier).select(F.col("node_id").alias("to"))

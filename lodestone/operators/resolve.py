@@ -19,6 +19,13 @@ def _pairs(rows: DataFrame, on: list[str], method: str, score: float) -> DataFra
     return rows.join(least, on).where("node_id != a").select("a", F.col("node_id").alias("b"), F.lit(method).alias("method"), F.lit(score).alias("score"))
 
 
+def keep_links(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Links of earlier runs and of this one (a, b, method, score, run): of each pair the best score, with its method, and the first run that found it."""
+    both = old.unionByName(new.select(*old.columns))
+    kept = both.groupBy("a", "b").agg(F.max(F.struct("score", "method")).alias("best"), F.min("run").alias("run"))
+    return kept.select("a", "b", "best.method", "best.score", "run")
+
+
 def with_names(rows: DataFrame) -> DataFrame:
     """(node_id, node_type, name, canonical_key, country) with norm_name, block and clean_key."""
     return rows.withColumns({"norm_name": normalise_name(F.col("name")), "block": blocking_key(F.col("node_type"), F.col("country"), F.col("name")), "clean_key": clean_key(F.col("canonical_key"))})

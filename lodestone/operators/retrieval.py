@@ -101,6 +101,12 @@ def link_names(names: DataFrame, nodes: DataFrame, least: float = 0.3, limit: in
     return top(scored, "score", limit, "query_id", "node_id")
 
 
+def one_score(lexical: DataFrame, near: DataFrame, weight: float = 10.0, limit: int = 20) -> DataFrame:
+    """(query_id, doc_id, score) of words and of vectors, added up: a document that only one side found has nothing from the other."""
+    rows = lexical.select("query_id", "doc_id", "score").unionByName(near.select("query_id", "doc_id", (weight * F.col("score")).alias("score")))
+    return top(rows.groupBy("query_id", "doc_id").agg(F.round(F.sum("score"), 6).alias("score")), "score", limit, "query_id", "doc_id")
+
+
 def rank_hits(chunks: DataFrame, edges: DataFrame, nodes: DataFrame, seeds: DataFrame, k: int = 60) -> DataFrame:
     """kind, id, score. chunks (id, score, node_ids), edges (id, src, dst), nodes (id); seeds (node_id, seed).
 
@@ -138,7 +144,7 @@ def plan(question: str, most: int = 12) -> dict:
     return {"mode": pick_mode(question), "seeds": seeds, "calculation": any(c in low for c in ("calculate", "compute", "how much", "total", "ratio")), "data": any(c in low for c in ("latest", "today", "current", "value of"))}
 
 
-def recall(memory: DataFrame, query: Column, k: int = 8, now: str | None = None) -> DataFrame:
+def recall(memory: DataFrame, query: Column, k: int = 8, now: str | None = None, tie: str = "vec_id") -> DataFrame:
     """(vec_id, embedding, importance, scope, user_id, expires_at): the k memories with the least cosine distance less a tenth of their importance."""
     live = memory.where(F.col("expires_at").isNull() | (F.col("expires_at") > F.to_timestamp(F.lit(now)))) if now else memory
-    return live.withColumn("order", F.round(1 - cosine(F.col("embedding"), query) - 0.1 * F.col("importance"), 6)).orderBy("order", "vec_id").limit(k)
+    return live.withColumn("order", F.round(1 - cosine(F.col("embedding"), query) - 0.1 * F.col("importance"), 6)).orderBy("order", tie).limit(k)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ids import stable_id
@@ -15,6 +16,51 @@ def caller_tier(roles: list[str], tiers: dict[str, int]) -> int:
     return max((tiers.get(r, 0) for r in roles), default=0)
 
 
+def remembered(notes: DataFrame, now: str, days: int | None = None) -> DataFrame:
+    """Notes (note_id, user_id, scope, content, importance, embedding) as rows of the memory: when they were made and, with days, when they end."""
+    made = F.to_timestamp(F.lit(now))
+    ends = F.timestamp_add("DAY", F.lit(days), made) if days else F.lit(None).cast("timestamp")
+    return notes.select("note_id", "user_id", "scope", "content", "importance", "embedding", made.alias("created_at"), ends.alias("expires_at"), made.alias("last_used"))
+
+
+def touched(memory: DataFrame, used: DataFrame, now: str) -> DataFrame:
+    """The memory with last_used set for the notes (note_id) that a recall gave."""
+    here = used.select("note_id", F.lit(True).alias("n_used")).distinct()
+    return memory.join(here, "note_id", "left").withColumn("last_used", F.when(F.col("n_used"), F.to_timestamp(F.lit(now))).otherwise(F.col("last_used"))).drop("n_used")
+
+
+def audit(hits: DataFrame, mode: str, now: str) -> DataFrame:
+    """One row a question for the log of retrievals: query_id, mode, at, hit_ids (as given, best first), n_hits. hits: (query_id, id, rank), as many as a mode returns."""
+    rows = hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias("h"))
+    return rows.select("query_id", F.lit(mode).alias("mode"), F.to_timestamp(F.lit(now)).alias("at"), F.transform("h", lambda h: h["id"]).alias("hit_ids"), F.size("h").alias("n_hits"))
+
+
+def summaries(members: DataFrame, relations: DataFrame, make: Callable[[], Callable[[list[str], list[str]], str]], most: int = 80, most_relations: int = 150) -> DataFrame:
+    """community_id, title, summary, rating. ``make`` builds once a task what writes about a community: (names, relations) -> JSON of title, summary and rating.
+
+    members (community_id, node_id, name), relations (community_id, src, edge_type, dst). The writer is given the first
+    members and relations in the order of their ids, at most so many; what it writes that is no JSON object is the summary.
+    """
+
+    def first(rows: DataFrame, order: list[str], shown: Column, limit: int, name: str) -> DataFrame:
+        ranked = rows.withColumn("n_at", F.row_number().over(W.partitionBy("community_id").orderBy(*order))).where(F.col("n_at") <= limit)
+        held = ranked.groupBy("community_id").agg(F.array_sort(F.collect_list(F.struct("n_at", shown.alias("s")))).alias("l"))
+        return held.select("community_id", F.transform("l", lambda x: x["s"]).alias(name))
+
+    names = first(members, ["node_id", "name"], F.col("name"), most, "names")
+    told = first(relations, ["src", "edge_type", "dst"], F.concat_ws(" ", "src", "edge_type", "dst"), most_relations, "relations")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        write = make()
+        for b in batches:
+            yield pd.DataFrame({"community_id": b["community_id"], "raw": [write(list(n), [] if r is None else list(r)) for n, r in zip(b["names"], b["relations"], strict=True)]})
+
+    kind = members.schema["community_id"].dataType.simpleString()
+    raw = names.join(told, "community_id", "left").mapInPandas(run, f"community_id {kind}, raw string")
+    said = raw.select("community_id", "raw", F.from_json("raw", "title string, summary string, rating double").alias("j"))
+    return said.select("community_id", "j.title", F.coalesce("j.summary", F.substring("raw", 1, 1200)).alias("summary"), F.coalesce("j.rating", F.lit(0.0)).alias("rating"))
+
+
 def compile_facts(facts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(source_name, source_type, source_uri, relationship_type, target_name, target_type, section) -> entities, relationships, evidence."""
     rows = facts.withColumns({"source_id": stable_id("ent", F.col("source_name")), "target_id": stable_id("ent", F.col("target_name"))})

@@ -14,7 +14,7 @@ from ..operators import extraction, graph, retrieval
 from ..sources import builders
 from ..sources.shared import stored
 from .registry import NODES, query, sql_node_id, table
-from .walks import CLOSED, _hot
+from .walks import CLOSED, DAY, _hot
 
 #: Which rows ask: those whose id is divisible by this.
 ASKED = 20
@@ -193,13 +193,13 @@ RANKED = """, ranked AS (
   UNION ALL SELECT 'node', id, round(0.3::DOUBLE + 0.1::DOUBLE * coalesce(seed, 0), 6) FROM (SELECT src AS id FROM near UNION SELECT dst FROM near) LEFT JOIN seed ON node_id = id)"""
 
 
-def _local(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, k: int = 60) -> DataFrame:
+def _local(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, k: int = 60, day: str = DAY) -> DataFrame:
     hit = stored(_lexical(spark, sf_dir, _asked(spark, sf_dir).where("query_id = 0")).select("doc_id", "score"), "text-hits")  # read three times
     hit = hit.join(docs, "doc_id", "left_semi") if docs is not None else hit
     mentions = _mentions(spark, sf_dir)
     seed = retrieval.top(hit.join(mentions, "doc_id").groupBy("node_id").agg(F.round(F.sum("score"), 6).alias("seed")), "seed", 10, None, "node_id")
     seed = stored(seed, "seeds")
-    near = graph.closure(_hot(spark, sf_dir)[0], 2, seed).orderBy("hops", F.desc("weight"), "src", "dst").limit(200)
+    near = graph.closure(_hot(spark, sf_dir, day=day)[0], 2, seed).orderBy("hops", F.desc("weight"), "src", "dst").limit(200)
     chunks = hit.join(mentions.groupBy("doc_id").agg(F.collect_set("node_id").alias("node_ids")), "doc_id", "left").select(F.col("doc_id").cast("string").alias("id"), "score", "node_ids")
     edges = near.select(F.concat_ws(">", "src", "dst").alias("id"), "src", "dst")
     nodes = near.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
@@ -211,6 +211,12 @@ def retrieve_local(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local(spark, sf_dir)
 
 
+@query(CLOSED.replace(DAY, "1995-06-01") + LOCAL + RANKED + " SELECT kind, id, score FROM ranked ORDER BY score DESC, kind, id LIMIT 60")
+def retrieve_temporal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Local mode as of another day."""
+    return _local(spark, sf_dir, day="1995-06-01")
+
+
 #: Communities are the documents' sources; each has a vector (the mean of the label with its number), a rating and the texts of its documents.
 GLOBAL = f"""{V}, centre AS (SELECT label, i, avg(e[i]) AS x FROM v, generate_series(1, 64) t(i) GROUP BY ALL), mean AS (SELECT label, list(x ORDER BY i) AS c FROM centre GROUP BY label),
 com AS (SELECT DISTINCT source, CAST(substr(source, 4) AS INTEGER) AS no FROM documents),

@@ -26,10 +26,10 @@ closed AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src, dst ORD
 SEEDS = f", seeds AS (SELECT node_id FROM nodes WHERE canonical_key IN ('S1', 'S2', 'S3', 'S4', 'S5') AND node_type = 'LegalEntity')"
 
 
-def _hot(spark: SparkSession, sf_dir: str, cap: int = 5000) -> tuple[DataFrame, DataFrame]:
+def _hot(spark: SparkSession, sf_dir: str, cap: int = 5000, day: str = DAY) -> tuple[DataFrame, DataFrame]:
     nodes = builders.nodes(spark, sf_dir)
     specs = tuple(s for s in builders.EDGES if s.src[0] in TYPES and s.dst[0] in TYPES)  # no other edge can be hot
-    return graph.hot_edges(builders.edges(spark, sf_dir, specs), nodes, TYPES, cap, DAY), nodes
+    return graph.hot_edges(builders.edges(spark, sf_dir, specs), nodes, TYPES, cap, day), nodes
 
 
 def _structure() -> tuple:

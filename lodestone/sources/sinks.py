@@ -34,6 +34,12 @@ def merged(old: DataFrame, new: DataFrame, key: str, keep: tuple[str, ...] = ())
     return both.select(*[pick(c).alias(c) for c in old.columns])
 
 
+def reclaimed(rows: DataFrame, path: str, *columns: str) -> DataFrame:
+    """Writes a table anew with these columns empty, under the same schema: their space is free once the old files go."""
+    rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in columns else F.col(f.name) for f in rows.schema]).write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def added(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
     """Rows whose keys are not there yet, each once."""
     return old.unionByName(new.dropDuplicates(list(keys)).join(old.select(*keys), list(keys), "left_anti"))
