@@ -76,6 +76,31 @@ def accrete(current: DataFrame, staged: DataFrame, key: str = "key") -> DataFram
     return rows.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("evidence")))).alias("evidence"), F.max("confidence").alias("confidence"))
 
 
+def supersede(current: DataFrame, staged: DataFrame, key: str = "key") -> DataFrame:
+    """Edges (key, weight, evidence, confidence, valid_from; current ones also valid_to, is_current) after a merge.
+
+    Staged rows of a key are one fact: its latest weight, all evidence, the highest confidence. A later fact with another
+    weight closes the current edge and follows it; any other adds its evidence to it. Closed versions stay as they are.
+    A null weight is a weight like others; no evidence is an empty list.
+    """
+    facts = staged.groupBy(key).agg(
+        F.max_by("weight", F.struct("valid_from", "weight")).alias("s_weight"), F.max("valid_from").alias("s_from"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("evidence")))).alias("s_evidence"), F.max("confidence").alias("s_confidence"),
+    )
+    live = current.where("is_current").select(key, *[F.col(c).alias(f"t_{n}") for n, c in (("weight", "weight"), ("from", "valid_from"), ("evidence", "evidence"), ("confidence", "confidence"))], F.lit(True).alias("t_here"))
+    both = live.join(facts.withColumn("s_here", F.lit(True)), key, "full")
+    none, held = F.lit(None).cast("date"), F.coalesce("t_evidence", F.array().cast("array<string>"))
+    version = lambda weight, evidence, confidence, start, stop, now: F.struct(weight.alias("weight"), evidence.alias("evidence"), confidence.alias("confidence"), start.alias("valid_from"), stop.alias("valid_to"), F.lit(now).alias("is_current"))
+    staged_one = version(F.col("s_weight"), F.col("s_evidence"), F.col("s_confidence"), F.col("s_from"), none, True)
+    closed = version(F.col("t_weight"), held, F.col("t_confidence"), F.col("t_from"), F.col("s_from"), False)
+    united = F.array_sort(F.array_union(held, F.coalesce("s_evidence", F.array().cast("array<string>"))))
+    grown = version(F.col("t_weight"), united, F.greatest("t_confidence", "s_confidence"), F.col("t_from"), none, True)
+    changed = F.col("s_here") & ~F.col("s_weight").eqNullSafe(F.col("t_weight")) & (F.col("s_from") > F.col("t_from"))
+    rows = F.when(F.col("t_here").isNull(), F.array(staged_one)).when(changed, F.array(closed, staged_one)).otherwise(F.array(grown))
+    merged = both.select(key, F.explode(rows).alias("v")).select(key, "v.*")
+    return merged.unionByName(current.where("NOT is_current").select(*merged.columns))
+
+
 def change_feed(before: DataFrame, after: DataFrame, key: str, content: str) -> DataFrame:
     """The difference of two snapshots: insert, delete, or update with the values before and after."""
     both = before.select(key, F.col(content).alias("before")).join(after.select(key, F.col(content).alias("after")), key, "full")

@@ -122,6 +122,28 @@ def edge_merge_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.withColumn("evidence", F.array_join("evidence", ">"))
 
 
+@query(
+    """WITH e AS (SELECT user_id || ':' || event_type AS key, ts < TIMESTAMP '2024-01-16' AS early, event_type, value, CAST(ts AS DATE) AS day FROM events),
+t AS (SELECT key, CASE WHEN event_type = 'click' THEN 1.0::DOUBLE ELSE max(value) END AS w, min(day) AS f, count(*) AS n FROM e WHERE early GROUP BY key, event_type),
+s AS (SELECT key, CASE WHEN event_type = 'click' THEN 1.0::DOUBLE ELSE max(value) END AS w, min(day) AS f, count(*) AS n FROM e WHERE NOT early GROUP BY key, event_type),
+b AS (SELECT coalesce(t.key, s.key) AS key, t.w AS tw, t.f AS tf, t.n AS tn, s.w AS sw, s.f AS sf, s.n AS sn, t.key IS NULL AS fresh, s.key IS NOT NULL AND s.w IS DISTINCT FROM t.w AND s.f > t.f AS changed FROM t FULL JOIN s ON t.key = s.key)
+SELECT key, sw AS weight, sn AS n_evidence, sf AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current FROM b WHERE fresh OR changed
+UNION ALL SELECT key, tw, tn, tf, sf, false FROM b WHERE changed AND NOT fresh
+UNION ALL SELECT key, tw, tn + coalesce(sn, 0), tf, NULL, true FROM b WHERE NOT fresh AND NOT coalesce(changed, false)"""
+)
+def edge_supersede(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later weight closes an edge; the same weight (clicks) adds evidence only."""
+    e = table(spark, sf_dir, "events").select(F.concat_ws(":", "user_id", "event_type").alias("key"), "event_type", "event_id", "value", "ts")
+
+    def edges(rows: DataFrame, confidence: float) -> DataFrame:
+        made = rows.groupBy("key", "event_type").agg(F.max("value").alias("most"), F.min(F.to_date("ts")).alias("valid_from"), F.collect_set(F.concat(F.lit("c_"), "event_id")).alias("evidence"))
+        return made.select("key", F.when(F.col("event_type") == "click", 1.0).otherwise(F.col("most")).alias("weight"), "evidence", F.lit(confidence).alias("confidence"), "valid_from")
+
+    now = edges(e.where("ts < TIMESTAMP'2024-01-16'"), 0.5).withColumns({"valid_to": F.lit(None).cast("date"), "is_current": F.lit(True)})
+    merged = temporal.supersede(now, edges(e.where("ts >= TIMESTAMP'2024-01-16'"), 0.75))
+    return merged.select("key", "weight", F.size("evidence").cast("long").alias("n_evidence"), "valid_from", "valid_to", "is_current")
+
+
 def _changed(d1: str, d2: str) -> str:
     return f", b AS (SELECT key, value FROM versions WHERE {HOLDS.format(d=d1)}), a AS (SELECT key, value FROM versions WHERE {HOLDS.format(d=d2)})"
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.functions.ids import node_id, stable_id
+from lodestone.functions.ids import content_hash, node_id, stable_id
 from lodestone.functions.text import normalise_name, trigram_similarity, trigrams
 from lodestone.operators import communities, extraction, gates, graph, ontology, resolve, retrieval, temporal
 from lodestone.operators.components import connected_components
@@ -204,6 +204,40 @@ def test_fusion_and_metrics(spark):
     assert (r.recall, r.precision, r.rr) == (0.5, 0.5, 0.5)
 
 
+def test_edges_are_superseded_or_grow(spark):
+    at = "key string, weight double, evidence array<string>, confidence double, valid_from string"
+    dated = lambda rows: rows.withColumn("valid_from", F.to_date("valid_from"))
+    now = dated(spark.createDataFrame([("a", 1.0, ["x"], 0.5, "2020-01-01"), ("b", 2.0, None, 0.5, "2020-01-01"), ("c", None, ["y"], 0.9, "2020-01-01"), ("d", 1.0, [], 0.5, "2020-01-01")], at))
+    now = now.withColumns({"valid_to": F.lit(None).cast("date"), "is_current": F.lit(True)})
+    old = now.where("key = 'a'").withColumns({"valid_to": F.to_date(F.lit("2020-01-01")), "is_current": F.lit(False), "weight": F.lit(7.0)})
+    staged = dated(spark.createDataFrame([("a", 3.0, ["z"], 0.8, "2021-01-01"), ("b", 2.0, ["q", "q"], 0.4, "2021-01-01"), ("c", None, ["y", "w"], 0.1, "2021-01-01"), ("d", 5.0, ["late"], 0.5, "2019-01-01"), ("e", 1.0, ["n"], 0.5, "2021-01-01")], at))
+    got = sorted((r.key, r.weight or 0, tuple(r.evidence), r.confidence, r.is_current) for r in temporal.supersede(now.unionByName(old), staged).collect())
+    assert got == [
+        ("a", 1.0, ("x",), 0.5, False), ("a", 3.0, ("z",), 0.8, True), ("a", 7.0, ("x",), 0.5, False), ("b", 2.0, ("q",), 0.5, True),
+        ("c", 0, ("w", "y"), 0.9, True), ("d", 1.0, ("late",), 0.5, True), ("e", 1.0, ("n",), 0.5, True),
+    ]
+    assert temporal.supersede(now.limit(0), staged.limit(0)).count() == 0
+
+
+def test_closures_know_the_types_on_a_path(spark):
+    rows = spark.createDataFrame([("a", "b", 1.0, "X"), ("a", "b", 0.5, "Y"), ("b", "c", 0.5, "Z"), ("c", "a", 1.0, "X")], "src string, dst string, weight double, edge_type string")
+    got = {(r.src, r.dst): r.edge_types for r in graph.closure(rows, 2, types=True).collect()}
+    assert got[("a", "b")] == ["X", "Y"] and got[("a", "c")] == ["X", "Y", "Z"] and got[("b", "a")] == ["X", "Z"]
+    shots = graph.closure(rows, 2, types=True).withColumn("as_of", F.explode(F.array(F.lit("2020-01-01").cast("date"), F.lit("2021-01-01").cast("date"))))
+    seeds, seen = spark.createDataFrame([("a",)], "node_id string"), nodes_of(spark, "abc")
+    assert {(r.dst, str(r.as_of)) for r in graph.expand_snapshot(shots, seeds, seen, types=["Z"]).collect()} == {("c", "2021-01-01")}
+    assert graph.expand_snapshot(shots, seeds, seen, day="2020-01-01").count() == 2
+    assert graph.expand_snapshot(shots.limit(0), seeds, seen).count() == 0
+
+
+def test_links_stay_and_hashes_tell_nulls(spark):
+    at = "a string, b string, method string, score double, run int"
+    got = resolve.keep_links(spark.createDataFrame([("p", "q", "exact", 1.0, 1)], at), spark.createDataFrame([("p", "q", "rule", 0.95, 2), ("p", "r", "rule", 0.95, 2)], at))
+    assert sorted(tuple(r) for r in got.collect()) == [("p", "q", "exact", 1.0, 1), ("p", "r", "rule", 0.95, 2)]
+    rows = spark.createDataFrame([("ab", "c"), ("a", "bc"), (None, ""), ("", None), (None, None)], "x string, y string")
+    assert rows.select(content_hash(F.col("x"), F.col("y")).alias("h")).distinct().count() == 5
+
+
 def test_entry_stands_without_the_llm_folders(tmp_path):
     for p in (*ROOT.glob("*.py"), *ROOT.glob("lodestone/**/*.py")):
         to = tmp_path / p.relative_to(ROOT)
