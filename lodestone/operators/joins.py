@@ -17,7 +17,7 @@ def spread_join(rows: DataFrame, facts: DataFrame, key: str | list[str], heavy:
     return many.unionByName(rows.join(heavy, key, "left_anti").join(facts, key))
 
 
-def heavy_keys(rows: DataFrame, key: str, least: int = 10_000, share: int = 1_000) -> DataFrame:
+def heavy_keys(rows: DataFrame, key: str | list[str], least: int = 10_000, share: int = 1_000) -> DataFrame:
     """The keys that more than ``least`` rows and more than one in ``share`` rows have: fewer than ``share`` of them, whatever the table."""
     counts = rows.groupBy(key).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total"))  # one row

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import clean_key, edge_id, series_id
 from ..functions.text import blocking_key, normalise_name
-from ..functions.vectors import cosine
+from ..sources.shared import stored
 from .components import connected_components
+from .joins import heavy_keys, spread_join
 
 MATCH = ("a", "b", "method", "score")
+#: Pivots that vectors are dealt to, and the cosine from which on they can prune; vectors on each side of a tile.
+PIVOTS, PRUNING, TILE = 64, 0.9, 4096
 
 
 def _pairs(rows: DataFrame, on: list[str], method: str, score: float) -> DataFrame:
@@ -41,11 +48,55 @@ def match_names(rows: DataFrame) -> DataFrame:
 
 
 def match_embeddings(vectors: DataFrame, block: str, least: float = 0.92) -> DataFrame:
-    """(node_id, embedding, block): pairs within a block whose cosine reaches ``least``. Blocks must be small; their sizes are the caller's choice of key."""
-    a = vectors.select(F.col(block).alias("blk"), F.col("node_id").alias("a"), F.col("embedding").alias("va"))
-    b = vectors.select(F.col(block).alias("blk"), F.col("node_id").alias("b"), F.col("embedding").alias("vb"))
-    pairs = a.join(b, "blk").where("a < b").withColumn("score", cosine(F.col("va"), F.col("vb")))
-    return pairs.where(F.col("score") >= least).select("a", "b", F.lit("embedding").alias("method"), "score")
+    """(node_id, embedding, block): pairs within a block whose cosine reaches ``least``, all of them.
+
+    Every vector is at home with the nearest of a few pivots and a guest with each pivot that is at most twice the widest
+    angle farther away. By the triangle inequality a vector's partners are all at home or guests where it is at home, so
+    only these meet. Below PRUNING angles are too wide for that and one pivot serves all. Cells are cut into tiles of some
+    TILE vectors, whatever the size of a block, and tiles are compared as matrices. Vectors that are null, zero or hold
+    null or non-finite components have no partners; nor have vectors of different lengths or without a block.
+    """
+    one = vectors.select(F.col(block).alias("blk"), F.col("node_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+    odd = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    one = one.where("blk IS NOT NULL AND id IS NOT NULL AND vec IS NOT NULL").where(~odd & F.exists("vec", lambda x: x != 0))
+    wide, kinds = 2 * float(np.arccos(min(max(least, -1.0), 1.0))) + 1e-6, {f.name: f.dataType.simpleString() for f in one.schema}
+    pivots = [np.array(r.vec) for r in one.orderBy(F.xxhash64("id"), "id").limit(PIVOTS if least >= PRUNING else 1).collect()]
+
+    def settled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for size, some in rows.groupby(rows["vec"].map(len)):
+                near = np.array([p / np.linalg.norm(p) for p in pivots if len(p) == size] or [np.eye(1, size)[0]])
+                units = np.array(some["vec"].tolist())
+                angles = np.arccos(np.clip((units / np.linalg.norm(units, axis=1)[:, None]) @ near.T, -1, 1))
+                home = angles.argmin(1)
+                who, cell = np.nonzero(angles <= angles.min(1)[:, None] + wide)
+                out = some.iloc[who].assign(size=size, cell=cell, home=home[who])
+                yield out[["blk", "size", "cell", "home", "id", "vec"]]
+
+    key = ["blk", "size", "cell"]
+    rows = stored(one.mapInPandas(settled, f"blk {kinds['blk']}, size int, cell int, home int, id {kinds['id']}, vec array<double>"), "cells")
+    tiles = rows.groupBy(*key).agg(F.ceil(F.sum((F.col("home") == F.col("cell")).cast("int")) / TILE).alias("rows"), F.ceil(F.count("*") / TILE).alias("columns")).where("rows > 0")
+    rows = spread_join(rows, tiles, key, heavy_keys(rows, key))
+    across = rows.where("home = cell").withColumns({"i": F.pmod(F.xxhash64("id"), "rows"), "j": F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1)), "across": F.lit(True)})
+    down = rows.withColumns({"j": F.pmod(F.xxhash64("id", F.lit(1)), "columns"), "i": F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)), "across": F.lit(False)})
+
+    def compared(tile: pd.DataFrame) -> pd.DataFrame:
+        a, b = tile[tile["across"]], tile[~tile["across"]]
+        if a.empty or b.empty:
+            return pd.DataFrame({"a": [], "b": [], "score": []})
+        u, v = np.array(a["vec"].tolist()), np.array(b["vec"].tolist())
+        lengths, found, homes = np.linalg.norm(v, axis=1), [], b["home"].to_numpy()
+        names, others, cell = a["id"].to_numpy(), b["id"].to_numpy(), int(tile["cell"].iloc[0])
+        for at in range(0, len(u), 512):
+            score = (u[at : at + 512] @ v.T) / (np.linalg.norm(u[at : at + 512], axis=1)[:, None] * lengths)
+            x, y = np.nonzero(score >= least)
+            first, second = names[at + x], others[y]
+            kept = (homes[y] > cell) & (first != second) | (homes[y] == cell) & (first < second)  # two homes: the first one's cell counts
+            found.append(pd.DataFrame({"a": first[kept], "b": second[kept], "score": score[x, y][kept]}))
+        return pd.concat(found)
+
+    pairs = across.unionByName(down).groupBy(*key, "i", "j").applyInPandas(compared, f"a {kinds['id']}, b {kinds['id']}, score double")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit("embedding").alias("method"), "score")
 
 
 def same_as(rows: DataFrame, matches: DataFrame) -> DataFrame:

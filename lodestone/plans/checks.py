@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import communities, gates, retrieval, temporal
+from ..operators.joins import heavy_keys, spread_join
 from ..sources import builders
 from .core import PROPOSED_SQL, _proposed, _versions
 from .evidence import KNN, _vectors
@@ -76,11 +77,15 @@ def community_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'L0_' || label AS community_id, count(*) AS members, max(CAST(vec_id % 4 AS INTEGER)) AS tier, string_agg(CAST(vec_id AS VARCHAR), '|' ORDER BY vec_id) AS member_ids FROM embeddings GROUP BY label HAVING count(*) >= 3"""
+    """WITH g AS (SELECT label, count(*) AS members, max(CAST(vec_id % 4 AS INTEGER)) AS tier FROM embeddings GROUP BY label HAVING count(*) >= 3)
+SELECT 'L0_' || label AS community_id, members, tier, vec_id AS member_id FROM embeddings JOIN g USING (label)"""
 )
 def community_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _vectors(spark, sf_dir).groupBy("label").agg(F.count("*").alias("members"), F.max("tier").alias("tier"), F.array_sort(F.collect_list("vec_id")).alias("ids")).where("members >= 3")
-    return rows.select(F.concat(F.lit("L0_"), "label").alias("community_id"), "members", "tier", F.array_join(F.transform("ids", lambda i: i.cast("string")), "|").alias("member_ids"))
+    """Each community's size and strictest tier beside each of its members; members stay rows, however many there are."""
+    v = _vectors(spark, sf_dir).select("label", "vec_id", "tier")
+    sizes = v.groupBy("label").agg(F.count("*").alias("members"), F.max("tier").alias("tier")).where("members >= 3")
+    rows = spread_join(v.drop("tier"), sizes, "label", heavy_keys(v, "label"))
+    return rows.select(F.concat(F.lit("L0_"), "label").alias("community_id"), "members", "tier", F.col("vec_id").alias("member_id"))
 
 
 @query()

@@ -20,9 +20,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", 64).parquet(f"{sf_dir}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def drained(stream: DataFrame, sink: Callable[[DataFrame, int], None], mode: str) -> None:
-    """Runs a stream over all that is there."""
-    at = f"{workspace(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
+def drained(stream: DataFrame, sink: Callable[[DataFrame, int], None], mode: str, at: str | None = None) -> None:
+    """Runs a stream over all that is there. at: the folder of its checkpoint; a later run with the same one goes on where this one ended."""
+    at = at or f"{workspace(stream.sparkSession)}/stream-{uuid.uuid4().hex}"
     stream.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", at).trigger(availableNow=True).start().awaitTermination()
 
 
@@ -40,27 +40,42 @@ def appended(spark: SparkSession, stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(at)
 
 
-def _last(spark: SparkSession, at: str) -> str:
+def _batches(spark: SparkSession, at: str) -> dict[int, str]:
+    """The folders of a result whose batches were written to their end, by number."""
     path = spark._jvm.org.apache.hadoop.fs.Path(at)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return max((f.getPath().toString() for f in found), key=lambda p: int(p.rpartition("/")[2]))
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return {}
+    found = {f.getPath().getName(): f.getPath() for f in fs.listStatus(path)}
+    return {int(n): p.toString() for n, p in found.items() if n.isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))}
+
+
+def _last(spark: SparkSession, at: str) -> str:
+    found = _batches(spark, at)
+    return found[max(found)]
+
 
+def upserted(spark: SparkSession, stream: DataFrame, key: str, order: str, at: str | None = None) -> DataFrame:
+    """The latest row of each key over all batches: each batch is reduced, merged with the last table and written as the next one.
 
-def upserted(spark: SparkSession, stream: DataFrame, key: str, order: str) -> DataFrame:
-    """The latest row of each key over all batches: each batch is reduced, merged with the last table and written as the next one."""
-    at, names = f"{workspace(spark)}/upsert-{uuid.uuid4().hex}", [c for c in stream.columns if c != key]
+    at: a shared folder that keeps checkpoint and tables. A later run goes on from there; a batch that is run again starts
+    from the table before it and replaces its own. Of the tables the last two are kept. Without it nothing outlives the application.
+    """
+    at, names = at or f"{workspace(spark)}/upsert-{uuid.uuid4().hex}", [c for c in stream.columns if c != key]
     latest = lambda rows: rows.groupBy(key).agg(F.max_by(F.struct(*names), order).alias("last")).select(key, "last.*")
-    written: list[str] = []
+    schema = latest(spark.createDataFrame([], stream.schema)).schema
 
     def merge(df: DataFrame, i: int) -> None:
-        rows = latest(df)
-        if written:
-            rows = latest(rows.unionByName(spark.read.schema(rows.schema).parquet(written[-1])))
-        rows.write.mode("overwrite").parquet(f"{at}/{i}")
-        written.append(f"{at}/{i}")
-
-    drained(stream, merge, "append")
-    return spark.read.schema(latest(spark.createDataFrame([], stream.schema)).schema).parquet(written[-1]) if written else latest(spark.createDataFrame([], stream.schema))
+        rows, before = latest(df), {j: p for j, p in _batches(spark, f"{at}/tables").items() if j < i}
+        if before:
+            rows = latest(rows.unionByName(spark.read.schema(schema).parquet(before[max(before)])))
+        rows.write.mode("overwrite").parquet(f"{at}/tables/{i}")
+        for j in sorted(before)[:-1]:
+            old = spark._jvm.org.apache.hadoop.fs.Path(before[j])
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+    drained(stream, merge, "append", f"{at}/checkpoint")
+    return spark.read.schema(schema).parquet(_last(spark, f"{at}/tables")) if _batches(spark, f"{at}/tables") else spark.createDataFrame([], schema)
 
 
 def tumbling(stream: DataFrame, size: str = "1 day", late: str = "2 days") -> DataFrame:

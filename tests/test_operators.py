@@ -246,3 +246,34 @@ def test_entry_stands_without_the_llm_folders(tmp_path):
             to.write_text(p.read_text())
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 50 and not any(k.startswith('op') or k == 'pipeline' for k in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+
+
+def test_near_vectors_against_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((6, 8))
+    vectors = [(f"v{i}", (centres[i % 6] + 0.2 * rng.standard_normal(8)).tolist(), None if i % 50 == 0 else i % 2) for i in range(300)]
+    vectors += [("zero", [0.0] * 8, 1), ("none", None, 1), ("odd", [float("nan")] + [1.0] * 7, 1), ("hole", [None] + [1.0] * 7, 1), ("short", [1.0, 2.0], 1), ("short2", [2.0, 4.0], 1)]
+    df = spark.createDataFrame(vectors, "node_id string, embedding array<double>, block int")
+    monkeypatch.setattr(resolve, "TILE", 20)
+    for least in (0.5, 0.93):
+        want = {}
+        for i, (a, x, k) in enumerate(vectors):
+            for b, y, j in vectors[i + 1 :]:
+                if k is not None and k == j and x and y and len(x) == len(y) and None not in x + y:
+                    score = np.dot(x, y) / (np.linalg.norm(x) * np.linalg.norm(y)) if any(x) and any(y) else 0
+                    if score >= least:
+                        want[min(a, b), max(a, b)] = round(float(score), 9)
+        rows = resolve.match_embeddings(df, "block", least).collect()
+        assert len(rows) == len(want) > 100 and {(r.a, r.b): round(r.score, 9) for r in rows} == want
+    assert resolve.match_embeddings(df.limit(0), "block").count() == 0
+
+
+def test_upserts_go_on_where_they_ended(spark, tmp_path):
+    from lodestone.streaming import jobs
+
+    for day, rows in enumerate([[(1, "a", 1), (2, "b", 2)], [(1, "c", 3)], [(3, "d", 4), (2, "x", 0)]]):
+        spark.createDataFrame(rows, "id int, what string, no int").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("id int, what string, no int").parquet(f"{tmp_path}/in")
+        found = {(r.id, r.what) for r in jobs.upserted(spark, stream, "id", "no", f"file://{tmp_path}/state").collect()}
+        assert found == [{(1, "a"), (2, "b")}, {(1, "c"), (2, "b")}, {(1, "c"), (2, "b"), (3, "d")}][day]
+    assert sorted(p.name for p in (tmp_path / "state" / "tables").iterdir()) == ["1", "2"]
