@@ -7,8 +7,11 @@ names, which is sorted by the same procedure, and so on, until a string fits int
 
 A suffix on its way is a tuple (position, length of the prefix that it shares with the one before it in its bucket). The
 tuples wait in a priority queue whose keys are symbols: within a bucket they arrive in their order, so that a bucket is a
-run, in memory as long as there is room and on disk beyond that. numpy works on whole blocks of a run at a time. The text
-is mapped from a file. Common prefixes are counted up to ``length`` only, and suffixes that agree so far are alike.
+run, in memory as long as there is room and on disk beyond that. numpy works on whole blocks of a run at a time. The text,
+its rises and falls, the S* positions, their names, order and common prefixes are mapped from files and gone through block
+by block; the substrings that are to be named are dealt out to files by sampled splitters until a part fits into memory.
+What stays in memory of a string is a queue's room, some blocks, ``base`` entries, and some hundred bytes for each different
+symbol: few for bytes, but for a string of names as many as there are names. Common prefixes are counted up to ``length`` only, and suffixes that agree so far are alike.
 """
 
 from __future__ import annotations
@@ -21,7 +24,44 @@ from pathlib import Path
 import numpy as np
 
 #: Bytes of waiting tuples before a queue goes to disk; entries of a block; symbols of a string that is sorted in memory.
-QUEUE_BYTES, BLOCK, BASE = 64 << 20, 1 << 20, 1 << 24
+QUEUE_BYTES, BLOCK, BASE = 8 << 20, 1 << 20, 1 << 22
+#: Words by which too many substrings are dealt out.
+SPLITTERS = 64
+
+
+def _blocks(n: int) -> Iterator[tuple[int, int]]:
+    return ((a, min(a + BLOCK, n)) for a in range(0, n, BLOCK))
+
+
+def _mapped(path: Path, dtype: type, n: int | None = None) -> np.ndarray:
+    """An array in a file: a new one of n entries, or what the file holds."""
+    if n is None:
+        return np.memmap(path, dtype, "r") if path.stat().st_size else np.zeros(0, dtype)
+    return np.memmap(path, dtype, "w+", shape=n) if n else np.zeros(0, dtype)
+
+
+def _spooled(path: Path, dtype: type, parts: Iterator[np.ndarray]) -> np.ndarray:
+    """The parts one after the other, in a file."""
+    with path.open("wb") as f:
+        for p in parts:
+            f.write(np.ascontiguousarray(p, dtype).tobytes())
+    return _mapped(path, dtype)
+
+
+class Minima:
+    """The smallest number since a time. Numbers are 0 to ``most``: of each only the last time counts at which it or a smaller one came."""
+
+    def __init__(self, most: int) -> None:
+        self.last, self.now = np.full(most + 1, -1, np.int64), 0
+
+    def since(self, then: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.last, then, side="right"), len(self.last) - 1)
+
+    def add(self, values: np.ndarray) -> None:
+        came = np.full(len(self.last), -1, np.int64)
+        came[values] = self.now + np.arange(len(values))
+        np.maximum(self.last, np.maximum.accumulate(came), out=self.last)
+        self.now += len(values)
 
 
 class DiskQueue:
@@ -30,55 +70,54 @@ class DiskQueue:
     def __init__(self, folder: Path, name: str, memory: int = QUEUE_BYTES) -> None:
         self.file = (folder / name).open("w+b")
         self.memory, self.held = memory, 0
-        self.runs: dict[int, list] = defaultdict(list)  # of (pos, shared) in memory or (offset, n) on disk
+        self.new: dict[int, list] = defaultdict(list)  # (pos, shared) in memory
+        self.old: dict[int, list] = defaultdict(list)  # (offset, n) on disk, which went in before
 
     def push(self, symbol: int, pos: np.ndarray, shared: np.ndarray) -> None:
-        self.runs[symbol].append((pos, shared))
+        self.new[symbol].append((pos, shared))
         self.held += pos.nbytes + shared.nbytes
         if self.held > self.memory:
             self._spill()
 
     def _spill(self) -> None:
+        """Writes what is in memory, and looks at nothing else."""
         self.file.seek(0, 2)
-        for symbol, run in self.runs.items():
-            parts = [p for p in run if isinstance(p[0], np.ndarray)]
-            if parts:
-                pos, shared = np.concatenate([p for p, _ in parts]).astype("<i8"), np.concatenate([s for _, s in parts]).astype("<i4")
-                at = self.file.tell()
-                self.file.write(pos.tobytes())
-                self.file.write(shared.tobytes())
-                self.runs[symbol] = [p for p in run if not isinstance(p[0], np.ndarray)] + [(at, len(pos))]
+        at = self.file.tell()
+        for symbol, run in self.new.items():
+            pos, shared = self._joined(run)
+            self.file.write(pos.astype("<i8").tobytes())
+            self.file.write(shared.astype("<i4").tobytes())
+            self.old[symbol].append((at, len(pos)))
+            at += 12 * len(pos)
+        self.new.clear()
         self.held = 0
 
+    @staticmethod
+    def _joined(run: list) -> tuple[np.ndarray, np.ndarray]:
+        return run[0] if len(run) == 1 else (np.concatenate([p for p, _ in run]), np.concatenate([s for _, s in run]))
+
     def _load(self, part: tuple) -> tuple[np.ndarray, np.ndarray]:
-        if isinstance(part[0], np.ndarray):
-            return part
         self.file.seek(part[0])
         return np.frombuffer(self.file.read(8 * part[1]), "<i8"), np.frombuffer(self.file.read(4 * part[1]), "<i4")
 
     def pop(self, symbol: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Blocks of a symbol's tuples until none are left, those included that are pushed meanwhile."""
-        while run := self.runs.pop(symbol, None):
-            some: list = []
-            for part in run:
-                if isinstance(part[0], np.ndarray):
-                    self.held -= part[0].nbytes + part[1].nbytes
-                some.append(self._load(part))
-                if sum(len(p) for p, _ in some) >= BLOCK:
-                    yield np.concatenate([p for p, _ in some]), np.concatenate([s for _, s in some])
-                    some = []
-            if some:
-                yield np.concatenate([p for p, _ in some]), np.concatenate([s for _, s in some])
+        while symbol in self.old or symbol in self.new:
+            for part in self.old.pop(symbol, []):
+                yield self._load(part)
+            if run := self.new.pop(symbol, None) if symbol not in self.old else None:  # what came meanwhile may have gone to disk
+                self.held -= sum(p.nbytes + s.nbytes for p, s in run)
+                yield self._joined(run)
 
     def backwards(self, symbol: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Blocks of a symbol's tuples, the last first; nothing is taken out."""
-        for part in reversed(self.runs.get(symbol, [])):
+        if run := self.new.get(symbol):
+            pos, shared = self._joined(run)
+            yield pos[::-1], shared[::-1]
+        for part in reversed(self.old.get(symbol, [])):
             pos, shared = self._load(part)
             yield pos[::-1], shared[::-1]
 
-    def symbols(self) -> list[int]:
-        return sorted(self.runs)
-
     def close(self) -> None:
         self.file.close()
 
@@ -104,22 +143,26 @@ class Sorter:
     def __init__(self, text: np.ndarray, length: int, folder: Path, base: int = BASE, queue_bytes: int = QUEUE_BYTES, depth: int = 0) -> None:
         self.t, self.length, self.folder, self.base, self.queue_bytes, self.depth = text, length, folder, base, queue_bytes, depth
 
+    def _path(self, name: str) -> Path:
+        return self.folder / f"{name}{self.depth}"
+
     def _rising(self) -> np.ndarray:
-        """Of each position: whether its suffix is smaller than the next one."""
-        t = self.t
-        n = len(t)
-        turn = np.flatnonzero(t[1:] != t[:-1])  # ends of runs of a symbol
-        out = np.zeros(n, bool)
-        if len(turn):
-            sizes = np.diff(np.concatenate([[-1], turn]))
-            out[: turn[-1] + 1] = np.repeat(t[turn] < t[turn + 1], sizes)
+        """Of each position: whether its suffix is smaller than the next one. From the right, block by block."""
+        n = len(self.t)
+        out = _mapped(self._path("rising-flags"), bool, n)
         out[-1] = True
+        for a, b in reversed(list(_blocks(n - 1))):
+            t = np.asarray(self.t[a : b + 1])
+            turn = np.flatnonzero(t[1:] != t[:-1])  # ends of runs of a symbol
+            own = np.full(b - a, out[b])
+            if len(turn):
+                own[: turn[-1] + 1] = np.repeat(t[turn] < t[turn + 1], np.diff(turn, prepend=-1))
+            out[a:b] = own
         return out
 
     def stars(self) -> np.ndarray:
-        s = self._rising()
-        self.rising = s
-        return np.flatnonzero(s[1:] & ~s[:-1]) + 1
+        s = self.rising = self._rising()
+        return _spooled(self._path("stars"), np.int64, (np.flatnonzero(s[a + 1 : b + 1] & ~s[a:b]) + a + 1 for a, b in _blocks(len(s) - 1)))
 
     @staticmethod
     def _refine(order: np.ndarray, new: np.ndarray, word: Callable[[np.ndarray], np.ndarray]) -> bool:
@@ -137,31 +180,73 @@ class Sorter:
         return True
 
     def names(self, at: np.ndarray) -> tuple[np.ndarray, int]:
-        """Ranks of the S* substrings (from one S* position to the next, both included), by symbols and rise or fall."""
-        t, last = self.t, len(self.t) - 1
-        ends = np.append(at[1:], last)
+        """Ranks of the S* substrings (from one S* position to the next, both included), by symbols and rise or fall; and how many there are."""
+        t, last, n = self.t, len(self.t) - 1, len(at)
         bits = 9 if t.dtype == np.uint8 else 40
         per = 63 // bits
 
+        def ends(which: np.ndarray) -> np.ndarray:
+            return np.where(which + 1 < n, at[np.minimum(which + 1, n - 1)], last)
+
         def word(which: np.ndarray, r: int) -> np.ndarray:
-            out = np.zeros(len(which), np.int64)
+            out, start, end = np.zeros(len(which), np.int64), at[which], ends(which)
             for k in range(per):
-                p = at[which] + r * per + k
-                inside = p <= ends[which]
+                p = start + r * per + k
+                inside = p <= end
                 p = np.minimum(p, last)
                 out = (out << bits) | np.where(inside, (t[p].astype(np.int64) << 1 | self.rising[p]) + 1, 0)
             return out
 
-        every = np.arange(len(at))
-        w = word(every, 0)
+        rank, many, files = _mapped(self._path("names"), np.int64, n), 0, 0
+        todo: list[tuple[np.ndarray, int, bool]] = [(_spooled(self._path("every"), np.int64, (np.arange(a, b) for a, b in _blocks(n))), 0, False)]
+        while todo:  # the smallest part is the last one; True: all its substrings are equal
+            which, r, equal = todo.pop()
+            if equal and len(which):
+                many += 1
+                for a, b in _blocks(len(which)):
+                    rank[which[a:b]] = many
+                continue
+            if len(which) <= self.base:
+                if len(which):
+                    order, new = self._by_words(np.asarray(which), r, word, int((ends(which) - at[which]).max()) + 1, per)
+                    rank[which[order]] = many + np.cumsum(new)
+                    many += int(new.sum())
+                continue
+            few = np.unique(word(which[:: max(1, len(which) // (16 * SPLITTERS))], r))
+            few = few[:: -(-len(few) // SPLITTERS)]
+            parts = [self._path(f"part{files + i}-") for i in range(2 * len(few) + 1)]
+            files += len(parts)
+            open_files = [path.open("wb") for path in parts]
+            for a, b in _blocks(len(which)):
+                own = np.asarray(which[a:b])
+                w = word(own, r)
+                j = np.searchsorted(few, w)
+                slots = 2 * j + (few[np.minimum(j, len(few) - 1)] == w)
+                order = np.argsort(slots, kind="stable")
+                for slot, piece in zip(*self._grouped(slots[order], own[order]), strict=True):
+                    open_files[slot].write(piece.tobytes())
+            for f in open_files:
+                f.close()
+            for i in range(len(parts) - 1, -1, -1):
+                ended = i % 2 == 1 and int(few[i // 2]) & ((1 << bits) - 1) == 0
+                todo.append((_mapped(parts[i], np.int64), r + i % 2, ended))
+                parts[i].unlink()  # its room is given back when the part has been named
+        return rank, many
+
+    @staticmethod
+    def _grouped(keys: np.ndarray, values: np.ndarray) -> tuple[list[int], list[np.ndarray]]:
+        at = np.flatnonzero(np.diff(keys, prepend=-1))
+        return keys[at].tolist(), np.split(values, at[1:])
+
+    def _by_words(self, which: np.ndarray, r: int, word: Callable[[np.ndarray, int], np.ndarray], longest: int, per: int) -> tuple[np.ndarray, np.ndarray]:
+        """Order of substrings from their r-th word on, and where it comes to another one."""
+        w = word(which, r)
         order = np.argsort(w, kind="stable")
         new = np.concatenate([[True], w[order][1:] != w[order][:-1]])
-        r, longest = 1, int((ends - at).max()) + 1 if len(at) else 0
-        while r * per < longest and self._refine(order, new, lambda which, r=r: word(which, r)):
+        r += 1
+        while r * per < longest and self._refine(order, new, lambda some, r=r: word(which[some], r)):
             r += 1
-        rank = np.empty(len(at), np.int64)
-        rank[order] = np.cumsum(new)
-        return rank, int(new.sum())
+        return order, new
 
     def _in_memory(self, rank: np.ndarray) -> np.ndarray:
         """Order of the suffixes of a string of names, by doubling; names stand for two symbols at least, so ``length`` bounds the rounds."""
@@ -181,30 +266,41 @@ class Sorter:
         """S* positions in the order of their suffixes, and what each shares with the one before."""
         at = self.stars()
         rank, many = self.names(at)
-        if many == len(at):
-            order = np.argsort(rank)
-        elif len(at) <= self.base:
-            order = self._in_memory(rank)
-        else:
-            inner = Sorter(np.append(rank, 0) if rank[-1] != 1 or (rank == 1).sum() > 1 else rank, max(2, -(-self.length // 2) + 1), self.folder, self.base, self.queue_bytes, self.depth + 1)
-            order = np.concatenate([pos for pos, _ in inner.suffixes()])
-            order = order[order < len(at)]
-        at = at[order]
-        return at, np.concatenate([[0], self._shared(at[:-1], at[1:])]).astype(np.int32)
+        n = len(at)
+        if many == n:
+            order = _mapped(self._path("order"), np.int64, n)
+            for a, b in _blocks(n):
+                order[rank[a:b] - 1] = np.arange(a, b)
+        elif n <= self.base:
+            order = self._in_memory(np.asarray(rank))
+        else:  # the last S* position is the last symbol, which ends the string of names as well
+            inner = Sorter(rank, max(2, -(-self.length // 2) + 1), self.folder, self.base, self.queue_bytes, self.depth + 1)
+            order = _spooled(self._path("order"), np.int64, (pos for pos, _ in inner.suffixes()))
+        at = _spooled(self._path("ordered"), np.int64, (at[order[a:b]] for a, b in _blocks(n)))
+        shared = (self._shared(at[max(a - 1, 0) : b - 1], at[max(a, 1) : b]) for a, b in _blocks(n))
+        return at, _spooled(self._path("shared"), np.int32, (np.append(np.int32(0), s) if i == 0 else s for i, s in enumerate(shared)))
 
     def _shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Lengths of the common prefixes of pairs of suffixes, up to ``length``."""
-        step = max(1, 8 // self.t.itemsize)
-        padded = np.concatenate([self.t, np.zeros(step, self.t.dtype)])
-        words = np.lib.stride_tricks.sliding_window_view(padded, step)
-        out, todo, k, last = np.zeros(len(a), np.int32), np.arange(len(a)), 0, len(self.t) - 1
+        step, last = max(1, 8 // self.t.itemsize), len(self.t) - 1
+        t = self.t if len(self.t) >= step else np.concatenate([self.t, np.zeros(step, self.t.dtype)])
+        edge = len(t) - step
+        words = np.lib.stride_tricks.sliding_window_view(t, step)
+        tail = np.lib.stride_tricks.sliding_window_view(np.concatenate([t[edge:], np.zeros(step, t.dtype)]), step)
+
+        def windows(p: np.ndarray) -> np.ndarray:
+            out, late = words[np.minimum(p, edge)], np.flatnonzero(p > edge)
+            out[late] = tail[p[late] - edge]
+            return out
+
+        out, todo, k = np.zeros(len(a), np.int32), np.arange(len(a)), 0
         while len(todo) and k < self.length:
-            pa, pb = np.minimum(a[todo] + k, last), np.minimum(b[todo] + k, last)
+            wa, wb = windows(np.minimum(a[todo] + k, last)), windows(np.minimum(b[todo] + k, last))
             if step == 8:
-                diff = words[pa].view("<u8")[:, 0] ^ words[pb].view("<u8")[:, 0]
+                diff = wa.view("<u8")[:, 0] ^ wb.view("<u8")[:, 0]
                 same = np.where(diff == 0, 8, np.bitwise_count((diff & (~diff + np.uint64(1))) - np.uint64(1)) >> 3).astype(np.int64)
             else:
-                same = np.logical_and.accumulate(words[pa] == words[pb], axis=1).sum(1)
+                same = np.logical_and.accumulate(wa == wb, axis=1).sum(1)
             out[todo] = k + same
             todo = todo[same == step]
             k += step
@@ -216,8 +312,8 @@ class Sorter:
         other = np.flatnonzero(piece != piece[0])
         return int(other[0]) if len(other) else len(piece)
 
-    def _deal(self, queue: DiskQueue, least: np.ndarray, slot: Callable[[np.ndarray], np.ndarray], pos: np.ndarray, shared: np.ndarray, fits: Callable[[np.ndarray], np.ndarray]) -> None:
-        """Induces from a block of suffixes, in their order, those a symbol longer. least: what was shared at least since each bucket's last entry."""
+    def _deal(self, queue: DiskQueue, minima: Minima, seen: np.ndarray, slot: Callable[[np.ndarray], np.ndarray], pos: np.ndarray, shared: np.ndarray, fits: Callable[[np.ndarray], np.ndarray]) -> None:
+        """Induces from a block of suffixes, in their order, those a symbol longer. seen: when each bucket had its last entry; minima: what was shared at least since then."""
         before = self.t[np.maximum(pos - 1, 0)]
         at = np.flatnonzero((pos > 0) & fits(before))
         lows = np.minimum.accumulate(shared)
@@ -228,19 +324,16 @@ class Sorter:
             value = np.empty(len(k), np.int32)
             heads = np.flatnonzero(first)
             slots = slot(symbols[heads])
-            value[heads] = np.minimum(least[slots], lows[k[heads]])
+            value[heads] = np.where(seen[slots] < 0, -1, np.minimum(minima.since(seen[slots]), lows[k[heads]]))
             rest = np.flatnonzero(~first)
             value[rest] = _lowest(shared, k[rest - 1] + 1, k[rest])
             value = np.minimum(value + 1, self.length)
-            np.minimum(least, lows[-1], out=least)
             tails = np.append(heads[1:], len(k))
-            ups = np.append(np.minimum.accumulate(shared[::-1])[::-1], np.int32(self.length))
-            least[slots] = ups[k[tails - 1] + 1]
+            seen[slots] = minima.now + k[tails - 1]
             q = pos[k] - 1
             for symbol, a, b in zip(symbols[heads].tolist(), heads.tolist(), tails.tolist(), strict=True):
                 queue.push(symbol, q[a:b], value[a:b])
-        else:
-            np.minimum(least, lows[-1], out=least)
+        minima.add(shared)
 
     def suffixes(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Blocks (positions, what each shares with the one before) of all suffixes, bucket by bucket in ascending order.
@@ -249,33 +342,40 @@ class Sorter:
         first one's last.
         """
         t, length = self.t, self.length
-        symbols = np.unique(t)
+        symbols = np.zeros(0, t.dtype)
+        for a, b in _blocks(len(t)):
+            symbols = np.union1d(symbols, t[a:b])
         slot = lambda s: np.searchsorted(symbols, s)
         stars, shared = self.sorted_stars()
-        cuts = np.searchsorted(t[stars], symbols), np.searchsorted(t[stars], symbols, side="right")
+        cuts = np.zeros(len(symbols) + 1, np.int64)
+        for a, b in _blocks(len(stars)):
+            found, n = np.unique(slot(t[stars[a:b]]), return_counts=True)
+            cuts[found + 1] += n
+        cuts = np.cumsum(cuts)
         falling, done = DiskQueue(self.folder, f"falling{self.depth}", self.queue_bytes), DiskQueue(self.folder, f"fallen{self.depth}", self.queue_bytes)
-        least = np.full(len(symbols), -1, np.int32)  # a bucket's first entry shares nothing with the bucket before
+        minima, seen = Minima(length), np.full(len(symbols), -1, np.int64)  # a bucket's first entry shares nothing with the bucket before
         for i, c in enumerate(symbols.tolist()):
             last = None
             for pos, s in falling.pop(c):
                 done.push(c, pos, s)
-                self._deal(falling, least, slot, pos, s, lambda b, c=c: b >= c)
+                self._deal(falling, minima, seen, slot, pos, s, lambda b, c=c: b >= c)
                 last = int(pos[-1])
-            a, b = int(cuts[0][i]), int(cuts[1][i])
-            if b > a:
-                s = shared[a:b].copy()
-                s[0] = 0 if last is None else min(self._run(last), self._run(int(stars[a])))
-                self._deal(falling, least, slot, stars[a:b], s, lambda b, c=c: b > c)
+            first, stop = int(cuts[i]), int(cuts[i + 1])
+            for a in range(first, stop, BLOCK):
+                own, s = np.asarray(stars[a : min(a + BLOCK, stop)]), np.array(shared[a : min(a + BLOCK, stop)])
+                if a == first:
+                    s[0] = 0 if last is None else min(self._run(last), self._run(int(stars[a])))
+                self._deal(falling, minima, seen, slot, own, s, lambda b, c=c: b > c)
         falling.close()
         del stars, shared
         rising, risen = DiskQueue(self.folder, f"rising{self.depth}", self.queue_bytes), DiskQueue(self.folder, f"risen{self.depth}", self.queue_bytes)
-        least[:] = -1
+        minima, seen[:] = Minima(length), -1
         seams: dict[int, int] = {}
         for c in symbols[::-1].tolist():
             last = None
             for pos, s in rising.pop(c):
                 risen.push(c, pos, s)
-                self._deal(rising, least, slot, pos, s, lambda b, c=c: b <= c)
+                self._deal(rising, minima, seen, slot, pos, s, lambda b, c=c: b <= c)
                 last = int(pos[-1])
             if c == symbols[0]:
                 break
@@ -287,7 +387,7 @@ class Sorter:
                     seams[c] = seam
                 step = np.concatenate([[before], s[:-1]]).astype(np.int32)
                 before = int(s[-1])
-                self._deal(rising, least, slot, pos, step, lambda b, c=c: b < c)
+                self._deal(rising, minima, seen, slot, pos, step, lambda b, c=c: b < c)
         rising.close()
         for c in symbols.tolist():
             if c == symbols[0]:
@@ -318,7 +418,7 @@ def suffix_order(text: bytes, length: int = 200, base: int = BASE, queue_bytes:
 
 def repeated(text: np.ndarray, length: int, folder: Path, base: int = BASE, queue_bytes: int = QUEUE_BYTES) -> np.ndarray:
     """Flags the positions of a string of symbols at which a stretch of ``length`` starts that also starts elsewhere in it."""
-    out = np.zeros(len(text), bool)
+    out = _mapped(folder / "repeated", bool, len(text))
     before = -1
     for pos, shared in Sorter(text, length, folder, base, queue_bytes).suffixes():
         full = shared >= length

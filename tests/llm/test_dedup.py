@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -196,3 +197,32 @@ def test_pipeline_stages(spark):
         docs = out
     assert docs.where("length > 1024").count() == 0 and docs.select("doc_id").distinct().count() == len(after)
     assert quality is not None and corpus_pipeline.run(spark, sf).count() == docs.count()
+
+
+def test_names_of_a_string_far_larger_than_memory(monkeypatch, tmp_path):
+    rng = np.random.default_rng(8)
+    text = rng.choice(np.frombuffer(b"abcd", np.uint8), 400_000)
+    (tmp_path / "text").write_bytes(text.tobytes() + b"\0")
+    whole = suffixes.Sorter(np.memmap(tmp_path / "text", np.uint8, "r"), 200, tmp_path)
+    at = np.array(whole.stars())
+    rank, many = whole.names(at)
+    rank = np.array(rank)
+    monkeypatch.setattr(suffixes, "BLOCK", 1 << 11)
+    small = suffixes.Sorter(np.memmap(tmp_path / "text", np.uint8, "r"), 200, tmp_path, base=1 << 10, depth=1)
+    tracemalloc.start()
+    places = small.stars()
+    names, n = small.names(places)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == many and (places == at).all() and (names == rank).all()
+    assert peak < 8 * len(at), peak  # the positions alone would take as much
+
+
+def test_recursion_on_disk(monkeypatch, tmp_path):
+    text = np.append(np.random.default_rng(9).choice(np.frombuffer(b"abcd", np.uint8), 40_000), np.uint8(0))
+    text[30_000:30_500] = text[100:600]
+    monkeypatch.setattr(suffixes, "BLOCK", 1 << 10)
+    flags = suffixes.repeated(text, 200, tmp_path, base=1 << 10, queue_bytes=1 << 12)
+    often = Counter(grams := [text[i : i + 200].tobytes() for i in range(len(text) - 199)])
+    assert np.flatnonzero(flags).tolist() == [i for i, g in enumerate(grams) if often[g] > 1] != []
+    assert (tmp_path / "names2").exists()  # names of names of names
