@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from . import ann, chat_format, decontaminate, packing, quality, simhash, suffix_dedup, toxicity, url_filter, wavelet
+from . import ann, chat_format, decontaminate, html_text, importance, packing, quality, simhash, suffix_dedup, toxicity, url_filter, wavelet, whitening
 from .common import held_out, table
 
 #: (verdict, host, start of path)
@@ -86,7 +86,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (op1_url_filter, op2_suffix_dedup, op3_wavelet_shards, op4_quality, op5_simhash, op6_nearest_neighbours, op7_chat_format, op8_toxicity, op9_decontaminate, op10_best_fit_packing)}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (op1_url_filter, op2_suffix_dedup, op3_wavelet_shards, op4_quality, op5_simhash, op6_nearest_neighbours, op7_chat_format, op8_toxicity, op9_decontaminate, op10_best_fit_packing, op11_importance_resampling, op12_whitening, op13_main_text)}
 
 _ESCAPED = "replace(replace(replace({c}, '\\', '\\e'), '>', '\\g'), '<', '\\l')"
 ORACLES: dict[str, str] = {
