@@ -112,9 +112,12 @@ def same_as(rows: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def repoint(edges: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Edges between survivors: ids made anew, loops dropped, parallel ones merged (weights summed, the widest validity)."""
+    """Edges between survivors: ids made anew, loops dropped, parallel ones merged: weights summed, the widest validity (an open end stays open)."""
     one = mapping.select("node_id", "canonical_id")
     rows = edges.join(one.select(F.col("node_id").alias("src"), F.col("canonical_id").alias("s")), "src", "left").join(one.select(F.col("node_id").alias("dst"), F.col("canonical_id").alias("d")), "dst", "left")
     rows = rows.withColumns({"src": F.coalesce("s", "src"), "dst": F.coalesce("d", "dst")}).where("src != dst")
-    merged = rows.groupBy("src", "dst", "edge_type").agg(F.sum("weight").alias("weight"), F.min("valid_from").alias("valid_from"))
+    widest = [F.min("valid_from").alias("valid_from")]
+    if "valid_to" in edges.columns:
+        widest.append(F.when(~F.bool_or(F.col("valid_to").isNull()), F.max("valid_to")).alias("valid_to"))
+    merged = rows.groupBy("src", "dst", "edge_type").agg(F.sum("weight").alias("weight"), *widest)
     return merged.withColumns({"edge_id": edge_id(F.col("src"), F.col("edge_type"), F.col("dst"), F.col("valid_from")), "series_id": series_id(F.col("src"), F.col("edge_type"), F.col("dst"))})

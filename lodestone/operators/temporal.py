@@ -47,27 +47,29 @@ def known_versions(versions: DataFrame, known_at: str) -> DataFrame:
 
 
 def scd2_merge(current: DataFrame, staged: DataFrame, key: str = "key", content: str = "value") -> DataFrame:
-    """Current rows and staged ones (both: key, content, valid_from) -> all versions with valid_to, is_current and what was done.
-
-    Of several staged rows of a key the latest counts. A changed later fact closes the current one and follows it; an
-    equal one changes nothing; a changed earlier one is kept as a closed version before the current one.
+    """Current rows (one a key) and staged ones (any number): key, content, valid_from -> all versions with valid_to, is_current and what was done.
+
+    All staged versions of a key are kept, in the order of their days: each is valid until the next one begins, later
+    ones than the current version close it, earlier ones lie before it. A version that says what the one before it says
+    changes nothing, nor does one that says what the current version after it says. Of staged rows of a key and a day the
+    largest content counts (a null one last); so a key has a version a day at most, however many rows it has. A staged
+    row of the current version's own day with another content is a version of no length before it. Null contents are
+    contents, null keys one key.
     """
-    latest = staged.groupBy(key).agg(F.max_by(content, "valid_from").alias("s_content"), F.max("valid_from").alias("s_from"))
-    both = current.select(key, F.col(content).alias("t_content"), F.col("valid_from").alias("t_from")).join(latest, key, "full")
-    state = (
-        F.when(F.col("t_from").isNull(), "new").when(F.col("s_from").isNull(), "kept").when(F.col("s_content").eqNullSafe(F.col("t_content")), "same")
-        .when(F.col("s_from") > F.col("t_from"), "changed").otherwise("late")
-    )
-    both = both.withColumn("state", state)
-    version = lambda content, start, stop, current, action: F.struct(F.col(content).alias(content_name), F.col(start).alias("valid_from"), stop.alias("valid_to"), F.lit(current).alias("is_current"), F.lit(action).alias("action"))
-    content_name, none = content, F.lit(None).cast("date")
-    rows = (
-        F.when(F.col("state") == "new", F.array(version("s_content", "s_from", none, True, "inserted")))
-        .when(F.col("state") == "changed", F.array(version("t_content", "t_from", F.col("s_from"), False, "closed"), version("s_content", "s_from", none, True, "inserted")))
-        .when(F.col("state") == "late", F.array(version("s_content", "s_from", F.col("t_from"), False, "late"), version("t_content", "t_from", none, True, "kept")))
-        .otherwise(F.array(version("t_content", "t_from", none, True, "kept")))
-    )
-    return both.select(key, F.explode(rows).alias("v")).select(key, "v.*")
+    marks = lambda rows, now: rows.select(key, F.col(content).alias("v"), "valid_from", F.lit(now).alias("now"))
+    daily = staged.groupBy(key, "valid_from").agg(F.max(content).alias(content))
+    rows = marks(current, True).unionByName(marks(daily, False))
+    order = W.partitionBy(key).orderBy("valid_from", "now")
+    told = lambda c: F.coalesce(c["v"].eqNullSafe(F.col("v")), F.lit(False)) & c.isNotNull()
+    rows = rows.withColumn("prior", F.lag(F.struct("v", "now")).over(order)).where(F.col("now") | ~told(F.col("prior")))
+    rows = rows.withColumn("ahead", F.lead(F.struct("v", "now")).over(order)).where(F.col("now") | ~(told(F.col("ahead")) & F.col("ahead.now")))
+    begun = F.max("now").over(order.rowsBetween(W.unboundedPreceding, 0))
+    is_old = F.max("now").over(W.partitionBy(key)) & ~begun  # lies before a current version
+    follows = F.lead("valid_from").over(order)
+    last = F.lead("now").over(order).isNull()
+    rows = rows.withColumns({"valid_to": follows, "is_current": last, "late": is_old})
+    action = F.when(F.col("now") & F.col("is_current"), "kept").when(F.col("now"), "closed").when(F.col("late"), "late").otherwise("inserted")
+    return rows.select(key, F.col("v").alias(content), "valid_from", "valid_to", "is_current", action.alias("action"))
 
 
 def accrete(current: DataFrame, staged: DataFrame, key: str = "key") -> DataFrame:
@@ -79,33 +81,36 @@ def accrete(current: DataFrame, staged: DataFrame, key: str = "key") -> DataFram
 def supersede(current: DataFrame, staged: DataFrame, key: str = "key") -> DataFrame:
     """Edges (key, weight, evidence, confidence, valid_from; current ones also valid_to, is_current) after a merge.
 
-    Staged rows of a key are one fact: its latest weight, all evidence, the highest confidence. A later fact with another
-    weight closes the current edge and follows it; any other adds its evidence to it. Closed versions stay as they are.
-    A null weight is a weight like others; no evidence is an empty list.
+    The current edge and all staged facts of a key stand in the order of their days (facts of one day with one weight are
+    one; of different weights, smaller ones first). Neighbours of one weight are one version: it has all their evidence,
+    their highest confidence and the first one's day, or the current edge's, if that is among them. So a later fact with
+    another weight closes the current edge and follows it, an earlier one lies before it with its own weight and days.
+    Closed versions stay as they are. A null weight is a weight like others; no evidence is an empty list.
     """
-    facts = staged.groupBy(key).agg(
-        F.max_by("weight", F.struct("valid_from", "weight")).alias("s_weight"), F.max("valid_from").alias("s_from"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("evidence")))).alias("s_evidence"), F.max("confidence").alias("s_confidence"),
+    empty = F.array().cast("array<string>")
+    live = current.where("is_current").select(key, "weight", F.coalesce("evidence", empty).alias("evidence"), "confidence", "valid_from", F.lit(True).alias("now"))
+    facts = staged.groupBy(key, "valid_from", "weight").agg(F.array_distinct(F.flatten(F.collect_list(F.coalesce("evidence", empty)))).alias("evidence"), F.max("confidence").alias("confidence"))
+    rows = live.unionByName(facts.withColumn("now", F.lit(False)).select(*live.columns))
+    order = W.partitionBy(key).orderBy("valid_from", "now", "weight")
+    before = F.lag(F.struct("weight")).over(order)
+    rows = rows.withColumn("begins", (before.isNull() | ~before["weight"].eqNullSafe(F.col("weight"))).cast("int"))
+    rows = rows.withColumn("run", F.sum("begins").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    runs = rows.groupBy(key, "run").agg(
+        F.first("weight").alias("weight"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("evidence")))).alias("evidence"), F.max("confidence").alias("confidence"),
+        F.coalesce(F.min(F.when(F.col("now"), F.col("valid_from"))), F.min("valid_from")).alias("valid_from"),
     )
-    live = current.where("is_current").select(key, *[F.col(c).alias(f"t_{n}") for n, c in (("weight", "weight"), ("from", "valid_from"), ("evidence", "evidence"), ("confidence", "confidence"))], F.lit(True).alias("t_here"))
-    both = live.join(facts.withColumn("s_here", F.lit(True)), key, "full")
-    none, held = F.lit(None).cast("date"), F.coalesce("t_evidence", F.array().cast("array<string>"))
-    version = lambda weight, evidence, confidence, start, stop, now: F.struct(weight.alias("weight"), evidence.alias("evidence"), confidence.alias("confidence"), start.alias("valid_from"), stop.alias("valid_to"), F.lit(now).alias("is_current"))
-    staged_one = version(F.col("s_weight"), F.col("s_evidence"), F.col("s_confidence"), F.col("s_from"), none, True)
-    closed = version(F.col("t_weight"), held, F.col("t_confidence"), F.col("t_from"), F.col("s_from"), False)
-    united = F.array_sort(F.array_union(held, F.coalesce("s_evidence", F.array().cast("array<string>"))))
-    grown = version(F.col("t_weight"), united, F.greatest("t_confidence", "s_confidence"), F.col("t_from"), none, True)
-    changed = F.col("s_here") & ~F.col("s_weight").eqNullSafe(F.col("t_weight")) & (F.col("s_from") > F.col("t_from"))
-    rows = F.when(F.col("t_here").isNull(), F.array(staged_one)).when(changed, F.array(closed, staged_one)).otherwise(F.array(grown))
-    merged = both.select(key, F.explode(rows).alias("v")).select(key, "v.*")
+    follows = F.lead(F.struct("valid_from")).over(W.partitionBy(key).orderBy("run"))
+    merged = runs.select(key, "weight", "evidence", "confidence", "valid_from", follows["valid_from"].alias("valid_to"), follows.isNull().alias("is_current"))
     return merged.unionByName(current.where("NOT is_current").select(*merged.columns))
 
 
 def change_feed(before: DataFrame, after: DataFrame, key: str, content: str) -> DataFrame:
-    """The difference of two snapshots: insert, delete, or update with the values before and after."""
-    both = before.select(key, F.col(content).alias("before")).join(after.select(key, F.col(content).alias("after")), key, "full")
-    kind = F.when(F.col("before").isNull(), "insert").when(F.col("after").isNull(), "delete").when(F.col("before") != F.col("after"), "update")
-    return both.withColumn("change", kind).where("change IS NOT NULL")
+    """The difference of two snapshots of one row a key: insert, delete, or update, with the values before and after. A null content is a content, a null key a key."""
+    old = before.select(F.col(key).alias("__key"), F.col(content).alias("before"), F.lit(True).alias("was"))
+    new = after.select(key, F.col(content).alias("after"), F.lit(True).alias("is"))
+    both = old.join(new, F.col("__key").eqNullSafe(F.col(key)), "full")
+    kind = F.when(F.col("was").isNull(), "insert").when(F.col("is").isNull(), "delete").when(~F.col("before").eqNullSafe(F.col("after")), "update")
+    return both.select(F.when(F.col("is"), F.col(key)).otherwise(F.col("__key")).alias(key), "before", "after", kind.alias("change")).where("change IS NOT NULL")
 
 
 def latest_change(log: DataFrame, key: str, order: str) -> DataFrame:

@@ -111,6 +111,46 @@ def scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
 
 
+#: Everything that was staged, with contents that are null; the current versions as before.
+CHAIN = SNAPSHOTS + """, every AS (SELECT key, CASE WHEN event_id % 11 <> 0 THEN round(value / 100) END AS value, valid_from FROM versions WHERE valid_from >= DATE '2024-01-16' OR event_id % 7 = 0),
+held AS (SELECT key, round(value / 100) AS value, valid_from FROM current),
+r0 AS (SELECT key, value, valid_from, true AS now FROM held UNION ALL SELECT key, max(value), valid_from, false FROM every GROUP BY key, valid_from),
+r1 AS (SELECT *, lag(valid_from) OVER w IS NOT NULL AND lag(value) OVER w IS NOT DISTINCT FROM value AS again FROM r0 WINDOW w AS (PARTITION BY key ORDER BY valid_from, now)),
+r2 AS (SELECT *, coalesce(lead(now) OVER w, false) AND lead(value) OVER w IS NOT DISTINCT FROM value AS early FROM r1 WHERE now OR NOT again WINDOW w AS (PARTITION BY key ORDER BY valid_from, now)),
+r3 AS (SELECT *, lead(valid_from) OVER w AS valid_to, lead(now) OVER w IS NULL AS is_current, bool_or(now) OVER (PARTITION BY key) AND NOT bool_or(now) OVER (PARTITION BY key ORDER BY valid_from, now ROWS UNBOUNDED PRECEDING) AS late
+  FROM r2 WHERE now OR NOT early WINDOW w AS (PARTITION BY key ORDER BY valid_from, now))
+SELECT key, value, valid_from, valid_to, is_current, CASE WHEN now AND is_current THEN 'kept' WHEN now THEN 'closed' WHEN late THEN 'late' ELSE 'inserted' END AS action FROM r3"""
+
+
+@query(VERSIONS + CHAIN)
+def scd2_merge_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All staged versions of a key, late ones and null contents among them, are kept and follow each other."""
+    hundreds = F.round(F.col("value") / 100)
+    staged = _versions(spark, sf_dir).where("valid_from >= DATE'2024-01-16' OR event_id % 7 = 0").select("key", F.when(F.col("event_id") % 11 != 0, hundreds).alias("value"), "valid_from")
+    return temporal.scd2_merge(_snapshots(spark, sf_dir)[0].withColumn("value", hundreds), staged)
+
+
+@query(
+    """WITH e AS (SELECT user_id || ':' || event_type AS key, event_id, CASE WHEN event_id % 13 <> 0 THEN round(value / 100) END AS weight, CAST(ts AS DATE) AS day FROM events),
+t AS (SELECT key, arg_max(weight, event_id) AS w0, bool_or(weight IS NULL) AS x, min(day) AS valid_from, count(*) AS n FROM e WHERE day BETWEEN DATE '2024-01-10' AND DATE '2024-01-16' GROUP BY key),
+s AS (SELECT key, weight, day AS valid_from, count(*) AS n FROM e WHERE day NOT BETWEEN DATE '2024-01-10' AND DATE '2024-01-16' GROUP BY ALL),
+r0 AS (SELECT key, CASE WHEN x THEN NULL ELSE w0 END AS weight, valid_from, n, true AS now FROM t UNION ALL SELECT key, weight, valid_from, n, false FROM s),
+r1 AS (SELECT *, lag(n) OVER w IS NULL OR lag(weight) OVER w IS DISTINCT FROM weight AS begins FROM r0 WINDOW w AS (PARTITION BY key ORDER BY valid_from, now, weight NULLS FIRST)),
+r2 AS (SELECT *, sum(begins::INT) OVER (PARTITION BY key ORDER BY valid_from, now, weight NULLS FIRST ROWS UNBOUNDED PRECEDING) AS run FROM r1),
+r3 AS (SELECT key, run, min(weight) AS weight, sum(n)::BIGINT AS n_evidence, coalesce(min(valid_from) FILTER (now), min(valid_from)) AS valid_from FROM r2 GROUP BY key, run)
+SELECT key, weight, n_evidence, valid_from, lead(valid_from) OVER w AS valid_to, lead(valid_from) OVER w IS NULL AS is_current FROM r3 WINDOW w AS (PARTITION BY key ORDER BY run)"""
+)
+def edge_supersede_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts from before and after a week against the edges of that week: late ones keep their weight and days, null weights are weights."""
+    e = table(spark, sf_dir, "events").select(F.concat_ws(":", "user_id", "event_type").alias("key"), "event_id", F.to_date("ts").alias("day"), F.when(F.col("event_id") % 13 != 0, F.round(F.col("value") / 100)).alias("weight"))
+    week = F.col("day").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-16").cast("date"))
+    chunk = F.concat(F.lit("c_"), "event_id")
+    now = e.where(week).groupBy("key").agg(F.max_by("weight", "event_id").alias("w"), F.bool_or(F.col("weight").isNull()).alias("x"), F.min("day").alias("valid_from"), F.collect_set(chunk).alias("evidence"))
+    now = now.select("key", F.when(~F.col("x"), F.col("w")).alias("weight"), "evidence", F.lit(0.5).alias("confidence"), "valid_from", F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
+    staged = e.where(~week).select("key", "weight", F.array(chunk).alias("evidence"), F.lit(0.75).alias("confidence"), F.col("day").alias("valid_from"))
+    return temporal.supersede(now, staged).select("key", "weight", F.size("evidence").cast("long").alias("n_evidence"), "valid_from", "valid_to", "is_current")
+
+
 @query(
     """WITH e AS (SELECT user_id || ':' || event_type AS key, 'c_' || event_id AS chunk, CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0.5 ELSE 0.75 END AS confidence FROM events)
 SELECT key, string_agg(DISTINCT chunk, '>' ORDER BY chunk) AS evidence, max(confidence)::DOUBLE AS confidence FROM e GROUP BY key"""
@@ -157,6 +197,16 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temporal.change_feed(temporal.as_of(versions, "2024-01-03"), temporal.as_of(versions, "2024-01-20"), "key", "value")
 
 
+@query(
+    VERSIONS + _changed("2024-01-03", "2024-01-20").replace("SELECT key, value", "SELECT key, CASE WHEN event_id % 3 <> 0 THEN value END AS value") + """ SELECT coalesce(b.key, a.key) AS key, b.value AS before, a.value AS after,
+  CASE WHEN b.key IS NULL THEN 'insert' WHEN a.key IS NULL THEN 'delete' ELSE 'update' END AS change FROM b FULL JOIN a ON a.key = b.key WHERE b.key IS NULL OR a.key IS NULL OR b.value IS DISTINCT FROM a.value"""
+)
+def change_feed_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the contents are null: to and from null is an update, not an insert or a delete."""
+    versions = _versions(spark, sf_dir).withColumn("value", F.when(F.col("event_id") % 3 != 0, F.col("value")))
+    return temporal.change_feed(temporal.as_of(versions, "2024-01-03"), temporal.as_of(versions, "2024-01-20"), "key", "value")
+
+
 @query("SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value, max(event_id) AS event_id FROM events GROUP BY user_id")
 def cdc_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temporal.latest_change(table(spark, sf_dir, "events").select("user_id", "event_type", "value", "event_id"), "user_id", "event_id")

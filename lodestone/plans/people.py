@@ -95,3 +95,24 @@ def repoint_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     feeds = _feeds(spark, sf_dir)
     edges = feeds.select(F.col("node_id").alias("src"), node_id(F.lit("Jurisdiction"), F.col("country")).alias("dst"), F.lit("LOCATED_IN").alias("edge_type"), F.lit(1.0).alias("weight"), F.lit(builders.EPOCH).cast("date").alias("valid_from"))
     return resolve.repoint(edges, _same_as(spark, sf_dir)).select("edge_id", "src", "dst", "weight")
+
+
+@query(
+    CLUSTERS + f""", bought AS (SELECT {sql_node_id('Counterparty', "'C' || o_custkey")} AS src, CAST(o_orderdate AS DATE) AS day, o_orderkey, o_orderstatus FROM orders
+  UNION ALL SELECT {sql_node_id('Counterparty', "'D' || o_custkey")}, CAST(o_orderdate AS DATE) + 10, o_orderkey, o_orderstatus FROM orders WHERE o_custkey % 3 = 0),
+moved AS (SELECT coalesce(canonical_id, src) AS src, 'n_status_' || o_orderstatus AS dst, count(*) AS n, min(day) AS f, max(day) AS last, bool_or(o_orderkey % 50 = 0) AS is_open FROM bought LEFT JOIN same_as ON node_id = src GROUP BY 1, 2)
+SELECT 'e_' || substr(sha1(src || '|HAS|' || dst || '|' || CAST(f AS VARCHAR)), 1, 20) AS edge_id, src, dst, n::DOUBLE AS weight, f AS valid_from, CASE WHEN NOT is_open THEN last + 30 END AS valid_to FROM moved"""
+)
+def repoint_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of customers and of their doubles as edges of a month each, every fiftieth without an end: merged ones hold from the first day to the last end."""
+    o = table(spark, sf_dir, "orders")
+
+    def bought(rows: DataFrame, letter: str, later: int) -> DataFrame:
+        day = F.date_add(F.to_date("o_orderdate"), later)
+        return rows.select(
+            node_id(F.lit("Counterparty"), F.concat(F.lit(letter), "o_custkey")).alias("src"), F.concat(F.lit("n_status_"), "o_orderstatus").alias("dst"), F.lit("HAS").alias("edge_type"), F.lit(1.0).alias("weight"),
+            day.alias("valid_from"), F.when(F.col("o_orderkey") % 50 != 0, F.date_add(day, 30)).alias("valid_to"),
+        )
+
+    edges = bought(o, "C", 0).unionByName(bought(o.where("o_custkey % 3 = 0"), "D", 10))
+    return resolve.repoint(edges, _same_as(spark, sf_dir)).select("edge_id", "src", "dst", "weight", "valid_from", "valid_to")

@@ -27,6 +27,17 @@ def replace_partitions(rows: DataFrame, path: str, *by: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def keep_latest(spark: SparkSession, path: str, by: str, most: int = 8) -> list[str]:
+    """Of a table of snapshots, one partition ``by`` each, the latest ``most`` stay; the values that went, in order."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in fs.listStatus(at) if f.getPath().getName().startswith(f"{by}="))
+    gone = names[: max(0, len(names) - most)]
+    for name in gone:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(at, name), True)
+    return [n.partition("=")[2] for n in gone]
+
+
 def merged(old: DataFrame, new: DataFrame, key: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Update-or-insert by key: new rows replace old ones, but in ``keep`` a null never replaces a value. New rows are one a key."""
     both = old.select(*[F.col(c).alias(f"o_{c}") for c in old.columns]).join(new.withColumn("n_here", F.lit(True)), F.col(f"o_{key}") == F.col(key), "full")

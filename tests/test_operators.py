@@ -214,7 +214,7 @@ def test_edges_are_superseded_or_grow(spark):
     got = sorted((r.key, r.weight or 0, tuple(r.evidence), r.confidence, r.is_current) for r in temporal.supersede(now.unionByName(old), staged).collect())
     assert got == [
         ("a", 1.0, ("x",), 0.5, False), ("a", 3.0, ("z",), 0.8, True), ("a", 7.0, ("x",), 0.5, False), ("b", 2.0, ("q",), 0.5, True),
-        ("c", 0, ("w", "y"), 0.9, True), ("d", 1.0, ("late",), 0.5, True), ("e", 1.0, ("n",), 0.5, True),
+        ("c", 0, ("w", "y"), 0.9, True), ("d", 1.0, (), 0.5, True), ("d", 5.0, ("late",), 0.5, False), ("e", 1.0, ("n",), 0.5, True),
     ]
     assert temporal.supersede(now.limit(0), staged.limit(0)).count() == 0
 
