@@ -1,4 +1,4 @@
-"""Communities and spectral measures, one connected component at a time.
+"""Spectral measures, one connected component at a time.
 
 A component of any size is worked on whole, by one task in numpy: its nodes and edges have to fit into that task's memory.
 """
@@ -20,67 +20,6 @@ DENSE, CROWDED = 2_000, 60
 FAR = 50.0
 
 
-def louvain(n: int, links: dict[tuple[int, int], float], resolution: float = 1.0) -> list[int]:
-    """Community of each node, by moving nodes in the order of their numbers until modularity stops rising; then on the graph of communities, until that stands still."""
-    label = list(range(n))
-    size, inner = n, dict(links)
-    while True:
-        near: list[dict[int, float]] = [{} for _ in range(size)]
-        loops = [0.0] * size
-        for (a, b), w in inner.items():
-            if a == b:
-                loops[a] += w
-            else:
-                near[a][b] = near[a].get(b, 0.0) + w
-                near[b][a] = near[b].get(a, 0.0) + w
-        strength = [2 * loops[i] + sum(near[i].values()) for i in range(size)]
-        total = sum(strength)
-        own, weight, moved = list(range(size)), list(strength), bool(total)
-        rounds, any_move = 0, False
-        while moved and rounds < 50:
-            moved, rounds = False, rounds + 1
-            for i in range(size):
-                ties: dict[int, float] = {}
-                for j, w in near[i].items():
-                    ties[own[j]] = ties.get(own[j], 0.0) + w
-                weight[own[i]] -= strength[i]
-                best, gain = own[i], ties.get(own[i], 0.0) - resolution * strength[i] * weight[own[i]] / total
-                for c in sorted(ties):
-                    g = ties[c] - resolution * strength[i] * weight[c] / total
-                    if g > gain + 1e-12:
-                        best, gain = c, g
-                if best != own[i]:
-                    own[i], moved, any_move = best, True, True
-                weight[best] += strength[i]
-        if not any_move:
-            return label
-        number = {c: k for k, c in enumerate(dict.fromkeys(own))}
-        own = [number[c] for c in own]
-        label = [own[x] for x in label]
-        nxt: dict[tuple[int, int], float] = {}
-        for (a, b), w in inner.items():
-            key = (min(own[a], own[b]), max(own[a], own[b]))
-            nxt[key] = nxt.get(key, 0.0) + w
-        size, inner = len(number), nxt
-
-
-def hierarchy(n: int, links: dict[tuple[int, int], float], levels: int = 3) -> list[list[int]]:
-    """Labels by level; level l works on the graph of the communities before with resolution 1 / (l + 1) and stops at fewer than two."""
-    out, now, inner, size = [], list(range(n)), dict(links), n
-    for level in range(levels):
-        own = louvain(size, inner, 1.0 / (level + 1))
-        now = [own[x] for x in now]
-        out.append(list(now))
-        nxt: dict[tuple[int, int], float] = {}
-        for (a, b), w in inner.items():
-            key = (min(own[a], own[b]), max(own[a], own[b]))
-            nxt[key] = nxt.get(key, 0.0) + w
-        size, inner = max(own, default=-1) + 1, nxt
-        if size < 2:
-            break
-    return out
-
-
 def _graph(pdf: pd.DataFrame) -> tuple[list, dict[tuple[int, int], float]]:
     names = sorted(set(pdf["src"]) | set(pdf["dst"]))
     number = {x: i for i, x in enumerate(names)}
@@ -100,23 +39,6 @@ def by_component(edges: DataFrame) -> DataFrame:
     return one.join(roots.select(F.col("node").alias("src"), F.col("root").alias("component")), "src").join(sizes.withColumnRenamed("root", "component"), "component")
 
 
-def community_labels(edges: DataFrame, levels: int = 3) -> DataFrame:
-    """node_id, level, community_id (component and number, so never shared by two components), parent_id (the community one level up)."""
-    rows = by_component(edges)
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        names, links = _graph(pdf)
-        labels = hierarchy(len(names), links, levels)
-        out = []
-        for i, x in enumerate(names):
-            ids = [f"{key[0]}_L{level}_{own[i]}" for level, own in enumerate(labels)]
-            out += [(x, level, c, ids[level + 1] if level + 1 < len(ids) else None) for level, c in enumerate(ids)]
-        return pd.DataFrame(out, columns=["node_id", "level", "community_id", "parent_id"])
-
-    schema = "node_id string, level int, community_id string, parent_id string"
-    return rows.select("component", "src", "dst", "weight").groupBy("component").applyInPandas(run, schema)
-
-
 def fiedler(n: int, links: dict[tuple[int, int], float]) -> tuple[float, np.ndarray]:
     """(second smallest eigenvalue, its vector) of the normalised Laplacian; the vector's first number that is not zero is positive."""
     value, v = _fiedler_dense(n, links) if n <= DENSE or min(links.values()) <= 0 else _fiedler_sparse(n, links)

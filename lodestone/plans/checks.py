@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import communities, gates, retrieval, temporal
+from ..operators import communities, gates, louvain, retrieval, temporal
+from ..operators.components import connected_components
 from ..operators.joins import heavy_keys, spread_join
-from ..sources import builders
+from ..sources import builders, sinks
+from ..sources.shared import stored
 from .core import PROPOSED_SQL, _proposed, _versions
 from .evidence import KNN, _vectors
 from .registry import GRAPH, VERSIONS, query, table
-from .walks import DAY
+from .walks import DAY, HOLDS
 
 
 @query(GRAPH + PROPOSED_SQL + " SELECT edge_type, src, dst FROM typed WHERE src_type IS NULL OR dst_type IS NULL")
@@ -73,7 +77,29 @@ def _exposures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def community_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return communities.community_labels(_exposures(spark, sf_dir))
+    return louvain.community_labels(_exposures(spark, sf_dir))
+
+
+@query(
+    GRAPH + f""", g AS (SELECT src, dst FROM edges WHERE {HOLDS} AND edge_type IN ('EXPOSED_TO', 'FUNDS', 'PARENT_OF') AND src <> dst), ends AS (SELECT src AS node FROM g UNION SELECT dst FROM g)
+SELECT "check", value FROM (VALUES ('nodes with one community a level', (SELECT count(*) FROM ends)), ('nodes with several', 0), ('edges of one community between components', 0), ('members counted wrongly', 0), ('members of small communities', 0), ('runs', 2)) t("check", value)"""
+)
+def community_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs' memberships lie beside each other, one of them stored twice; what must hold of them in any case."""
+    edges, path = stored(_exposures(spark, sf_dir).select("src", "dst", "weight"), "exposures"), sinks.new_path(spark, "memberships")
+    labels = stored(louvain.community_labels(edges, 1, "run-0001"), "labels")
+    for run_id, least in (("run-0000", 3), ("run-0001", 1), ("run-0000", 3)):
+        louvain.keep_run(labels, path, run_id, least)
+    runs = spark.read.parquet(path)
+    last, roots = runs.where("run_id = 'run-0001'"), connected_components(edges).select(F.col("node").alias("node_id"), "root")
+    levels = last.groupBy("node_id", "level").agg(F.count("*").alias("n"))
+    mixed = last.join(roots, "node_id").groupBy("community_id").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b")
+    wrong = last.groupBy("community_id", "member_count").agg(F.count("*").alias("n")).where("n != member_count")
+    counts = (
+        ("nodes with one community a level", levels.where("n = 1")), ("nodes with several", levels.where("n > 1")), ("edges of one community between components", mixed), ("members counted wrongly", wrong),
+        ("members of small communities", runs.where("run_id = 'run-0000' AND member_count < 3")), ("runs", runs.select("run_id").distinct()),
+    )
+    return reduce(DataFrame.unionByName, [df.agg(F.count("*").alias("value")).select(F.lit(name).alias("check"), "value") for name, df in counts])
 
 
 @query(

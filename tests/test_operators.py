@@ -1,5 +1,6 @@
 """Small graphs and tables on which the operators' rules show."""
 
+import hashlib
 import random
 import subprocess
 import sys
@@ -108,8 +109,8 @@ def test_what_was_known(spark):
 
 
 def test_ids_and_names(spark):
-    row = spark.range(1).select(node_id(F.lit("Metric"), F.lit("\t lcr ")).alias("a"), node_id(F.lit("Metric"), F.lit("LCR")).alias("b"), stable_id("x", F.lit(" A ")).alias("c"), normalise_name(F.lit("The Société Générale S.A. & Co., Ltd.")).alias("n")).first()
-    assert row.a == row.b == "n_1d6bd76b0d3be57cef36" and row.c.startswith("x_") and row.n == "societe generale s a co"
+    row = spark.range(1).select(node_id(F.lit("Metric"), F.lit("\t tide 7 ")).alias("a"), node_id(F.lit("Metric"), F.lit("TIDE 7")).alias("b"), stable_id("x", F.lit(" A ")).alias("c"), normalise_name(F.lit("The Société Générale S.A. & Co., Ltd.")).alias("n")).first()
+    assert row.a == row.b == "n_" + hashlib.sha1(b"Metric|TIDE 7").hexdigest()[:20] and row.c.startswith("x_") and row.n == "societe generale s a co"
     row = spark.range(1).select(trigram_similarity(trigrams(F.lit("word")), trigrams(F.lit("two words"))).alias("s")).first()
     assert row.s == pytest.approx(4 / 11)
 
@@ -130,16 +131,15 @@ def test_resolution(spark):
     assert [(r.node_id, r.canonical_id, r.method) for r in found] == [("1", "2", "rule")]
 
 
-def test_two_triangles_part():
-    links = {(0, 1): 1.0, (1, 2): 1.0, (0, 2): 1.0, (3, 4): 1.0, (4, 5): 1.0, (3, 5): 1.0, (2, 3): 0.1}
-    label = communities.louvain(6, links)
-    assert label[0] == label[1] == label[2] != label[3] == label[4] == label[5]
-    b = communities.betweenness(6, {k: 1.0 for k in links})
-    assert b[2] > b[0] and b[3] > b[4]
-    gap, v = communities.fiedler(6, links)
-    assert 0 < gap < 1 and len(set(np.sign(v[:3]))) == 1 and np.sign(v[0]) != np.sign(v[5])
-    d = communities.distances(3, {(0, 1): 1.0})
-    assert d[0, 2] == 1e6 and communities.magnitude(np.zeros((1, 1)))[0] == 1
+def test_spectra_of_a_ladder_and_two_stars():
+    """Two stars of five rays whose hubs are joined by a chain: the chain's middle is where paths cross and where the graph parts."""
+    links = {(h, h + i): 2.0 for h in (0, 7) for i in range(1, 6)} | {(0, 6): 1.0, (6, 7): 1.0}
+    b = communities.betweenness(13, {k: 1.0 for k in links})
+    assert b[6] == pytest.approx(36 / 66) and b[0] == b[7] == pytest.approx((5 * 7 + 10) / 66) and b[3] == 0
+    gap, v = communities.fiedler(13, links)
+    assert 0 < gap < 0.1 and abs(v[6]) < 1e-9 and len(set(np.sign(v[:6]))) == len(set(np.sign(v[7:]))) == 1 and np.sign(v[0]) != np.sign(v[7])
+    d = communities.distances(4, {(0, 1): 1.5, (1, 2): 2.0})
+    assert d[0, 2] == 3.5 and d[3, 0] == 1e6 and communities.magnitude(np.zeros((1, 1)))[0] == 1
 
 
 def test_communities_and_spectra_run_over_the_whole_graph_of_a_day(spark):
@@ -164,11 +164,8 @@ def test_large_components_are_measured_like_small_ones(spark, monkeypatch):
         gap, v = communities.fiedler(n, links)
         assert abs(gap / dense[0][0] - 1) < 1e-7 and np.abs(v - dense[0][1]).max() < 1e-6
     assert np.abs(communities.magnitude_of(n, links) - dense[1]).max() < 1e-8
-    monkeypatch.setattr(communities, "LARGEST", 2, raising=False)
-    rows = [("a", "b", 1), ("b", "c", 1), ("a", "c", 1), ("c", "d", 0.1), ("d", "e", 1), ("e", "f", 1), ("d", "f", 1)]
-    found = {r.node_id: r.community_id for r in communities.community_labels(edges_of(spark, rows)).where("level = 0").collect()}
-    assert len(found) == 6 and found["a"] == found["b"] == found["c"] != found["d"] == found["e"] == found["f"]
-    assert {r.node_id for r in communities.spectral_features(edges_of(spark, rows)).where("spectral_gap > 0 AND magnitude IS NOT NULL").collect()} == set("abcdef")
+    rows = [(x, y, 1) for x, y in zip("pqrstuv", "qrstuvp", strict=True)] + [("p", "s", 0.5), ("x", "y", 2)]
+    assert {r.node_id for r in communities.spectral_features(edges_of(spark, rows)).where("spectral_gap > 0 AND magnitude IS NOT NULL").collect()} == set("pqrstuv")
 
 
 def test_parse(spark):
