@@ -39,8 +39,11 @@ def report(gates: list[tuple[str, DataFrame, float]]) -> DataFrame:
 
 def recall_at_k(truth: DataFrame, found: DataFrame, k: int) -> DataFrame:
     """truth (query_id, id), found (query_id, id, rank) -> query_id, recall, precision, reciprocal rank of the first true one."""
-    hits = found.where(F.col("rank") <= k).join(truth, ["query_id", "id"])
-    per = hits.groupBy("query_id").agg(F.count("*").alias("hits"), (1.0 / F.min("rank")).alias("rr"))
-    total = truth.groupBy("query_id").agg(F.count("*").alias("total"))
+    return recall_of(truth.groupBy("query_id").agg(F.count("*").alias("total")), found.join(truth, ["query_id", "id"]), k)
+
+
+def recall_of(totals: DataFrame, hits: DataFrame, k: int) -> DataFrame:
+    """As recall_at_k, from how many true rows a query has (query_id, total) and from the true ones among those found (query_id, rank)."""
+    per = hits.where(F.col("rank") <= k).groupBy("query_id").agg(F.count("*").alias("hits"), (1.0 / F.min("rank")).alias("rr"))
     n = F.coalesce("hits", F.lit(0))
-    return total.join(per, "query_id", "left").select("query_id", (n / F.col("total")).alias("recall"), (n / F.lit(k)).alias("precision"), F.coalesce("rr", F.lit(0.0)).alias("rr"))
+    return totals.join(per, "query_id", "left").select("query_id", (n / F.col("total")).alias("recall"), (n / F.lit(k)).alias("precision"), F.coalesce("rr", F.lit(0.0)).alias("rr"))

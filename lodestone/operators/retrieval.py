@@ -12,6 +12,9 @@ from ..functions.text import terms, trigram_similarity, trigrams
 from ..functions.vectors import cosine
 from ..sources.shared import stored
 from .joins import spread_join
+from .nearest import knn
+
+__all__ = ["bm25", "knn", "lengths", "link_names", "one_score", "pick_mode", "plan", "postings", "rank_hits", "recall", "rrf", "term_overlap", "top"]
 
 
 def postings(docs: DataFrame, id_column: str = "doc_id", terms_of: DataFrame | None = None) -> DataFrame:
@@ -61,22 +64,6 @@ def rrf(lists: list[DataFrame], k: int = 60, keys: tuple[str, ...] = ("query_id"
     return every.groupBy(*keys).agg(F.sum("part").alias("score"))
 
 
-#: Queries up to which an exact search broadcasts them; more meet the vectors part by part.
-BROADCAST_QUERIES = 1_000
-
-
-def knn(vectors: DataFrame, queries: DataFrame, k: int, own: bool = True, digits: int = 6) -> DataFrame:
-    """Exact: query_id, vec_id, score (cosine, rounded), rank. A stated set of queries (query_id, query) against all vectors.
-
-    Each task keeps the k best of a query before anything is shuffled. own: whether a query finds the row of its own id.
-    """
-    q = stored(queries.select("query_id", "query"), "asked")
-    q = F.broadcast(q) if q.count() <= BROADCAST_QUERIES else q.hint("shuffle_replicate_nl")
-    pairs = vectors.select("vec_id", "embedding").join(q, F.lit(True) if own else F.col("vec_id") != F.col("query_id"))
-    pairs = pairs.select("query_id", "vec_id", F.round(cosine(F.col("embedding"), F.col("query")), digits).alias("score"))
-    return top(pairs, "score", k, "query_id", "vec_id")
-
-
 def link_names(names: DataFrame, nodes: DataFrame, least: float = 0.3, limit: int = 5) -> DataFrame:
     """(query_id, text) -> query_id, node_id, score: nodes whose names' trigrams are alike.
 

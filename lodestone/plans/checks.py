@@ -64,10 +64,12 @@ SELECT query_id, coalesce(hits, 0) / total::DOUBLE AS recall, coalesce(hits, 0)
 def recall_at_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = _vectors(spark, sf_dir)
     q = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("label").alias("ql"))
-    truth = v.join(q, F.col("label") == F.col("ql")).where("vec_id != query_id").select("query_id", F.col("vec_id").alias("id"))
     queries = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
     near = retrieval.knn(v, queries, 10, own=False)
-    return gates.recall_at_k(truth, near.select("query_id", F.col("vec_id").alias("id"), "rank"), 10)
+    found = near.join(v.select("vec_id", "label"), "vec_id").join(q, "query_id").where("label = ql").select("query_id", "rank")
+    # a query's true rows are all others of its label: they are counted, not made
+    sizes = v.groupBy(F.col("label").alias("ql")).agg((F.count("*") - 1).alias("total")).where("total > 0")
+    return gates.recall_of(q.join(F.broadcast(sizes), "ql").select("query_id", "total"), found, 10)
 
 
 def _exposures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.ids import node_id
 from ..functions.vectors import cosine
 from ..operators import extraction, graph, retrieval
-from ..sources import builders
+from ..operators.nearest import VectorIndex
+from ..sources import builders, sinks
 from ..sources.shared import stored
 from .registry import NODES, query, sql_node_id, table
 from .walks import CLOSED, DAY, _hot
@@ -82,6 +83,15 @@ def knn_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _nearest(_vectors(spark, sf_dir).where("tier <= 1 AND label IN (1, 2, 3)"), _vectors(spark, sf_dir))
 
 
+@query(KNN.format(where=" AND v.tier <= 1 AND v.label IN (1, 2, 3)"))
+def knn_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As knn_filtered, out of a stored index: blocks of other tiers and labels are not opened, cells that are too far away not looked into."""
+    v = _vectors(spark, sf_dir)
+    index = VectorIndex.build(v, sinks.new_path(spark, "vectors"), 32, ("tier", "label"))
+    queries = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return index.search(queries, 10, (F.col("tier") <= 1) & F.col("label").isin(1, 2, 3)).drop("cells")
+
+
 @query(
     f"""WITH {V}, m AS (SELECT *, (vec_id % 10) / 10.0::DOUBLE AS importance, CASE vec_id % 3 WHEN 0 THEN 'global' WHEN 1 THEN 'user' ELSE 'team' END AS scope, vec_id % 7 AS user_id FROM v)
 SELECT m.vec_id, round(1 - list_cosine_similarity(m.e, q.e) - 0.1::DOUBLE * importance, 6) AS distance FROM m, v q WHERE q.vec_id = 0 AND (scope = 'global' OR (scope = 'user' AND user_id = 3)) ORDER BY distance, m.vec_id LIMIT 8"""
