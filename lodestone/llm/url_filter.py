@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, heavy_keys, spread_join, stored
 
-#: Letters of the longest word looked up; weight of an unknown word before its letters; share of the example names' words in the unigram model.
-LONGEST, UNKNOWN, SEEDED = 24, 0.01, 0.05
+#: Letters up to which every piece of a name is looked up (longer words are, by their first so many letters); weight of an unknown word before its letters; share of the example names' words in the unigram model.
+PIECE, UNKNOWN, SEEDED = 24, 0.01, 0.05
+#: Pieces of names that go to Spark at once.
+PIECES = 200_000
 #: Example names, each with its words written apart.
 BLOCK_NAMES = (
     "casino win", "online casino", "free bets", "sports bet", "poker room", "slots jackpot", "adult x", "adult video", "sex cams", "porn tube", "xxx movies", "hot escort", "cheap pills", "viagra shop",
@@ -65,17 +68,17 @@ class Segmenter:
 
     def __init__(self, words: dict[str, float]) -> None:
         self.cost = {w: -math.log(p) for w, p in words.items()}
-        self.longest = max(map(len, words), default=0)
+        self.sizes = sorted(set(map(len, words)), reverse=True)
 
     def split(self, name: str) -> list[str]:
-        """O(length x longest word). Adjacent unknown letters form one word; of equal splits the one with the longest last word."""
+        """O(length x different lengths of words). Adjacent unknown letters form one word; of equal splits the one with the longest last word."""
         n, rare, step = len(name), -math.log(UNKNOWN), math.log(10)
         # known[i]: cheapest split of name[:i] that ends with a word; other[i]: with an unknown stretch.
         known, other, back = [0.0] + [math.inf] * n, [math.inf] * (n + 1), [0] * (n + 1)
         begun = [0] * (n + 1)
         for i in range(1, n + 1):
-            for j in range(max(0, i - self.longest), i):
-                if (w := self.cost.get(name[j:i])) is not None and (c := min(known[j], other[j]) + w) < known[i]:
+            for size in self.sizes:
+                if (j := i - size) >= 0 and (w := self.cost.get(name[j:i])) is not None and (c := min(known[j], other[j]) + w) < known[i]:
                     known[i], back[i] = c, j
             go, new = other[i - 1] + step, known[i - 1] + rare + step
             other[i], begun[i] = (go, begun[i - 1]) if go <= new else (new, i - 1)
@@ -98,23 +101,42 @@ def word_shares(texts: DataFrame, column: str) -> DataFrame:
     return stored(counts.join(own, "w", "full").select("w", p.alias("p")), "shares")
 
 
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(no, name) -> no, w: the different pieces of a name of up to PIECE letters."""
+    for b in batches:
+        nos, words = [], []
+        for no, name in zip(b["no"], b["name"], strict=True):
+            found = {name[i : i + n] for n in range(1, PIECE + 1) for i in range(len(name) - n + 1)}
+            nos += [no] * len(found)
+            words += found
+            if len(words) >= PIECES:
+                for at in range(0, len(words), PIECES):
+                    yield pd.DataFrame({"no": nos[at : at + PIECES], "w": words[at : at + PIECES]})
+                nos, words = [], []
+        yield pd.DataFrame({"no": pd.Series(nos, dtype="int64"), "w": pd.Series(words, dtype=object)})
+
+
 def segment(names: DataFrame, shares: DataFrame) -> DataFrame:
     """(name) distinct, (w, p) -> name, words: each name split with all the words of the corpus that stand in it.
 
-    A name's pieces up to LONGEST letters look up their shares; what one name found is one row, bounded by its length. So
-    the dictionary is never in one place, however large it is.
+    A name's pieces look up their shares; words of more than PIECE letters are found by their first PIECE ones. Pieces
+    carry the number of their name alone, so that a name of n letters makes some PIECE n short rows, however long it is.
+    What one name found is one row, bounded by its length; the dictionary is never in one place, however large it is.
     """
-    at = names.select("name", F.explode(F.sequence(F.lit(1), F.length("name"))).alias("i"))
-    at = at.select("name", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length("name") - F.col("i") + 1))).alias("n"))
-    pieces = stored(at.select("name", F.substring("name", F.col("i"), F.col("n")).alias("w")).distinct(), "pieces")
-    found = spread_join(pieces, shares, "w", stored(heavy_keys(pieces, "w"), "heavy"))
-    found = names.join(found.groupBy("name").agg(F.collect_list(F.struct("w", "p")).alias("known")), "name", "left")
+    names = stored(names.withColumn("no", F.monotonically_increasing_id()), "names")
+    pieces = stored(names.select("no", "name").mapInPandas(_pieces, "no long, w string"), "pieces")
+    heavy = stored(heavy_keys(pieces, "w"), "heavy")
+    found = spread_join(pieces, shares, "w", heavy).select("no", "w", "p")
+    long_words = shares.where(F.length("w") > PIECE).select(F.substring("w", 1, PIECE).alias("start"), "w", "p")
+    starts = pieces.where(F.length("w") == PIECE).withColumnRenamed("w", "start")
+    found = found.unionByName(spread_join(starts, long_words, "start", heavy.withColumnRenamed("w", "start")).select("no", "w", "p"))
+    known = found.groupBy("no").agg(F.collect_list(F.struct("w", "p")).alias("known"))
 
     @F.pandas_udf("array<string>")
     def split(names: pd.Series, known: pd.Series) -> pd.Series:
         return pd.Series([Segmenter({x["w"]: x["p"] for x in k} if k is not None else {}).split(n) for n, k in zip(names, known, strict=True)], dtype=object)
 
-    return found.select("name", split("name", "known").alias("words"))
+    return names.join(known, "no", "left").select("name", split("name", "known").alias("words"))
 
 
 def _seed_odds() -> tuple[dict[str, tuple[float, float]], tuple[float, float], float]:
@@ -151,25 +173,26 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float
     those of the segmented names in host and path; top-level domains, other endings and mere numbers are left out. A null or
     unusable url has empty host and path, no words, and so the prior's score. Names are split and urls judged once,
     however many rows hold them; what very many rows share is joined by broadcast, so hot hosts and urls stay spread. Null
-    texts hold no words, repeated rows and ids are judged alike, row by row. Other columns are not looked at. An empty
-    table gives no rows.
+    texts hold no words, repeated rows and ids are judged alike, row by row. Names of any length are split whole. Other
+    columns are not looked at. An empty table gives no rows.
     """
     host, path = split_url(F.col("url"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("key"), "url")
     urls = rows.groupBy("key").agg(F.count("*").alias("n")).withColumn("url", F.col("key")).select("key", "n", host.alias("host"), path.alias("path"))
-    urls = stored(urls.withColumns({"rule": rule, "ruled": verdict}), "urls")
+    # from here on a url is a number: its text would go along with each of its words
+    urls = stored(urls.withColumns({"rule": rule, "ruled": verdict, "no": F.monotonically_increasing_id()}), "urls")
     parts = F.split("host", r"\.")
     parts = F.when(F.size(parts) > 1, F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)  # the last one is the top-level domain
     in_host = F.flatten(F.transform(F.filter(parts, lambda x: ~x.isin(*sorted(ENDINGS))), lambda x: F.filter(F.split(x, "[^a-z0-9]+"), lambda w: w != "")))
     in_path = F.filter(F.split(ascii_lower(F.col("path")), "[^a-z0-9]+"), lambda w: (w != "") & ~w.rlike("^[0-9]+$"))
-    named = stored(urls.select(F.col("key").alias("url"), "ruled", F.explode(F.concat(in_host, in_path)).alias("name")), "names")
+    named = stored(urls.select(F.col("no").alias("url"), "ruled", F.explode(F.concat(in_host, in_path)).alias("name")), "names")
     split = stored(segment(named.select("name").distinct(), word_shares(pages, "html")), "split")
     said = spread_join(named, split, "name", stored(heavy_keys(named, "name"), "heavy"))
     said = stored(said.select("url", "ruled", F.explode("words").alias("w")), "said")
     odds, prior = bayes_odds(said)
     scored = spread_join(said, stored(odds, "odds"), "w", stored(heavy_keys(said, "w"), "heavy")).groupBy("url").agg(F.sum("odds").alias("odds"))
-    scored = urls.join(scored.withColumnRenamed("url", "key"), "key", "left").withColumn("score", F.round(F.lit(prior) + F.coalesce("odds", F.lit(0.0)), 9))
+    scored = urls.join(scored.withColumnRenamed("url", "no"), "no", "left").withColumn("score", F.round(F.lit(prior) + F.coalesce("odds", F.lit(0.0)), 9))
     scored = stored(scored.select("key", "n", "host", "path", "rule", "ruled", "score"), "scored")
     heavy = scored.where(F.col("n") > max(1_000, (scored.agg(F.sum("n")).first()[0] or 0) // 1_000)).select("key")  # a thousand at most
     out = spread_join(rows, scored, "key", heavy)

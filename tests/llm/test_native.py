@@ -157,6 +157,7 @@ def judged_plainly(rows, rules):
         words = []
         for n in names:
             inside = {n[i:j] for i in range(len(n)) for j in range(i + 1, min(len(n), i + 24) + 1)}
+            inside |= {w for w in share if len(w) > 24 and w in n}
             words += url_filter.Segmenter({w: share[w] for w in inside if w in share}).split(n)
         seen[url] = host, path, rule, ruled, words
     by = {v: Counter(w for x in seen.values() if x[3] == v for w in x[4]) for v in ("block", "allow")}
@@ -175,7 +176,7 @@ def judged_plainly(rows, rules):
 
 def test_urls_against_plain_judgement(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").union(spark.read.parquet(f"{SF}/pages.parquet"))
-    odd = [(-1, None, "<p>x"), (-2, "http://freebetscasino.xyz/a/" + "verylong" * 500, None), (-3, "x", ""), (-4, "http://öl.de/ÄB%20c", "<script>no</script>yes"), (-4, "http://öl.de/ÄB%20c", "a")]
+    odd = [(-1, None, "<p>x"), (-2, "http://freebetscasino.xyz/a/" + "verylong" * 500, None), (-3, "x", ""), (-4, "http://öl.de/ÄB%20c", "<script>no</script>yes"), (-4, "http://öl.de/ÄB%20c", "a"), (-5, "http://poker" + "longwordofmanyletters" * 2 + "site.info/", "longwordofmanyletterslongwordofmanyletters longwordofmanyletterslongwordofmanylettersx")]
     pages = pages.union(spark.createDataFrame(odd, pages.schema)).withColumns({"key": F.lit(1), "n": F.lit(2), "w": F.lit("x"), "name": F.lit(3)})
     rows = [(r.url, r.html) for r in pages.collect()]
     exp = judged_plainly(rows, queries.URL_RULES)
@@ -192,3 +193,18 @@ def test_urls_against_plain_judgement(spark):
     again = {r.url: (r.verdict, r.score) for r in url_filter.judge(many, queries.URL_RULES).distinct().collect()}
     for r in got:
         assert again[r.url][0] == r.verdict and again[r.url][1] == pytest.approx(r.score, abs=1e-6)
+
+
+def test_very_long_urls_end(spark):
+    """A path of a hundred thousand letters and one of twenty thousand words, beside a word of many letters."""
+    random.seed(6)
+    letters, word = "".join(random.choice("abcdefgh") for _ in range(100_000)), "extraordinarilylongcompoundwordofletters"
+    rows = [(1, f"http://a.info/{letters}", f"<p>{word} cafe bad hedge"), (2, "http://b.info/" + "/".join(random.choice(["cafe", "casino", "hedge"]) for _ in range(20_000)), None), (3, f"http://my{word}casino.info", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_filter.judge(pages, queries.URL_RULES).collect()}
+    want = judged_plainly([r[1:] for r in rows], queries.URL_RULES)
+    for i, url, _ in rows:
+        assert (got[i].verdict, got[i].path) == (want[url][3], want[url][1]) and got[i].score == pytest.approx(want[url][4], rel=1e-7, abs=1e-6)
+    names = spark.createDataFrame([(f"my{word}casino",)], "name string")
+    split = url_filter.segment(names, url_filter.word_shares(pages, "html")).first().words
+    assert split == ["my", word, "casino"]
