@@ -1,19 +1,24 @@
 """Spectral measures, one connected component at a time.
 
-A component of any size is worked on whole, by one task in numpy: its nodes and edges have to fit into that task's memory.
+A component of up to LARGE nodes is worked on whole, by one task in numpy; larger ones are worked on by joins (spectra).
 """
 
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
+from . import spectra
 from .components import connected_components
 
+#: Nodes up to which a component is one task's work.
+LARGE = 50_000
 #: Nodes up to which matrices are dense; neighbours from which the rest of an elimination is done by a dense matrix.
 DENSE, CROWDED = 2_000, 60
 #: exp(-FAR) is nothing beside the rounding of numbers about 1, even as a sum over many nodes.
@@ -268,14 +273,34 @@ def betweenness(n: int, links: dict[tuple[int, int], float], pivots: int = 200,
     return out * scale
 
 
-def spectral_features(edges: DataFrame, t: float = 1.0) -> DataFrame:
-    """node_id, spectral_gap, fiedler_coord, magnitude, betweenness of each node of a component of three nodes or more; two nodes have nothing to measure."""
-    rows = by_component(edges).where("nodes >= 3").select("component", "src", "dst", "weight")
+def spectral_features(edges: DataFrame, t: float = 1.0, large: int = LARGE, measures: tuple[str, ...] = ("fiedler", "magnitude", "betweenness")) -> DataFrame:
+    """node_id and, of the measures asked for, spectral_gap and fiedler_coord, magnitude, betweenness of each node of a component of three nodes or more; two nodes have nothing to measure.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, links = _graph(pdf)
-        n = len(names)
-        gap, coord = fiedler(n, links)
-        return pd.DataFrame({"node_id": names, "spectral_gap": gap, "fiedler_coord": coord, "magnitude": magnitude_of(n, links, t), "betweenness": betweenness(n, links)})
+    Components of more than ``large`` nodes are worked on by joins, with the same results, but for three cases: of more than
+    200 nodes there, betweenness takes other pivots; edges without a positive weight are no way there; a Fiedler vector that
+    isn't unique may be another one.
+    """
+    rows = stored(by_component(edges).where("nodes >= 3").select("component", "src", "dst", "weight", "nodes"), "graph")
+    columns = {"fiedler": ("spectral_gap", "fiedler_coord"), "magnitude": ("magnitude",), "betweenness": ("betweenness",)}
+    names = [c for m in measures for c in columns[m]]
 
-    return rows.groupBy("component").applyInPandas(run, "node_id string, spectral_gap double, fiedler_coord double, magnitude double, betweenness double")
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, links = _graph(pdf)
+        n = len(ids)
+        out = {"node_id": ids}
+        if "fiedler" in measures:
+            out["spectral_gap"], out["fiedler_coord"] = fiedler(n, links)
+        if "magnitude" in measures:
+            out["magnitude"] = magnitude_of(n, links, t)
+        if "betweenness" in measures:
+            out["betweenness"] = betweenness(n, links)
+        return pd.DataFrame(out)
+
+    schema = ", ".join(["node_id string", *[f"{c} double" for c in names]])
+    small = rows.where(F.col("nodes") <= large).drop("nodes").groupBy("component").applyInPandas(run, schema)
+    giant = rows.where(F.col("nodes") > large).drop("nodes")
+    if giant.isEmpty():
+        return small
+    joined = {"fiedler": lambda: spectra.fiedler(giant), "magnitude": lambda: spectra.magnitude(giant, t), "betweenness": lambda: spectra.betweenness(giant)}
+    found = reduce(lambda a, b: a.join(b, ["component", "node_id"]), [joined[m]() for m in measures])
+    return small.unionByName(found.select("node_id", *names))

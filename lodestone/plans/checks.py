@@ -118,14 +118,14 @@ def community_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def fiedler(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return communities.spectral_features(_exposures(spark, sf_dir)).select("node_id", "spectral_gap", "fiedler_coord")
+    return communities.spectral_features(_exposures(spark, sf_dir), measures=("fiedler",))
 
 
 @query()
 def magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return communities.spectral_features(_exposures(spark, sf_dir)).select("node_id", "magnitude")
+    return communities.spectral_features(_exposures(spark, sf_dir), measures=("magnitude",))
 
 
 @query()
 def betweenness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return communities.spectral_features(_exposures(spark, sf_dir)).select("node_id", "betweenness")
+    return communities.spectral_features(_exposures(spark, sf_dir), measures=("betweenness",))
