@@ -1,6 +1,6 @@
 """All queries of the library; importing this module registers them."""
 
-from . import checks, core, evidence, memory, people, serving, streams, versions, walks
+from . import checks, core, evidence, memory, people, serving, streams, texts, versions, walks
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "checks", "core", "evidence", "memory", "people", "serving", "streams", "versions", "walks"]
+__all__ = ["ORACLES", "QUERIES", "checks", "core", "evidence", "memory", "people", "serving", "streams", "texts", "versions", "walks"]
