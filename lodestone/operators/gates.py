@@ -31,9 +31,32 @@ def gate(name: str, value: DataFrame | Column, limit: float) -> tuple[str, DataF
     return name, value, limit
 
 
+def rejected_share(audit: DataFrame, at: str, days: int = 7) -> DataFrame:
+    """One row, value: of the last ``days`` days up to the log's latest one, how many of a hundred extracted things were rejected. audit: (n_nodes, n_edges, n_rejected, at)."""
+    until = audit.agg(F.max(at).alias("until"))  # one row
+    late = audit.join(F.broadcast(until), F.col(at) > F.col("until") - F.make_dt_interval(F.lit(days)))
+    every = F.sum(F.col("n_nodes") + F.col("n_edges") + F.col("n_rejected"))
+    return late.agg(F.coalesce(100.0 * F.sum("n_rejected") / F.greatest(every, F.lit(1)), F.lit(0.0)).alias("value"))
+
+
+def ndcg_of(totals: DataFrame, hits: DataFrame, k: int) -> DataFrame:
+    """query_id, ndcg: gains of true rows among the k first (1 / log2(rank + 1)) in parts of what the best order would gain. Inputs as those of recall_of; total of at least one."""
+    gain = lambda rank: 1 / F.log2(rank + 1.0)
+    got = hits.where(F.col("rank") <= k).groupBy("query_id").agg(F.sum(gain(F.col("rank"))).alias("got"))
+    ideal = F.aggregate(F.sequence(F.lit(1), F.least("total", F.lit(k)).cast("int")), F.lit(0.0), lambda a, r: a + gain(r))
+    return totals.join(got, "query_id", "left").select("query_id", (F.coalesce("got", F.lit(0.0)) / ideal).alias("ndcg"))
+
+
+def evidence_coverage(relationships: DataFrame, evidence: DataFrame) -> DataFrame:
+    """One row, coverage: the share of relationships (relationship_id) with evidence (relationship_id); 1 if there are none."""
+    held = evidence.select("relationship_id", F.lit(1).alias("held")).distinct()
+    return relationships.join(held, "relationship_id", "left").agg(F.coalesce(F.count("held") / F.nullif(F.count("*"), F.lit(0)), F.lit(1.0)).alias("coverage"))
+
+
 def report(gates: list[tuple[str, DataFrame, float]]) -> DataFrame:
-    """gate, value, limit, passed: counts of rows that should not be there."""
-    parts = [rows.agg(F.count("*").cast("double").alias("value")).select(F.lit(name).alias("gate"), "value", F.lit(float(limit)).alias("limit"), (F.col("value") <= limit).alias("passed")) for name, rows, limit in gates]
+    """gate, value, limit, passed: counts of rows that should not be there, or a table of one row and the column value."""
+    worth = lambda rows: rows.select(F.col("value").cast("double")) if rows.columns == ["value"] else rows.agg(F.count("*").cast("double").alias("value"))
+    parts = [worth(rows).select(F.lit(name).alias("gate"), "value", F.lit(float(limit)).alias("limit"), (F.col("value") <= limit).alias("passed")) for name, rows, limit in gates]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -97,9 +97,10 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return rows.unionByName(rows.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src != dst").distinct()
 
 
-def levels(edges: DataFrame, seeds: DataFrame, hops: int, directed: bool = False) -> DataFrame:
-    """node_id, level: how many edges lead from the nearest seed (level 0); frontier by frontier, visited nodes never again."""
-    step = stored(edges.select("src", "dst").distinct() if directed else both_ways(edges), "step")
+def levels(edges: DataFrame, seeds: DataFrame, hops: int, directed: bool = False, among: DataFrame | None = None) -> DataFrame:
+    """node_id, level: how many edges lead from the nearest seed (level 0); frontier by frontier, visited nodes never again. ``among`` (node_id): no other node is entered."""
+    step = edges.select("src", "dst").distinct() if directed else both_ways(edges)
+    step = stored(step if among is None else step.join(among.select(F.col("node_id").alias("dst")), "dst", "left_semi"), "step")
     visited = stored(seeds.select("node_id", F.lit(0).alias("level")).distinct(), "visited")
     frontier = visited
     for level in range(1, hops + 1):
@@ -134,6 +135,14 @@ def neighbours(edges: DataFrame, ids: DataFrame) -> DataFrame:
     return out.unionByName(into)
 
 
+def neighbourhood(edges: DataFrame, nodes: DataFrame, ids: DataFrame, types: tuple[str, ...] | None = None, day: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(edges with either end among ids (node_id), of some types and in force on a day, if given; the nodes at both their ends, whatever their days)."""
+    rows = edges.where(F.col("edge_type").isin(*types)) if types else edges
+    rows = neighbours(rows.where(holds(day)) if day else rows, ids)
+    ends = rows.select(F.explode(F.array("src", "dst")).alias("node_id")).distinct()
+    return rows, nodes.join(ends, "node_id", "left_semi")
+
+
 def induced(edges: DataFrame, ids: DataFrame) -> DataFrame:
     return edges.join(ids.select(F.col("node_id").alias("src")), "src", "left_semi").join(ids.select(F.col("node_id").alias("dst")), "dst", "left_semi")
 

@@ -14,7 +14,7 @@ from ..sources.shared import stored
 from .joins import spread_join
 from .nearest import knn
 
-__all__ = ["bm25", "knn", "lengths", "link_names", "one_score", "pick_mode", "plan", "postings", "rank_hits", "recall", "rrf", "term_overlap", "top"]
+__all__ = ["blended", "bm25", "knn", "lengths", "link_names", "modes", "one_score", "pick_mode", "plan", "postings", "rank_hits", "recall", "rrf", "term_overlap", "top"]
 
 
 def postings(docs: DataFrame, id_column: str = "doc_id", terms_of: DataFrame | None = None) -> DataFrame:
@@ -108,6 +108,13 @@ def rank_hits(chunks: DataFrame, edges: DataFrame, nodes: DataFrame, seeds: Data
     return one.unionByName(two).unionByName(three).withColumn("score", F.round("score", 6)).orderBy(F.desc("score"), "kind", "id").limit(k)
 
 
+def blended(hits: DataFrame, second: DataFrame, share: float = 0.5, limit: int = 60) -> DataFrame:
+    """kind, id, score: ranked hits (kind, id, score) with a second ranker's scores (kind, id, score) mixed in; a hit that it left out keeps its own."""
+    other = second.select("kind", "id", F.col("score").alias("again"))
+    score = F.when(F.col("again").isNull(), F.col("score")).otherwise((1 - share) * F.col("score") + share * F.col("again"))
+    return hits.join(other, ["kind", "id"], "left").select("kind", "id", F.round(score, 6).alias("score")).orderBy(F.desc("score"), "kind", "id").limit(limit)
+
+
 #: What a question must say for a mode, tried in this order; our own choice of words.
 CUES = {
     "lineage": ("came from", "comes from", "origin", "upstream", "downstream", "depend", "computed from"),
@@ -123,6 +130,16 @@ def pick_mode(question: str, cues: dict[str, tuple[str, ...]] = CUES, broad: int
     return "drift" if mode == "global" and len(q.split()) > broad else mode
 
 
+def modes(questions: DataFrame, cues: dict[str, tuple[str, ...]] = CUES, broad: int = 15) -> DataFrame:
+    """pick_mode() for a table of questions (query_id, text): query_id, mode. A missing question is local."""
+    said = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), F.lit(" "))
+    mode = F.lit("local")
+    for name, words in reversed(cues.items()):
+        mode = F.when(reduce(lambda a, b: a | b, [said.contains(f" {w}") for w in words]), name).otherwise(mode)
+    long = F.size(F.split(F.trim(said), " ")) > broad
+    return questions.select("query_id", mode.alias("m"), long.alias("long")).select("query_id", F.when((F.col("m") == "global") & F.col("long"), "drift").otherwise(F.col("m")).alias("mode"))
+
+
 def plan(question: str, most: int = 12) -> dict:
     """Seed terms of a question (longer words, and short ones in capitals) and whether it asks for numbers or data."""
     words = [w.strip("?,.;:") for w in question.split()]

@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ids import stable_id
+from ..sources.shared import stored
+
 
 def caller_tier(roles: list[str], tiers: dict[str, int]) -> int:
     """The highest tier that any of a caller's roles may see; roles without one see what is open to all (tier 0)."""
@@ -129,6 +131,39 @@ def cleared(cache: DataFrame, now: str) -> tuple[DataFrame, DataFrame]:
     return cache.where(~dead), cache.where(dead).agg(F.count("*").alias("n"))
 
 
+def read_through(cache: DataFrame, wanted: DataFrame, make: Callable[[DataFrame], DataFrame], now: str, days: int) -> tuple[DataFrame, DataFrame]:
+    """(key, value of all wanted keys, entries that the cache should be given). cache: (key, value, made_at, expires_at), appended to only.
+
+    A key's latest entry counts, if it hasn't expired. ``make`` gives (key, value) for the keys that are missing; it must
+    give a key one row, or none, in which case the key has no value.
+    """
+    at = F.to_timestamp(F.lit(now))
+    last = cache.groupBy("key").agg(F.max_by(F.struct("value", "expires_at"), F.struct("made_at", "expires_at")).alias("e")).select("key", "e.*")
+    live = last.where(F.col("expires_at").isNull() | (F.col("expires_at") > at)).select("key", "value")
+    keys = wanted.select("key").distinct()
+    made = stored(make(keys.join(live, "key", "left_anti")).select("key", "value"), "made")
+    new = made.select("key", "value", at.alias("made_at"), F.timestamp_add("DAY", F.lit(days), at).alias("expires_at"))
+    return keys.join(live.unionByName(made), "key", "left"), new
+
+
+def scoped(memory: DataFrame, user: object, agent: object) -> DataFrame:
+    """The memories that are everybody's, the user's own, or the agent's (or all agents': ``*``); those of teams are never given."""
+    mine = (F.col("scope") == "user") & (F.col("user_id") == user)
+    return memory.where((F.col("scope") == "global") | mine | ((F.col("scope") == "agent") & F.col("agent_id").isin(str(agent), "*")))
+
+
+def edge_text(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """edge_id, text: ``source -[TYPE]-> target`` by names; an end that is no node is called by its id."""
+    end = lambda c: nodes.select(F.col("node_id").alias(c), F.col("name").alias(f"{c}_name"))
+    named = edges.join(end("src"), "src", "left").join(end("dst"), "dst", "left")
+    return named.select("edge_id", F.concat(F.coalesce("src_name", "src"), F.lit(" -["), "edge_type", F.lit("]-> "), F.coalesce("dst_name", "dst")).alias("text"))
+
+
+def evidence_of(evidence: DataFrame, ids: DataFrame) -> DataFrame:
+    """All evidence of some relationships (relationship_id)."""
+    return evidence.join(ids.select("relationship_id").distinct(), "relationship_id", "left_semi")
+
+
 def package(relationships: DataFrame, evidence: DataFrame, hits: DataFrame, approved_only: bool = True, least_confidence: float = 0.0, budget: int = 20) -> tuple[DataFrame, DataFrame]:
     """(evidence rows within the budget, warnings) of the chosen relationships."""
     ids = relationships.where(F.col("confidence") >= least_confidence).select("relationship_id", F.explode_outer("evidence_ids").alias("evidence_id"))

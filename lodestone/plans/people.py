@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import node_id
-from ..functions.text import ACCENTED, LEGAL_WORDS, PLAIN, blocking_key, normalise_name
+from ..functions.text import LEGAL_WORDS, blocking_key, normalise_name
 from ..operators import resolve
 from ..sources import builders
 from .registry import query, sql_node_id, table
 
+ACCENTED, PLAIN = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ", "aaaaaaceeeeiiiinooooouuuuyy"
 #: Three feeds of customers: as they are; some again with a legal suffix and a key of their own; some with their key in small letters.
 FEEDS = f"""WITH RECURSIVE feeds AS (
   SELECT {sql_node_id('Counterparty', "'C' || c_custkey")} AS node_id, c_name AS name, 'C' || c_custkey AS canonical_key, 'N' || c_nationkey AS country, 3 AS n_sources, 1.0::DOUBLE AS confidence FROM customer
@@ -52,6 +53,14 @@ def normalise_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feeds(spark, sf_dir).select("node_id", "name", normalise_name(F.col("name")).alias("norm_name"))
 
 
+@query(FEEDS + " SELECT node_id, norm_name, 'Counterparty|' || upper(CASE WHEN n_sources = 3 THEN 'eu' ELSE country END) || '|' || substr(split_part(norm_name, ' ', 1), 1, 4) AS block FROM keyed")
+def accented_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names written with accents, wide letters and ligatures are the plain ones; where no country is known, the jurisdiction blocks."""
+    rows = _feeds(spark, sf_dir).withColumn("name", F.regexp_replace(F.translate("name", "ueomsI", "üéöｍśＩ"), "ﬀ", "ff"))
+    country = F.when(F.col("n_sources") != 3, F.col("country"))
+    return rows.select("node_id", normalise_name(F.col("name")).alias("norm_name"), blocking_key(F.col("node_type"), country, F.col("name"), F.lit("eu")).alias("block"))
+
+
 @query(FEEDS + " SELECT block, count(*) AS n FROM keyed GROUP BY block")
 def blocking_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _feeds(spark, sf_dir).groupBy(blocking_key(F.col("node_type"), F.col("country"), F.col("name")).alias("block")).agg(F.count("*").alias("n"))

@@ -45,6 +45,11 @@ def merged(old: DataFrame, new: DataFrame, key: str, keep: tuple[str, ...] = ())
     return both.select(*[pick(c).alias(c) for c in old.columns])
 
 
+def replaced(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
+    """Old rows whose keys aren't among the new ones, and all new rows; a column that one side alone has is empty in the other's rows."""
+    return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
+
+
 def reclaimed(rows: DataFrame, path: str, *columns: str) -> DataFrame:
     """Writes a table anew with these columns empty, under the same schema: their space is free once the old files go."""
     rows.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in columns else F.col(f.name) for f in rows.schema]).write.mode("overwrite").parquet(path)
