@@ -73,22 +73,27 @@ def expand_snapshot(closures: DataFrame, seeds: DataFrame, nodes: DataFrame, hop
 
 
 def traverse(edges: DataFrame, seeds: DataFrame, nodes: DataFrame, max_hops: int = 4, tier: int = 3, types: list[str] | None = None, limit: int | None = 500, product: bool = False) -> DataFrame:
-    """All simple paths out of seeds: seed, node, hops, total_weight (sum or product), path; nodes above the tier are never entered."""
+    """All simple paths out of seeds: seed, node, hops, total_weight (sum or product), path; nodes above the tier are never entered.
+
+    With a limit: the first so many by hops, then most weight, then path. No level of more rows is written.
+    """
     seen = nodes.where(F.col("masking_tier") <= tier).select(F.col("node_id").alias("to"))
     step = edges.where(F.col("edge_type").isin(types)) if types else edges
     step = stored(step.select(F.col("src").alias("via"), F.col("dst").alias("to"), F.coalesce("weight", F.lit(1.0)).alias("weight")).join(seen, "to", "left_semi"), "step")
     total = F.col("total_weight") * F.col("weight") if product else F.col("total_weight") + F.col("weight")
     start = seeds.select("node_id").join(seen, F.col("node_id") == F.col("to"), "left_semi")
     level = start.select(F.col("node_id").alias("seed"), F.col("node_id").alias("node"), F.lit(0).alias("hops"), F.lit(1.0 if product else 0.0).alias("total_weight"), F.array("node_id").alias("path"))
-    found = None
+    found, order = None, ("hops", F.desc("total_weight"), F.array_join("path", ">"))
     for _ in range(max_hops):
         level = level.join(step, level["node"] == step["via"]).where(~F.array_contains("path", F.col("to")))
-        level = stored(level.select("seed", F.col("to").alias("node"), (F.col("hops") + 1).alias("hops"), total.alias("total_weight"), F.concat("path", F.array("to")).alias("path")), "walk")
+        level = level.select("seed", F.col("to").alias("node"), (F.col("hops") + 1).alias("hops"), total.alias("total_weight"), F.concat("path", F.array("to")).alias("path"))
+        # a level that has as many is the last one, so no more of it is needed
+        level = stored(level.orderBy(*order).limit(limit) if limit else level, "walk")
         found = level if found is None else found.unionByName(level)
         if limit and found.count() >= limit:
             break  # longer paths come after all of these
     found = found if found is not None else level.where(F.lit(False))
-    return found.orderBy("hops", F.desc("total_weight"), F.array_join("path", ">")).limit(limit) if limit else found
+    return found.orderBy(*order).limit(limit) if limit else found
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -112,20 +117,44 @@ def levels(edges: DataFrame, seeds: DataFrame, hops: int, directed: bool = False
     return visited
 
 
-def shortest_path(edges: DataFrame, a: str, b: str, nodes: DataFrame, max_hops: int = 6, tier: int = 3, directed: bool = True) -> DataFrame:
-    """hops, path of the shortest path; of equals the first in the order of the ids. Depth is bounded, hidden nodes are no way through."""
-    spark = edges.sparkSession
-    seen = nodes.where(F.col("masking_tier") <= tier).select(F.col("node_id").alias("dst"))
-    step = stored((edges.select("src", "dst").distinct() if directed else both_ways(edges)).join(seen, "dst", "left_semi"), "step")
-    start = spark.range(1).select(F.lit(a).alias("node"), F.array(F.lit(a)).alias("path"))
-    visited = frontier = stored(start.join(seen, F.col("node") == F.col("dst"), "left_semi"), "frontier")
-    for _ in range(max_hops):
-        if not visited.where(F.col("node") == b).isEmpty():
+def shortest_paths(edges: DataFrame, pairs: DataFrame, nodes: DataFrame, max_hops: int = 6, tier: int = 3, directed: bool = True) -> DataFrame:
+    """pair, hops, path (array) of the shortest path of each of the pairs (pair, a, b; one row a pair), all at once; of equals the first in the order of the ids.
+
+    Two frontiers, from the one end and from the other, go on until they meet; each time the smaller one does. Of each node
+    they keep the first path: one that is a part of the first path as a whole. A pair whose ends have met is done. Depth is
+    bounded, hidden nodes are no way through; pairs without a path, or with a null or hidden end, have no row.
+    """
+    seen = nodes.where(F.col("masking_tier") <= tier).select("node_id").distinct()
+    step = edges.select("src", "dst").distinct() if directed else both_ways(edges)
+    for end in ("src", "dst"):
+        step = step.join(seen.withColumnRenamed("node_id", end), end, "left_semi")
+    step, found = stored(step, "step"), []
+    sides = [stored(pairs.join(seen, F.col(c) == F.col("node_id"), "left_semi").select("pair", F.col(c).alias("node"), F.array(c).alias("path")), "frontier") for c in ("a", "b")]
+    visited, sizes = list(sides), [s.count() for s in sides]
+    for hops in range(max_hops + 1):
+        rest = sides[1].select("pair", "node", F.col("path").alias("rest"))
+        met = sides[0].join(rest, ["pair", "node"]).select("pair", F.concat("path", F.slice("rest", 2, F.size("rest"))).alias("path"))
+        met = stored(met.groupBy("pair").agg(F.min("path").alias("path")), "met")
+        found.append(met)
+        if not met.isEmpty():
+            sides = [s.join(met.select("pair"), "pair", "left_anti") for s in sides]
+            sizes = [s.count() for s in sides]
+        if hops == max_hops or not all(sizes):
             break
-        ahead = frontier.join(step, frontier["node"] == step["src"]).groupBy(F.col("dst").alias("node")).agg(F.min(F.concat("path", F.array("dst"))).alias("path"))
-        frontier = stored(ahead.join(visited.select("node"), "node", "left_anti"), "frontier")
-        visited = visited.unionByName(frontier)
-    return visited.where(F.col("node") == b).select((F.size("path") - 1).alias("hops"), F.array_join("path", ">").alias("path"))
+        i = int(sizes[1] < sizes[0])  # 0: on from a, along the edges; 1: on from b, against them
+        here, there = ("src", "dst") if i == 0 else ("dst", "src")
+        longer = F.concat("path", F.array(there)) if i == 0 else F.concat(F.array(there), F.col("path"))
+        ahead = sides[i].join(step, F.col("node") == F.col(here)).groupBy("pair", F.col(there).alias("node")).agg(F.min(longer).alias("path"))
+        sides[i] = stored(ahead.join(visited[i].select("pair", "node"), ["pair", "node"], "left_anti"), "frontier")
+        visited[i] = visited[i].unionByName(sides[i])
+        sizes[i] = sides[i].count()
+    return reduce(DataFrame.unionByName, found).select("pair", (F.size("path") - 1).alias("hops"), "path")
+
+
+def shortest_path(edges: DataFrame, a: str, b: str, nodes: DataFrame, max_hops: int = 6, tier: int = 3, directed: bool = True) -> DataFrame:
+    """hops, path of the shortest path from a to b, as shortest_paths() finds it."""
+    one = edges.sparkSession.range(1).select(F.col("id").alias("pair"), F.lit(a).alias("a"), F.lit(b).alias("b"))
+    return shortest_paths(edges, one, nodes, max_hops, tier, directed).select("hops", F.array_join("path", ">").alias("path"))
 
 
 def neighbours(edges: DataFrame, ids: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import stored
 from . import graph
+from .retrieval import link_names
 from .textindex import TextIndex
 
 #: Folders of closures by the node where they start, of mentions by document.
@@ -19,16 +20,18 @@ def _bucket(key: str | Column) -> Column:
 
 
 class ServedGraph:
-    """``nodes``, ``closures`` (bucket, src, dst, hops, weight, path), ``mentions`` (bucket, doc_id, node_id), ``texts``: all as of when they were built."""
+    """``nodes``, ``edges``, ``closures`` (bucket, src, dst, hops, weight, path), ``mentions`` (bucket, doc_id, node_id), ``texts``: all as of when they were built."""
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.nodes, self.closures, self.mentions = (spark.read.parquet(f"{path}/{name}") for name in ("nodes", "closures", "mentions"))
+        self.nodes, self.edges, self.closures, self.mentions = (spark.read.parquet(f"{path}/{name}") for name in ("nodes", "edges", "closures", "mentions"))
         self.texts = TextIndex(spark, f"{path}/texts")
 
     @classmethod
     def build(cls, path: str, nodes: DataFrame, edges: DataFrame, docs: DataFrame, mentions: DataFrame, hops: int = 2) -> ServedGraph:
         """nodes (node_id, name, masking_tier, ...), edges as for closure(), docs (doc_id, text), mentions (doc_id, node_id)."""
         nodes.write.parquet(f"{path}/nodes")
+        edges.write.parquet(f"{path}/edges")
+        edges = nodes.sparkSession.read.parquet(f"{path}/edges")
         for name, rows, key in (("closures", graph.closure(edges, hops), "src"), ("mentions", mentions.select("doc_id", "node_id").distinct(), "doc_id")):
             # a bucket may be written by several tasks: a hot key fills no single one
             spread = rows.withColumn("bucket", _bucket(key)).repartition("bucket", F.pmod(F.xxhash64(*rows.columns[:2]), F.lit(4)))
@@ -66,6 +69,24 @@ class ServedGraph:
         every = one.unionByName(two).unionByName(three).withColumn("score", F.round("score", 6))
         return self._first(every, limit, F.desc("score"), "kind", "id")
 
+    def paths(self, questions: DataFrame, max_hops: int = 6, tier: int = 0) -> DataFrame:
+        """(query_id, text, a, b) -> query_id, kind, id, score, rank: how the nodes named a and b are connected, or a local answer where a name is not known.
+
+        Names are those of the nodes that the caller may see whose trigrams are most alike. A question with both names known has its
+        shortest path (kind path, score 1), or no row if there is none within max_hops; all are looked for at once.
+        """
+        asked = stored(questions.select("query_id", "text", "a", "b"), "asked")
+        names = asked.select(F.explode(F.array("a", "b")).alias("text")).where("text IS NOT NULL").distinct().withColumn("query_id", F.col("text"))
+        linked = stored(link_names(names, self.nodes.where(F.col("masking_tier") <= tier), limit=1).select(F.col("query_id").alias("name"), "node_id"), "linked")
+        ends = asked.select(F.col("query_id").alias("pair"), "a", "b")
+        for c in ("a", "b"):
+            ends = ends.join(linked.withColumnsRenamed({"name": c, "node_id": f"{c}_id"}), c)
+        ends = stored(ends.select("pair", F.col("a_id").alias("a"), F.col("b_id").alias("b")), "ends")
+        found = graph.shortest_paths(self.edges, ends, self.nodes, max_hops, tier)
+        found = found.select(F.col("pair").alias("query_id"), F.lit("path").alias("kind"), F.array_join("path", ">").alias("id"), F.lit(1.0).alias("score"), F.lit(1).cast("long").alias("rank"))
+        rest = asked.join(ends.select(F.col("pair").alias("query_id")), "query_id", "left_anti").select("query_id", "text")
+        return found.unionByName(self.local(rest).select(found.columns))
+
     @staticmethod
     def _first(rows: DataFrame, most: int, *order: Column | str) -> DataFrame:
         return rows.withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(*order)).cast("long")).where(F.col("rank") <= most)

@@ -280,7 +280,7 @@ def retrieve_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, nodes = _hot(spark, sf_dir)
     edges = edges.where("edge_type IN ('LOCATED_IN', 'ROLLS_UP_TO')")
     seeds = nodes.where(F.col("canonical_key").isin("S1", "S2") & (F.col("node_type") == "LegalEntity")).select("node_id")
-    walks = graph.traverse(edges, seeds, nodes, 6, 3, None, None).orderBy("hops", F.array_join("path", ">")).limit(40)
+    walks = graph.traverse(edges, seeds, nodes, 6, 3, None, 40)  # all of weight one, so by hops and path
     steps = walks.select("seed", "hops", F.array_join("path", ">").alias("path"), F.posexplode("path").alias("at", "node_id")).join(nodes.select("node_id", "name"), "node_id")
     before = F.lag("node_id").over(W.partitionBy("path").orderBy("at"))
     kinds = edges.groupBy(F.col("src").alias("before"), F.col("dst").alias("node_id")).agg(F.min("edge_type").alias("edge_type"))

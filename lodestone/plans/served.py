@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.served import ServedGraph
 from ..sources import sinks
-from .evidence import BM25, MENTIONS, _asked, _mentions
+from .evidence import ASKED, BM25, MENTIONS, _asked, _mentions
 from .registry import ORACLES, query, table
 from .walks import CLOSED, _hot, _seeds
 
@@ -44,3 +44,26 @@ SELECT query_id, kind, id, score, rank FROM (SELECT *, row_number() OVER (PARTIT
 def served_local(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local mode for every question, out of the stored graph."""
     return served(spark, sf_dir).local(_asked(spark, sf_dir))
+
+
+_LOCAL, _ASKED = ORACLES["served_local"], f"WHERE item_id % {ASKED} = 0"
+assert _ASKED in _LOCAL
+#: How a nation's first supplier is connected with the next region; nations without suppliers get local answers to the benchmark item with their number.
+NAMED = f""", asked AS (SELECT CAST(n_nationkey AS BIGINT) AS query_id, (SELECT min(s_name) FROM supplier WHERE s_nationkey = n_nationkey) AS a, (SELECT r_name FROM region WHERE r_regionkey = (n_regionkey + 1) % 5) AS b FROM nation),
+ends AS (SELECT query_id, x.node_id AS a_id, y.node_id AS b_id FROM asked JOIN nodes x ON x.name = a JOIN nodes y ON y.name = b),
+way AS (SELECT query_id, a_id AS node, b_id, 0 AS hops, a_id AS path FROM ends
+  UNION ALL SELECT query_id, dst, b_id, hops + 1, path || '>' || dst FROM way JOIN (SELECT DISTINCT src, dst FROM hot) ON src = node WHERE hops < 3 AND node <> b_id AND strpos(path, dst) = 0),
+paths AS (SELECT query_id, path FROM (SELECT query_id, path, row_number() OVER (PARTITION BY query_id ORDER BY hops, path) AS rn FROM way WHERE node = b_id) WHERE rn = 1), """
+
+
+@query(
+    (_LOCAL.replace(_ASKED, "WHERE item_id IN (SELECT query_id FROM asked) AND item_id NOT IN (SELECT query_id FROM ends)").replace(CLOSED + ", ", CLOSED + NAMED, 1))
+    + " UNION ALL SELECT query_id, 'path', path, 1.0::DOUBLE, 1 FROM paths"
+)
+def served_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path mode for a question a nation, all at once; local mode where a name is not known."""
+    nation, supplier, region, items = (table(spark, sf_dir, t) for t in ("nation", "supplier", "region", "benchmark"))
+    first = supplier.groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(F.min("s_name").alias("a"))
+    asked = nation.join(first, "n_nationkey", "left").join(region.select(F.col("r_regionkey"), F.col("r_name").alias("b")), F.col("r_regionkey") == (F.col("n_regionkey") + 1) % 5, "left")
+    asked = asked.join(items.select("item_id", "text"), F.col("item_id") == F.col("n_nationkey"), "left").select(F.col("n_nationkey").cast("long").alias("query_id"), "text", "a", "b")
+    return served(spark, sf_dir).paths(asked, 3, 2)

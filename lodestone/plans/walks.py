@@ -146,7 +146,7 @@ SELECT path, hops, round(1.0::DOUBLE / (1 + hops), 6) AS score FROM walk WHERE h
 def lineage_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = _turns(spark, sf_dir)
     ids = edges.select(F.explode(F.array("src", "dst")).alias("node_id")).distinct().withColumn("masking_tier", F.lit(0))
-    walks = graph.traverse(edges, edges.where("src LIKE '%:0003'").select(F.col("src").alias("node_id")), ids, 6, 3, ["DERIVED_FROM"], None)
+    walks = graph.traverse(edges, edges.where("src LIKE '%:0003'").select(F.col("src").alias("node_id")), ids, 6, 3, ["DERIVED_FROM"], 40)
     return walks.select(F.array_join("path", ">").alias("path"), "hops", F.round(1.0 / (1 + F.col("hops")), 6).alias("score")).orderBy("hops", "path").limit(40)
 
 

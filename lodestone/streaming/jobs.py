@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import workspace
+from ..sources.shared import dropped, stored, workspace
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,32 +50,60 @@ def _batches(spark: SparkSession, at: str) -> dict[int, str]:
     return {int(n): p.toString() for n, p in found.items() if n.isdigit() and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))}
 
 
+def _removed(spark: SparkSession, at: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _last(spark: SparkSession, at: str) -> str:
     found = _batches(spark, at)
     return found[max(found)]
 
 
-def upserted(spark: SparkSession, stream: DataFrame, key: str, order: str, at: str | None = None) -> DataFrame:
-    """The latest row of each key over all batches: each batch is reduced, merged with the last table and written as the next one.
+def upserted(spark: SparkSession, stream: DataFrame, key: str, order: str, at: str | None = None, buckets: int = 64) -> DataFrame:
+    """The latest row of each key over all batches (of equals the one of the largest hash).
 
-    at: a shared folder that keeps checkpoint and tables. A later run goes on from there; a batch that is run again starts
-    from the table before it and replaces its own. Of the tables the last two are kept. Without it nothing outlives the application.
+    Rows lie in buckets by key. A batch reads and writes the buckets that it touches, in folders of its own, and ends with a list
+    of which batch's folder each bucket is in; so a batch that is lost half-way leaves nothing that is seen, and one that is
+    run again starts from the list before it. What neither of the last two lists names is removed.
+
+    at: a shared folder that keeps checkpoint, buckets and lists; a later run (with the same number of buckets) goes on from
+    there. Without it nothing outlives the application.
     """
     at, names = at or f"{workspace(spark)}/upsert-{uuid.uuid4().hex}", [c for c in stream.columns if c != key]
-    latest = lambda rows: rows.groupBy(key).agg(F.max_by(F.struct(*names), order).alias("last")).select(key, "last.*")
+    plain = [f.name for f in stream.schema if f.name != key and "map<" not in f.dataType.simpleString()]
+    latest = lambda rows: rows.groupBy(key).agg(F.max_by(F.struct(*names), F.struct(order, F.xxhash64(*plain))).alias("last")).select(key, "last.*")
     schema = latest(spark.createDataFrame([], stream.schema)).schema
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+    def listed(number: int) -> dict[int, int]:
+        rows = spark.read.schema("bucket int, batch long").parquet(f"{at}/lists/{number}").collect()  # one a bucket
+        return {r["bucket"]: r["batch"] for r in rows}
+
+    def held(places: dict[int, int]) -> DataFrame:
+        paths = [f"{at}/rows/batch={i}/bucket={b}" for b, i in places.items()]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
     def merge(df: DataFrame, i: int) -> None:
-        rows, before = latest(df), {j: p for j, p in _batches(spark, f"{at}/tables").items() if j < i}
-        if before:
-            rows = latest(rows.unionByName(spark.read.schema(schema).parquet(before[max(before)])))
-        rows.write.mode("overwrite").parquet(f"{at}/tables/{i}")
-        for j in sorted(before)[:-1]:
-            old = spark._jvm.org.apache.hadoop.fs.Path(before[j])
-            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        earlier = sorted(j for j in _batches(spark, f"{at}/lists") if j < i)
+        before = listed(earlier[-1]) if earlier else {}
+        new = stored(latest(df), "upsert")
+        touched = [r[0] for r in new.select(bucket).distinct().collect()]  # as many as there are buckets at most
+        rows = latest(new.unionByName(held({b: j for b, j in before.items() if b in touched}))).withColumn("bucket", bucket)
+        # some tasks a bucket, each with one file
+        rows.repartition("bucket", F.pmod(F.xxhash64(F.lit(1), key), F.lit(8))).write.mode("overwrite").partitionBy("bucket").parquet(f"{at}/rows/batch={i}")
+        now = sorted((before | dict.fromkeys(touched, i)).items())
+        spark.createDataFrame(now, "bucket int, batch long").coalesce(1).write.mode("overwrite").parquet(f"{at}/lists/{i}")
+        dropped(new)
+        if len(earlier) > 1:
+            for b, j in listed(earlier[-2]).items():
+                if before[b] != j:
+                    _removed(spark, f"{at}/rows/batch={j}/bucket={b}")
+            _removed(spark, f"{at}/lists/{earlier[-2]}")
 
     drained(stream, merge, "append", f"{at}/checkpoint")
-    return spark.read.schema(schema).parquet(_last(spark, f"{at}/tables")) if _batches(spark, f"{at}/tables") else spark.createDataFrame([], schema)
+    done = _batches(spark, f"{at}/lists")
+    return held(listed(max(done)) if done else {})
 
 
 def tumbling(stream: DataFrame, size: str = "1 day", late: str = "2 days") -> DataFrame:

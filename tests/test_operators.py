@@ -4,6 +4,7 @@ import hashlib
 import random
 import subprocess
 import sys
+from itertools import product
 from pathlib import Path
 
 import numpy as np
@@ -64,6 +65,56 @@ def test_hidden_nodes_are_no_way_through(spark):
     assert {r.dst for r in graph.expand(graph.closure(e, 2), seeds, n, 2, 0).collect()} == {"d", "e"}
 
 
+def test_paths_of_many_pairs_against_brute_force(spark):
+    for seed, directed in ((1, True), (2, False)):
+        pick = random.Random(seed)
+        ids = [f"v{i:02}" for i in range(24)]
+        links = sorted({(pick.choice(ids), pick.choice(ids)) for _ in range(34)})
+        hidden = set(pick.sample(ids, 3))
+        out = {x: set() for x in ids}
+        for s, d in links:
+            out[s].add(d)
+            if not directed:
+                out[d].add(s)
+
+        def first(a, b, out=out, hidden=hidden):
+            level = [[a]] if not {a, b} & hidden else []
+            for _ in range(6):
+                if hits := [p for p in level if p[-1] == b]:
+                    return min(hits)
+                level = [[*p, y] for p in level for y in out[p[-1]] if y not in p and y not in hidden]
+            return None
+
+        pairs = [(i, a, b) for i, (a, b) in enumerate(product(ids[:12], ids[8:]))] + [(9998, None, "v01"), (9999, "v01", "unknown")]
+        want = {i: p for i, a, b in pairs if a and b in out and (p := first(a, b))}
+        rows = graph.shortest_paths(edges_of(spark, [(s, d, 1) for s, d in links]), spark.createDataFrame(pairs, "pair int, a string, b string"), nodes_of(spark, ids, dict.fromkeys(hidden, 3)), 5, 0, directed).collect()
+        assert {r.pair: r.path for r in rows} == want and {len(p) for p in want.values()} >= {1, 2, 3, 4}
+        assert len(rows) == len(want) and all(r.hops == len(r.path) - 1 for r in rows)
+
+
+def test_the_smaller_frontier_goes_on(spark, monkeypatch):
+    sizes = []
+    keep = graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: sizes.append(keep(df, name).count()) or keep(df, name) if name == "frontier" else keep(df, name))
+    fan = [("a", f"x{i:03}", 1) for i in range(300)] + [("a", "m", 1), ("m", "n", 1), ("n", "z", 1)]
+    ids = sorted({x for s, d, _ in fan for x in (s, d)})
+    assert graph.shortest_path(edges_of(spark, fan), "a", "z", nodes_of(spark, ids, {}), 6).collect()[0].path == "a>m>n>z"
+    assert sizes == [1, 1, 301, 1, 1]  # both ends, one step from a, then back from z
+
+
+def test_a_walk_writes_no_level_beyond_its_limit(spark, monkeypatch):
+    sizes = []
+    keep = graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: sizes.append(keep(df, name).count()) or keep(df, name) if name == "walk" else keep(df, name))
+    e = edges_of(spark, [("a", f"x{i:02}", i) for i in range(50)] + [(f"x{i:02}", f"y{j}", j) for i in range(50) for j in range(5)])
+    n = nodes_of(spark, ["a", *[f"x{i:02}" for i in range(50)], *[f"y{j}" for j in range(5)]], {})
+    seeds = spark.createDataFrame([("a",)], "node_id string")
+    whole = [tuple(r) for r in graph.traverse(e, seeds, n, 2, 0, limit=None).collect()]
+    whole = sorted(whole, key=lambda r: (r[2], -r[3], r[4]))
+    sizes.clear()
+    assert [tuple(r) for r in graph.traverse(e, seeds, n, 2, 0, limit=60).collect()] == whole[:60] and sizes == [50, 60]
+
+
 def test_levels_and_neighbours(spark):
     e = edges_of(spark, [("a", "b", 1), ("c", "b", 1), ("c", "d", 1)])
     seeds = spark.createDataFrame([("a",)], "node_id string")
@@ -273,4 +324,21 @@ def test_upserts_go_on_where_they_ended(spark, tmp_path):
         stream = spark.readStream.schema("id int, what string, no int").parquet(f"{tmp_path}/in")
         found = {(r.id, r.what) for r in jobs.upserted(spark, stream, "id", "no", f"file://{tmp_path}/state").collect()}
         assert found == [{(1, "a"), (2, "b")}, {(1, "c"), (2, "b")}, {(1, "c"), (2, "b"), (3, "d")}][day]
-    assert sorted(p.name for p in (tmp_path / "state" / "tables").iterdir()) == ["1", "2"]
+    assert sorted(p.name for p in (tmp_path / "state" / "lists").iterdir()) == ["1", "2"]
+
+
+def test_a_batch_rewrites_the_buckets_it_touches_and_nothing_is_lost_half_way(spark, tmp_path):
+    from lodestone.streaming import jobs
+
+    state, want = tmp_path / "state", {}
+    batches = [[(i, f"v{i}", 1, {"a": i}) for i in range(200)], [(7, "new", 2, None), (None, "none", 1, None)], [(7, "late", 1, None), (9, None, 5, {})], []]
+    for rows in batches:
+        spark.createDataFrame(rows, "id int, what string, no int, more map<string,int>").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("id int, what string, no int, more map<string,int>").parquet(f"{tmp_path}/in")
+        found = {r.id: (r.what, r.no, r.more) for r in jobs.upserted(spark, stream, "id", "no", f"file://{state}", 16).collect()}
+        want |= {r[0]: r[1:] for r in rows if r[0] not in want or want[r[0]][1] < r[2]}
+        assert found == want
+        # a batch that ended without its list is as if it had never been
+        (state / "rows" / "batch=99" / "bucket=0").mkdir(parents=True, exist_ok=True)
+    written = {p.name: len(list(p.iterdir())) for p in (state / "rows").iterdir()}
+    assert len({p for p in (state / "rows" / "batch=1").iterdir() if p.name.startswith("bucket")}) <= 2 and written["batch=0"] >= 13
