@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import decontaminate, packing, quality, simhash, suffix_dedup
-from lodestone.llm.common import table, workspace
+from lodestone.llm.common import fresh, table, workspace
 from lodestone.llm.queries import tokenizer
 from lodestone.shipping import ship
 
@@ -21,8 +21,9 @@ from lodestone.shipping import ship
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (a score under 0.7) go. It is fitted on labelled documents of its input, none of them held out."""
     ship(spark)
-    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), "__score")
-    return scored.where("__score >= 0.7").drop("__score")
+    (score,) = fresh(docs.columns, "score")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")), score)
+    return scored.where(F.col(score) >= 0.7).drop(score)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +35,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes in stretches of 200 that start anywhere else, too, go from the texts; n_chars counts what is left. No document goes."""
     ship(spark)
-    left = suffix_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return left.select(*docs.columns)
+    (own,) = fresh(docs.columns, "own_spans")  # the operator adds a column of that name
+    left = suffix_dedup.remove_repeats(docs.withColumnRenamed("spans", own)).drop("spans").withColumnRenamed(own, "spans")
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
