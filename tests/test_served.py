@@ -22,3 +22,13 @@ def test_served_answers(spark):
     assert abs(one["chunk", "1"] - 1.05 * score[1]) < 2e-6 and abs(one["edge", "a>b"] - 0.4 - 0.1 * (score[1] + score[2])) < 2e-6
     assert abs(one["node", "a"] - 0.3 - 0.1 * score[1]) < 2e-6 and one["node", "c"] == 0.3 and ("edge", "d>h") not in one
     assert [(r["kind"], r["id"]) for r in rows if r["query_id"] == 2] == [("chunk", "4")] and not [r for r in rows if r["query_id"] == 3]
+
+    asked = spark.createDataFrame([(1, "stone", "A", "C"), (2, "stone", "A", "nobody"), (3, None, None, "A"), (4, "moss", "a", "H"), (5, "moss", "C", "A"), (6, "", "B", "B")], "query_id long, text string, a string, b string")
+    found = {}
+    for r in g.paths(asked).collect():
+        found.setdefault(r["query_id"], set()).add((r["kind"], r["id"]))
+    # no row: no name and no text; both names known, but no way along the edges
+    assert set(found) == {1, 2, 4, 6} and found[1] == {("path", "a>b>c")} and found[6] == {("path", "b")} and found[4] == {("chunk", "4")}
+    assert found[2] >= {("chunk", "1"), ("edge", "a>b")}
+    assert {r["id"] for r in g.paths(asked.where("query_id = 4"), tier=3).collect()} == {"a>d>h"}
+    assert g.paths(asked.limit(0)).count() == 0
