@@ -33,18 +33,22 @@ class TextIndex:
         """(doc_id, fields..., attributes...) -> the index of all documents. Missing texts have no terms but count as documents; ids are unique."""
         spark, n = docs.sparkSession, docs.count()
         at = F.pmod(F.xxhash64("doc_id"), F.lit(max(1, -(-n // block)))).cast("int")
-        cut = stored(docs.select("doc_id", *attributes, at.alias("block"), *[F.coalesce(terms(f), F.array()).alias(f) for f in fields]), "cut")
+        cut = stored(docs.select("doc_id", *attributes, at.alias("block"), *[F.array_sort(F.coalesce(terms(f), F.array())).alias(f) for f in fields]), "cut")
         sums = cut.agg(*[F.sum(F.size(f)).alias(f) for f in fields]).first()
         means = {f: (sums[f] or 0) / n if n else 0.0 for f in fields}
         spark.createDataFrame([(f, n, float(means[f])) for f in fields], "field string, n long, mean double").coalesce(1).write.parquet(f"{path}/fields")
         held = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("ts"), F.lit(float(means[f]) or 1.0).alias("mean")) for f in fields])
-        each = cut.select("doc_id", *attributes, "block", F.explode(held).alias("h")).select("doc_id", *attributes, "block", "h.field", "h.mean", F.size("h.ts").alias("length"), F.explode("h.ts").alias("term"))
+        # the only shuffle: whole documents by block; all of a list's postings are then in one task
+        each = cut.repartition("block").select("doc_id", *attributes, "block", F.explode(held).alias("h")).select("doc_id", *attributes, "block", "h.field", "h.mean", "h.ts").where(F.size("ts") > 0)
+        places, ts = F.sequence(F.lit(0), F.size("ts") - 1), lambda i: F.get("ts", i)
+        # terms are sorted: a run of like ones from its first place to its last
+        runs = F.zip_with(F.filter(places, lambda i: ~ts(i).eqNullSafe(ts(i - 1))), F.filter(places, lambda i: ~ts(i).eqNullSafe(ts(i + 1))), lambda x, y: F.struct(ts(x).alias("term"), (y - x + 1).alias("tf")))
+        tf = each.select("doc_id", *attributes, "block", "field", "mean", F.size("ts").alias("length"), F.explode(runs).alias("run")).select("*", "run.term", "run.tf")
         keys = [*attributes, "block", "field", "term"]
-        tf = each.groupBy(*keys, "doc_id").agg(F.count("*").alias("tf"), F.first("length").alias("length"), F.first("mean").alias("mean"))
         part = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("mean")))
         posts = tf.groupBy(*keys).agg(F.max(part).alias("bound"), F.collect_list(F.struct("doc_id", part.alias("part"))).alias("posts"))
         posts = posts.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int"))
-        posts.repartition("bucket", "block").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
+        posts.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
         spark.createDataFrame([], posts.schema).coalesce(1).write.parquet(f"{path}/schema")
         spark.read.schema(posts.schema).parquet(f"{path}/postings").groupBy("field", "term").agg(F.sum(F.size("posts")).alias("df")).write.parquet(f"{path}/terms")
         return cls(spark, path)
