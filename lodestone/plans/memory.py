@@ -38,8 +38,9 @@ def expand_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     seeds = nodes.where(F.col("canonical_key").isin("P1", "P2", "P3") & (F.col("node_type") == "Product")).select("node_id")
     for day in DAYS:
         closed = graph.closure(graph.hot_edges(edges, nodes, KINDS, 1_000_000, day), 2, seeds, types=True)
-        sinks.replace_partitions(closed.withColumn("as_of", F.lit(day).cast("date")), path, "as_of")
-    found = graph.expand_snapshot(spark.read.parquet(path), seeds, nodes, 2, None, ["EXPOSED_TO"], 2)
+        sinks.replace_snapshot(closed, path, "as_of", day)
+    latest = sinks.snapshots(spark, path, "as_of")[-1]  # nobody may be exposed on that day
+    found = graph.expand_snapshot(spark.read.parquet(path), seeds, nodes, 2, latest, ["EXPOSED_TO"], 2)
     return found.select("src", "dst", "hops", "weight", F.array_join("path", ">").alias("path"), F.array_join("edge_types", ",").alias("edge_types"))
 
 

@@ -15,6 +15,7 @@ from lodestone.functions.ids import content_hash, node_id, stable_id
 from lodestone.functions.text import normalise_name, trigram_similarity, trigrams
 from lodestone.operators import communities, extraction, gates, graph, ontology, resolve, retrieval, temporal
 from lodestone.operators.components import connected_components
+from lodestone.sources import sinks
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -278,6 +279,15 @@ def test_closures_know_the_types_on_a_path(spark):
     assert graph.expand_snapshot(shots.limit(0), seeds, seen).count() == 0
 
 
+def test_an_empty_snapshot_is_the_latest_one(spark, tmp_path):
+    rows = graph.closure(spark.createDataFrame([("a", "b", 1.0, "X")], "src string, dst string, weight double, edge_type string"), 2, types=True)
+    path, seeds, seen = f"file://{tmp_path}/shots", spark.createDataFrame([("a",)], "node_id string"), nodes_of(spark, "ab")
+    for day, shot, n in (("2020-01-01", rows.limit(0), 0), ("2021-01-01", rows, 1), ("2022-01-01", rows.limit(0), 0), ("2022-01-01", rows, 1), ("2022-01-01", rows.limit(0), 0)):
+        sinks.replace_snapshot(shot, path, "as_of", day)
+        assert graph.expand_snapshot(spark.read.parquet(path), seeds, seen, day=sinks.snapshots(spark, path, "as_of")[-1]).count() == n
+    assert sinks.snapshots(spark, path, "as_of") == ["2020-01-01", "2021-01-01", "2022-01-01"]
+
+
 def test_links_stay_and_hashes_tell_nulls(spark):
     at = "a string, b string, method string, score double, run int"
     got = resolve.keep_links(spark.createDataFrame([("p", "q", "exact", 1.0, 1)], at), spark.createDataFrame([("p", "q", "rule", 0.95, 2), ("p", "r", "rule", 0.95, 2)], at))
