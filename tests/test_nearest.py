@@ -58,3 +58,20 @@ def test_an_index_finds_the_same_and_looks_into_few_cells(spark, tmp_path):
     assert again.count() == len(brute(short, queries, 10_000, False))
     none = VectorIndex.build(v.limit(0), f"file://{tmp_path}/none", 4)
     assert none.search(q, 3).count() == 0
+
+
+def test_blocks_of_an_index_are_full_and_a_second_round_wants_nothing_worse(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(3)
+    v = spark.createDataFrame([(i, rng.standard_normal(8).tolist(), i % 2) for i in range(800)], "vec_id long, embedding array<double>, tier int").repartition(16)
+    index = VectorIndex.build(v, f"file://{tmp_path}/ix", 4, ("tier",))
+    assert index.blocks.count() == 8  # of 4 cells and 2 tiers, however many tasks dealt the vectors
+    kept = []
+    look = VectorIndex._look
+    monkeypatch.setattr(VectorIndex, "_look", lambda *a: kept.append(look(*a)) or kept[-1])
+    q = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    found = {r.query_id: r.worst for r in index.search(q, 5, probes=2).groupBy("query_id").agg(F.min("score").alias("worst")).collect()}
+    first, second = (part.collect() for part in kept)
+    worst = {x: sorted((r.score for r in first if r.query_id == x), reverse=True)[4] for x in found}
+    assert len(found) == 40 and all(r.score >= worst[r.query_id] - 2e-6 for r in second) and len(second) < len(first)
+    few, many = (nearest._best_of(np.array([[0.5, 0.9, 0.9, 0.5], [0.1, -3.0, 0.1, 0.1]]), np.array([f, -2.0]), 2) for f in (0.6, -2.0))
+    assert [x.tolist() for x in few] == [x.tolist() for x in many] == [[0, 0, 1, 1], [1, 2, 0, 2]]
