@@ -152,11 +152,16 @@ def scoped(memory: DataFrame, user: object, agent: object) -> DataFrame:
     return memory.where((F.col("scope") == "global") | mine | ((F.col("scope") == "agent") & F.col("agent_id").isin(str(agent), "*")))
 
 
-def edge_text(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """edge_id, text: ``source -[TYPE]-> target`` by names; an end that is no node is called by its id."""
-    end = lambda c: nodes.select(F.col("node_id").alias(c), F.col("name").alias(f"{c}_name"))
-    named = edges.join(end("src"), "src", "left").join(end("dst"), "dst", "left")
-    return named.select("edge_id", F.concat(F.coalesce("src_name", "src"), F.lit(" -["), "edge_type", F.lit("]-> "), F.coalesce("dst_name", "dst")).alias("text"))
+def named(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges with src_name and dst_name; null where an end is no node."""
+    end = lambda c: nodes.select(F.col("node_id").alias(c), F.col("name").alias(f"{c}_name")).hint("shuffle_hash")  # noqa: E731  no sort of all edges
+    return edges.join(end("src"), "src", "left").join(end("dst"), "dst", "left")
+
+
+def edge_text(edges: DataFrame, nodes: DataFrame, finish: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+    """edge_id, text: ``source -[TYPE]-> target`` by names; an end that is no node is called by its id. ``finish`` makes ids of plain edges, once their ends are named."""
+    rows = finish(named(edges, nodes))
+    return rows.select("edge_id", F.concat(F.coalesce("src_name", "src"), F.lit(" -["), "edge_type", F.lit("]-> "), F.coalesce("dst_name", "dst")).alias("text"))
 
 
 def evidence_of(evidence: DataFrame, ids: DataFrame) -> DataFrame:

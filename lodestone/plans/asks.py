@@ -137,7 +137,7 @@ def pick_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(GRAPH + " SELECT edge_id, s.name || ' -[' || edge_type || ']-> ' || d.name AS text FROM edges JOIN nodes s ON s.node_id = src JOIN nodes d ON d.node_id = dst")
 def edge_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return serving.edge_text(builders.edges(spark, sf_dir), builders.nodes(spark, sf_dir))
+    return serving.edge_text(builders.edges(spark, sf_dir, plain=True), builders.nodes(spark, sf_dir, plain=True), builders.with_ids)
 
 
 @query(f"WITH {V} SELECT vec_id, label FROM v WHERE label % 4 = 0 OR (label % 4 = 1 AND vec_id % 7 = 3) OR (label % 4 = 2 AND tier = 2)")
