@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 def dangling(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges of which either end is no node."""
     ids = nodes.select("node_id").distinct()
-    known_src = edges.join(ids.select(F.col("node_id").alias("src")), "src", "left_semi")
-    return edges.join(ids.select(F.col("node_id").alias("src")), "src", "left_anti").unionByName(known_src.join(ids.select(F.col("node_id").alias("dst")), "dst", "left_anti"))
+    known = lambda c: ids.select(F.col("node_id").alias(c), F.lit(True).alias(f"__{c}")).hint("shuffle_hash")  # noqa: E731  no sort of all edges
+    # one pass over the edges, which may be dear to make
+    rows = edges.join(known("src"), "src", "left").join(known("dst"), "dst", "left").where("__src IS NULL OR __dst IS NULL")
+    return rows.select(*[f"`{c}`" for c in edges.columns])
 
 
 def duplicates(rows: DataFrame, key: str) -> DataFrame:

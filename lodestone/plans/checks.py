@@ -12,7 +12,7 @@ from ..operators.components import connected_components
 from ..operators.joins import heavy_keys, spread_join
 from ..sources import builders, sinks
 from ..sources.shared import stored
-from .core import PROPOSED_SQL, _proposed, _versions
+from .core import PROPOSED_SQL, _hashed_ends, _proposed, _versions
 from .evidence import KNN, _vectors
 from .registry import GRAPH, VERSIONS, query, table
 from .walks import DAY, HOLDS
@@ -20,7 +20,7 @@ from .walks import DAY, HOLDS
 
 @query(GRAPH + PROPOSED_SQL + " SELECT edge_type, src, dst FROM typed WHERE src_type IS NULL OR dst_type IS NULL")
 def gate_dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gates.dangling(_proposed(spark, sf_dir), builders.nodes(spark, sf_dir)).select("edge_type", "src", "dst")
+    return _hashed_ends(gates.dangling(_proposed(spark, sf_dir), builders.nodes(spark, sf_dir, plain=True))).select("edge_type", "src", "dst")
 
 
 @query("SELECT user_id || ':' || event_type AS key, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 1")
@@ -49,7 +49,7 @@ def temporal_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT gate, value, limit_ AS "limit", value <= limit_ AS passed FROM g"""
 )
 def gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = builders.nodes(spark, sf_dir)
+    nodes = builders.nodes(spark, sf_dir, plain=True)
     return gates.report([
         gates.gate("dangling", gates.dangling(_proposed(spark, sf_dir), nodes), 0), gates.gate("duplicate nodes", gates.duplicates(nodes, "node_id"), 0),
         gates.gate("overlapping versions", gates.overlaps(_stretched(spark, sf_dir)), 1000),

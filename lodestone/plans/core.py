@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ids import node_id, render
+from ..functions.ids import hashed_id, node_id, render
 from ..operators import ontology, temporal
 from ..sources import builders
 from .registry import GRAPH, NODES, VERSIONS, query, table
@@ -18,11 +18,20 @@ PROPOSED_SQL = """, proposed AS (
 typed AS (SELECT p.*, a.node_type AS src_type, b.node_type AS dst_type FROM proposed p LEFT JOIN nodes a ON a.node_id = p.src LEFT JOIN nodes b ON b.node_id = p.dst)"""
 
 
+NOWHERE = "n_nowhere"
+
+
 def _proposed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = builders.edges(spark, sf_dir).select("src", "dst", "edge_type")
-    back = edges.where("edge_type = 'FUNDS'").select(F.col("dst").alias("src"), F.col("src").alias("dst"), "edge_type")
-    lost = edges.where("edge_type = 'ROLLS_UP_TO'").select("src", F.lit("n_nowhere").alias("dst"), F.lit("LOCATED_IN").alias("edge_type"))
-    return edges.unionByName(back).unionByName(lost)
+    """src, dst, edge_type with plain ends, all in one pass over the edges."""
+    edge = lambda a, b, kind: F.struct(a.alias("src"), b.alias("dst"), kind.alias("edge_type"))
+    src, dst, kind = F.col("src"), F.col("dst"), F.col("edge_type")
+    more = F.when(kind == "FUNDS", F.array(edge(src, dst, kind), edge(dst, src, kind))).when(kind == "ROLLS_UP_TO", F.array(edge(src, dst, kind), edge(src, F.lit(NOWHERE), F.lit("LOCATED_IN"))))
+    return builders.edges(spark, sf_dir, plain=True).select(F.inline(F.coalesce(more, F.array(edge(src, dst, kind)))))
+
+
+def _hashed_ends(rows: DataFrame) -> DataFrame:
+    """Plain ends as ids of nodes; what is no plain end stays."""
+    return rows.withColumns({c: F.when(F.col(c).contains("|"), hashed_id(F.col(c))).otherwise(F.col(c)) for c in ("src", "dst")})
 
 
 @query(NODES + "SELECT node_id, node_type, name, canonical_key, properties, masking_tier, source_system, confidence FROM nodes")
@@ -55,7 +64,7 @@ def union_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(GRAPH + RULES_SQL + PROPOSED_SQL + " SELECT edge_type, src_type, dst_type, count(*) AS n FROM typed SEMI JOIN rules USING (edge_type, src_type, dst_type) GROUP BY ALL")
 def ontology_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ontology.validate(_proposed(spark, sf_dir), builders.nodes(spark, sf_dir)).groupBy("edge_type", "src_type", "dst_type").agg(F.count("*").alias("n"))
+    return ontology.validate(_proposed(spark, sf_dir), builders.nodes(spark, sf_dir, plain=True)).groupBy("edge_type", "src_type", "dst_type").agg(F.count("*").alias("n"))
 
 
 @query(
@@ -63,7 +72,7 @@ def ontology_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
   WHEN edge_type NOT IN (SELECT edge_type FROM rules) THEN 'unknown edge' ELSE 'forbidden' END AS reason FROM typed ANTI JOIN rules USING (edge_type, src_type, dst_type)"""
 )
 def ontology_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ontology.rejects(_proposed(spark, sf_dir), builders.nodes(spark, sf_dir)).select("edge_type", "src", "dst", "reason")
+    return _hashed_ends(ontology.rejects(_proposed(spark, sf_dir), builders.nodes(spark, sf_dir, plain=True))).select("edge_type", "src", "dst", "reason")
 
 
 HOLDS = "valid_from <= DATE '{d}' AND (valid_to IS NULL OR valid_to > DATE '{d}')"

@@ -11,11 +11,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.functions.ids import content_hash, node_id, stable_id
+from lodestone.functions.ids import content_hash, hashed_id, node_id, stable_id
 from lodestone.functions.text import normalise_name, trigram_similarity, trigrams
 from lodestone.operators import communities, extraction, gates, graph, ontology, resolve, retrieval, temporal
 from lodestone.operators.components import connected_components
-from lodestone.sources import sinks
+from lodestone.sources import builders, sinks
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -288,6 +288,30 @@ def test_an_empty_snapshot_is_the_latest_one(spark, tmp_path):
     assert sinks.snapshots(spark, path, "as_of") == ["2020-01-01", "2021-01-01", "2022-01-01"]
 
 
+def test_edges_are_made_once_and_joined_without_sorts(spark):
+    """Under a small broadcast limit, as on large tables: lines are read once for each kind of edge, and rows with whole ids are not shuffled."""
+    from lodestone.plans import QUERIES
+
+    sf_dir, limit = "/root/testdata/sf0.001", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("ontology_validate", "ontology_rejects", "gate_dangling", "edge_text", "build_edges"):
+            plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and plan.count("FileScan parquet [l_orderkey") == 2, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_plain_ends_name_the_same_nodes(spark):
+    nodes, plain = (builders.nodes(spark, "/root/testdata/sf0.001", plain=x).orderBy("source_system", "canonical_key") for x in (False, True))
+    assert [r.node_id for r in nodes.collect()] == [r.node_id for r in plain.withColumn("node_id", hashed_id(F.col("node_id"))).collect()]
+    edges = builders.edges(spark, "/root/testdata/sf0.001")
+    assert edges.exceptAll(builders.with_ids(builders.edges(spark, "/root/testdata/sf0.001", plain=True))).isEmpty()
+    e = spark.createDataFrame([("a", "b", "X"), ("a", "z", "X"), (None, "b", "X"), ("y", None, "X"), ("z", "b", "X"), ("z", "b", "X")], "src string, dst string, edge_type string")
+    got = sorted(((r.src or "", r.dst or "") for r in gates.dangling(e, nodes_of(spark, ["a", "b", "b"])).collect()))
+    assert got == [("", "b"), ("a", "z"), ("y", ""), ("z", "b"), ("z", "b")]
+
+
 def test_links_stay_and_hashes_tell_nulls(spark):
     at = "a string, b string, method string, score double, run int"
     got = resolve.keep_links(spark.createDataFrame([("p", "q", "exact", 1.0, 1)], at), spark.createDataFrame([("p", "q", "rule", 0.95, 2), ("p", "r", "rule", 0.95, 2)], at))
