@@ -91,8 +91,8 @@ def retrieval_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored inverted index by buckets of terms, and what it says of each term."""
     path = sinks.new_path(spark, "index")
-    postings = retrieval.postings(table(spark, sf_dir, "documents"))
-    sinks.replace_partitions(postings.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(64))).repartition("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(4))), path, "bucket")
+    postings = retrieval.counted(table(spark, sf_dir, "documents"))  # written where they are counted
+    sinks.replace_partitions(postings.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(64))), path, "bucket")
     return spark.read.parquet(path).groupBy("term").agg(F.count("*").alias("n_docs"), F.sum("tf").alias("n_times"))
 
 
