@@ -16,6 +16,7 @@ symbol: few for bytes, but for a string of names as many as there are names. Com
 
 from __future__ import annotations
 
+import os
 import tempfile
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -65,11 +66,12 @@ class Minima:
 
 
 class DiskQueue:
-    """A priority queue of (position, shared) tuples by symbol; those of one symbol come out as they went in."""
+    """A priority queue of (position, shared) tuples by symbol; those of one symbol come out as they went in. Its file has no name, so that its room is given back when it is closed; ``kind`` is what a position is there."""
 
-    def __init__(self, folder: Path, name: str, memory: int = QUEUE_BYTES) -> None:
+    def __init__(self, folder: Path, name: str, memory: int = QUEUE_BYTES, kind: str = "<i8") -> None:
         self.file = (folder / name).open("w+b")
-        self.memory, self.held = memory, 0
+        (folder / name).unlink()
+        self.memory, self.held, self.kind = memory, 0, np.dtype(kind)
         self.new: dict[int, list] = defaultdict(list)  # (pos, shared) in memory
         self.old: dict[int, list] = defaultdict(list)  # (offset, n) on disk, which went in before
 
@@ -85,10 +87,10 @@ class DiskQueue:
         at = self.file.tell()
         for symbol, run in self.new.items():
             pos, shared = self._joined(run)
-            self.file.write(pos.astype("<i8").tobytes())
+            self.file.write(pos.astype(self.kind).tobytes())
             self.file.write(shared.astype("<i4").tobytes())
             self.old[symbol].append((at, len(pos)))
-            at += 12 * len(pos)
+            at += (self.kind.itemsize + 4) * len(pos)
         self.new.clear()
         self.held = 0
 
@@ -98,7 +100,8 @@ class DiskQueue:
 
     def _load(self, part: tuple) -> tuple[np.ndarray, np.ndarray]:
         self.file.seek(part[0])
-        return np.frombuffer(self.file.read(8 * part[1]), "<i8"), np.frombuffer(self.file.read(4 * part[1]), "<i4")
+        pos = np.frombuffer(self.file.read(self.kind.itemsize * part[1]), self.kind).astype(np.int64, copy=False)
+        return pos, np.frombuffer(self.file.read(4 * part[1]), "<i4")
 
     def pop(self, symbol: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Blocks of a symbol's tuples until none are left, those included that are pushed meanwhile."""
@@ -199,6 +202,7 @@ class Sorter:
 
         rank, many, files = _mapped(self._path("names"), np.int64, n), 0, 0
         todo: list[tuple[np.ndarray, int, bool]] = [(_spooled(self._path("every"), np.int64, (np.arange(a, b) for a, b in _blocks(n))), 0, False)]
+        self._path("every").unlink()
         while todo:  # the smallest part is the last one; True: all its substrings are equal
             which, r, equal = todo.pop()
             if equal and len(which):
@@ -266,7 +270,9 @@ class Sorter:
         """S* positions in the order of their suffixes, and what each shares with the one before."""
         at = self.stars()
         rank, many = self.names(at)
-        n = len(at)
+        n, self.rising = len(at), None
+        for name in ("rising-flags", "stars"):  # their room is given back when they are no longer mapped
+            self._path(name).unlink(missing_ok=True)
         if many == n:
             order = _mapped(self._path("order"), np.int64, n)
             for a, b in _blocks(n):
@@ -276,7 +282,12 @@ class Sorter:
         else:  # the last S* position is the last symbol, which ends the string of names as well
             inner = Sorter(rank, max(2, -(-self.length // 2) + 1), self.folder, self.base, self.queue_bytes, self.depth + 1)
             order = _spooled(self._path("order"), np.int64, (pos for pos, _ in inner.suffixes()))
+            del inner
         at = _spooled(self._path("ordered"), np.int64, (at[order[a:b]] for a, b in _blocks(n)))
+        del order, rank
+        self._path("order").unlink(missing_ok=True)
+        if n:
+            os.truncate(self._path("names"), 0)  # nothing reads it any more
         shared = (self._shared(at[max(a - 1, 0) : b - 1], at[max(a, 1) : b]) for a, b in _blocks(n))
         return at, _spooled(self._path("shared"), np.int32, (np.append(np.int32(0), s) if i == 0 else s for i, s in enumerate(shared)))
 
@@ -352,7 +363,8 @@ class Sorter:
             found, n = np.unique(slot(t[stars[a:b]]), return_counts=True)
             cuts[found + 1] += n
         cuts = np.cumsum(cuts)
-        falling, done = DiskQueue(self.folder, f"falling{self.depth}", self.queue_bytes), DiskQueue(self.folder, f"fallen{self.depth}", self.queue_bytes)
+        kind = "<i4" if len(t) < 1 << 31 else "<i8"
+        falling, done = DiskQueue(self.folder, f"falling{self.depth}", self.queue_bytes, kind), DiskQueue(self.folder, f"fallen{self.depth}", self.queue_bytes, kind)
         minima, seen = Minima(length), np.full(len(symbols), -1, np.int64)  # a bucket's first entry shares nothing with the bucket before
         for i, c in enumerate(symbols.tolist()):
             last = None
@@ -368,7 +380,9 @@ class Sorter:
                 self._deal(falling, minima, seen, slot, own, s, lambda b, c=c: b > c)
         falling.close()
         del stars, shared
-        rising, risen = DiskQueue(self.folder, f"rising{self.depth}", self.queue_bytes), DiskQueue(self.folder, f"risen{self.depth}", self.queue_bytes)
+        for name in ("ordered", "shared"):
+            self._path(name).unlink(missing_ok=True)
+        rising, risen = DiskQueue(self.folder, f"rising{self.depth}", self.queue_bytes, kind), DiskQueue(self.folder, f"risen{self.depth}", self.queue_bytes, kind)
         minima, seen[:] = Minima(length), -1
         seams: dict[int, int] = {}
         for c in symbols[::-1].tolist():

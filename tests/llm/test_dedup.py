@@ -226,3 +226,13 @@ def test_recursion_on_disk(monkeypatch, tmp_path):
     often = Counter(grams := [text[i : i + 200].tobytes() for i in range(len(text) - 199)])
     assert np.flatnonzero(flags).tolist() == [i for i, g in enumerate(grams) if often[g] > 1] != []
     assert (tmp_path / "names2").exists()  # names of names of names
+
+
+def test_sorters_give_their_room_back(tmp_path):
+    """Once the order is being read, no file of what led to it has a name: its room is free as soon as it isn't mapped."""
+    text = np.append(np.random.default_rng(3).integers(1, 5, 60_000).astype(np.uint8), np.uint8(0))
+    (tmp_path / "text").write_bytes(text.tobytes())
+    sorter = suffixes.Sorter(np.memmap(tmp_path / "text", np.uint8, "r"), 200, tmp_path, base=1 << 10, queue_bytes=1 << 12)
+    found = [(pos.copy(), sum(f.stat().st_size for f in tmp_path.iterdir())) for pos, _ in sorter.suffixes()]
+    assert sorted(np.concatenate([pos for pos, _ in found]).tolist()) == list(range(len(text)))
+    assert max(size for _, size in found) <= 2 * len(text)
