@@ -74,3 +74,12 @@ def test_odd_tables(spark):
     rows = spark.createDataFrame([(1, 0), (2, 3), (3, 0)], "doc_id long, masking_tier int")
     ids = spark.createDataFrame([(1,), (2,), (2,), (9,)], "doc_id long")
     assert {r["doc_id"] for r in by_id(rows, ids).collect()} == {1, 2} and [r["doc_id"] for r in by_id(rows, ids, 1).collect()] == [1]
+
+
+def test_postings_stay_where_they_are(spark, index):
+    """Neither building nor searching turns postings into lists, and few questions are sent to the postings: no shuffle of them."""
+    assert set(index.postings.columns) == {"bucket", "field", "term", "level", "block", "doc_id", "part"}
+    held = {(r["field"], r["term"]): r["df"] for r in index.terms.collect()}
+    assert held == {(r["field"], r["term"]): r["count"] for r in index.postings.groupBy("field", "term").count().collect()}
+    least = index.postings.groupBy("field", "term", "level", "block").agg(F.max("part").alias("bound"), F.count("*").alias("n"))
+    assert sorted(map(repr, index.bounds.select(least.columns).collect())) == sorted(map(repr, least.collect()))
