@@ -32,3 +32,12 @@ def test_served_answers(spark):
     assert found[2] >= {("chunk", "1"), ("edge", "a>b")}
     assert {r["id"] for r in g.paths(asked.where("query_id = 4"), tier=3).collect()} == {"a>d>h"}
     assert g.paths(asked.limit(0)).count() == 0
+
+
+def test_expanding_needs_no_texts(spark):
+    edges = spark.createDataFrame([("a", "b", "X", 2.0)], "src string, dst string, edge_type string, weight double")
+    nodes = spark.createDataFrame([(x, x.upper(), 0) for x in "ab"], "node_id string, name string, masking_tier int")
+    g = ServedGraph.build(sinks.new_path(spark, "served"), nodes, edges, None, spark.createDataFrame([(1, "a")], "doc_id long, node_id string"))
+    assert [(r["src"], r["dst"]) for r in g.expand(["a"]).collect()] == [("a", "b")]
+    g.add_texts(spark.createDataFrame([(1, "stone")], "doc_id long, text string"))
+    assert {(r["kind"], r["id"]) for r in g.local(spark.createDataFrame([(1, "stone")], "query_id int, text string")).collect()} == {("chunk", "1"), ("edge", "a>b"), ("node", "a"), ("node", "b")}
