@@ -19,6 +19,8 @@ from .components import connected_components
 
 #: Nodes up to which a component is one task's work.
 LARGE = 50_000
+#: Edges that a task of small components has on average: components are dealt out by their work, not by their few bytes.
+TASK_EDGES = 2_000
 #: Nodes up to which matrices are dense; neighbours from which the rest of an elimination is done by a dense matrix.
 DENSE, CROWDED = 2_000, 60
 #: exp(-FAR) is nothing beside the rounding of numbers about 1, even as a sum over many nodes.
@@ -297,7 +299,8 @@ def spectral_features(edges: DataFrame, t: float = 1.0, large: int = LARGE, meas
         return pd.DataFrame(out)
 
     schema = ", ".join(["node_id string", *[f"{c} double" for c in names]])
-    small = rows.where(F.col("nodes") <= large).drop("nodes").groupBy("component").applyInPandas(run, schema)
+    small = rows.where(F.col("nodes") <= large).drop("nodes")
+    small = small.repartition(1 + small.count() // TASK_EDGES, "component").groupBy("component").applyInPandas(run, schema)
     giant = rows.where(F.col("nodes") > large).drop("nodes")
     if giant.isEmpty():
         return small

@@ -3,8 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from lodestone.operators import louvain
+from lodestone.operators import communities, louvain
 from lodestone.sources.shared import stored
 
 
@@ -101,3 +102,13 @@ def test_runs_are_kept_beside_each_other(spark, tmp_path):
 def test_tiny_graphs(spark, rows):
     got = louvain.community_labels(spark.createDataFrame(rows, "src string, dst string, weight double")).collect()
     assert len(got) == 2 * len(rows) and len({r.community_id for r in got}) == len(rows)
+
+
+def test_small_components_are_dealt_out(spark, monkeypatch):
+    """Many components of few bytes are the work of many tasks, with the numbers that each has alone."""
+    monkeypatch.setattr(communities, "TASK_EDGES", 3)
+    ties = [(f"{a}{i:02}", f"{b}{i:02}", 1.0 + i) for i in range(20) for a, b in ("ab", "bc", "ac")]
+    found = communities.spectral_features(spark.createDataFrame(ties, "src string, dst string, weight double"), measures=("betweenness", "fiedler"))
+    rows = found.withColumn("task", F.spark_partition_id()).collect()
+    assert len(rows) == 60 and len({r["task"] for r in rows}) > 4
+    assert all(r["betweenness"] == 0 and abs(r["spectral_gap"] - 1.5) < 1e-9 for r in rows)
