@@ -15,7 +15,7 @@ from ..sources import builders, sinks
 from .core import HOLDS, _versions
 from .evidence import BM25, V, _lexical, _vectors
 from .registry import GRAPH, NODES, VERSIONS, query, table
-from .walks import SEEDS, WALK, _hot, _seeds
+from .walks import SEEDS, WALK, _hot_from, _seeds
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'extract' ELSE 'index' END AS work FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 0")
@@ -124,8 +124,9 @@ def chunk_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(WALK.replace("0.0::DOUBLE AS total_weight", "1.0::DOUBLE AS total_weight").replace("total_weight + weight", "total_weight * weight") + " SELECT seed, node, hops, total_weight AS weight, path FROM walk WHERE hops BETWEEN 1 AND 3 ORDER BY hops, weight DESC, path LIMIT 500")
 def deep_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Walks with the product of their weights."""
-    edges, nodes = _hot(spark, sf_dir)
-    walks = graph.traverse(edges, _seeds(nodes), nodes, 3, 3, None, 500, product=True)
+    seeds = _seeds(builders.nodes(spark, sf_dir))
+    edges, nodes = _hot_from(spark, sf_dir, seeds, 3)
+    walks = graph.traverse(edges, seeds, nodes, 3, 3, None, 500, product=True)
     return walks.select("seed", "node", "hops", F.col("total_weight").alias("weight"), F.array_join("path", ">").alias("path"))
 
 

@@ -386,3 +386,46 @@ def test_a_batch_rewrites_the_buckets_it_touches_and_nothing_is_lost_half_way(sp
         (state / "rows" / "batch=99" / "bucket=0").mkdir(parents=True, exist_ok=True)
     written = {p.name: len(list(p.iterdir())) for p in (state / "rows").iterdir()}
     assert len({p for p in (state / "rows" / "batch=1").iterdir() if p.name.startswith("bucket")}) <= 2 and written["batch=0"] >= 13
+
+
+def test_texts_are_cut_once_for_a_search(spark):
+    docs = spark.createDataFrame([(1, "a b a c"), (2, ""), (3, None), (4, "B, d!"), (5, "e e e")], "doc_id long, text string")
+    asked = spark.createDataFrame([(0, "A b"), (20, "zz b")], "query_id long, text string")
+    index, n, mean = retrieval.asked_postings(docs, asked)
+    assert (n, mean) == (5, 9 / 5) == retrieval.lengths(docs)
+    assert {(r.doc_id, r.term, r.tf, r.length) for r in index.collect()} == {(1, "a", 2, 4), (1, "b", 1, 4), (4, "b", 1, 2)}
+    index, n, mean = retrieval.asked_postings(docs.limit(0), asked.limit(0))
+    assert (index.count(), n, mean) == (0, 0, 1.0)
+
+
+def test_edges_within_reach_are_those_that_a_closure_takes(spark):
+    random.seed(19)
+    edges = edges_of(spark, [(f"v{random.randrange(40):02}", f"v{random.randrange(40):02}", random.randrange(1, 9)) for _ in range(90)])
+    seeds, asked = spark.createDataFrame([("v00",), ("v01",), ("v00",)], "node_id string"), []
+
+    def out_of(ids):
+        asked.extend(r[0] for r in ids.collect())
+        return edges.join(ids, edges["src"] == ids["node_id"], "left_semi")
+
+    for hops in (1, 2, 3):
+        asked.clear()
+        near = graph.reached(out_of, seeds, hops)
+        assert len(asked) == len(set(asked)) and near.count() < edges.count()
+        assert sorted(map(tuple, graph.closure(near, hops, seeds).collect())) == sorted(map(tuple, graph.closure(edges, hops, seeds).collect()))
+
+
+def test_sales_are_picked_before_they_are_joined_and_grouped(spark, monkeypatch):
+    from lodestone.plans import walks
+
+    sf = "/root/testdata/sf0.001"
+    few = spark.range(1).select(node_id(F.lit("LegalEntity"), F.lit("S2")).alias("node_id")).unionByName(spark.range(1).select(node_id(F.lit("Jurisdiction"), F.lit("N3")).alias("node_id")))
+    whole, lines, keep = builders.edges(spark, sf), [], builders.stored
+    monkeypatch.setattr(builders, "stored", lambda df, name: keep(df, name) if name != "lines" else lines.append(keep(df, name)) or lines[-1])
+    want = sorted(map(str, whole.join(few, whole["src"] == few["node_id"], "left_semi").collect()))
+    assert sorted(map(str, builders.edges(spark, sf, out_of=few).collect())) == want and len(want) > 100
+    everything = spark.read.parquet(f"{sf}/lineitem.parquet")
+    assert [x.count() for x in lines] == [everything.where("l_suppkey = 2").count(), 0]  # what S2 sells, and no parts of theirs
+    monkeypatch.undo()
+    all_hot = walks._hot(spark, sf, 20)[0]
+    hot = walks._hot_from(spark, sf, few, 1, 20)[0]
+    assert sorted(map(str, hot.collect())) == sorted(map(str, all_hot.join(few, all_hot["src"] == few["node_id"], "left_semi").select(*hot.columns).collect()))
