@@ -103,6 +103,17 @@ def test_the_smaller_frontier_goes_on(spark, monkeypatch):
     assert sizes == [1, 1, 301, 1, 1]  # both ends, one step from a, then back from z
 
 
+def test_no_task_tells_all_edges_apart(spark, monkeypatch):
+    plans, keep = [], graph.stored
+    monkeypatch.setattr(graph, "stored", lambda df, name: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()) if name == "step" else None) or keep(df, name))
+    links = [("a", "m", 1), ("a", "m", 1), ("z", "m", 2), ("a", "a", 1), ("a", "gone", 1), ("gone", "z", 1), ("a", "hid", 1), ("hid", "z", 1)]
+    e, n = edges_of(spark, links), nodes_of(spark, ["a", "m", "z", "hid"], {"hid": 3})
+    assert [tuple(r) for r in graph.shortest_path(e, "a", "z", n, 6, 0, directed=False).collect()] == [(2, "a>m>z")]
+    assert graph.shortest_path(e, "a", "z", n, 6, 0).count() == 0 and graph.shortest_path(e, "a", "hid", n, 6, 0).count() == 0
+    assert {(r.node_id, r.level) for r in graph.levels(e, spark.createDataFrame([("a",)], "node_id string"), 2).collect()} == {("a", 0), ("m", 1), ("gone", 1), ("hid", 1), ("z", 2)}
+    assert len(plans) == 4 and not any("Aggregate" in p or "Join" in p for p in plans)  # edges are written where they are read
+
+
 def test_a_walk_writes_no_level_beyond_its_limit(spark, monkeypatch):
     sizes = []
     keep = graph.stored
