@@ -4,9 +4,11 @@ import math
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from lodestone import plans
 from lodestone.operators.textindex import TextIndex, by_id
 from lodestone.sources import sinks
 
@@ -83,3 +85,25 @@ def test_postings_stay_where_they_are(spark, index):
     assert held == {(r["field"], r["term"]): r["count"] for r in index.postings.groupBy("field", "term").count().collect()}
     least = index.postings.groupBy("field", "term", "level", "block").agg(F.max("part").alias("bound"), F.count("*").alias("n"))
     assert sorted(map(repr, index.bounds.select(least.columns).collect())) == sorted(map(repr, least.collect()))
+
+
+def _tables(spark, path, items: list[tuple], docs: list[tuple]) -> dict:
+    """Small tables in a folder: name -> rows in DuckDB."""
+    spark.createDataFrame(items, "item_id long, text string").coalesce(1).write.parquet(f"{path}/benchmark.parquet")
+    rows = [(i, text, lang, source, len(text)) for i, text, lang, source in docs]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{path}/documents.parquet")
+    con = duckdb.connect()
+    for name in ("benchmark", "documents"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}/{name}.parquet/*.parquet'")
+    return {name: sorted(con.execute(plans.ORACLES[name]).fetchall()) for name in ("chunks_by_id", "search_level")}
+
+
+ITEMS = [(0, "amber"), (1, "birch"), (19, "cedar"), (40, "dune"), (-3, "elm"), (None, "fjord"), (7, None), (8, "")]
+SAID = [(i, f"{w} " * (1 + i % 3) + "moss", ("en", "de")[i % 2], f"src{i % 7}") for i, w in enumerate(WORDS * 2)]
+
+
+def test_chunks_of_every_question(spark, tmp_path):
+    """Questions ask whatever their ids are: divisible by 20 or not, negative, missing."""
+    want = _tables(spark, tmp_path, ITEMS, SAID)["chunks_by_id"]
+    found = sorted(map(tuple, plans.QUERIES["chunks_by_id"](spark, str(tmp_path)).collect()))
+    assert found == want and {i % 8 for i, *_ in found} == {0, 1, 2, 3, 4, 5} and len(found) == 12
