@@ -107,3 +107,10 @@ def test_chunks_of_every_question(spark, tmp_path):
     want = _tables(spark, tmp_path, ITEMS, SAID)["chunks_by_id"]
     found = sorted(map(tuple, plans.QUERIES["chunks_by_id"](spark, str(tmp_path)).collect()))
     assert found == want and {i % 8 for i, *_ in found} == {0, 1, 2, 3, 4, 5} and len(found) == 12
+
+
+def test_levels_of_every_question(spark, tmp_path):
+    """As above, with a source named and one language only."""
+    want = _tables(spark, tmp_path, ITEMS, SAID)["search_level"]
+    found = sorted(tuple(r[c] for c in ("query_id", "doc_id", "score", "rank")) for r in plans.QUERIES["search_level"](spark, str(tmp_path)).collect())
+    assert found == want and {q for q, *_ in found} >= {0, 1, 19, 40} and all(i % 2 == 0 for _, i, *_ in found)
